@@ -134,10 +134,65 @@ def with_views(body: str, extra: list[tuple[str, str]] | None = None) -> str:
 
     visit(body)
     ctes = [f"{name} AS ({text.strip()})" for name, text in defs if name in needed]
-    return ("WITH " + ",\n".join(ctes) + "\n" + body.strip()) if ctes else body.strip()
+    body = body.strip()
+    if not ctes:
+        return body
+    head = "WITH "
+    for lead in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(lead):
+            # the statement's own WITH list continues after the views
+            head, body = lead, ", " + body[len(lead):]
+            break
+    else:
+        body = "\n" + body
+    return head + ",\n".join(ctes) + body
 
 
 def _mentions(sql: str, name: str) -> bool:
     import re
 
     return re.search(rf"(?<![\w.]){re.escape(name)}(?!\w)", sql) is not None
+
+
+# Request tables (FIXTURES.md §6).
+REQUEST_VIEWS: list[tuple[str, str]] = [
+    ("client_inserts", """
+SELECT CAST(c_custkey AS INT) AS request_id, split_part(c_name,'#',1) AS first_name, split_part(c_name,'#',2) AS last_name,
+       lower(replace(c_name,'#','.')) || CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE '@example.com' END AS email
+FROM customer"""),
+    ("client_deletes", "SELECT CAST(c_custkey AS INT) AS client_id FROM customer WHERE c_acctbal < 0"),
+    ("client_patches", """
+SELECT CAST(c_custkey AS INT) AS client_id,
+       CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '{"first_name":"' || upper(split_part(c_name,'#',1)) || '"}'
+                         WHEN 'MACHINERY' THEN '{"email":null}'
+                         WHEN 'BUILDING' THEN '{"last_name":"Renamed"}' ELSE '{}' END AS patch
+FROM customer"""),
+    ("seller_inserts", """
+SELECT CAST(s_suppkey AS INT) AS request_id, split_part(s_name,'#',1) AS first_name, split_part(s_name,'#',2) AS last_name,
+       s_name AS company_name, lower(replace(s_name,'#','.')) || '.new@example.com' AS email
+FROM supplier"""),
+    ("seller_deletes", "SELECT CAST(s_suppkey AS INT) AS seller_id FROM supplier WHERE s_acctbal < 0"),
+    ("seller_patches", """
+SELECT CAST(s_suppkey AS INT) AS seller_id,
+       CASE WHEN s_acctbal > 5000 THEN '{"company_name":"' || s_name || ' Group"}' ELSE '{}' END AS patch
+FROM supplier"""),
+    ("product_inserts", """
+SELECT CAST(p_partkey AS INT) AS request_id, CAST(p_partkey % (SELECT count(*) + 3 FROM supplier) AS INT) AS seller_id,
+       p_name AS name,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) - CASE WHEN p_type = 'PROMO' THEN 1000 ELSE 0 END AS DECIMAL(12,2)) AS price,
+       CAST(p_size AS INT) AS quantity
+FROM part"""),
+    ("product_patches", """
+SELECT CAST(p_partkey AS INT) AS product_id,
+       CASE p_type WHEN 'STANDARD' THEN '{"price":"' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 1 AS VARCHAR) || '"}'
+                   WHEN 'SMALL' THEN '{"name":"' || p_name || ' v2"}'
+                   WHEN 'LARGE' THEN '{"quantity":"' || CAST(p_size + 10 AS VARCHAR) || '"}' ELSE '{}' END AS patch
+FROM part"""),
+    ("product_deletes", "SELECT CAST(p_partkey AS INT) AS product_id FROM part WHERE p_type = 'ECONOMY'"),
+    ("purchase_requests", """
+SELECT purchase_id AS request_id, client_id, product_id, quantity, purchased_at AS requested_at FROM purchase_events"""),
+    ("purchase_deletes", """
+SELECT DISTINCT CAST(l_orderkey*8+l_linenumber AS INT) AS purchase_id FROM lineitem WHERE l_returnflag = 'R'"""),
+]
+
+VIEWS.extend(REQUEST_VIEWS)

@@ -7,6 +7,7 @@ import importlib
 # Plan modules that each export QUERIES (key → callable(spark, data_dir)) and SQL (key → DuckDB SQL).
 MODULES = [
     "tillroll.plans.analytics",
+    "tillroll.plans.model",
 ]
 
 
