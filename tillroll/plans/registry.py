@@ -8,6 +8,7 @@ import importlib
 MODULES = [
     "tillroll.plans.analytics",
     "tillroll.plans.model",
+    "tillroll.plans.io",
 ]
 
 
