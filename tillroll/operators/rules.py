@@ -42,21 +42,31 @@ def _email_rules() -> list[tuple[str, Column]]:
             ("email invalid", c.isNotNull() & ~c.rlike(EMAIL_PATTERN))]
 
 
-CLIENT_RULES = _text_rules("first_name", NAME_MAX) + _text_rules("last_name", NAME_MAX) + _email_rules()
-SELLER_RULES = (_text_rules("first_name", NAME_MAX) + _text_rules("last_name", NAME_MAX)
-                + _text_rules("company_name", COMPANY_MAX) + _email_rules())
-PRODUCT_RULES = [
-    ("seller_id missing", F.col("seller_id").isNull()),
-    *_text_rules("name", PRODUCT_NAME_MAX),
-    ("price missing", F.col("price").isNull()),
-    ("price must be positive", F.col("price") <= 0),
-    ("quantity below 1", F.col("quantity") < 1),
-]
-PURCHASE_RULES = [
-    ("client_id missing", F.col("client_id").isNull()),
-    ("product_id missing", F.col("product_id").isNull()),
-    ("quantity below 1", F.col("quantity") < 1),
-]
+def client_rules() -> list[tuple[str, Column]]:
+    return _text_rules("first_name", NAME_MAX) + _text_rules("last_name", NAME_MAX) + _email_rules()
+
+
+def seller_rules() -> list[tuple[str, Column]]:
+    return (_text_rules("first_name", NAME_MAX) + _text_rules("last_name", NAME_MAX)
+            + _text_rules("company_name", COMPANY_MAX) + _email_rules())
+
+
+def product_rules() -> list[tuple[str, Column]]:
+    return [
+        ("seller_id missing", F.col("seller_id").isNull()),
+        *_text_rules("name", PRODUCT_NAME_MAX),
+        ("price missing", F.col("price").isNull()),
+        ("price must be positive", F.col("price") <= 0),
+        ("quantity below 1", F.col("quantity") < 1),
+    ]
+
+
+def purchase_rules() -> list[tuple[str, Column]]:
+    return [
+        ("client_id missing", F.col("client_id").isNull()),
+        ("product_id missing", F.col("product_id").isNull()),
+        ("quantity below 1", F.col("quantity") < 1),
+    ]
 
 
 def with_reasons(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:

@@ -270,13 +270,13 @@ PURCHASE_REASON_SQL = _reason_sql(["CASE WHEN client_id IS NULL THEN 'client_id
                                    "CASE WHEN quantity < 1 THEN 'quantity below 1' END"])
 
 reg("validate_clients", f"SELECT *, {CLIENT_REASON_SQL} FROM client_inserts")(
-    lambda s, d: U.with_reasons(RQ.client_inserts(s, d), U.CLIENT_RULES))
+    lambda s, d: U.with_reasons(RQ.client_inserts(s, d), U.client_rules()))
 reg("validate_sellers", f"SELECT *, {SELLER_REASON_SQL} FROM seller_inserts")(
-    lambda s, d: U.with_reasons(RQ.seller_inserts(s, d), U.SELLER_RULES))
+    lambda s, d: U.with_reasons(RQ.seller_inserts(s, d), U.seller_rules()))
 reg("validate_products", f"SELECT *, {PRODUCT_REASON_SQL} FROM product_inserts")(
-    lambda s, d: U.with_reasons(RQ.product_inserts(s, d), U.PRODUCT_RULES))
+    lambda s, d: U.with_reasons(RQ.product_inserts(s, d), U.product_rules()))
 reg("validate_purchases", f"SELECT *, {PURCHASE_REASON_SQL} FROM purchase_requests")(
-    lambda s, d: U.with_reasons(RQ.purchase_requests(s, d), U.PURCHASE_RULES))
+    lambda s, d: U.with_reasons(RQ.purchase_requests(s, d), U.purchase_rules()))
 
 
 @reg("classify_purchases", """
@@ -335,7 +335,7 @@ SELECT CAST((SELECT max(client_id) FROM clients) + row_number() OVER (ORDER BY r
 FROM ok""")
 def _insert_clients(s, d):
     f = fx(s, d)
-    ok, _ = U.validate(RQ.client_inserts(s, d), U.CLIENT_RULES)
+    ok, _ = U.validate(RQ.client_inserts(s, d), U.client_rules())
     ok = U.new_clients_unique_email(ok, f.clients)
     ok = U.fill_defaults(ok.withColumn("signup_date", F.lit(None).cast("timestamp_ntz")), JOB_NOW, None,
                          ["signup_date"])
@@ -352,7 +352,7 @@ SELECT CAST((SELECT max(seller_id) FROM sellers) + row_number() OVER (ORDER BY r
 FROM ok""")
 def _insert_sellers(s, d):
     f = fx(s, d)
-    ok, _ = U.validate(RQ.seller_inserts(s, d), U.SELLER_RULES)
+    ok, _ = U.validate(RQ.seller_inserts(s, d), U.seller_rules())
     ok = U.new_clients_unique_email(ok, f.sellers)
     ok = U.fill_defaults(ok.withColumn("created_at", F.lit(None).cast("timestamp_ntz")), JOB_NOW, None,
                          ["created_at"])
@@ -368,7 +368,7 @@ SELECT CAST((SELECT max(product_id) FROM products) + row_number() OVER (ORDER BY
 FROM ok""")
 def _insert_products(s, d):
     f = fx(s, d)
-    ok, _ = U.validate(RQ.product_inserts(s, d), U.PRODUCT_RULES)
+    ok, _ = U.validate(RQ.product_inserts(s, d), U.product_rules())
     ok = ok.join(f.sellers.select("seller_id"), "seller_id", "left_semi")
     ok = U.fill_defaults(ok.withColumn("created_at", F.lit(None).cast("timestamp_ntz")), JOB_NOW, "quantity",
                          ["created_at"])
