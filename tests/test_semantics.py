@@ -193,14 +193,32 @@ def test_stock_golden(spark):
     assert got == {1: (True, 2), 2: (False, 2), 3: (True, 0)}
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=20, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(1, 9), st.integers(0, 30)), min_size=1, max_size=60),
-       st.integers(1, 6))
-def test_stock_matches_sequential_fold(spark, reqs, parts):
+       st.integers(1, 12), st.integers(0, 80))
+def test_stock_matches_sequential_fold(spark, reqs, parts, hot):
+    """Exact against a sequential fold, with products split over many range partitions
+    (``hot`` extra requests on product 0 make it span several tasks)."""
     stock_by_product = {p: 10 + 3 * p for p in range(5)}
     products = spark.createDataFrame([(p, 1, "p", Decimal("1.00"), s, T0) for p, s in stock_by_product.items()],
                                      schemas.PRODUCTS)
+    reqs = reqs + [(0, 1 + (i * 7) % 4, 31 + i) for i in range(hot)]
     rows = [(i, p, q, T0 + dt.timedelta(hours=h)) for i, (p, q, h) in enumerate(reqs)]
     df = spark.createDataFrame(rows, "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
-    got = {r.purchase_id: (r.accepted, r.remaining) for r in stock.allocate(df.repartition(parts), products).collect()}
+    out = stock.allocate(df, products, num_partitions=parts)
+    got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
     assert got == _python_fold(stock_by_product, rows)
+
+
+def test_hot_product_is_split(spark):
+    """A product with most of the requests is folded by several tasks, exactly."""
+    products = spark.createDataFrame([(0, 1, "p", Decimal("1.00"), 500, T0), (1, 1, "q", Decimal("1.00"), 5, T0)],
+                                     schemas.PRODUCTS)
+    rng = random.Random(7)
+    rows = [(i, 0 if i % 10 else 1, rng.randint(1, 6), T0 + dt.timedelta(minutes=i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
+    out = stock.allocate(df, products, num_partitions=8)
+    per_task = out.groupBy(F.spark_partition_id().alias("t")).agg(F.countDistinct("product_id")).count()
+    assert per_task >= 4
+    got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
+    assert got == _python_fold({0: 500, 1: 5}, rows)

@@ -2,13 +2,27 @@
 the remaining stock covers it, and then the stock goes down; a refused request
 consumes nothing.
 
-A running sum cannot express this (a refused request must not count), so it is an
-ordered fold: ``repartition(product_id)`` → ``sortWithinPartitions(product,
-arrival)`` → ``mapInPandas`` carrying ``(product, remaining)`` from row to row and
-from Arrow batch to batch. State is O(1) per task and no group is materialised:
-a hot product streams through its task in batches. Each decision depends on all
-earlier decisions for the same product, so one product's requests are folded in
-one task; different products run in parallel.
+A running sum cannot express this (a refused request must not count): it is an
+ordered fold whose state is the remaining stock. To keep a hot product (one that
+holds a third of all requests) from running in one task, the fold is split by
+position, not by product:
+
+1. ``repartitionByRange(product, arrival)`` — the range partitioner's sample
+   splits a hot product's requests over many partitions; sorted within
+   partitions and checkpointed so the layout is fixed.
+2. A tiny per-partition summary (first and last product) tells which partitions
+   start in the middle of a product ("continuations"): only the first segment of
+   a partition can be one.
+3. For each continuation segment, its transfer function ``f(r)`` = stock left
+   after the segment when it starts with ``r`` is computed for every
+   ``r ∈ [0, stock]`` at once (numpy; start values that reach the same state
+   merge, so the work shrinks as the segment proceeds).
+4. Per product, the functions are composed along the chain of partitions (one
+   row per partition: bounded), giving each continuation its true start.
+5. Every partition folds its rows in parallel from its known starts.
+
+All steps are exact. Work is O(rows) plus O(rows × live states) for at most one
+segment per partition; a product that is not split costs nothing extra.
 """
 
 from __future__ import annotations
@@ -20,41 +34,181 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import shared_dir
+
 OUT_SCHEMA = "purchase_id int, product_id int, quantity int, accepted boolean, remaining int"
+LINK_SCHEMA = "chain_product int, _pid int, stock int, whole boolean, transfer array<int>, last_end int"
+START_SCHEMA = "_pid int, start int"
+
+
+def _segments(prod: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) index ranges of equal product ids in a sorted batch."""
+    if len(prod) == 0:
+        return []
+    cuts = np.flatnonzero(prod[1:] != prod[:-1]) + 1
+    bounds = np.concatenate(([0], cuts, [len(prod)]))
+    return [(int(bounds[i]), int(bounds[i + 1])) for i in range(len(bounds) - 1)]
+
+
+def _fold_segment(qty: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, int]:
+    accepted = np.zeros(len(qty), dtype=bool)
+    left = np.zeros(len(qty), dtype=np.int64)
+    r = start
+    for i in range(len(qty)):
+        q = qty[i]
+        if q == q and q <= r:  # NaN (NULL quantity) is refused
+            r -= int(q)
+            accepted[i] = True
+        left[i] = r
+    return accepted, left, r
+
+
+class _Transfer:
+    """Remaining stock after a segment, for every start value 0..stock at once."""
+
+    def __init__(self, stock: int):
+        self.states = np.arange(stock + 1, dtype=np.int64)
+        self.index = np.arange(stock + 1, dtype=np.int64)  # start value → position in states
+
+    def feed(self, qty: np.ndarray) -> None:
+        for n, q in enumerate(qty):
+            if q != q:
+                continue
+            hit = self.states >= q
+            self.states[hit] -= int(q)
+            if n % 64 == 63:
+                self._merge()
+        self._merge()
+
+    def _merge(self) -> None:
+        uniq, inv = np.unique(self.states, return_inverse=True)
+        if len(uniq) < len(self.states):
+            self.index = inv[self.index]
+            self.states = uniq
 
+    def table(self) -> list[int]:
+        return self.states[self.index].astype(np.int64).tolist()
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cur_product = None
-    remaining = 0
-    for pdf in batches:
-        n = len(pdf)
-        if n == 0:
+
+def _summarise(continuations: frozenset[int], ends: frozenset[int]):
+    """Pass 1: chain links of a partition — for a continuation, the first segment's
+    transfer function; where a product begins and runs into the next partition,
+    its end state from full stock."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = None
+        first_product = first_stock = None
+        transfer = None
+        whole = True
+        cur_product = None
+        cur_r = 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            if pid is None:
+                pid = int(pdf["_pid"].iloc[0])
+                first_product = int(pdf["product_id"].iloc[0])
+                first_stock = int(pdf["_stock"].iloc[0])
+                if pid in continuations:
+                    transfer = _Transfer(first_stock)
+            prod = pdf["product_id"].to_numpy()
+            qty = pdf["quantity"].to_numpy()
+            stock = pdf["_stock"].to_numpy()
+            for a, b in _segments(prod):
+                p = int(prod[a])
+                if p != cur_product:
+                    if cur_product is not None:
+                        whole = False
+                    cur_product, cur_r = p, int(stock[a])
+                if transfer is not None and whole:
+                    transfer.feed(qty[a:b])
+                _, _, cur_r = _fold_segment(qty[a:b], cur_r)
+        if pid is None:
+            return
+        links = []
+        if transfer is not None:
+            links.append((first_product, pid, first_stock, whole, transfer.table(), None))
+        if pid in ends and not (pid in continuations and whole):
+            links.append((cur_product, pid, None, False, None, cur_r))
+        if links:
+            yield pd.DataFrame(links, columns=["chain_product", "_pid", "stock", "whole", "transfer", "last_end"])
+
+    return run
+
+
+def _compose(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pass 2 (per product chain, ≤ one row per partition): start of each continuation."""
+    rows = rows.sort_values("_pid")
+    out_pid, out_start = [], []
+    r = None
+    for pid, stock, whole, transfer, last_end in zip(rows["_pid"], rows["stock"], rows["whole"],
+                                                     rows["transfer"], rows["last_end"]):
+        if transfer is None:              # the partition where the product begins
+            r = int(last_end)
             continue
-        prod = pdf["product_id"].to_numpy()
-        qty = pdf["quantity"].to_numpy()
-        stock = pdf["_stock"].to_numpy()
-        accepted = np.zeros(n, dtype=bool)
-        left = np.zeros(n, dtype=np.int64)
-        for i in range(n):
-            p = prod[i]
-            if p != cur_product:
-                cur_product = p
-                remaining = int(stock[i])
-            q = qty[i]
-            if q == q and q <= remaining:  # NaN (NULL quantity) is refused
-                remaining -= int(q)
-                accepted[i] = True
-            left[i] = remaining
-        yield pd.DataFrame({
-            "purchase_id": pdf["purchase_id"], "product_id": pdf["product_id"], "quantity": pdf["quantity"],
-            "accepted": accepted, "remaining": left,
-        })
+        start = int(stock) if r is None else r
+        out_pid.append(int(pid))
+        out_start.append(start)
+        r = int(transfer[start]) if whole else None
+    return pd.DataFrame({"_pid": out_pid, "start": out_start}, dtype="int32")
+
+
+def _fold(starts: dict[int, int]):
+    """Pass 3: fold every partition from its known start values."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cur_product = None
+        r = 0
+        first = True
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            prod = pdf["product_id"].to_numpy()
+            qty = pdf["quantity"].to_numpy()
+            stock = pdf["_stock"].to_numpy()
+            accepted = np.zeros(len(pdf), dtype=bool)
+            left = np.zeros(len(pdf), dtype=np.int64)
+            for a, b in _segments(prod):
+                p = int(prod[a])
+                if p != cur_product:
+                    r = starts.get(pid, int(stock[a])) if first else int(stock[a])
+                    cur_product = p
+                first = False
+                acc, lft, r = _fold_segment(qty[a:b], r)
+                accepted[a:b], left[a:b] = acc, lft
+            yield pd.DataFrame({"purchase_id": pdf["purchase_id"], "product_id": pdf["product_id"],
+                                "quantity": pdf["quantity"], "accepted": accepted, "remaining": left})
+
+    return run
 
 
 def allocate(requests: DataFrame, products: DataFrame,
-             order: Sequence[str] = ("purchased_at", "purchase_id")) -> DataFrame:
+             order: Sequence[str] = ("purchased_at", "purchase_id"), num_partitions: int | None = None) -> DataFrame:
     """Accept/refuse every request for a known product (unknown products are V3's rejects)."""
+    spark = requests.sparkSession
+    shared_dir(spark)  # checkpoint() below needs the shared folder
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p = products.select("product_id", F.col("quantity").alias("_stock"))
     j = requests.select("purchase_id", "product_id", "quantity", *order).join(p, "product_id")
-    ordered = j.repartition("product_id").sortWithinPartitions("product_id", *order)
-    return ordered.select("purchase_id", "product_id", "quantity", "_stock").mapInPandas(_fold, OUT_SCHEMA)
+    ordered = (j.repartitionByRange(n, "product_id", *order)
+               .sortWithinPartitions("product_id", *order)
+               .withColumn("_pid", F.spark_partition_id())
+               .select("_pid", "purchase_id", "product_id", "quantity", "_stock")
+               .checkpoint(eager=True))
+
+    # Partition boundaries: one row per partition (bounded by the partition count).
+    bounds = sorted((r["_pid"], r["lo"], r["hi"]) for r in ordered.groupBy("_pid").agg(
+        F.min("product_id").alias("lo"), F.max("product_id").alias("hi")).collect())
+    continuations = frozenset(b[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
+
+    ends = frozenset(a[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
+
+    starts: dict[int, int] = {}
+    if continuations:
+        links = ordered.mapInPandas(_summarise(continuations, ends), LINK_SCHEMA)
+        composed = links.groupBy("chain_product").applyInPandas(
+            lambda pdf: _compose(pdf.drop(columns=["chain_product"])), START_SCHEMA)
+        # one row per continuation partition: bounded by the partition count
+        starts = {int(r["_pid"]): int(r["start"]) for r in composed.collect()}
+    return ordered.mapInPandas(_fold(starts), OUT_SCHEMA)
