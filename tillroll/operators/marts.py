@@ -16,11 +16,19 @@ fact ONCE with grouping sets — one scan, one shuffle, partial aggregation on t
 map side — and every mart is then a small re-aggregation of that result. Hot
 keys (a third of all rows on one client, or the NULL-client group) are absorbed
 by the partial aggregation before the shuffle.
+
+On top of the two grains the shared source keeps three small persisted roll-ups,
+all exact because the measures are additive: day totals (M01–M03, M07),
+product × month (M04, M06, M10, M12, M13) and client × month (M05, M11, M14, M15).
+A roll-up keeps a ``sale_date`` column (the month start for monthly roll-ups), so
+the same mart code reads the fact, a grain or a roll-up. Only the two exact
+distinct-count marts (M08, M09) read a day-level grain.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -41,11 +49,25 @@ def _measures(fact: DataFrame) -> DataFrame:
     )
 
 
+# Base size (rows) from which the roll-ups pay for their extra jobs ("auto").
+ROLLUP_MIN_ROWS = 20_000_000
+
+ROLLUPS = {
+    # name → (grain, keys besides sale_date, truncate sale_date to month)
+    "day": ("product", [], False),
+    "product_month": ("product", ["product_id", "seller_id"], True),
+    "client_month": ("client", ["client_id"], True),
+}
+
+
 @dataclass
 class MartSource:
     product_grain: DataFrame
     client_grain: DataFrame
     base: DataFrame | None = None
+    storage: StorageLevel | None = None
+    use_rollups: bool | str = "auto"
+    _rollups: dict = field(default_factory=dict)
 
     @classmethod
     def from_fact(cls, fact: DataFrame) -> "MartSource":
@@ -54,12 +76,14 @@ class MartSource:
 
     @classmethod
     def shared(cls, fact: DataFrame, storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
-               checkpoint: bool = False) -> "MartSource":
+               checkpoint: bool = False, rollups: bool | str = "auto") -> "MartSource":
         """Both grains from one grouping-sets aggregate over one fact scan.
 
         ``storage`` persists the (much smaller than fact) result; lost blocks are
         recomputed from lineage if an executor goes. ``checkpoint=True`` instead
-        writes it to ``spark.checkpoint.dir`` and cuts the lineage.
+        writes it to ``spark.checkpoint.dir`` and cuts the lineage. ``rollups``:
+        True, False, or "auto" — decided in ``materialise`` from the measured base
+        size (below ``ROLLUP_MIN_ROWS`` extra roll-up jobs cost more than they save).
         """
         m = _measures(fact)
         g = m.groupingSets(
@@ -77,9 +101,39 @@ class MartSource:
             g = g.persist(storage)
         prod = g.where(F.col("_by_product") == 1).select("sale_date", "product_id", "seller_id", "_qty", "_rev", "_orders")
         cli = g.where(F.col("_by_product") == 0).select("sale_date", "client_id", "_qty", "_rev", "_orders")
-        return cls(prod, cli, g)
+        return cls(prod, cli, g, storage or StorageLevel.MEMORY_AND_DISK, rollups)
+
+    def grain(self, name: str) -> DataFrame:
+        return self.product_grain if name == "product" else self.client_grain
+
+    def rollup(self, name: str) -> DataFrame:
+        """A persisted roll-up of a grain (shared source) or the grain itself (fact source)."""
+        grain, keys, monthly = ROLLUPS[name]
+        if self.base is None or self.use_rollups is not True:
+            return self.grain(grain)
+        if name not in self._rollups:
+            day = F.trunc("sale_date", "month") if monthly else F.col("sale_date")
+            r = self.grain(grain).groupBy(day.alias("sale_date"), *keys).agg(
+                F.sum("_qty").alias("_qty"), F.sum("_rev").cast(REVENUE).alias("_rev"),
+                F.sum("_orders").alias("_orders"))
+            self._rollups[name] = r.persist(self.storage)
+        return self._rollups[name]
+
+    def materialise(self, parallel: int = 3) -> None:
+        """Compute the base, then the three independent roll-ups concurrently."""
+        if self.base is None:
+            return
+        rows = self.base.count()
+        if self.use_rollups == "auto":
+            self.use_rollups = rows >= ROLLUP_MIN_ROWS
+        if self.use_rollups is not True:
+            return
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            list(pool.map(lambda n: self.rollup(n).count(), list(ROLLUPS)))
 
     def release(self) -> None:
+        for r in self._rollups.values():
+            r.unpersist()
         if self.base is not None:
             self.base.unpersist()
 
@@ -120,43 +174,43 @@ def seller_names(sellers: DataFrame) -> DataFrame:
 
 def sales_by_day(src: MartSource) -> DataFrame:
     """M01"""
-    return src.product_grain.groupBy("sale_date").agg(_qty(), _rev())
+    return src.rollup("day").groupBy("sale_date").agg(_qty(), _rev())
 
 
 def sales_by_month(src: MartSource) -> DataFrame:
     """M02"""
-    return src.product_grain.groupBy(_month()).agg(_qty(), _rev())
+    return src.rollup("day").groupBy(_month()).agg(_qty(), _rev())
 
 
 def sales_by_year(src: MartSource) -> DataFrame:
     """M03"""
-    return src.product_grain.groupBy(_year()).agg(_qty(), _rev())
+    return src.rollup("day").groupBy(_year()).agg(_qty(), _rev())
 
 
 def sales_by_product(src: MartSource, products: DataFrame) -> DataFrame:
     """Aggregate first, then the name."""
-    a = src.product_grain.groupBy("product_id").agg(_qty(), _rev())
+    a = src.rollup("product_month").groupBy("product_id").agg(_qty(), _rev())
     return a.join(product_names(products), "product_id", "left").select(
         "product_id", "name", "total_quantity", "total_revenue")
 
 
 def sales_by_client(src: MartSource, clients: DataFrame) -> DataFrame:
     """M05 (+J5)"""
-    a = src.client_grain.groupBy("client_id").agg(_qty(), _rev())
+    a = src.rollup("client_month").groupBy("client_id").agg(_qty(), _rev())
     return a.join(client_names(clients), "client_id", "left").select(
         "client_id", "client_name", "total_quantity", "total_revenue")
 
 
 def sales_by_seller(src: MartSource, sellers: DataFrame) -> DataFrame:
     """M06 (+J6)"""
-    a = src.product_grain.groupBy("seller_id").agg(_qty(), _rev())
+    a = src.rollup("product_month").groupBy("seller_id").agg(_qty(), _rev())
     return a.join(seller_names(sellers), "seller_id", "left").select(
         "seller_id", "seller_name", "total_quantity", "total_revenue")
 
 
 def avg_order_value_by_day(src: MartSource) -> DataFrame:
     """Counts and revenue only; the ratio is P10."""
-    return src.product_grain.groupBy("sale_date").agg(_orders(), _rev())
+    return src.rollup("day").groupBy("sale_date").agg(_orders(), _rev())
 
 
 def unique_clients_per_day(src: MartSource) -> DataFrame:
@@ -171,36 +225,36 @@ def unique_products_per_day(src: MartSource) -> DataFrame:
 
 def seller_revenue_by_month(src: MartSource) -> DataFrame:
     """M10"""
-    return src.product_grain.groupBy("seller_id", _month()).agg(_qty(), _rev())
+    return src.rollup("product_month").groupBy("seller_id", _month()).agg(_qty(), _rev())
 
 
 def client_revenue_by_month(src: MartSource) -> DataFrame:
     """M11"""
-    return src.client_grain.groupBy("client_id", _month()).agg(_orders(), _rev())
+    return src.rollup("client_month").groupBy("client_id", _month()).agg(_orders(), _rev())
 
 
 def product_quantity_sold_by_month(src: MartSource) -> DataFrame:
     """M12"""
-    return src.product_grain.groupBy("product_id", _month()).agg(_qty())
+    return src.rollup("product_month").groupBy("product_id", _month()).agg(_qty())
 
 
 def top_products_by_year(src: MartSource, products: DataFrame) -> DataFrame:
     """M13 (no ranking here, SURVEY Q9)."""
-    a = src.product_grain.groupBy(_year(), "product_id").agg(_rev())
+    a = src.rollup("product_month").groupBy(_year(), "product_id").agg(_rev())
     return a.join(product_names(products), "product_id", "left").select(
         "sale_year", "product_id", "name", "total_revenue")
 
 
 def top_clients_by_year(src: MartSource, clients: DataFrame) -> DataFrame:
     """M14"""
-    a = src.client_grain.groupBy(_year(), "client_id").agg(_rev())
+    a = src.rollup("client_month").groupBy(_year(), "client_id").agg(_rev())
     return a.join(client_names(clients), "client_id", "left").select(
         "sale_year", "client_id", "client_name", "total_revenue")
 
 
 def client_purchase_frequency(src: MartSource, clients: DataFrame) -> DataFrame:
     """M15"""
-    a = src.client_grain.groupBy("client_id").agg(_orders(), _rev())
+    a = src.rollup("client_month").groupBy("client_id").agg(_orders(), _rev())
     return a.join(client_names(clients), "client_id", "left").select(
         "client_id", "client_name", "total_orders", "total_revenue")
 

@@ -15,18 +15,27 @@ from tillroll.sources import files
 from tillroll.sources.fixtures import Fixture
 
 
-def build_snowflake(fx: Fixture, out_dir: str) -> dict[str, str]:
-    """Write dims and fact (one action each) and return their paths.
+def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict[str, str]:
+    """Write dims and fact and return their paths.
 
-    The fact is sorted within partitions by (purchased_at, purchase_id), the
-    landing table's order, so row-group statistics prune time filters.
+    The four writes are independent jobs (the fact resolves its keys against the
+    same dimension plans), so they are submitted together. The fact is sorted
+    within partitions by (purchased_at, purchase_id), the landing table's order,
+    so row-group statistics prune time filters.
     """
-    paths = {}
-    for name, df in (("dim_clients", fx.clients), ("dim_sellers", fx.sellers), ("dim_products", fx.products)):
-        paths[name] = files.write_parquet(df, f"{out_dir}/{name}")
-    fact = fx.fact.sortWithinPartitions("purchased_at", "purchase_id")
-    paths["fact_purchases"] = files.write_parquet(fact, f"{out_dir}/fact_purchases")
-    return paths
+    outputs = {
+        "dim_clients": fx.clients,
+        "dim_sellers": fx.sellers,
+        "dim_products": fx.products,
+        "fact_purchases": fx.fact.sortWithinPartitions("purchased_at", "purchase_id"),
+    }
+
+    def write(item):
+        name, df = item
+        return name, files.write_parquet(df, f"{out_dir}/{name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        return dict(pool.map(write, outputs.items()))
 
 
 def read_snowflake(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -34,7 +43,7 @@ def read_snowflake(spark: SparkSession, paths: dict[str, str]) -> dict[str, Data
 
 
 def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, checkpoint: bool = False,
-                    parallel_writes: int = 4) -> dict[str, DataFrame]:
+                    parallel_writes: int = 4, rollups: bool | str = "auto") -> dict[str, DataFrame]:
     """All fifteen marts from ONE scan of the fact (grouping-sets base, persisted).
 
     The base is materialised first (one job) so that concurrent mart jobs never
@@ -43,9 +52,8 @@ def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, ch
     pool, so small re-aggregation jobs overlap instead of leaving the cluster idle
     between them; the returned frames read the written marts back.
     """
-    src = M.MartSource.shared(tables["fact_purchases"], checkpoint=checkpoint)
-    if not checkpoint:
-        src.base.count()  # materialise the persisted base once
+    src = M.MartSource.shared(tables["fact_purchases"], checkpoint=checkpoint, rollups=rollups)
+    src.materialise()  # base and roll-ups once, before the concurrent mart jobs
     dims = {"clients": tables["dim_clients"], "sellers": tables["dim_sellers"], "products": tables["dim_products"]}
     marts = M.build_marts(src, dims)
     if out_dir is None:
