@@ -78,6 +78,11 @@ def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}/v={version}")
 
 
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Point a report at a stored mart."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+
 def read_purchase_json(spark: SparkSession, path: str) -> DataFrame:
     """NDJSON purchase events with the fixed reader schema (no inference).
 
