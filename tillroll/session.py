@@ -71,6 +71,9 @@ def shared_dir(spark: SparkSession) -> str:
         existing = sc.getCheckpointDir()
         if existing:
             return existing
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
+        # local mode only (tests, bench): one JVM, so a local folder is shared by every task
         d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
