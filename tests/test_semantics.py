@@ -224,3 +224,15 @@ def test_hot_product_is_split(spark):
     assert per_task >= 4
     got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
     assert got == _python_fold({0: 500, 1: 5}, rows)
+
+
+def test_stock_large_stock_path(spark):
+    """Products above the split limit take the keyed fold; results stay exact."""
+    products = spark.createDataFrame([(0, 1, "p", Decimal("1.00"), 40, T0), (1, 1, "q", Decimal("1.00"), 9, T0)],
+                                     schemas.PRODUCTS)
+    rng = random.Random(3)
+    rows = [(i, i % 2, rng.randint(1, 7), T0 + dt.timedelta(minutes=i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
+    out = stock.allocate(df, products, num_partitions=6, max_split_stock=10)
+    got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
+    assert got == _python_fold({0: 40, 1: 9}, rows)

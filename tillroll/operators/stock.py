@@ -22,7 +22,9 @@ position, not by product:
 5. Every partition folds its rows in parallel from its known starts.
 
 All steps are exact. Work is O(rows) plus O(rows × live states) for at most one
-segment per partition; a product that is not split costs nothing extra.
+segment per partition; a product that is not split costs nothing extra. A product
+whose stock exceeds ``MAX_SPLIT_STOCK`` (a transfer table would not fit) is folded
+exactly with all its requests in one task.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ OUT_SCHEMA = "purchase_id int, product_id int, quantity int, accepted boolean, r
 LINK_SCHEMA = "chain_product int, _pid int, stock int, whole boolean, transfer array<int>, last_end int"
 START_SCHEMA = "_pid int, start int"
 
+# Largest stock folded on the split path: its transfer table holds one int per start value.
+MAX_SPLIT_STOCK = 1_000_000
+
 
 def _segments(prod: np.ndarray) -> list[tuple[int, int]]:
     """[start, end) index ranges of equal product ids in a sorted batch."""
@@ -183,14 +188,16 @@ def _fold(starts: dict[int, int]):
     return run
 
 
-def allocate(requests: DataFrame, products: DataFrame,
-             order: Sequence[str] = ("purchased_at", "purchase_id"), num_partitions: int | None = None) -> DataFrame:
-    """Accept/refuse every request for a known product (unknown products are V3's rejects)."""
-    spark = requests.sparkSession
-    shared_dir(spark)  # checkpoint() below needs the shared folder
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    p = products.select("product_id", F.col("quantity").alias("_stock"))
-    j = requests.select("purchase_id", "product_id", "quantity", *order).join(p, "product_id")
+def _keyed_fold(j: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Exact fold with every product in one task (for stock too large for a transfer table)."""
+    ordered = (j.repartition("product_id").sortWithinPartitions("product_id", *order)
+               .withColumn("_pid", F.spark_partition_id())
+               .select("_pid", "purchase_id", "product_id", "quantity", "_stock"))
+    return ordered.mapInPandas(_fold({}), OUT_SCHEMA)
+
+
+def _split_fold(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """Exact fold with products split over range partitions (steps 1–5 above)."""
     ordered = (j.repartitionByRange(n, "product_id", *order)
                .sortWithinPartitions("product_id", *order)
                .withColumn("_pid", F.spark_partition_id())
@@ -201,7 +208,6 @@ def allocate(requests: DataFrame, products: DataFrame,
     bounds = sorted((r["_pid"], r["lo"], r["hi"]) for r in ordered.groupBy("_pid").agg(
         F.min("product_id").alias("lo"), F.max("product_id").alias("hi")).collect())
     continuations = frozenset(b[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
-
     ends = frozenset(a[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
 
     starts: dict[int, int] = {}
@@ -212,3 +218,22 @@ def allocate(requests: DataFrame, products: DataFrame,
         # one row per continuation partition: bounded by the partition count
         starts = {int(r["_pid"]): int(r["start"]) for r in composed.collect()}
     return ordered.mapInPandas(_fold(starts), OUT_SCHEMA)
+
+
+def allocate(requests: DataFrame, products: DataFrame,
+             order: Sequence[str] = ("purchased_at", "purchase_id"), num_partitions: int | None = None,
+             max_split_stock: int = MAX_SPLIT_STOCK) -> DataFrame:
+    """Accept/refuse every request for a known product (unknown products are V3's rejects).
+
+    Products with stock up to ``max_split_stock`` take the split path; larger
+    stocks (a transfer table per start value would be too big) are folded with
+    the product in one task. Both are exact.
+    """
+    spark = requests.sparkSession
+    shared_dir(spark)  # checkpoint() needs the shared folder
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = products.select("product_id", F.col("quantity").alias("_stock"))
+    j = requests.select("purchase_id", "product_id", "quantity", *order).join(p, "product_id")
+    split = _split_fold(j.where(F.col("_stock") <= max_split_stock), order, n)
+    big = j.where(F.col("_stock") > max_split_stock)
+    return split.unionByName(_keyed_fold(big, order))
