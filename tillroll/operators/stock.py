@@ -196,6 +196,13 @@ def _keyed_fold(j: DataFrame, order: Sequence[str]) -> DataFrame:
     return ordered.mapInPandas(_fold({}), OUT_SCHEMA)
 
 
+_LOW32 = 0xFFFFFFFF
+
+
+def _edge_key(pid: int, product: int) -> int:
+    return (int(pid) << 32) + (int(product) & _LOW32)
+
+
 def _split_fold(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """Exact fold with products split over range partitions (steps 1–5 above)."""
     ordered = (j.repartitionByRange(n, "product_id", *order)
@@ -212,7 +219,16 @@ def _split_fold(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
     starts: dict[int, int] = {}
     if continuations:
-        links = ordered.mapInPandas(_summarise(continuations, ends), LINK_SCHEMA)
+        # Pass 1 needs only the boundary products of the boundary partitions: the first
+        # product where a partition continues one, the last where one runs on: at most
+        # two (partition, product) keys per partition, tested JVM-side with a hash set.
+        lo = {pid: first for pid, first, _ in bounds}
+        hi = {pid: last for pid, _, last in bounds}
+        edge_keys = sorted({_edge_key(pid, lo[pid]) for pid in continuations}
+                           | {_edge_key(pid, hi[pid]) for pid in ends})
+        packed = F.shiftleft(F.col("_pid").cast("long"), 32) + F.col("product_id").cast("long").bitwiseAND(_LOW32)
+        boundary = ordered.where(packed.isin(edge_keys))
+        links = boundary.mapInPandas(_summarise(continuations, ends), LINK_SCHEMA)
         composed = links.groupBy("chain_product").applyInPandas(
             lambda pdf: _compose(pdf.drop(columns=["chain_product"])), START_SCHEMA)
         # one row per continuation partition: bounded by the partition count
