@@ -29,8 +29,9 @@ def _row(table: str, check: str, n: Column | DataFrame) -> DataFrame:
                     F.col("violations").cast("bigint").alias("violations"))
 
 
-def _dupes(df: DataFrame, col: str) -> DataFrame:
-    g = df.where(F.col(col).isNotNull()) if col != "__pk__" else df
+def _dupes(df: DataFrame, col: str, skip_null: bool) -> DataFrame:
+    """Number of values of ``col`` held by more than one row (partial aggregation absorbs hot values)."""
+    g = df.where(F.col(col).isNotNull()) if skip_null else df
     return g.groupBy(col).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))
 
 
@@ -40,10 +41,9 @@ def audit_constraints(tables: dict[str, DataFrame]) -> DataFrame:
         if name not in tables:
             continue
         t = tables[name]
-        rows.append(_row(name, "pk_unique",
-                         t.groupBy(pk).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))))
+        rows.append(_row(name, "pk_unique", _dupes(t, pk, skip_null=False)))
         for u in unique:
-            rows.append(_row(name, f"{u}_unique", _dupes(t, u)))
+            rows.append(_row(name, f"{u}_unique", _dupes(t, u, skip_null=True)))
         if not_null:
             cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
             rows.append(_row(name, "not_null", t.agg(F.count(F.when(cond, 1)).alias("violations"))))
