@@ -2,8 +2,7 @@
 
 ANSI mode stays on (SURVEY Q17); bad input becomes NULL through ``try_*`` forms
 instead of failing the job. Timestamps are carried as ``timestamp_ntz`` holding
-UTC wall-clock time: a zone-aware value is converted with the session zone,
-which jobs pin to UTC.
+UTC wall-clock time, independent of the session time zone.
 """
 
 from __future__ import annotations
@@ -15,13 +14,36 @@ from pyspark.sql import types as T
 from tillroll import schemas
 
 
+# An ISO text ends with a zone offset (``Z``, ``+03:00``, ``-0500``, ``+03``).
+_OFFSET = r"(?i)(z|[+-]\d{2}(:?\d{2})?)$"
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def utc_wall(ltz: Column) -> Column:
+    """Zone-aware instant → its UTC wall-clock time as ``timestamp_ntz``.
+
+    Built from epoch microseconds, so it does not depend on the session zone
+    (and has no daylight-saving ambiguity).
+    """
+    secs = (F.unix_micros(ltz) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+
 def to_ts(c: Column, dtype: T.DataType | None = None) -> Column:
-    """String / timestamp → ``timestamp_ntz``; unparsable text → NULL."""
+    """String / timestamp → ``timestamp_ntz`` holding UTC wall-clock time.
+
+    Text without an offset is taken as UTC wall-clock time as written; text with
+    an offset and zone-aware timestamps are converted to UTC. Unparsable text →
+    NULL. The result does not depend on the session time zone.
+    """
     if isinstance(dtype, T.TimestampNTZType):
         return c
-    if isinstance(dtype, (T.TimestampType, T.DateType)):
+    if isinstance(dtype, T.TimestampType):
+        return utc_wall(c)
+    if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
-    return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+    text = c.cast("string")
+    return F.when(text.rlike(_OFFSET), utc_wall(F.try_to_timestamp(text))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def ts_normalise(df: DataFrame, cols: list[str]) -> DataFrame:
