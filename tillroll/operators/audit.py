@@ -1,8 +1,17 @@
 """V2 constraint audit: the DDL constraints Spark does not enforce, as checks.
 
-Primary key and e-mail uniqueness are group-by-having counts, NOT NULL is a
-null count, foreign keys are anti joins; every check yields one row
-``(table_name, check_name, violations)`` and the checks are unioned.
+Each table is read twice, by two linear pipelines (no intermediate result has
+two consumers, so nothing needs caching):
+
+* keys — one grouping-sets aggregate over (pk), each unique column and the empty
+  set (rows per value, and the NOT NULL violations), folded by one global
+  aggregate into the key checks;
+* foreign keys — one grouping-sets aggregate over the foreign-key columns (rows
+  per distinct value), left-joined with the parents' keys, folded into the fk
+  checks. The joins see distinct values, not rows.
+
+Partial aggregation runs on the map side, so a hot value collapses before it
+moves. Every check yields one row ``(table_name, check_name, violations)``.
 """
 
 from __future__ import annotations
@@ -24,34 +33,63 @@ CONSTRAINTS = {
 }
 
 
-def _row(table: str, check: str, n: Column | DataFrame) -> DataFrame:
-    return n.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                    F.col("violations").cast("bigint").alias("violations"))
+def _fk_name(parent: str) -> str:
+    return "fk_" + (parent[:-1] if parent.endswith("s") else parent)
+
+
+def _rows(table: str, checks: DataFrame) -> DataFrame:
+    """One aggregate row of named checks → one row per check."""
+    long = checks.unpivot([], checks.columns, "check_name", "violations")
+    return long.select(F.lit(table).alias("table_name"), "check_name",
+                       F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"))
+
+
+def _per_value(t: DataFrame, cols: list[str], with_total: bool, bad_row: Column | None = None) -> DataFrame:
+    sets = [[c] for c in cols] + ([[]] if with_total else [])
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.grouping(c).alias(f"_g_{c}") for c in cols]
+    if bad_row is not None:
+        aggs.append(F.count(F.when(bad_row, 1)).alias("_bad"))
+    return t.groupingSets(sets, *cols).agg(*aggs)
+
+
+def key_checks(name: str, t: DataFrame) -> DataFrame:
+    pk, unique, not_null, _ = CONSTRAINTS[name]
+    cols = [pk, *unique]
+    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null]) if not_null else None
+    g = _per_value(t, cols, with_total=bool(not_null), bad_row=bad)
+    checks = [F.count(F.when((F.col(f"_g_{pk}") == 0) & (F.col("_n") > 1), 1)).cast("bigint").alias("pk_unique")]
+    for u in unique:
+        dup = (F.col(f"_g_{u}") == 0) & F.col(u).isNotNull() & (F.col("_n") > 1)
+        checks.append(F.count(F.when(dup, 1)).cast("bigint").alias(f"{u}_unique"))
+    if not_null:
+        total = reduce(lambda a, b: a & b, [F.col(f"_g_{c}") == 1 for c in cols])
+        checks.append(F.sum(F.when(total, F.col("_bad"))).cast("bigint").alias("not_null"))
+    return _rows(name, g.agg(*checks))
 
 
-def _dupes(df: DataFrame, col: str, skip_null: bool) -> DataFrame:
-    """Number of values of ``col`` held by more than one row (partial aggregation absorbs hot values)."""
-    g = df.where(F.col(col).isNotNull()) if skip_null else df
-    return g.groupBy(col).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("violations"))
+def fk_checks(name: str, t: DataFrame, tables: dict[str, DataFrame]) -> DataFrame | None:
+    fks = {c: v for c, v in CONSTRAINTS[name][3].items() if v[0] in tables}
+    if not fks:
+        return None
+    cols = list(fks)
+    g = _per_value(t, cols, with_total=False)
+    g = g.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols]))
+    checks = []
+    for col, (parent, pkey) in fks.items():
+        keys = tables[parent].select(F.col(pkey).alias(f"_p_{col}")).distinct()
+        g = g.join(keys, g[col] == keys[f"_p_{col}"], "left")
+        orphan = (F.col(f"_g_{col}") == 0) & F.col(col).isNotNull() & F.col(f"_p_{col}").isNull()
+        checks.append(F.sum(F.when(orphan, F.col("_n"))).cast("bigint").alias(_fk_name(parent)))
+    return _rows(name, g.agg(*checks))
 
 
 def audit_constraints(tables: dict[str, DataFrame]) -> DataFrame:
-    rows = []
-    for name, (pk, unique, not_null, fks) in CONSTRAINTS.items():
-        if name not in tables:
+    parts = []
+    for name, t in tables.items():
+        if name not in CONSTRAINTS:
             continue
-        t = tables[name]
-        rows.append(_row(name, "pk_unique", _dupes(t, pk, skip_null=False)))
-        for u in unique:
-            rows.append(_row(name, f"{u}_unique", _dupes(t, u, skip_null=True)))
-        if not_null:
-            cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
-            rows.append(_row(name, "not_null", t.agg(F.count(F.when(cond, 1)).alias("violations"))))
-        for col, (parent, pkey) in fks.items():
-            if parent not in tables:
-                continue
-            keys = tables[parent].select(F.col(pkey).alias(col))
-            orphans = t.where(F.col(col).isNotNull()).join(keys, col, "left_anti")
-            rows.append(_row(name, f"fk_{parent[:-1] if parent.endswith('s') else parent}",
-                             orphans.agg(F.count(F.lit(1)).alias("violations"))))
-    return reduce(DataFrame.unionByName, rows)
+        parts.append(key_checks(name, t))
+        fk = fk_checks(name, t, tables)
+        if fk is not None:
+            parts.append(fk)
+    return reduce(DataFrame.unionByName, parts)
