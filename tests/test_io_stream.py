@@ -78,3 +78,25 @@ def test_jdbc_options():
     assert o["partitionColumn"] == "id" and o["numPartitions"] == "4" and o["user"] == "u"
     w = jdbc.write_options("jdbc:x", "t", cascade=True)
     assert w["truncate"] == "true" and w["cascadeTruncate"] == "true"
+
+
+def test_nightly_stage_to_snowflake(spark, fx):
+    """Stage snapshots + landed stream → dims and fact equal to the fixture views minus tombstones."""
+    from tillroll.plans import io as IO
+    from tillroll.plans import jobs
+    from tillroll.operators import rules as U
+    from tillroll.sources import requests as RQ
+
+    root = scratch_path(spark, "t-nightly")
+    d = fx.data_dir
+    jobs.stage_snapshots({"clients": fx.clients_raw, "sellers": fx.sellers, "products": fx.products,
+                          "purchases": fx.purchases}, f"{root}/stage")
+    L.write_ndjson(IO.topic_lines(spark, d), f"{root}/topic")
+    L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic"), f"{root}/landing", f"{root}/ck",
+                    available_now=True).awaitTermination()
+    paths = jobs.snowflake_from_stage(spark, f"{root}/stage", f"{root}/landing", f"{root}/out")
+    got = spark.read.parquet(paths["fact_purchases"])
+    want = U.purchases_not_deleted(fx.fact, RQ.purchase_deletes(spark, d))
+    assert got.schema == want.schema
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert spark.read.parquet(paths["dim_clients"]).exceptAll(fx.clients).count() == 0

@@ -199,3 +199,21 @@ def _stream_replay(s, d):
     data = D.dedup_purchases(L.read_route(s, out, "data"))
     tombs = L.read_route(s, out, "tombstones")
     return data.join(tombs, "purchase_id", "left_anti")
+
+
+@reg("nightly_fact", """
+SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM purchase_deletes x WHERE x.purchase_id = f.purchase_id)""")
+def _nightly_fact(s, d):
+    """The nightly job end to end: stage snapshots (S7) and the landed stream (S12) →
+    dims and fact (D1–D4, P3, J9, J3) written and read back."""
+    from tillroll.plans import jobs
+
+    f = fx(s, d)
+    root = scratch_path(s, "nightly")
+    jobs.stage_snapshots({"clients": f.clients_raw, "sellers": f.sellers, "products": f.products,
+                          "purchases": f.purchases}, f"{root}/stage")
+    src = L.write_ndjson(topic_lines(s, d), f"{root}/topic")
+    L.start_landing(L.purchase_stream(s, "text", path=src), f"{root}/landing", f"{root}/_ck",
+                    available_now=True).awaitTermination()
+    paths = jobs.snowflake_from_stage(s, f"{root}/stage", f"{root}/landing", f"{root}/out")
+    return s.read.schema(schemas.FACT).parquet(paths["fact_purchases"])
