@@ -100,3 +100,28 @@ def test_nightly_stage_to_snowflake(spark, fx):
     assert got.schema == want.schema
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert spark.read.parquet(paths["dim_clients"]).exceptAll(fx.clients).count() == 0
+
+
+def test_cli_nightly_and_marts(spark, fx):
+    """The job entry points: nightly (stage + landing → snowflake), then marts from its output."""
+    from tillroll.__main__ import main
+    from tillroll.plans import io as IO
+    from tillroll.plans import jobs
+    from tillroll.operators import marts as M
+
+    root = scratch_path(spark, "t-cli")
+    jobs.stage_snapshots({"clients": fx.clients_raw, "sellers": fx.sellers, "products": fx.products,
+                          "purchases": fx.purchases}, f"{root}/stage")
+    L.write_ndjson(IO.topic_lines(spark, fx.data_dir), f"{root}/topic")
+    L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic"), f"{root}/landing", f"{root}/ck",
+                    available_now=True).awaitTermination()
+    main(["nightly", "--stage", f"{root}/stage", "--landing", f"{root}/landing", "--out", f"{root}/snowflake"])
+    main(["marts", "--snowflake", f"{root}/snowflake", "--out", f"{root}/marts"])
+    fact = spark.read.parquet(f"{root}/snowflake/fact_purchases")
+    for name in M.MARTS:
+        got = spark.read.parquet(f"{root}/marts/{name}")
+        want = M.build_mart(name, M.MartSource.from_fact(fact), {
+            "clients": spark.read.parquet(f"{root}/snowflake/dim_clients"),
+            "sellers": spark.read.parquet(f"{root}/snowflake/dim_sellers"),
+            "products": spark.read.parquet(f"{root}/snowflake/dim_products")})
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
