@@ -85,8 +85,13 @@ def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict
         return dict(pool.map(write, outputs.items()))
 
 
+SNOWFLAKE_SCHEMAS = {"dim_clients": schemas.CLIENTS, "dim_sellers": schemas.SELLERS,
+                     "dim_products": schemas.PRODUCTS, "fact_purchases": schemas.FACT}
+
+
 def read_snowflake(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {k: spark.read.parquet(v) for k, v in paths.items()}
+    """Dims and fact with their declared schemas (no inference)."""
+    return {k: spark.read.schema(SNOWFLAKE_SCHEMAS[k]).parquet(v) for k, v in paths.items()}
 
 
 def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, checkpoint: bool = False,
@@ -114,4 +119,5 @@ def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, ch
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
         written = dict(pool.map(write, marts.items()))
     src.release()
-    return {name: spark.read.parquet(written[name]) for name in marts}
+    # read back with the known schema: no footer-reading inference job per mart
+    return {name: spark.read.schema(marts[name].schema).parquet(written[name]) for name in marts}
