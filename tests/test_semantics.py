@@ -236,3 +236,22 @@ def test_stock_large_stock_path(spark):
     out = stock.allocate(df, products, num_partitions=6, max_split_stock=10)
     got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
     assert got == _python_fold({0: 40, 1: 9}, rows)
+
+
+def test_report_equals_mart_and_topk_subset(fx):
+    """§5.4: every report equals its mart (mart keys are unique); top-k rows are report rows;
+    shuffling the input does not change a report."""
+    dims = {"clients": fx.clients, "sellers": fx.sellers, "products": fx.products}
+    src = M.MartSource.from_fact(fx.fact)
+    for mart_name, (_, report) in R.REPORTS.items():
+        m = M.build_mart(mart_name, src, dims)
+        r = report(m)
+        cols = m.columns
+        assert r.select(*cols).exceptAll(m).count() == 0 and m.exceptAll(r.select(*cols)).count() == 0, mart_name
+    rep = R.report_sales_by_client(M.build_mart("mart_sales_by_client", src, dims))
+    top = R.top_k(rep, "total_revenue", "client_id")
+    assert top.count() == 10 and top.exceptAll(rep).count() == 0
+    shuffled = M.MartSource.from_fact(fx.fact.orderBy(F.rand(7)).repartition(3))
+    rep2 = R.report_sales_by_client(M.build_mart("mart_sales_by_client", shuffled, dims))
+    assert rep2.exceptAll(rep).count() == 0 and rep.exceptAll(rep2).count() == 0
+    assert [tuple(x) for x in R.top_k(rep2, "total_revenue", "client_id").collect()] == [tuple(x) for x in top.collect()]
