@@ -125,3 +125,13 @@ def test_cli_nightly_and_marts(spark, fx):
             "sellers": spark.read.parquet(f"{root}/snowflake/dim_sellers"),
             "products": spark.read.parquet(f"{root}/snowflake/dim_products")})
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+
+
+def test_csv_reload_is_idempotent(spark):
+    """A file loaded twice (ledger lost) replaces its own rows instead of duplicating them."""
+    root = scratch_path(spark, "t-csv2")
+    _write_lines(f"{root}/in", "a.csv", ["seller_id,name,price,quantity,created_at", "1,W,9.99,5,2025-05-09T12:00:00Z"])
+    _write_lines(f"{root}/in", "b.csv", ["seller_id,name,price,quantity,created_at", "2,G,1.50,3,2025-05-09T12:00:00Z"])
+    csv_drops.load_and_record(spark, f"{root}/in", f"{root}/ledger1", f"{root}/out", "2025-06-01 00:00:00")
+    csv_drops.load_and_record(spark, f"{root}/in", f"{root}/ledger2", f"{root}/out", "2025-06-01 00:00:00")
+    assert spark.read.parquet(f"{root}/out").count() == 2

@@ -76,12 +76,10 @@ def _csv_load(s, d):
     root = scratch_path(s, "drops")
     p = fx(s, d).products.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     csv_drops.write_drops(p, f"{root}/in")
-    accepted, _rejected, ledger = csv_drops.load_csv_drops(s, f"{root}/in", f"{root}/ledger", LOADED_AT)
-    out = files.write_parquet(accepted, f"{root}/loaded")
-    files.write_parquet(ledger, f"{root}/ledger", mode="append")
+    out = f"{root}/loaded"
+    csv_drops.load_and_record(s, f"{root}/in", f"{root}/ledger", out, LOADED_AT)
     # a second run finds every file in the ledger and loads nothing more
-    again, _, _ = csv_drops.load_csv_drops(s, f"{root}/in", f"{root}/ledger", LOADED_AT)
-    files.write_parquet(again, f"{root}/loaded", mode="append")
+    csv_drops.load_and_record(s, f"{root}/in", f"{root}/ledger", out, LOADED_AT)
     return s.read.parquet(out).drop("filename")
 
 

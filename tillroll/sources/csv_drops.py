@@ -72,6 +72,28 @@ def load_csv_drops(spark: SparkSession, drop_dir: str, ledger_path: str, loaded_
     return accepted, rejected, ledger_rows
 
 
+def write_loaded(accepted: DataFrame, out: str) -> str:
+    """Write accepted rows partitioned by source file with dynamic partition overwrite.
+
+    Loading a file again (a job that died after writing rows but before updating
+    the ledger) replaces that file's partition instead of duplicating it, so the
+    load is idempotent per file and the ledger only saves work.
+    """
+    (accepted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("filename").parquet(out))
+    return out
+
+
+def load_and_record(spark: SparkSession, drop_dir: str, ledger_path: str, out: str, loaded_at: str) -> DataFrame:
+    """S5 as a job step: load new files, write them idempotently, then append the ledger.
+
+    Returns the rejected files (``filename``, ``bad_rows``, ``rows``)."""
+    accepted, rejected, ledger_rows = load_csv_drops(spark, drop_dir, ledger_path, loaded_at)
+    write_loaded(accepted, out)
+    ledger_rows.write.mode("append").parquet(ledger_path)
+    return rejected
+
+
 def write_drops(df: DataFrame, drop_dir: str, files: int = 4) -> str:
     """Test helper side of S5: write product rows as CSV drop files with a header."""
     out = df.select(*[F.col(c).cast("string").alias(c) for c in PRODUCT_CSV_COLS])
