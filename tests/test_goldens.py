@@ -62,7 +62,7 @@ def test_sample_goldens(spark):
     assert ids.index(8) + 1 == ids.index(13) and ids.index(2) + 1 == ids.index(6)  # ties by ascending id
 
     # Stored mart read back by the report
-    files.write_mart(M.sales_by_month(src), f"{root}/marts/mart_sales_by_month", ["sale_month"])
+    files.write_mart(M.sales_by_month(src), f"{root}/marts", "mart_sales_by_month", ["sale_month"])
     rep = R.report_sales_by_month(files.read_mart(spark, f"{root}/marts", "mart_sales_by_month")).collect()
     assert [r.sale_month for r in rep] == ["2025-05", "2025-04", "2025-03"]
 

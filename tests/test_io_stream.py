@@ -117,13 +117,11 @@ def test_cli_nightly_and_marts(spark, fx):
                     available_now=True).awaitTermination()
     main(["nightly", "--stage", f"{root}/stage", "--landing", f"{root}/landing", "--out", f"{root}/snowflake"])
     main(["marts", "--snowflake", f"{root}/snowflake", "--out", f"{root}/marts"])
-    fact = spark.read.parquet(f"{root}/snowflake/fact_purchases")
+    t = jobs.read_snowflake(spark, f"{root}/snowflake")
     for name in M.MARTS:
-        got = spark.read.parquet(f"{root}/marts/{name}")
-        want = M.build_mart(name, M.MartSource.from_fact(fact), {
-            "clients": spark.read.parquet(f"{root}/snowflake/dim_clients"),
-            "sellers": spark.read.parquet(f"{root}/snowflake/dim_sellers"),
-            "products": spark.read.parquet(f"{root}/snowflake/dim_products")})
+        got = files.read_mart(spark, f"{root}/marts", name)
+        want = M.build_mart(name, M.MartSource.from_fact(t["fact_purchases"]), {
+            "clients": t["dim_clients"], "sellers": t["dim_sellers"], "products": t["dim_products"]})
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
 
 

@@ -65,8 +65,7 @@ def _marts(a) -> None:
     from tillroll.plans import jobs
 
     spark = _session("tillroll-marts")
-    names = ("dim_clients", "dim_sellers", "dim_products", "fact_purchases")
-    tables = jobs.read_snowflake(spark, {n: f"{a.snowflake.rstrip('/')}/{n}" for n in names})
+    tables = jobs.read_snowflake(spark, a.snowflake)
     jobs.build_all_marts(tables, a.out, checkpoint=a.checkpoint)
 
 

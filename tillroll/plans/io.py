@@ -102,10 +102,10 @@ def _sink_fact(s, d):
 
 @reg("sink_mart", "SELECT * FROM mart_seller_revenue_by_month")
 def _sink_mart(s, d):
-    path = scratch_path(s, "mart")
+    root = scratch_path(s, "mart")
     m = M.seller_revenue_by_month(M.MartSource.from_fact(fx(s, d).fact))
-    files.write_mart(m, path, M.MARTS["mart_seller_revenue_by_month"][2])
-    return s.read.parquet(path)
+    files.write_mart(m, root, "mart_seller_revenue_by_month", M.MARTS["mart_seller_revenue_by_month"][2])
+    return files.read_mart(s, root, "mart_seller_revenue_by_month")
 
 
 # ---- streams ----------------------------------------------------------------------------------

@@ -53,17 +53,11 @@ def snowflake_from_stage(spark: SparkSession, stage_root: str, landing_root: str
     purchases = D.dedup_purchases(landed.join(tombstones, "purchase_id", "left_anti"))
     fact = S.fact_purchases(purchases, clients, products).sortWithinPartitions("purchased_at", "purchase_id")
     outputs = {"dim_clients": clients, "dim_sellers": sellers, "dim_products": products, "fact_purchases": fact}
-
-    def write(item):
-        name, df = item
-        return name, files.write_parquet(df, f"{out_dir}/{name}")
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-        return dict(pool.map(write, outputs.items()))
+    return publish(outputs, out_dir, parallel_writes)
 
 
 def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict[str, str]:
-    """Write dims and fact and return their paths.
+    """Publish dims and fact under ``out_dir`` and return their version paths.
 
     The four writes are independent jobs (the fact resolves its keys against the
     same dimension plans), so they are submitted together. The fact is sorted
@@ -76,10 +70,16 @@ def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict
         "dim_products": fx.products,
         "fact_purchases": fx.fact.sortWithinPartitions("purchased_at", "purchase_id"),
     }
+    return publish(outputs, out_dir, parallel_writes)
+
+
+def publish(outputs: dict[str, DataFrame], root: str, parallel_writes: int = 4) -> dict[str, str]:
+    """Publish independent outputs concurrently, each as a new version (write, then
+    pointer swap: a reader never sees a half-written table). Returns the version paths."""
 
     def write(item):
         name, df = item
-        return name, files.write_parquet(df, f"{out_dir}/{name}")
+        return name, files.write_stage(df, root, name)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
         return dict(pool.map(write, outputs.items()))
@@ -89,9 +89,12 @@ SNOWFLAKE_SCHEMAS = {"dim_clients": schemas.CLIENTS, "dim_sellers": schemas.SELL
                      "dim_products": schemas.PRODUCTS, "fact_purchases": schemas.FACT}
 
 
-def read_snowflake(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Dims and fact with their declared schemas (no inference)."""
-    return {k: spark.read.schema(SNOWFLAKE_SCHEMAS[k]).parquet(v) for k, v in paths.items()}
+def read_snowflake(spark: SparkSession, where: str | dict[str, str]) -> dict[str, DataFrame]:
+    """Dims and fact with their declared schemas (no inference): the current versions
+    under a root folder, or the given version paths."""
+    if isinstance(where, str):
+        where = {k: files.current_version(spark, where, k) for k in SNOWFLAKE_SCHEMAS}
+    return {k: spark.read.schema(SNOWFLAKE_SCHEMAS[k]).parquet(v) for k, v in where.items()}
 
 
 def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, checkpoint: bool = False,
@@ -114,7 +117,7 @@ def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, ch
 
     def write(item):
         name, df = item
-        return name, files.write_mart(df, f"{out_dir}/{name}", M.MARTS[name][2])
+        return name, files.write_mart(df, out_dir, name, M.MARTS[name][2])
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
         written = dict(pool.map(write, marts.items()))

@@ -3,7 +3,8 @@
 S2 ``read_stage`` / S7 ``write_stage`` use versioned folders: a snapshot is written
 to ``<root>/<name>/v=<id>`` and then the ``_CURRENT`` pointer file is replaced,
 so a reader sees either the old or the new complete version and a job may read
-the current version while writing the next one. S6 reads NDJSON with the fixed
+the current version while writing the next one. Dims, fact and marts are
+published the same way (SURVEY Q7: never expose a half-written table). S6 reads NDJSON with the fixed
 event schema. S11 writes a mart sorted by its key within partitions.
 """
 
@@ -23,9 +24,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_mart(df: DataFrame, path: str, sort_key: list[str]) -> str:
-    """Overwrite a mart; rows sorted by the mart's key inside each file."""
-    return write_parquet(df.sortWithinPartitions(*sort_key), path)
+def write_mart(df: DataFrame, root: str, name: str, sort_key: list[str]) -> str:
+    """Publish a new version of a mart, rows sorted by the mart's key inside each file."""
+    return write_stage(df.sortWithinPartitions(*sort_key), root, name)
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -70,17 +71,23 @@ def write_stage(df: DataFrame, root: str, name: str) -> str:
     return path
 
 
-def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Scan the current version of a staged snapshot."""
+def current_version(spark: SparkSession, root: str, name: str) -> str:
+    """Path of the current version of a published table."""
     version = _read_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}")
     if version is None:
-        raise FileNotFoundError(f"no staged snapshot {name} under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/v={version}")
+        raise FileNotFoundError(f"no published table {name} under {root}")
+    return f"{root.rstrip('/')}/{name}/v={version}"
+
+
+def read_stage(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """Scan the current version of a staged snapshot (or any published table)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(current_version(spark, root, name))
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Point a report at a stored mart."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    """Point a report at the current version of a stored mart."""
+    return read_stage(spark, root, name)
 
 
 def read_purchase_json(spark: SparkSession, path: str) -> DataFrame:
