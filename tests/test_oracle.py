@@ -44,3 +44,15 @@ def test_matches_oracle(spark, con, key):
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, orows)
+
+
+@pytest.mark.parametrize("key", ["csv_load", "ts_normalise", "conform_purchases", "src_json", "stream_parse",
+                                 "mart_sales_by_month", "insert_clients"])
+def test_session_time_zone_does_not_matter(spark, con, key):
+    """Results hold UTC wall-clock time whatever the session zone is."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        test_matches_oracle(spark, con, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
