@@ -255,3 +255,17 @@ def test_report_equals_mart_and_topk_subset(fx):
     rep2 = R.report_sales_by_client(M.build_mart("mart_sales_by_client", shuffled, dims))
     assert rep2.exceptAll(rep).count() == 0 and rep.exceptAll(rep2).count() == 0
     assert [tuple(x) for x in R.top_k(rep2, "total_revenue", "client_id").collect()] == [tuple(x) for x in top.collect()]
+
+
+def test_stock_ledger_with_cancellations(spark):
+    """Stock 5: buy 4 (accepted, 1 left), buy 3 (refused), cancel the first (restocked, 5),
+    buy 3 (accepted, 2), cancel the refused one (ignored)."""
+    products = spark.createDataFrame([(1, 1, "p", Decimal("1.00"), 5, T0)], schemas.PRODUCTS)
+    reqs = spark.createDataFrame([(10, 1, 4, T0), (11, 1, 3, T0 + dt.timedelta(1)), (12, 1, 3, T0 + dt.timedelta(3))],
+                                 "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
+    cancels = spark.createDataFrame([(10, T0 + dt.timedelta(2)), (11, T0 + dt.timedelta(4))],
+                                    "purchase_id int, cancelled_at timestamp_ntz")
+    out = stock.allocate_ledger(reqs, cancels, products).collect()
+    got = [(r.event, r.purchase_id, r.effect, r.remaining) for r in out]
+    assert got == [("purchase", 10, "accepted", 1), ("purchase", 11, "refused", 1), ("cancel", 10, "restocked", 5),
+                   ("purchase", 12, "accepted", 2), ("cancel", 11, "ignored", 2)]

@@ -418,3 +418,46 @@ SELECT purchase_id, product_id, quantity, accepted, CAST(remaining AS INT) AS re
 def _allocate(s, d):
     f = fx(s, d)
     return stock.allocate(f.purchases, f.products)
+
+
+# Fixed value: a returned item is cancelled this many days after its purchase (FIXTURES.md §6).
+CANCEL_AFTER_DAYS = 15
+
+
+@reg("allocate_stock_ledger", f"""
+WITH RECURSIVE ev AS (
+  SELECT product_id, purchase_id, quantity, purchased_at AS ts, 0 AS kind FROM purchases
+  UNION ALL
+  SELECT p.product_id, p.purchase_id, p.quantity, p.purchased_at + INTERVAL {CANCEL_AFTER_DAYS} DAY AS ts, 1 AS kind
+  FROM purchases p JOIN purchase_deletes x ON p.purchase_id = x.purchase_id),
+q AS (
+  SELECT ev.*, pr.quantity AS stock,
+         row_number() OVER (PARTITION BY ev.product_id ORDER BY ts, kind, purchase_id) AS rn
+  FROM ev JOIN products pr ON ev.product_id = pr.product_id),
+t AS (
+  SELECT product_id, purchase_id, quantity, kind, rn,
+         CASE WHEN kind = 0 AND quantity <= stock THEN 'accepted' WHEN kind = 0 THEN 'refused' ELSE 'ignored' END AS effect,
+         CASE WHEN kind = 0 AND quantity <= stock THEN stock - quantity ELSE stock END AS remaining,
+         CASE WHEN kind = 0 AND quantity <= stock THEN [purchase_id] ELSE CAST([] AS INTEGER[]) END AS open_ids
+  FROM q WHERE rn = 1
+  UNION ALL
+  SELECT q.product_id, q.purchase_id, q.quantity, q.kind, q.rn,
+         CASE WHEN q.kind = 0 AND q.quantity <= t.remaining THEN 'accepted'
+              WHEN q.kind = 0 THEN 'refused'
+              WHEN list_contains(t.open_ids, q.purchase_id) THEN 'restocked' ELSE 'ignored' END,
+         CASE WHEN q.kind = 0 AND q.quantity <= t.remaining THEN t.remaining - q.quantity
+              WHEN q.kind = 1 AND list_contains(t.open_ids, q.purchase_id) THEN t.remaining + q.quantity
+              ELSE t.remaining END,
+         CASE WHEN q.kind = 0 AND q.quantity <= t.remaining THEN list_append(t.open_ids, q.purchase_id)
+              WHEN q.kind = 1 AND list_contains(t.open_ids, q.purchase_id)
+                   THEN list_filter(t.open_ids, lambda x: x <> q.purchase_id)
+              ELSE t.open_ids END
+  FROM t JOIN q ON q.product_id = t.product_id AND q.rn = t.rn + 1)
+SELECT product_id, purchase_id, CASE kind WHEN 0 THEN 'purchase' ELSE 'cancel' END AS event, quantity, effect,
+       CAST(remaining AS INT) AS remaining
+FROM t""")
+def _allocate_ledger(s, d):
+    f = fx(s, d)
+    cancels = A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id").select(
+        "purchase_id", (F.col("purchased_at") + F.make_dt_interval(F.lit(CANCEL_AFTER_DAYS))).alias("cancelled_at"))
+    return stock.allocate_ledger(f.purchases, cancels, f.products)
