@@ -461,3 +461,66 @@ def _allocate_ledger(s, d):
     cancels = A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id").select(
         "purchase_id", (F.col("purchased_at") + F.make_dt_interval(F.lit(CANCEL_AFTER_DAYS))).alias("cancelled_at"))
     return stock.allocate_ledger(f.purchases, cancels, f.products)
+
+
+@reg("event_envelopes", """
+SELECT 'product_created' AS kind, NULL::INT AS purchase_id, NULL::INT AS client_id, product_id, seller_id,
+       NULL AS first_name, NULL AS last_name, NULL AS email, name, price, NULL::DECIMAL(12,2) AS full_price, quantity,
+       NULL::TIMESTAMP AS purchased_at, created_at, NULL::TIMESTAMP AS signup_date, NULL::BOOLEAN AS deleted, NULL AS operation
+FROM products
+UNION ALL
+SELECT 'product_updated', NULL, NULL, t.product_id, NULL, NULL, NULL, NULL,
+       CASE WHEN coalesce(json_exists(q.patch, '$.name'), false) THEN json_extract_string(q.patch, '$.name') ELSE t.name END,
+       CASE WHEN coalesce(json_exists(q.patch, '$.price'), false)
+            THEN CAST(json_extract_string(q.patch, '$.price') AS DECIMAL(12,2)) ELSE t.price END,
+       NULL,
+       CASE WHEN coalesce(json_exists(q.patch, '$.quantity'), false)
+            THEN CAST(json_extract_string(q.patch, '$.quantity') AS INT) ELSE t.quantity END,
+       NULL, NULL, NULL, NULL, NULL
+FROM products t JOIN product_patches q ON t.product_id = q.product_id WHERE q.patch <> '{}'
+UNION ALL
+SELECT 'product_deleted', NULL, NULL, p.product_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true, NULL
+FROM products p JOIN product_deletes x ON p.product_id = x.product_id
+UNION ALL
+SELECT 'client_created', NULL, client_id, NULL, NULL, first_name, last_name, email, NULL, NULL, NULL, NULL, NULL, NULL,
+       signup_date, NULL, NULL
+FROM clients
+UNION ALL
+SELECT 'client_updated', NULL, t.client_id, NULL, NULL,
+       CASE WHEN coalesce(json_exists(q.patch, '$.first_name'), false) THEN json_extract_string(q.patch, '$.first_name') ELSE t.first_name END,
+       CASE WHEN coalesce(json_exists(q.patch, '$.last_name'), false) THEN json_extract_string(q.patch, '$.last_name') ELSE t.last_name END,
+       CASE WHEN coalesce(json_exists(q.patch, '$.email'), false) THEN json_extract_string(q.patch, '$.email') ELSE t.email END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'update'
+FROM clients t JOIN client_patches q ON t.client_id = q.client_id WHERE q.patch <> '{}'
+UNION ALL
+SELECT 'purchase_created', purchase_id, client_id, product_id, NULL, NULL, NULL, NULL, NULL, price, full_price, quantity,
+       purchased_at, NULL, NULL, NULL, NULL
+FROM purchases
+UNION ALL
+SELECT 'purchase_deleted', x.purchase_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true, NULL
+FROM purchases p JOIN purchase_deletes x ON p.purchase_id = x.purchase_id""")
+def _event_envelopes(s, d):
+    """P15 for every event kind, rendered as JSON and parsed back (JSON text is engine formatting)."""
+    from tillroll.functions import envelopes as EV
+
+    f = fx(s, d)
+    cp, pp = RQ.client_patches(s, d), RQ.product_patches(s, d)
+    changed_products = U.apply_patches(f.products, pp.where(F.col("patch") != "{}"), "product_id",
+                                       ["name", "price", "quantity"])[0].join(
+        pp.where(F.col("patch") != "{}").select("product_id"), "product_id", "left_semi")
+    changed_clients = U.apply_patches(f.clients, cp.where(F.col("patch") != "{}"), "client_id",
+                                      ["first_name", "last_name", "email"])[0].join(
+        cp.where(F.col("patch") != "{}").select("client_id"), "client_id", "left_semi")
+    events = [
+        EV.envelope(f.products, "product_created"),
+        EV.envelope(changed_products, "product_updated"),
+        EV.envelope(A.lookup(f.products, RQ.product_deletes(s, d), "product_id"), "product_deleted"),
+        EV.envelope(f.clients, "client_created"),
+        EV.envelope(changed_clients, "client_updated"),
+        EV.envelope(f.purchases, "purchase_created"),
+        EV.envelope(A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id"), "purchase_deleted"),
+    ]
+    out = events[0]
+    for e in events[1:]:
+        out = out.unionByName(e)
+    return EV.parse_envelopes(out)
