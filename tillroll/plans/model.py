@@ -140,6 +140,12 @@ for _key, _view, _pk, _skip in [("page_clients", "clients", "client_id", 100),
         (lambda v, pk, skip: lambda s, d: A.page(getattr(fx(s, d), v), pk, skip, 100))(_view, _pk, _skip))
 
 
+# L1 deep pages: keyset form (the page after a known key: pushed-down filter + top-k, no offset scan).
+KEYSET_AFTER = 1000
+reg("page_purchases_keyset", f"SELECT * FROM purchases WHERE purchase_id > {KEYSET_AFTER} ORDER BY purchase_id LIMIT 100")(
+    lambda s, d: A.page_after(fx(s, d).purchases, "purchase_id", KEYSET_AFTER, 100))
+
+
 # ---- J1, J2, J7–J12 -------------------------------------------------------------------------
 
 reg("fact_client_resolve", """
