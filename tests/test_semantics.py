@@ -269,3 +269,32 @@ def test_stock_ledger_with_cancellations(spark):
     got = [(r.event, r.purchase_id, r.effect, r.remaining) for r in out]
     assert got == [("purchase", 10, "accepted", 1), ("purchase", 11, "refused", 1), ("cancel", 10, "restocked", 5),
                    ("purchase", 12, "accepted", 2), ("cancel", 11, "ignored", 2)]
+
+
+def test_checkpointed_base_equals_direct(fx):
+    """The shared base cut with checkpoint() (shared folder) gives the same marts."""
+    dims = {"clients": fx.clients, "sellers": fx.sellers, "products": fx.products}
+    direct = M.build_marts(M.MartSource.from_fact(fx.fact), dims)
+    src = M.MartSource.shared(fx.fact, checkpoint=True, rollups=True)
+    src.materialise()
+    shared = M.build_marts(src, dims)
+    for name in ("mart_sales_by_month", "mart_unique_clients_per_day", "mart_top_clients_by_year"):
+        assert shared[name].exceptAll(direct[name]).count() == 0 and direct[name].exceptAll(shared[name]).count() == 0
+
+
+def test_latest_patch_wins(spark):
+    """U1 with several patches per key: the latest by the order column applies."""
+    clients = spark.createDataFrame([(1, "A", "B", "a@x.io", T0)], schemas.CLIENTS)
+    patches = spark.createDataFrame([(1, '{"first_name":"Old"}', 1), (1, '{"first_name":"New"}', 2)],
+                                    "client_id int, patch string, seq int")
+    ok, _ = U.apply_patches(clients, patches, "client_id", ["first_name", "last_name", "email"], order="seq")
+    assert ok.first().first_name == "New"
+
+
+def test_product_validation(spark):
+    df = spark.createDataFrame([(1, 7, "ok", Decimal("1.00"), 1), (2, None, "n", Decimal("0.00"), 0),
+                                (3, 7, "x" * 201, None, 5)],
+                               "request_id int, seller_id int, name string, price decimal(12,2), quantity int")
+    got = {r.request_id: r.reason for r in U.with_reasons(df, U.product_rules()).collect()}
+    assert got == {1: None, 2: "seller_id missing;price must be positive;quantity below 1",
+                   3: "name too long;price missing"}
