@@ -42,8 +42,10 @@ OUT_SCHEMA = "purchase_id int, product_id int, quantity int, accepted boolean, r
 LINK_SCHEMA = "chain_product int, _pid int, stock int, whole boolean, transfer array<int>, last_end int"
 START_SCHEMA = "_pid int, start int"
 
-# Largest stock folded on the split path: its transfer table holds one int per start value.
-MAX_SPLIT_STOCK = 1_000_000
+# Largest stock folded on the split path. The transfer table starts with stock + 1 states
+# and shrinks by about q per request (states that meet merge), so building it costs about
+# stock² / 2q element operations: ~1 s at 100 000, minutes at a million.
+MAX_SPLIT_STOCK = 100_000
 
 
 def _segments(prod: np.ndarray) -> list[tuple[int, int]]:
