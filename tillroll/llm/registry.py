@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .quality import op9_repetition_coverage
+from .secrets import op10_token_efficiency
 
 QUERIES = {
     "op9_repetition_coverage": op9_repetition_coverage,
+    "op10_token_efficiency": op10_token_efficiency,
 }
 ORACLE_SQL: dict[str, str] = {}
