@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
 from .secrets import op10_token_efficiency
 
 QUERIES = {
+    "op7_information_theoretic": op7_information_theoretic,
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
 }
