@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .mixing import op8_temperature
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
 from .secrets import op10_token_efficiency
+from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op6_kd_tree": op6_kd_tree,
     "op7_information_theoretic": op7_information_theoretic,
+    "op8_temperature": op8_temperature,
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
 }
