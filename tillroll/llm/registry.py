@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .lines import OP5_SQL, op5_levelled_runs
 from .mixing import op8_temperature
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
@@ -9,10 +10,11 @@ from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op5_levelled_runs": op5_levelled_runs,
     "op6_kd_tree": op6_kd_tree,
     "op7_information_theoretic": op7_information_theoretic,
     "op8_temperature": op8_temperature,
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op5_levelled_runs": OP5_SQL}
