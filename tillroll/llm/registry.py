@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .lines import OP5_SQL, op5_levelled_runs
+from .minhash import op4_one_permutation
 from .mixing import op8_temperature
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
@@ -10,6 +11,7 @@ from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op4_one_permutation": op4_one_permutation,
     "op5_levelled_runs": op5_levelled_runs,
     "op6_kd_tree": op6_kd_tree,
     "op7_information_theoretic": op7_information_theoretic,
