@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_template_canonicalisation
 from .lines import OP5_SQL, op5_levelled_runs
 from .minhash import op4_one_permutation
 from .mixing import op8_temperature
@@ -11,6 +12,7 @@ from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op2_template_canonicalisation": op2_template_canonicalisation,
     "op4_one_permutation": op4_one_permutation,
     "op5_levelled_runs": op5_levelled_runs,
     "op6_kd_tree": op6_kd_tree,
