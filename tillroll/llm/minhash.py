@@ -24,6 +24,7 @@ empty table gives an empty result; ``keep_first`` passes all columns unchanged,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -206,18 +207,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFra
     return both.where(100 * shared >= similarity_pct * union).select(F.col("c").alias("a"), F.col("v").alias("b"))
 
 
-def near_components(docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataFrame]:
-    """``docs``: (doc_id, text). Per document (doc_id, n, h1, h2), and per class (h1, h2, component)."""
-    rows = C.saved(signed_rows(docs, rules), "near-rows")
-    classes = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bands").alias("bands"))
-    classes = C.saved(classes.withColumn("v", F.monotonically_increasing_id()), "near-classes")
-
-    postings = classes.select(F.explode("bands").alias("bucket"), "v")
+def star_components(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], rules: NearRules) -> DataFrame:
+    """(v, component) of the vertices that are linked. ``postings``: (bucket, v); ``sets_of`` maps vertices (v) to
+    their full sets (v, shingles)."""
     buckets = C.saved(postings.groupBy("bucket").agg(F.min("v").alias("c"), F.count("*").alias("n")).where("n > 1"), "near-buckets")
     members = C.saved(postings.join(buckets, "bucket"), "near-members")
     pairs = members.where("v <> c").groupBy("c", "v").agg(F.max("n").alias("n"))
-    wanted = members.select("v").distinct().join(classes.select("v", "rep", "h1"), "v")
-    sets = C.saved(_sets_of(docs, wanted.select("rep", "h1", "v"), rules), "near-sets")
+    sets = C.saved(sets_of(members.select("v").distinct()), "near-sets")
     links = [C.saved(confirmed(pairs, sets, rules.similarity_pct), "near-links")]
     labels = C.saved(components(links[0]), "near-labels")
 
@@ -248,6 +244,20 @@ def near_components(docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataF
         spent = centres.select("bucket", F.col("centre").alias("v"))
         active = C.saved(own.select("bucket", "v", "c").join(open_, "bucket", "left_semi").join(spent, ["bucket", "v"], "left_anti"), "near-left")
 
+    return labels
+
+
+def near_components(docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataFrame]:
+    """``docs``: (doc_id, text). Per document (doc_id, n, h1, h2), and per class (h1, h2, component)."""
+    rows = C.saved(signed_rows(docs, rules), "near-rows")
+    classes = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+    classes = C.saved(classes.withColumn("v", F.monotonically_increasing_id()), "near-classes")
+
+    labels = star_components(
+        classes.select(F.explode("bands").alias("bucket"), "v"),
+        lambda vs: _sets_of(docs, vs.join(classes.select("v", "rep", "h1"), "v").select("rep", "h1", "v"), rules),
+        rules,
+    )
     of_class = labels.join(classes.select("v", "rep"), "v")
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = of_class.join(least, "component").select("v", "component_id")

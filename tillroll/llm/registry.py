@@ -8,10 +8,12 @@ from .minhash import op4_one_permutation
 from .mixing import op8_temperature
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
+from .repeats import op1_paragraph_minhash
 from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op1_paragraph_minhash": op1_paragraph_minhash,
     "op2_template_canonicalisation": op2_template_canonicalisation,
     "op4_one_permutation": op4_one_permutation,
     "op5_levelled_runs": op5_levelled_runs,
