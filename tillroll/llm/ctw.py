@@ -46,7 +46,7 @@ _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 @dataclass(frozen=True)
 class TreeRules:
     depth: int = 6
-    max_contexts: int = 1 << 14
+    max_contexts: int = 1 << 16
     max_sent_words: int = MAX_SENT_WORDS
 
 
@@ -269,3 +269,188 @@ def score_bytes(data: np.ndarray, places: np.ndarray, children: np.ndarray, valu
             alive, at, following = alive[go], at[go], following[go]
         row[alive] = following
     return values.reshape(-1)[row.astype(np.int64) * 256 + data[places]]
+
+
+# --- the distributed model -------------------------------------------------------------------------------------
+
+
+def _whole(batches, names: list[str]) -> list[np.ndarray]:
+    """A partition's columns; it holds the subtrees of its two-byte contexts, a share of the distinct counts."""
+    parts = [[b.column(x).to_numpy() for x in names] for b in batches]
+    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(names))]
+
+
+def _top_sums(grams: DataFrame, depth: int) -> DataFrame:
+    """For contexts of two bytes: (j, k, n, log_pw), the byte counts (j = -1) and the weighted nodes (j = 0 to 7)."""
+
+    def run(batches):
+        k, n = _whole(batches, ["k", "n"])
+        level = levels(k.view(np.uint64), n, depth, 2)[2] if len(k) else None
+        if level is not None:
+            yield _top_batch(-1, level.keys, level.counts, np.zeros(len(level.keys)))
+            for j in range(8):
+                yield _top_batch(j, level.nodes[j], np.zeros(len(level.nodes[j]), np.int64), level.log_pw[j])
+
+    return grams.mapInArrow(run, "j tinyint, k bigint, n bigint, log_pw double")
+
+
+def _top_batch(j: int, k: np.ndarray, n: np.ndarray, log_pw: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), j, np.int8)), pa.array(C.as_signed(k)), pa.array(n), pa.array(log_pw)], names=["j", "k", "n", "log_pw"])
+
+
+def _top_levels(top) -> tuple[Level, Level]:
+    """Levels of one and no context byte from the sums of two (``top``: pandas)."""
+    top = top.sort_values("k")  # keys of up to three bytes: no sign
+    part = lambda j: top[top["j"] == j]
+    two = Level.__new__(Level)
+    two.nodes = [part(j)["k"].to_numpy().view(np.uint64) for j in range(8)]
+    two.log_pw = [part(j)["log_pw"].to_numpy() for j in range(8)]
+    keys, counts = shorter(part(-1)["k"].to_numpy().view(np.uint64), part(-1)["n"].to_numpy())
+    one = Level(keys, counts, two)
+    return one, Level(*shorter(keys, counts), one)
+
+
+@dataclass(frozen=True)
+class Model:
+    """Scoring table (see ``table``) and the word counts' sums."""
+
+    children: np.ndarray
+    values: np.ndarray
+    n_words: int
+    n_distinct: int
+
+
+def _kept_contexts(grams: DataFrame, depth: int, one: Dense, min_count: int) -> DataFrame:
+    """(depth, k, values) of the kept contexts of two and more bytes."""
+    sent = grams.sparkSession.sparkContext.broadcast(one)
+
+    def run(batches):
+        k, n = _whole(batches, ["k", "n"])
+        if not len(k):
+            return
+        tree, parent = levels(k.view(np.uint64), n, depth, 2), sent.value
+        for d in range(2, depth + 1):
+            parent = descend(parent, tree[d], min_count)
+            if not len(parent.contexts):
+                return
+            values = pa.FixedSizeBinaryArray.from_buffers(pa.binary(1024), len(parent.contexts), [None, pa.py_buffer(byte_log10(parent.stop).tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), d, np.int8)), pa.array(C.as_signed(parent.contexts)), values.cast(pa.binary())], names=["depth", "k", "v"])
+
+    return grams.mapInArrow(run, "depth tinyint, k bigint, v binary")
+
+
+def train(texts: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
+    """The model, and the word counts (k, n) as a table."""
+    counts = C.saved(training_counts(texts, rules.depth), "ctw-counts", "what")
+    pair = F.expr(f"shiftrightunsigned(k, {8 * (rules.depth - 1)})")  # the two last context bytes
+    grams = counts.where("what = 0").select("k", "n").repartition(pair)
+
+    def summed(batches):
+        k, n = _whole(batches, ["k", "n"])
+        k, n = counted(k.view(np.uint64), n)
+        yield pa.RecordBatch.from_arrays([pa.array(C.as_signed(k)), pa.array(n), pa.array(np.full(len(k), TaskContext.get().partitionId(), np.int32))], names=["k", "n", "part"])
+
+    grams = C.saved(grams.mapInArrow(summed, "k bigint, n bigint, part int"), "ctw-grams")
+    words = C.saved(counts.where("what = 1").groupBy("k").agg(F.sum("n").alias("n")), "ctw-words")
+    totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    own = lambda: grams.repartition("part").select("k", "n")  # noqa: E731  whole subtrees again, whatever the file splits
+    n_bytes = grams.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if not n_bytes:
+        return Model(*table([ROOT.contexts], byte_log10(ROOT.stop)), 0, 0), words
+    top = _top_sums(own(), rules.depth).toPandas()
+    one, root = _top_levels(top)
+    least = max(1, n_bytes // rules.max_contexts)
+    dense = [descend(ROOT, root, 1)]
+    dense.append(descend(dense[0], one, least))
+    contexts, values = [x.contexts for x in dense], [byte_log10(x.stop) for x in dense]
+    kept = _kept_contexts(own(), rules.depth, dense[1], least).toPandas()
+    for d in range(2, rules.depth + 1):
+        rows = kept[kept["depth"] == d].sort_values("k")
+        keys = rows["k"].to_numpy().view(np.uint64)
+        contexts.append(keys)
+        values.append(np.frombuffer(b"".join(rows["v"]), np.float32).reshape(len(keys), 256))
+    return Model(*table(contexts, np.concatenate(values)), totals["n"], totals["v"]), words
+
+
+def _token_sum(c: np.ndarray, model: Model) -> np.ndarray:
+    return np.log10((c + 0.5) / (model.n_words + 0.5 * (model.n_distinct + 1)))
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) -> DataFrame:
+    """``docs`` (doc_id, held_out, text) with tokens, known tokens, base and model score."""
+    depth = rules.depth
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast(model)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    known = None
+    if model.n_distinct <= rules.max_sent_words:
+        few = words.toPandas().sort_values("k")
+        known = context.broadcast((few["k"].to_numpy(), few["n"].to_numpy()))
+
+    def scored(b, m):
+        w = C.Words(b.column("text"), fold=True)
+        data, text, places = stream(w, depth)
+        return w, np.bincount(text, weights=score_bytes(data, places, m.children, m.values, depth), minlength=w.n_docs)
+
+    def batch(columns):
+        return pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns.values()], names=list(columns))
+
+    if known is not None:
+
+        def run(batches):
+            m, (k, n) = sent.value, known.value
+            for b in C.pieces(batches, "text"):
+                w, s = scored(b, m)
+                distinct, back = np.unique(C.as_signed(np.append(w.hash, _END_WORD.view(np.uint64))), return_inverse=True)
+                c = np.zeros(len(distinct), np.int64)
+                if len(k):
+                    at = np.minimum(np.searchsorted(k, distinct), len(k) - 1)
+                    c = np.where(k[at] == distinct, n[at], 0)
+                each, is_known = _token_sum(c, m)[back], (c > 0)[back]
+                base = np.bincount(w.doc, weights=each[:-1], minlength=w.n_docs) + each[-1]
+                n_known = np.bincount(w.doc, weights=is_known[:-1], minlength=w.n_docs).astype(np.int64) + int(is_known[-1])
+                yield batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "n_known": n_known, "base_score": base, "score": s})
+
+        found = docs.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    else:
+
+        def run(batches):
+            rid = count(TaskContext.get().partitionId() << 40)
+            for b in C.pieces(batches, "text"):
+                w, s = scored(b, sent.value)
+                order = np.lexsort((w.hash, w.doc))
+                doc, h = w.doc[order], w.hash[order]
+                new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])) if len(doc) else np.zeros(0, np.int64)
+                times = np.diff(np.append(new, len(doc)))
+                per = np.bincount(doc[new], minlength=w.n_docs)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(per)]).astype(np.int32))
+                pairs = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(C.as_signed(h[new])), pa.array(times.astype(np.int64))], ["k", "times"]))
+                ids = np.array([next(rid) for _ in range(b.num_rows)], np.int64)
+                yield batch({"rid": ids, "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "score": s, "words": pairs})
+
+        schema = f"rid bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, score double, words array<struct<k: bigint, times: bigint>>"
+        rows = C.saved(docs.mapInArrow(run, schema), "ctw-scored")
+        end = F.struct(F.lit(int(_END_WORD)).alias("k"), F.lit(1).cast("bigint").alias("times"))
+        each = rows.select("rid", F.inline(F.concat("words", F.array(end)))).join(words, "k", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        value = F.log10((F.col("n") + 0.5) / (model.n_words + 0.5 * (model.n_distinct + 1)))
+        sums = each.groupBy("rid").agg(F.sum(F.col("times") * value).alias("base_score"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_known"))
+        found = rows.drop("words").join(sums, "rid")
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_words).cast("bigint").alias("train_tokens"), "base_score", "score",
+        (-F.col("score") * float(np.log2(10.0))).alias("bits"),
+    )
+
+
+def held_out(id_: Column, folds: int = 5, fold: int = 1) -> Column:
+    return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
+def lm_scores(docs: DataFrame, rules: TreeRules = TreeRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: split, tokens, base score, and the model's log10 probability and bits."""
+    own = docs.select(docs[id_col].alias("doc_id"), held_out(docs[id_col]).alias("held_out"), docs[text_col].alias("text"))
+    model, words = train(own.where(~F.col("held_out")), rules)
+    return score(own, model, words, rules)
+
+
+def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(C.read_documents(spark, sf_dir))

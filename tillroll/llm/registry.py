@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ctw import op3_context_tree_weighting
 from .decontaminate import op2_template_canonicalisation
 from .lines import OP5_SQL, op5_levelled_runs
 from .minhash import op4_one_permutation
@@ -13,6 +14,7 @@ from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
 QUERIES = {
+    "op3_context_tree_weighting": op3_context_tree_weighting,
     "op1_paragraph_minhash": op1_paragraph_minhash,
     "op2_template_canonicalisation": op2_template_canonicalisation,
     "op4_one_permutation": op4_one_permutation,
