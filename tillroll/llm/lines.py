@@ -44,10 +44,10 @@ def _hashes(line: Column) -> Column:
 
 
 def line_keys(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, h1, h2): the long enough keys of each document, once each."""
-    long = F.filter(lines_of(docs[text_col]), lambda x: F.char_length(F.trim(x, F.lit(C.SPACES))) >= min_chars)
-    own = docs.select(F.coalesce(docs[id_col].cast("bigint"), F.lit(NO_ID)).alias("doc"), F.array_distinct(F.transform(long, _hashes)).alias("keys"))
-    return own.select("doc", F.inline("keys"))
+    """(doc, h1, h2): the long enough keys of each document; a key may be there more than once."""
+    own = docs.select(F.coalesce(docs[id_col].cast("bigint"), F.lit(NO_ID)).alias("doc"), F.explode(lines_of(docs[text_col])).alias("line"))
+    stripped = own.select("doc", F.trim("line", F.lit(C.SPACES)).alias("line")).where(F.char_length("line") >= min_chars)
+    return stripped.select("doc", _hashes(F.col("line")).alias("key")).select("doc", "key.*")
 
 
 @dataclass
