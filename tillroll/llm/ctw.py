@@ -136,8 +136,8 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural logarithm of the gamma function for x >= 0.5 (shifted Stirling series)."""
     shift = np.zeros_like(x)
     y = x.copy()
-    for _ in range(7):
-        small = y < 8
+    for _ in range(16):
+        small = y < 16
         shift = np.where(small, shift + np.log(np.where(small, y, 1.0)), shift)
         y = np.where(small, y + 1, y)
     r = 1 / (y * y)
