@@ -2,29 +2,27 @@
 the remaining stock covers it, and then the stock goes down; a refused request
 consumes nothing.
 
-A running sum cannot express this (a refused request must not count): it is an
-ordered fold whose state is the remaining stock. To keep a hot product (one that
-holds a third of all requests) from running in one task, the fold is split by
-position, not by product:
-
-1. ``repartitionByRange(product, arrival)`` — the range partitioner's sample
-   splits a hot product's requests over many partitions; sorted within
-   partitions and checkpointed so the layout is fixed.
-2. A tiny per-partition summary (first and last product) tells which partitions
-   start in the middle of a product ("continuations"): only the first segment of
-   a partition can be one.
-3. For each continuation segment, its transfer function ``f(r)`` = stock left
-   after the segment when it starts with ``r`` is computed for every
-   ``r ∈ [0, stock]`` at once (numpy; start values that reach the same state
-   merge, so the work shrinks as the segment proceeds).
-4. Per product, the functions are composed along the chain of partitions (one
-   row per partition: bounded), giving each continuation its true start.
-5. Every partition folds its rows in parallel from its known starts.
-
-All steps are exact. Work is O(rows) plus O(rows × live states) for at most one
-segment per partition; a product that is not split costs nothing extra. A product
-whose stock exceeds ``MAX_SPLIT_STOCK`` (a transfer table would not fit) is folded
-exactly with all its requests in one task.
+A running sum cannot express this (a refused request must not count), but the stock
+never rises, so it can be decided in rounds that halve it. With ``r`` units left and
+``m = ceil(r / 2)``: as long as at least ``m`` are left, every request of at most ``m``
+is accepted, and a larger one is accepted only if it still fits. The first request
+that takes the stock below ``m`` ends the round; it is found with prefix sums over the
+requests of at most ``m``. Up to it all decisions of the round are known at once, and
+the next round starts behind it with less than ``m`` units: at most ``log2(stock) + 1``
+rounds, for any stock.
+
+Prefix sums are distributed, so a hot product (a third of all requests) is split:
+
+1. ``repartitionByRange(product, arrival)`` gives each request a block; the sample
+   splits a hot product over many blocks. The blocks are written to the shared folder.
+2. Requests are laid out by (product, block) in arrival order and persisted; every
+   later step joins and windows on these two keys, so requests are not moved again.
+3. A round needs one sum per (product, block), their running total over the blocks
+   of a product (one row per block), and the running sum inside the blocks that the
+   round can end in.
+4. A last pass looks up the round of each request and its start values.
+
+Everything is DataFrame operations; the driver only sees whether a round found an end.
 """
 
 from __future__ import annotations
@@ -33,233 +31,114 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import shared_dir
-
-OUT_SCHEMA = "purchase_id int, product_id int, quantity int, accepted boolean, remaining int"
-LINK_SCHEMA = "chain_product int, _pid int, stock int, whole boolean, transfer array<int>, last_end int"
-START_SCHEMA = "_pid int, start int"
-
-# Largest stock folded on the split path. The transfer table starts with stock + 1 states
-# and shrinks by about q per request (states that meet merge), so building it costs about
-# stock² / 2q element operations: ~1 s at 100 000, minutes at a million.
-MAX_SPLIT_STOCK = 100_000
-
-
-def _segments(prod: np.ndarray) -> list[tuple[int, int]]:
-    """[start, end) index ranges of equal product ids in a sorted batch."""
-    if len(prod) == 0:
-        return []
-    cuts = np.flatnonzero(prod[1:] != prod[:-1]) + 1
-    bounds = np.concatenate(([0], cuts, [len(prod)]))
-    return [(int(bounds[i]), int(bounds[i + 1])) for i in range(len(bounds) - 1)]
-
-
-def _fold_segment(qty: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, int]:
-    accepted = np.zeros(len(qty), dtype=bool)
-    left = np.zeros(len(qty), dtype=np.int64)
-    r = start
-    for i in range(len(qty)):
-        q = qty[i]
-        if q == q and q <= r:  # NaN (NULL quantity) is refused
-            r -= int(q)
-            accepted[i] = True
-        left[i] = r
-    return accepted, left, r
-
-
-class _Transfer:
-    """Remaining stock after a segment, for every start value 0..stock at once."""
-
-    def __init__(self, stock: int):
-        self.states = np.arange(stock + 1, dtype=np.int64)
-        self.index = np.arange(stock + 1, dtype=np.int64)  # start value → position in states
-
-    def feed(self, qty: np.ndarray) -> None:
-        for n, q in enumerate(qty):
-            if q != q:
-                continue
-            hit = self.states >= q
-            self.states[hit] -= int(q)
-            if n % 64 == 63:
-                self._merge()
-        self._merge()
-
-    def _merge(self) -> None:
-        uniq, inv = np.unique(self.states, return_inverse=True)
-        if len(uniq) < len(self.states):
-            self.index = inv[self.index]
-            self.states = uniq
+from tillroll.session import scratch_path
 
-    def table(self) -> list[int]:
-        return self.states[self.index].astype(np.int64).tolist()
+# Reasons of refused requests (NOT_ENOUGH is the reference's message).
+NOT_ENOUGH = "Not enough quantity available"
+NO_STOCK = "Stock unknown"
+BELOW_ONE = "quantity below 1"
 
+_BLOCK = ["product_id", "_blk"]
 
-def _summarise(continuations: frozenset[int], ends: frozenset[int]):
-    """Pass 1: chain links of a partition — for a continuation, the first segment's
-    transfer function; where a product begins and runs into the next partition,
-    its end state from full stock."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = None
-        first_product = first_stock = None
-        transfer = None
-        whole = True
-        cur_product = None
-        cur_r = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if pid is None:
-                pid = int(pdf["_pid"].iloc[0])
-                first_product = int(pdf["product_id"].iloc[0])
-                first_stock = int(pdf["_stock"].iloc[0])
-                if pid in continuations:
-                    transfer = _Transfer(first_stock)
-            prod = pdf["product_id"].to_numpy()
-            qty = pdf["quantity"].to_numpy()
-            stock = pdf["_stock"].to_numpy()
-            for a, b in _segments(prod):
-                p = int(prod[a])
-                if p != cur_product:
-                    if cur_product is not None:
-                        whole = False
-                    cur_product, cur_r = p, int(stock[a])
-                if transfer is not None and whole:
-                    transfer.feed(qty[a:b])
-                _, _, cur_r = _fold_segment(qty[a:b], cur_r)
-        if pid is None:
-            return
-        links = []
-        if transfer is not None:
-            links.append((first_product, pid, first_stock, whole, transfer.table(), None))
-        if pid in ends and not (pid in continuations and whole):
-            links.append((cur_product, pid, None, False, None, cur_r))
-        if links:
-            yield pd.DataFrame(links, columns=["chain_product", "_pid", "stock", "whole", "transfer", "last_end"])
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    return run
 
+def _laid_out(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """Requests by (product, block) with their place ``_pos`` in the product's arrival order."""
+    blocks = _saved(j.repartitionByRange(n, "product_id", *order).withColumn("_blk", F.spark_partition_id()),
+                    "stock-blocks")
+    own = Window.partitionBy(*_BLOCK).orderBy(*order)
+    pos = F.shiftleft(F.col("_blk").cast("bigint"), 32) + F.row_number().over(own)
+    return (blocks.repartition(n, *_BLOCK).withColumn("_pos", pos)
+            .select(*_BLOCK, "_pos", "purchase_id", "quantity", "_stock").persist(StorageLevel.MEMORY_AND_DISK))
 
-def _compose(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pass 2 (per product chain, ≤ one row per partition): start of each continuation."""
-    rows = rows.sort_values("_pid")
-    out_pid, out_start = [], []
-    r = None
-    for pid, stock, whole, transfer, last_end in zip(rows["_pid"], rows["stock"], rows["whole"],
-                                                     rows["transfer"], rows["last_end"]):
-        if transfer is None:              # the partition where the product begins
-            r = int(last_end)
-            continue
-        start = int(stock) if r is None else r
-        out_pid.append(int(pid))
-        out_start.append(start)
-        r = int(transfer[start]) if whole else None
-    return pd.DataFrame({"_pid": out_pid, "start": out_start}, dtype="int32")
-
-
-def _fold(starts: dict[int, int]):
-    """Pass 3: fold every partition from its known start values."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_product = None
-        r = 0
-        first = True
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            prod = pdf["product_id"].to_numpy()
-            qty = pdf["quantity"].to_numpy()
-            stock = pdf["_stock"].to_numpy()
-            accepted = np.zeros(len(pdf), dtype=bool)
-            left = np.zeros(len(pdf), dtype=np.int64)
-            for a, b in _segments(prod):
-                p = int(prod[a])
-                if p != cur_product:
-                    r = starts.get(pid, int(stock[a])) if first else int(stock[a])
-                    cur_product = p
-                first = False
-                acc, lft, r = _fold_segment(qty[a:b], r)
-                accepted[a:b], left[a:b] = acc, lft
-            yield pd.DataFrame({"purchase_id": pdf["purchase_id"], "product_id": pdf["product_id"],
-                                "quantity": pdf["quantity"], "accepted": accepted, "remaining": left})
-
-    return run
-
-
-def _keyed_fold(j: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Exact fold with every product in one task (for stock too large for a transfer table)."""
-    ordered = (j.repartition("product_id").sortWithinPartitions("product_id", *order)
-               .withColumn("_pid", F.spark_partition_id())
-               .select("_pid", "purchase_id", "product_id", "quantity", "_stock"))
-    return ordered.mapInPandas(_fold({}), OUT_SCHEMA)
 
+def _round(rows: DataFrame, keys: DataFrame, state: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """One round for the open products (``state``: product_id, _r, _after).
 
-_LOW32 = 0xFFFFFFFF
+    Returns the start values per (product, block), and the next state of the products
+    whose round has an end."""
+    small = F.col("quantity") <= F.col("_r") - F.floor(F.col("_r") / 2)
+    begun = keys.join(state, "product_id").where(F.col("_blk") >= F.shiftright("_after", 32))
+    inside = rows.join(begun, _BLOCK).where(F.col("_pos") > F.col("_after"))
+    sums = inside.groupBy(*_BLOCK).agg(F.sum(F.when(small, F.col("quantity")).otherwise(0)).alias("_sum"))
+    upto = Window.partitionBy("product_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = begun.join(sums, _BLOCK, "left").withColumn(
+        "_off", F.coalesce(F.sum(F.coalesce("_sum", F.lit(0))).over(upto), F.lit(0)))
+    starts = _saved(starts.select(*_BLOCK, "_r", "_after", "_off", F.lit(k).alias("_k")), "stock-round")
 
-
-def _edge_key(pid: int, product: int) -> int:
-    return (int(pid) << 32) + (int(product) & _LOW32)
-
-
-def _split_fold(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """Exact fold with products split over range partitions (steps 1–5 above)."""
-    ordered = (j.repartitionByRange(n, "product_id", *order)
-               .sortWithinPartitions("product_id", *order)
-               .withColumn("_pid", F.spark_partition_id())
-               .select("_pid", "purchase_id", "product_id", "quantity", "_stock")
-               .checkpoint(eager=True))
-
-    # Partition boundaries: one row per partition (bounded by the partition count).
-    bounds = sorted((r["_pid"], r["lo"], r["hi"]) for r in ordered.groupBy("_pid").agg(
-        F.min("product_id").alias("lo"), F.max("product_id").alias("hi")).collect())
-    continuations = frozenset(b[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
-    ends = frozenset(a[0] for a, b in zip(bounds, bounds[1:]) if a[2] == b[1])
-
-    starts: dict[int, int] = {}
-    if continuations:
-        # Pass 1 needs only the boundary products of the boundary partitions: the first
-        # product where a partition continues one, the last where one runs on: at most
-        # two (partition, product) keys per partition, tested JVM-side with a hash set.
-        lo = {pid: first for pid, first, _ in bounds}
-        hi = {pid: last for pid, _, last in bounds}
-        edge_keys = sorted({_edge_key(pid, lo[pid]) for pid in continuations}
-                           | {_edge_key(pid, hi[pid]) for pid in ends})
-        packed = F.shiftleft(F.col("_pid").cast("long"), 32) + F.col("product_id").cast("long").bitwiseAND(_LOW32)
-        boundary = ordered.where(packed.isin(edge_keys))
-        links = boundary.mapInPandas(_summarise(continuations, ends), LINK_SCHEMA)
-        composed = links.groupBy("chain_product").applyInPandas(
-            lambda pdf: _compose(pdf.drop(columns=["chain_product"])), START_SCHEMA)
-        # one row per continuation partition: bounded by the partition count
-        starts = {int(r["_pid"]): int(r["start"]) for r in composed.collect()}
-    return ordered.mapInPandas(_fold(starts), OUT_SCHEMA)
+    # the round can only end in blocks before which at most floor(r / 2) units went
+    half = F.floor(F.col("_r") / 2)
+    reach = rows.join(starts.where(F.col("_off") <= half), _BLOCK).where(F.col("_pos") > F.col("_after"))
+    run = Window.partitionBy(*_BLOCK).orderBy("_pos")
+    gone = F.sum(F.when(small, F.col("quantity")).otherwise(0)).over(run) + F.col("_off")
+    reach = reach.withColumn("_gone", gone)
+    left = F.when(small, F.col("_r") - F.col("_gone")).otherwise(F.col("_r") - F.col("_gone") - F.col("quantity"))
+    ends = F.when(small, F.col("_gone") > half).otherwise(F.col("quantity") <= F.col("_r") - F.col("_gone"))
+    first = reach.where(ends).groupBy("product_id").agg(F.min(F.struct("_pos", left.alias("_r"))).alias("_e"))
+    return starts, _saved(first.select("product_id", F.col("_e._r").alias("_r"), F.col("_e._pos").alias("_after")),
+                          "stock-state")
 
 
 def allocate(requests: DataFrame, products: DataFrame,
-             order: Sequence[str] = ("purchased_at", "purchase_id"), num_partitions: int | None = None,
-             max_split_stock: int = MAX_SPLIT_STOCK) -> DataFrame:
+             order: Sequence[str] = ("purchased_at", "purchase_id"), num_partitions: int | None = None) -> DataFrame:
     """Accept/refuse every request for a known product (unknown products are V3's rejects).
 
-    Products with stock up to ``max_split_stock`` take the split path; larger
-    stocks (a transfer table per start value would be too big) are folded with
-    the product in one task. Both are exact.
+    Columns: purchase_id, product_id, quantity, accepted, remaining (stock left after the
+    request), reason. A request for a product without a stock figure, or of less than one
+    unit, is refused with that reason and changes nothing.
     """
     spark = requests.sparkSession
-    shared_dir(spark)  # checkpoint() needs the shared folder
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    p = products.select("product_id", F.col("quantity").alias("_stock"))
-    j = requests.select("purchase_id", "product_id", "quantity", *order).join(p, "product_id")
-    split = _split_fold(j.where(F.col("_stock") <= max_split_stock), order, n)
-    big = j.where(F.col("_stock") > max_split_stock)
-    return split.unionByName(_keyed_fold(big, order))
+    p = products.select("product_id", F.col("quantity").cast("bigint").alias("_stock"))
+    more = [c for c in order if c not in ("purchase_id", "product_id", "quantity")]
+    j = requests.select("purchase_id", "product_id", F.col("quantity").cast("bigint").alias("quantity"), *more).join(
+        p, "product_id")
+    rows = _laid_out(j, order, n)
+    counted = rows.where("_stock is not null and quantity >= 1")
+    keys = _saved(rows.groupBy(*_BLOCK).agg(F.max("_stock").alias("_stock")), "stock-keys")
+    state = keys.where("_stock is not null").groupBy("product_id").agg(F.max("_stock").alias("_r")).withColumn(
+        "_after", F.lit(0).cast("bigint"))
+    rounds, k = [], 0
+    keys = keys.select(*_BLOCK)
+    while True:
+        starts, state = _round(counted, keys, state, k)
+        rounds.append(starts)
+        if state.isEmpty():
+            break
+        k += 1
+
+    every = rounds[0]
+    for r in rounds[1:]:
+        every = every.unionByName(r)
+    per_block = every.groupBy(*_BLOCK).agg(F.array_sort(F.collect_list(F.struct("_k", "_r", "_after", "_off"))).alias("_rounds"))
+    both = rows.join(per_block, _BLOCK, "left")
+    mine = F.try_element_at(F.filter("_rounds", lambda x: x["_after"] < F.col("_pos")), F.lit(-1))
+    both = both.withColumn("_is_end", F.exists("_rounds", lambda x: x["_after"] == F.col("_pos"))).withColumn("_own", mine)
+    both = both.select("*", "_own._r", "_own._off", F.coalesce("_own._k", F.lit(-1)).alias("_k"))
+    valid = F.col("_stock").isNotNull() & (F.coalesce(F.col("quantity"), F.lit(0)) >= 1)
+    small = valid & (F.col("quantity") <= F.col("_r") - F.floor(F.col("_r") / 2))
+    run = Window.partitionBy(*_BLOCK, "_k").orderBy("_pos")
+    gone = F.sum(F.when(small, F.col("quantity")).otherwise(0)).over(run) + F.col("_off")
+    accepted = F.coalesce(small | (valid & F.col("_is_end")), F.lit(False))
+    taken = F.when(accepted & ~small, F.col("quantity")).otherwise(0)
+    reason = (F.when(F.col("_stock").isNull(), F.lit(NO_STOCK)).when(~valid, F.lit(BELOW_ONE))
+              .when(~F.col("accepted"), F.lit(NOT_ENOUGH)))
+    return both.withColumn("accepted", accepted).withColumn("remaining", F.col("_r") - gone - taken).select(
+        "purchase_id", "product_id", "quantity", "accepted", "remaining", reason.alias("reason"))
 
 
 # ---- U4 + U5 as one ledger: purchases and cancellations interleaved -----------------------
 
-LEDGER_SCHEMA = ("product_id int, purchase_id int, event string, quantity int, effect string, remaining int")
+LEDGER_SCHEMA = ("product_id bigint, purchase_id bigint, event string, quantity bigint, effect string, remaining bigint")
 PURCHASE, CANCEL = 0, 1
 
 
