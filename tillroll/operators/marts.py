@@ -11,18 +11,18 @@ survive the grouping because the day is part of both grains. Month and year are
 functions of the day.
 
 ``MartSource.from_fact`` uses the fact rows themselves as both grains (one scan
-per mart, what a single mart query needs). ``MartSource.shared`` aggregates the
-fact ONCE with grouping sets — one scan, one shuffle, partial aggregation on the
-map side — and every mart is then a small re-aggregation of that result. Hot
-keys (a third of all rows on one client, or the NULL-client group) are absorbed
-by the partial aggregation before the shuffle.
-
-On top of the two grains the shared source keeps three small persisted roll-ups,
-all exact because the measures are additive: day totals (M01–M03, M07),
-product × month (M04, M06, M10, M12, M13) and client × month (M05, M11, M14, M15).
+per mart, what a single mart query needs). ``MartSource.shared``, for the job that
+writes all fifteen, puts three small persisted roll-ups in between, each one partial
+aggregate over the pruned fact columns: day totals (M01–M03, M07), product × month
+(M04, M06, M10, M12, M13) and client × month (M05, M11, M14, M15). All are exact
+because the measures are additive. The two distinct-count marts (M08, M09) read the
+fact. So the fact is read five times, each time two to five columns of it, instead
+of fifteen times; nothing as large as the fact is written or persisted, and the plan
+is the same at every size. Hot keys (a third of all rows on one client, or the
+NULL-client group) are absorbed by the partial aggregation before the shuffle.
+
 A roll-up keeps a ``sale_date`` column (the month start for monthly roll-ups), so
-the same mart code reads the fact, a grain or a roll-up. Only the two exact
-distinct-count marts (M08, M09) read a day-level grain.
+the same mart code reads the fact or a roll-up.
 """
 
 from __future__ import annotations
@@ -49,14 +49,11 @@ def _measures(fact: DataFrame) -> DataFrame:
     )
 
 
-# Base size (rows) from which the roll-ups pay for their extra jobs ("auto").
-ROLLUP_MIN_ROWS = 20_000_000
-
 ROLLUPS = {
-    # name → (grain, keys besides sale_date, truncate sale_date to month)
-    "day": ("product", [], False),
-    "product_month": ("product", ["product_id", "seller_id"], True),
-    "client_month": ("client", ["client_id"], True),
+    # name → (keys besides sale_date, truncate sale_date to month)
+    "day": ([], False),
+    "product_month": (["product_id", "seller_id"], True),
+    "client_month": (["client_id"], True),
 }
 
 
@@ -64,10 +61,7 @@ ROLLUPS = {
 class MartSource:
     product_grain: DataFrame
     client_grain: DataFrame
-    base: DataFrame | None = None
-    storage: StorageLevel | None = None
-    use_rollups: bool | str = "auto"
-    _rollups: dict = field(default_factory=dict)
+    rollups: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def from_fact(cls, fact: DataFrame) -> "MartSource":
@@ -76,66 +70,36 @@ class MartSource:
 
     @classmethod
     def shared(cls, fact: DataFrame, storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
-               checkpoint: bool = False, rollups: bool | str = "auto") -> "MartSource":
-        """Both grains from one grouping-sets aggregate over one fact scan.
-
-        ``storage`` persists the (much smaller than fact) result; lost blocks are
-        recomputed from lineage if an executor goes. ``checkpoint=True`` instead
-        writes it to ``spark.checkpoint.dir`` and cuts the lineage. ``rollups``:
-        True, False, or "auto" — decided in ``materialise`` from the measured base
-        size (below ``ROLLUP_MIN_ROWS`` extra roll-up jobs cost more than they save).
+               checkpoint: bool = False) -> "MartSource":
+        """Roll-ups between the fact and thirteen of the marts.
+
+        ``storage`` persists them; lost blocks are recomputed from lineage if an executor
+        goes. ``checkpoint=True`` instead writes them to ``spark.checkpoint.dir`` and cuts
+        the lineage.
         """
         m = _measures(fact)
-        g = m.groupingSets(
-            [["sale_date", "product_id", "seller_id"], ["sale_date", "client_id"]],
-            "sale_date", "product_id", "seller_id", "client_id",
-        ).agg(
-            F.sum("_qty").alias("_qty"),
-            F.sum("_rev").cast(REVENUE).alias("_rev"),
-            F.sum("_orders").alias("_orders"),
-            F.grouping("client_id").alias("_by_product"),
-        )
-        if checkpoint:
-            g = g.checkpoint(eager=True)
-        elif storage is not None:
-            g = g.persist(storage)
-        prod = g.where(F.col("_by_product") == 1).select("sale_date", "product_id", "seller_id", "_qty", "_rev", "_orders")
-        cli = g.where(F.col("_by_product") == 0).select("sale_date", "client_id", "_qty", "_rev", "_orders")
-        return cls(prod, cli, g, storage or StorageLevel.MEMORY_AND_DISK, rollups)
-
-    def grain(self, name: str) -> DataFrame:
-        return self.product_grain if name == "product" else self.client_grain
-
-    def rollup(self, name: str) -> DataFrame:
-        """A persisted roll-up of a grain (shared source) or the grain itself (fact source)."""
-        grain, keys, monthly = ROLLUPS[name]
-        if self.base is None or self.use_rollups is not True:
-            return self.grain(grain)
-        if name not in self._rollups:
+        out = {}
+        for name, (keys, monthly) in ROLLUPS.items():
             day = F.trunc("sale_date", "month") if monthly else F.col("sale_date")
-            r = self.grain(grain).groupBy(day.alias("sale_date"), *keys).agg(
+            r = m.groupBy(day.alias("sale_date"), *keys).agg(
                 F.sum("_qty").alias("_qty"), F.sum("_rev").cast(REVENUE).alias("_rev"),
                 F.sum("_orders").alias("_orders"))
-            self._rollups[name] = r.persist(self.storage)
-        return self._rollups[name]
+            out[name] = r.checkpoint(eager=False) if checkpoint else r.persist(storage) if storage is not None else r
+        return cls(m, m, out)
+
+    def rollup(self, name: str) -> DataFrame:
+        """A roll-up, or the fact rows where there is none."""
+        return self.rollups.get(name, self.client_grain)
 
     def materialise(self, parallel: int = 3) -> None:
-        """Compute the base, then the three independent roll-ups concurrently."""
-        if self.base is None:
-            return
-        rows = self.base.count()
-        if self.use_rollups == "auto":
-            self.use_rollups = rows >= ROLLUP_MIN_ROWS
-        if self.use_rollups is not True:
-            return
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            list(pool.map(lambda n: self.rollup(n).count(), list(ROLLUPS)))
+        """Compute the independent roll-ups concurrently, so that no mart job computes one twice."""
+        if self.rollups:
+            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+                list(pool.map(lambda r: r.count(), self.rollups.values()))
 
     def release(self) -> None:
-        for r in self._rollups.values():
+        for r in self.rollups.values():
             r.unpersist()
-        if self.base is not None:
-            self.base.unpersist()
 
 
 def _qty() -> Column:

@@ -44,45 +44,51 @@ def snowflake_from_stage(spark: SparkSession, stage_root: str, landing_root: str
                          parallel_writes: int = 4) -> dict[str, str]:
     """Stage → snowflake: dims deduplicated (D1–D3), landed events conformed (P3),
     tombstoned purchases removed (J9), deduplicated (D4), keys resolved (J3); the
-    four outputs written concurrently (S9, S10) to ``out_dir``."""
+    four outputs published together (S9, S10) under ``out_dir``."""
     clients = D.dedup_clients(files.read_stage(spark, stage_root, "clients").select(*schemas.CLIENT_COLS))
     sellers = D.dedup_sellers(files.read_stage(spark, stage_root, "sellers").select(*schemas.SELLER_COLS))
     products = D.dedup_products(files.read_stage(spark, stage_root, "products").select(*schemas.PRODUCT_COLS))
     landed = conform_purchases(L.read_route(spark, landing_root, "data"))
     tombstones = L.read_route(spark, landing_root, "tombstones").where(F.col("purchase_id").isNotNull())
     purchases = D.dedup_purchases(landed.join(tombstones, "purchase_id", "left_anti"))
-    fact = S.fact_purchases(purchases, clients, products).sortWithinPartitions("purchased_at", "purchase_id")
-    outputs = {"dim_clients": clients, "dim_sellers": sellers, "dim_products": products, "fact_purchases": fact}
-    return publish(outputs, out_dir, parallel_writes)
+    return _publish_snowflake({"dim_clients": clients, "dim_sellers": sellers, "dim_products": products}, purchases,
+                              out_dir, parallel_writes)
 
 
 def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict[str, str]:
-    """Publish dims and fact under ``out_dir`` and return their version paths.
-
-    The four writes are independent jobs (the fact resolves its keys against the
-    same dimension plans), so they are submitted together. The fact is sorted
-    within partitions by (purchased_at, purchase_id), the landing table's order,
-    so row-group statistics prune time filters.
-    """
-    outputs = {
-        "dim_clients": fx.clients,
-        "dim_sellers": fx.sellers,
-        "dim_products": fx.products,
-        "fact_purchases": fx.fact.sortWithinPartitions("purchased_at", "purchase_id"),
-    }
-    return publish(outputs, out_dir, parallel_writes)
+    """Publish dims and fact under ``out_dir`` and return their version paths."""
+    dims = {"dim_clients": fx.clients, "dim_sellers": fx.sellers, "dim_products": fx.products}
+    return _publish_snowflake(dims, fx.purchases, out_dir, parallel_writes)
+
+
+def _publish_snowflake(dims: dict[str, DataFrame], purchases: DataFrame, out_dir: str, parallel_writes: int) -> dict[str, str]:
+    """Write the dimensions (deduplicated once), resolve the fact's keys against the written ones (J3), and make
+    all four current together. The fact is sorted within partitions by (purchased_at, purchase_id), the landing
+    table's order, so row-group statistics prune time filters."""
+    spark = purchases.sparkSession
+    versions = _write_versions(dims, out_dir, parallel_writes)
+    written = {n: spark.read.schema(SNOWFLAKE_SCHEMAS[n]).parquet(files.version_path(out_dir, n, v)) for n, v in versions.items()}
+    fact = S.fact_purchases(purchases, written["dim_clients"], written["dim_products"])
+    versions |= _write_versions({"fact_purchases": fact.sortWithinPartitions("purchased_at", "purchase_id")}, out_dir, 1)
+    files.set_current(spark, out_dir, versions)
+    return {n: files.version_path(out_dir, n, v) for n, v in versions.items()}
+
+
+def _write_versions(outputs: dict[str, DataFrame], root: str, parallel_writes: int) -> dict[str, str]:
+    """Write new versions concurrently; nothing is current yet."""
+    files.ensure_namespace(next(iter(outputs.values())).sparkSession, root)
+    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+        return dict(pool.map(lambda item: (item[0], files.write_version(item[1], root, item[0])), outputs.items()))
 
 
 def publish(outputs: dict[str, DataFrame], root: str, parallel_writes: int = 4) -> dict[str, str]:
-    """Publish independent outputs concurrently, each as a new version (write, then
-    pointer swap: a reader never sees a half-written table). Returns the version paths."""
-
-    def write(item):
-        name, df = item
-        return name, files.write_stage(df, root, name)
+    """Publish independent outputs together: written concurrently as new versions, then one manifest
+    replaced, so a reader sees all old or all new tables. Returns the version paths."""
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-        return dict(pool.map(write, outputs.items()))
+    spark = next(iter(outputs.values())).sparkSession
+    versions = _write_versions(outputs, root, parallel_writes)
+    files.set_current(spark, root, versions)
+    return {name: files.version_path(root, name, v) for name, v in versions.items()}
 
 
 SNOWFLAKE_SCHEMAS = {"dim_clients": schemas.CLIENTS, "dim_sellers": schemas.SELLERS,
@@ -98,29 +104,24 @@ def read_snowflake(spark: SparkSession, where: str | dict[str, str]) -> dict[str
 
 
 def build_all_marts(tables: dict[str, DataFrame], out_dir: str | None = None, checkpoint: bool = False,
-                    parallel_writes: int = 4, rollups: bool | str = "auto") -> dict[str, DataFrame]:
-    """All fifteen marts from ONE scan of the fact (grouping-sets base, persisted).
-
-    The base is materialised first (one job) so that concurrent mart jobs never
-    compute it twice. With ``out_dir`` the fifteen independent mart writes (S11:
-    sorted by the mart key within partitions) are submitted from a small thread
-    pool, so small re-aggregation jobs overlap instead of leaving the cluster idle
-    between them; the returned frames read the written marts back.
+                    parallel_writes: int = 4, direct: bool = False) -> dict[str, DataFrame]:
+    """All fifteen marts, through three persisted roll-ups (``direct``: each from the fact).
+
+    The roll-ups are materialised first so that concurrent mart jobs never compute one
+    twice. With ``out_dir`` the fifteen independent mart writes (S11: sorted by the mart
+    key within partitions) are submitted from a small thread pool, so small
+    re-aggregation jobs overlap instead of leaving the cluster idle between them, and
+    are published together; the returned frames read the written marts back.
     """
-    src = M.MartSource.shared(tables["fact_purchases"], checkpoint=checkpoint, rollups=rollups)
-    src.materialise()  # base and roll-ups once, before the concurrent mart jobs
+    fact = tables["fact_purchases"]
+    src = M.MartSource.from_fact(fact) if direct else M.MartSource.shared(fact, checkpoint=checkpoint)
+    src.materialise()
     dims = {"clients": tables["dim_clients"], "sellers": tables["dim_sellers"], "products": tables["dim_products"]}
     marts = M.build_marts(src, dims)
     if out_dir is None:
         return marts
-    spark = tables["fact_purchases"].sparkSession
-
-    def write(item):
-        name, df = item
-        return name, files.write_mart(df, out_dir, name, M.MARTS[name][2])
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-        written = dict(pool.map(write, marts.items()))
+    spark = fact.sparkSession
+    written = publish({n: df.sortWithinPartitions(*M.MARTS[n][2]) for n, df in marts.items()}, out_dir, parallel_writes)
     src.release()
     # read back with the known schema: no footer-reading inference job per mart
     return {name: spark.read.schema(marts[name].schema).parquet(written[name]) for name in marts}
