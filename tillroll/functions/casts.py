@@ -54,10 +54,10 @@ def ts_normalise(df: DataFrame, cols: list[str]) -> DataFrame:
 def conform_purchases(df: DataFrame) -> DataFrame:
     """Landed rows → purchase types (timestamp, decimal(10,2)×2, int), fixed order."""
     return df.select(
-        F.col("purchase_id").try_cast("int").alias("purchase_id"),
-        F.col("client_id").try_cast("int").alias("client_id"),
-        F.col("product_id").try_cast("int").alias("product_id"),
-        F.col("quantity").try_cast("int").alias("quantity"),
+        F.col("purchase_id").try_cast("bigint").alias("purchase_id"),
+        F.col("client_id").try_cast("bigint").alias("client_id"),
+        F.col("product_id").try_cast("bigint").alias("product_id"),
+        F.col("quantity").try_cast("bigint").alias("quantity"),
         F.col("price").try_cast("decimal(10,2)").alias("price"),
         F.col("full_price").try_cast("decimal(10,2)").alias("full_price"),
         to_ts(F.col("purchased_at"), df.schema["purchased_at"].dataType).alias("purchased_at"),
@@ -70,11 +70,13 @@ def event_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}).alias("value"))
 
 
-def parse_events(df: DataFrame, value: str = "value") -> DataFrame:
+def parse_events(df: DataFrame, value: str = "value", keep: str | None = None) -> DataFrame:
     """Topic bytes/text → struct with the fixed event schema → flat columns.
 
-    A line that is not a JSON object keeps its text in ``_corrupt_record``.
+    A line that is not a JSON object keeps its text in ``_corrupt_record``. ``keep`` names a column for the
+    text of every line.
     """
     parsed = F.from_json(F.col(value).cast("string"), schemas.EVENT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return df.select(parsed.alias("_e")).select("_e.*")
+    text = [F.col(value).cast("string").alias(keep)] if keep else []
+    return df.select(parsed.alias("_e"), *text).select("_e.*", *([keep] if keep else []))

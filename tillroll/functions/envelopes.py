@@ -24,8 +24,8 @@ KINDS = {
 }
 
 # One wide reader schema for every kind (each payload fills a subset).
-PAYLOAD = ("purchase_id int, client_id int, product_id int, seller_id int, first_name string, last_name string, "
-           "email string, name string, price decimal(12,2), full_price decimal(12,2), quantity int, "
+PAYLOAD = ("purchase_id bigint, client_id bigint, product_id bigint, seller_id bigint, first_name string, last_name string, "
+           "email string, name string, price decimal(12,2), full_price decimal(12,2), quantity bigint, "
            "purchased_at string, created_at string, signup_date string, deleted boolean, operation string")
 
 

@@ -6,9 +6,13 @@ object, or a required landing column NULL after parsing, Q2). Every output goes
 to ``<root>/<route>/run=<run>/batch_id=<n>`` with overwrite, so
 
 * a replayed batch (same checkpoint) rewrites the same folder: idempotent;
-* a new checkpoint gets a new ``run`` (derived from the checkpoint path), so
-  restarting from scratch can never overwrite earlier batches — it only adds
-  duplicates, which the fact build's dedup (D4) removes (Q3, ST5).
+* each checkpoint has a random run id of its own, kept in the checkpoint folder: a lost
+  or emptied checkpoint gets a new ``run``, even under the same path, so it can never
+  overwrite earlier batches — it only adds duplicates, which the fact build's dedup (D4)
+  removes (Q3, ST5).
+
+Corrupt lines keep their original text, so an event can be repaired. A continuous run
+has a trigger interval, so that a batch, and with it a file, is not made for every few lines.
 
 There is no watermark: the reference drops nothing for lateness, so dedup stays
 in the batch fact build instead of ``dropDuplicatesWithinWatermark``.
@@ -16,13 +20,14 @@ in the batch fact build instead of ``dropDuplicatesWithinWatermark``.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.functions.casts import parse_events, to_ts
+from tillroll.sources import files
 
 ROUTES = ("data", "tombstones", "corrupt")
 REQUIRED = ["purchase_id", "client_id", "product_id", "purchased_at", "price", "full_price", "quantity"]
@@ -42,8 +47,8 @@ def purchase_stream(spark: SparkSession, fmt: str = "kafka", options: dict[str,
 
 
 def parse_stream(values: DataFrame) -> DataFrame:
-    """ST2: JSON → fixed event columns, ``purchased_at`` parsed (stateless)."""
-    ev = parse_events(values)
+    """ST2: JSON → fixed event columns, ``purchased_at`` parsed (stateless); ``_raw`` is the line itself."""
+    ev = parse_events(values, keep="_raw")
     return ev.withColumn("purchased_at", to_ts(F.col("purchased_at")))
 
 
@@ -58,8 +63,19 @@ def route(parsed: DataFrame) -> DataFrame:
         "_route", F.when(tomb, F.lit("tombstones")).when(corrupt, F.lit("corrupt")).otherwise(F.lit("data")))
 
 
-def run_id_for(checkpoint: str) -> str:
-    return hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:16]
+RUN_FILE = "_run_id"
+
+
+def run_id_for(spark: SparkSession, checkpoint: str) -> str:
+    """The run id kept in the checkpoint folder; a folder without Spark's metadata gets a new one."""
+    base = checkpoint.rstrip("/")
+    known = files._read_text(spark, f"{base}/{RUN_FILE}") if files.exists(spark, f"{base}/metadata") else None
+    if known:
+        return known
+    run = uuid.uuid4().hex
+    files.ensure_namespace(spark, base)
+    files._replace_text(spark, f"{base}/{RUN_FILE}", run)
+    return run
 
 
 def land_batch(root: str, run: str):
@@ -73,22 +89,21 @@ def land_batch(root: str, run: str):
                 .write.mode("overwrite").parquet(base.format("data"))
             b.where(F.col("_route") == "tombstones").select("purchase_id") \
                 .write.mode("overwrite").parquet(base.format("tombstones"))
-            b.where(F.col("_route") == "corrupt").select(
-                F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in schemas.EVENT_FIELDS])))
-                .alias("raw")).write.mode("overwrite").parquet(base.format("corrupt"))
+            b.where(F.col("_route") == "corrupt").select(F.col("_raw").alias("raw")) \
+                .write.mode("overwrite").parquet(base.format("corrupt"))
         finally:
             b.unpersist()
 
     return write
 
 
-def start_landing(values: DataFrame, root: str, checkpoint: str, available_now: bool = False):
+def start_landing(values: DataFrame, root: str, checkpoint: str, available_now: bool = False,
+                  interval: str = "1 minute"):
     """ST3: start the landing query (append, foreachBatch, checkpointed)."""
-    w = parse_stream(values).writeStream.foreachBatch(land_batch(root, run_id_for(checkpoint))) \
+    run = run_id_for(values.sparkSession, checkpoint)
+    w = parse_stream(values).writeStream.foreachBatch(land_batch(root, run)) \
         .option("checkpointLocation", checkpoint).outputMode("append")
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
 
 def read_route(spark: SparkSession, root: str, name: str) -> DataFrame:
