@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.session import scratch_path
@@ -39,10 +40,15 @@ def test_stream_routes_and_replay(spark):
     assert str(data[1].price) == "7.10" and str(data[1].full_price) == "59.97"
     assert str(data[1].purchased_at) == "2025-03-02 09:00:00"  # offset converted to UTC wall clock
     assert [r.purchase_id for r in L.read_route(spark, out, "tombstones").collect()] == [1]
-    assert L.read_route(spark, out, "corrupt").count() == 4
-    # a fresh checkpoint replays into a new run folder: duplicates, never overwrites
-    L.start_landing(L.purchase_stream(spark, "text", path=topic), out, ck + "2", available_now=True).awaitTermination()
-    assert L.read_route(spark, out, "data").count() == 4
+    lines = {r.raw for r in L.read_route(spark, out, "corrupt").collect()}
+    assert len(lines) == 4 and any("bad-date" in x for x in lines) and any("Purchase_ID" in x for x in lines)  # whole text
+    # the checkpoint is lost, another file arrives, and the query restarts under the same path: nothing is overwritten
+    os.rename(ck, ck + "-lost")
+    os.rename(f"{topic}/a.json", f"{root}/a.json")
+    _write_lines(topic, "b.json", ['{"purchase_id":3000000000,"client_id":1,"product_id":1,"purchased_at":"2025-03-01T12:00:00",'
+                                   '"price":15.00,"full_price":15.00,"quantity":1}'])
+    L.start_landing(L.purchase_stream(spark, "text", path=topic), out, ck, available_now=True).awaitTermination()
+    assert sorted(r.purchase_id for r in L.read_route(spark, out, "data").collect()) == [1, 2, 3_000_000_000]
 
 
 def test_csv_drops_reject_bad_file_and_skip_loaded(spark):
@@ -62,6 +68,33 @@ def test_csv_drops_reject_bad_file_and_skip_loaded(spark):
     assert acc2.count() == 0
 
 
+def test_csv_names_and_ledger(spark):
+    """A file name with a space or a plus is the same in the listing, the rows and the ledger; other errors surface."""
+    root = scratch_path(spark, "t-csv3")
+    _write_lines(f"{root}/in", "my file+1.csv", ["seller_id,name,price,quantity,created_at", "1,W,9.99,5,2025-05-09T12:00:00Z"])
+    for _ in range(2):
+        csv_drops.load_and_record(spark, f"{root}/in", f"{root}/ledger", f"{root}/out", "2025-06-01 00:00:00")
+    assert [r.filename for r in csv_drops.read_ledger(spark, f"{root}/ledger").collect()] == ["my file+1.csv"]
+    assert spark.read.parquet(f"{root}/out").count() == 1
+    _write_lines(f"{root}/broken", "x.parquet", ["no parquet"])
+    with pytest.raises(Exception):
+        csv_drops.read_ledger(spark, f"{root}/broken").collect()
+
+
+def test_tables_published_together(spark):
+    """One manifest: a reader sees both new tables or both old ones, and publishing one keeps the other."""
+    from tillroll.plans import jobs
+
+    root = scratch_path(spark, "t-publish")
+    jobs.publish({"a": spark.range(1), "b": spark.range(2)}, root)
+    old = files.current_version(spark, root, "a")
+    jobs.publish({"a": spark.range(3), "b": spark.range(4)}, root)
+    assert files.read_stage(spark, root, "a").count() == 3 and files.read_stage(spark, root, "b").count() == 4
+    files.write_stage(spark.range(7), root, "b")
+    assert files.read_stage(spark, root, "a").count() == 3 and files.read_stage(spark, root, "b").count() == 7
+    assert spark.read.parquet(old).count() == 1  # a reader of the old version is not disturbed
+
+
 def test_stage_versions_and_json(spark):
     root = scratch_path(spark, "t-stage")
     files.write_stage(spark.range(3), root, "t")

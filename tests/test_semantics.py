@@ -62,11 +62,11 @@ def test_null_group_and_name(spark):
 
 
 def test_shared_source_equals_direct(spark, fx):
-    """All fifteen marts: the one-scan grouping-sets base gives the same rows as the fact itself."""
+    """All fifteen marts: the roll-ups give the same rows as the fact itself."""
     dims = {"clients": fx.clients, "sellers": fx.sellers, "products": fx.products}
     direct = M.build_marts(M.MartSource.from_fact(fx.fact), dims)
-    for rollups in (True, False):
-        shared_src = M.MartSource.shared(fx.fact, rollups=rollups)
+    for checkpoint in (True, False):
+        shared_src = M.MartSource.shared(fx.fact, checkpoint=checkpoint)
         shared_src.materialise()
         shared = M.build_marts(shared_src, dims)
         for name in M.MARTS:
@@ -122,8 +122,8 @@ def test_patch_presence(spark):
     """Explicit null sets NULL, absent keeps, unknown key is rejected."""
     clients = spark.createDataFrame([(1, "A", "B", "a@x.io", T0), (2, "C", "D", "c@x.io", T0)], schemas.CLIENTS)
     patches = spark.createDataFrame([(1, '{"email":null}'), (2, '{"first_name":"Z"}'), (3, '{"last_name":"Q"}')],
-                                    "client_id int, patch string")
-    ok, rej = U.apply_patches(clients, patches, "client_id", ["first_name", "last_name", "email"])
+                                    "client_id int, patch string").withColumn("seq", F.lit(1))
+    ok, rej = U.apply_patches(clients, patches, "client_id", ["first_name", "last_name", "email"], order="seq")
     got = {r.client_id: r for r in ok.collect()}
     assert got[1].email is None and got[1].first_name == "A"
     assert got[2].first_name == "Z" and got[2].email == "c@x.io"
@@ -195,7 +195,7 @@ def test_stock_golden(spark):
     assert got == {1: (True, 2), 2: (False, 2), 3: (True, 0)}
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(1, 9), st.integers(0, 30)), min_size=1, max_size=60),
        st.integers(1, 12), st.integers(0, 80))
 def test_stock_matches_sequential_fold(spark, reqs, parts, hot):
@@ -212,30 +212,22 @@ def test_stock_matches_sequential_fold(spark, reqs, parts, hot):
     assert got == _python_fold(stock_by_product, rows)
 
 
-def test_hot_product_is_split(spark):
-    """A product with most of the requests is folded by several tasks, exactly."""
-    products = spark.createDataFrame([(0, 1, "p", Decimal("1.00"), 500, T0), (1, 1, "q", Decimal("1.00"), 5, T0)],
-                                     schemas.PRODUCTS)
+@pytest.mark.parametrize("on_hand", [500, 1_000_000])
+def test_hot_product_is_split(spark, on_hand):
+    """A product with most of the requests is decided by several tasks, exactly, for any stock."""
+    products = spark.createDataFrame([(0, 1, "p", Decimal("1.00"), on_hand, T0), (1, 1, "q", Decimal("1.00"), 5, T0),
+                                      (2, 1, "r", Decimal("1.00"), None, T0)], schemas.PRODUCTS)
     rng = random.Random(7)
-    rows = [(i, 0 if i % 10 else 1, rng.randint(1, 6), T0 + dt.timedelta(minutes=i)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
+    rows = [(i, 0 if i % 10 else 1, rng.randint(1, on_hand // 80), T0 + dt.timedelta(minutes=i)) for i in range(3000)]
+    extra = [(5000, 2, 1, T0), (5001, 0, None, T0), (5002, 0, 0, T0)]
+    df = spark.createDataFrame(rows + extra, "purchase_id bigint, product_id bigint, quantity bigint, purchased_at timestamp_ntz")
     out = stock.allocate(df, products, num_partitions=8)
-    per_task = out.groupBy(F.spark_partition_id().alias("t")).agg(F.countDistinct("product_id")).count()
+    per_task = out.where("product_id = 0").groupBy(F.spark_partition_id().alias("t")).count().count()
     assert per_task >= 4
-    got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
-    assert got == _python_fold({0: 500, 1: 5}, rows)
-
-
-def test_stock_large_stock_path(spark):
-    """Products above the split limit take the keyed fold; results stay exact."""
-    products = spark.createDataFrame([(0, 1, "p", Decimal("1.00"), 40, T0), (1, 1, "q", Decimal("1.00"), 9, T0)],
-                                     schemas.PRODUCTS)
-    rng = random.Random(3)
-    rows = [(i, i % 2, rng.randint(1, 7), T0 + dt.timedelta(minutes=i)) for i in range(400)]
-    df = spark.createDataFrame(rows, "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
-    out = stock.allocate(df, products, num_partitions=6, max_split_stock=10)
-    got = {r.purchase_id: (r.accepted, r.remaining) for r in out.collect()}
-    assert got == _python_fold({0: 40, 1: 9}, rows)
+    got = {r.purchase_id: r for r in out.collect()}
+    assert {i: (r.accepted, r.remaining) for i, r in got.items() if i < 5000} == _python_fold({0: on_hand, 1: 5}, rows)
+    assert [(got[i].accepted, got[i].reason) for i in (5000, 5001, 5002)] == [
+        (False, stock.NO_STOCK), (False, stock.BELOW_ONE), (False, stock.BELOW_ONE)]
 
 
 def test_report_equals_mart_and_topk_subset(fx):
@@ -271,24 +263,59 @@ def test_stock_ledger_with_cancellations(spark):
                    ("purchase", 12, "accepted", 2), ("cancel", 11, "ignored", 2)]
 
 
-def test_checkpointed_base_equals_direct(fx):
-    """The shared base cut with checkpoint() (shared folder) gives the same marts."""
-    dims = {"clients": fx.clients, "sellers": fx.sellers, "products": fx.products}
-    direct = M.build_marts(M.MartSource.from_fact(fx.fact), dims)
-    src = M.MartSource.shared(fx.fact, checkpoint=True, rollups=True)
-    src.materialise()
-    shared = M.build_marts(src, dims)
-    for name in ("mart_sales_by_month", "mart_unique_clients_per_day", "mart_top_clients_by_year"):
-        assert shared[name].exceptAll(direct[name]).count() == 0 and direct[name].exceptAll(shared[name]).count() == 0
-
-
-def test_latest_patch_wins(spark):
-    """U1 with several patches per key: the latest by the order column applies."""
+def test_patches_apply_in_order_and_bad_ones_are_rejected(spark):
+    """Several patches per key merge field by field, the latest value wins; bad patches change nothing."""
+    clients = spark.createDataFrame([(1, "A", "B", "a@x.io", T0), (2, "C", "D", "c@x.io", T0)], schemas.CLIENTS)
+    patches = [(1, '{"first_name":"Old"}', 1), (1, '{"first_name":"New"}', 2), (1, '{"last_name":"Z"}', 3), (1, "oops", 4),
+               (1, '{"first_name":null}', 5), (1, '{"email":"c@x.io"}', 6), (2, '{"email":"nobody"}', 7), (9, '{}', 8),
+               (2, '{"email":"new@x.io"}', 9), (1, '{"email":"new@x.io"}', 10), (2, '["list"]', 11)]
+    df = spark.createDataFrame(patches, "client_id bigint, patch string, seq int")
+    ok, rej = U.apply_patches(clients, df, "client_id", ["first_name", "last_name", "email"], order="seq")
+    got = {r.client_id: (r.first_name, r.last_name, r.email) for r in ok.collect()}
+    assert got == {1: ("New", "Z", "a@x.io"), 2: ("C", "D", "new@x.io")}
+    assert {r.seq: r.reason for r in rej.collect()} == {
+        4: U.PATCH_NOT_OBJECT, 5: "first_name missing", 6: U.EMAIL_TAKEN, 7: "email invalid", 8: U.NOT_FOUND,
+        10: U.EMAIL_TAKEN, 11: U.PATCH_NOT_OBJECT}
+    products = spark.createDataFrame([(1, 1, "p", Decimal("1.00"), 5, T0)], schemas.PRODUCTS)
+    df = spark.createDataFrame([(1, '{"quantity":"-5"}', 1), (1, '{"quantity":"abc"}', 2), (1, '{"price":"0"}', 3),
+                                (1, '{"quantity":null}', 4), (1, '{"quantity":7}', 5)], "product_id bigint, patch string, seq int")
+    ok, rej = U.apply_patches(products, df, "product_id", ["name", "price", "quantity"], order="seq")
+    assert ok.first().quantity == 7
+    assert {r.seq: r.reason for r in rej.collect()} == {1: "quantity below 1", 2: "quantity invalid", 3: "price must be positive",
+                                                        4: "quantity missing"}
+
+
+def test_guarded_deletes_and_null_emails(spark):
+    products = spark.createDataFrame([(1, 7, "p", Decimal("1.00"), 5, T0), (2, 8, "q", Decimal("1.00"), 5, T0)], schemas.PRODUCTS)
+    sellers = spark.createDataFrame([(s, "F", "L", "C", f"{s}@x.io", T0) for s in (7, 8, 9)], schemas.SELLERS)
+    bought = _purchases(spark, [(10, 1, 1, 2, Decimal("1.00"), Decimal("2.00"), T0), (11, 1, 1, 1, Decimal("1.00"), Decimal("1.00"), T0)])
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "product_id bigint")
+    ok = U.deletable_products(asked, products, bought)
+    assert [r.product_id for r in ok.collect()] == [2]
+    refused = U.refused_deletes(asked, ok, products, "product_id", U.PRODUCT_HAS_PURCHASES)
+    assert {r.product_id: r.reason for r in refused.collect()} == {1: U.PRODUCT_HAS_PURCHASES, 3: U.NOT_FOUND}
+    asked = spark.createDataFrame([(7,), (8,), (9,)], "seller_id bigint")
+    assert sorted(r.seller_id for r in U.deletable_sellers(asked, sellers, products, bought).collect()) == [8, 9]
+    left, restocked = U.delete_purchases(bought, products, spark.createDataFrame([(10,)], "purchase_id bigint"))
+    assert [r.purchase_id for r in left.collect()] == [11]
+    assert {r.product_id: r.quantity for r in restocked.collect()} == {1: 7, 2: 5}
+    reqs = spark.createDataFrame([(1, None), (2, None), (3, "n@x.io"), (4, "n@x.io")], "request_id bigint, email string")
     clients = spark.createDataFrame([(1, "A", "B", "a@x.io", T0)], schemas.CLIENTS)
-    patches = spark.createDataFrame([(1, '{"first_name":"Old"}', 1), (1, '{"first_name":"New"}', 2)],
-                                    "client_id int, patch string, seq int")
-    ok, _ = U.apply_patches(clients, patches, "client_id", ["first_name", "last_name", "email"], order="seq")
-    assert ok.first().first_name == "New"
+    assert sorted(r.request_id for r in U.new_clients_unique_email(reqs, clients).collect()) == [1, 2, 3]
+
+
+def test_ids_beyond_32_bits(spark):
+    """An event with a large id is conformed, deduplicated and resolved like any other."""
+    big = 3_000_000_000
+    rows = spark.createDataFrame([(str(big + i % 2), str(big), "5", "1", "2.00", "2.00", "2025-03-01T12:00:00") for i in range(4)],
+                                 "purchase_id string, client_id string, product_id string, quantity string, price string, "
+                                 "full_price string, purchased_at string")
+    from tillroll.functions.casts import conform_purchases
+    out = D.dedup_purchases(conform_purchases(rows))
+    assert sorted(r.purchase_id for r in out.collect()) == [big, big + 1]
+    clients = spark.createDataFrame([(big, "A", "B", "a@x.io", T0)], schemas.CLIENTS)
+    products = spark.createDataFrame([(5, 1, "p", Decimal("2.00"), 5, T0)], schemas.PRODUCTS)
+    assert {r.client_id for r in S.fact_purchases(out, clients, products).collect()} == {big}
 
 
 def test_product_validation(spark):

@@ -21,15 +21,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# table → (primary key, unique columns, NOT NULL columns, {fk column: (parent table, parent key)})
+_CLIENT = ("client_id", ["email"], ["client_id", "first_name", "last_name", "signup_date"], {},
+           {"first_name": 100, "last_name": 100, "email": 255})
+_SELLER = ("seller_id", ["email"], ["seller_id", "first_name", "last_name", "company_name", "created_at"], {},
+           {"first_name": 100, "last_name": 100, "company_name": 200, "email": 255})
+_PRODUCT = ("product_id", [], ["product_id", "seller_id", "name", "price", "quantity", "created_at"],
+            {"seller_id": ("sellers", "seller_id")}, {"name": 200})
+
+# table → (primary key, unique columns, NOT NULL columns, {fk column: (parent table, parent key)}, {text column: longest})
 CONSTRAINTS = {
-    "clients_raw": ("client_id", [], [], {}),
-    "clients": ("client_id", ["email"], ["first_name", "last_name", "signup_date"], {}),
-    "sellers": ("seller_id", ["email"], [], {}),
-    "products": ("product_id", [], [], {"seller_id": ("sellers", "seller_id")}),
-    "fact": ("purchase_id", [], ["quantity", "price", "full_price", "purchased_at"],
+    "clients_raw": ("client_id", [], *_CLIENT[2:]),
+    "clients": _CLIENT,
+    "sellers_raw": _SELLER,
+    "sellers": _SELLER,
+    "products_raw": _PRODUCT,
+    "products": _PRODUCT,
+    "purchases": ("purchase_id", [], ["purchase_id", "client_id", "product_id", "quantity", "purchased_at"],
+                  {"client_id": ("clients", "client_id"), "product_id": ("products", "product_id")}, {}),
+    "fact": ("purchase_id", [], ["purchase_id", "quantity", "price", "full_price", "purchased_at"],
              {"client_id": ("clients", "client_id"), "product_id": ("products", "product_id"),
-              "seller_id": ("sellers", "seller_id")}),
+              "seller_id": ("sellers", "seller_id")}, {}),
+    "raw_load_log": ("filename", [], ["filename", "loaded_at"], {}, {}),
 }
 
 
@@ -44,26 +56,28 @@ def _rows(table: str, checks: DataFrame) -> DataFrame:
                        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"))
 
 
-def _per_value(t: DataFrame, cols: list[str], with_total: bool, bad_row: Column | None = None) -> DataFrame:
+def _per_value(t: DataFrame, cols: list[str], with_total: bool, counts: dict[str, Column] | None = None) -> DataFrame:
     sets = [[c] for c in cols] + ([[]] if with_total else [])
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.grouping(c).alias(f"_g_{c}") for c in cols]
-    if bad_row is not None:
-        aggs.append(F.count(F.when(bad_row, 1)).alias("_bad"))
+    aggs += [F.count(F.when(bad, 1)).alias(f"_c_{name}") for name, bad in (counts or {}).items()]
     return t.groupingSets(sets, *cols).agg(*aggs)
 
 
 def key_checks(name: str, t: DataFrame) -> DataFrame:
-    pk, unique, not_null, _ = CONSTRAINTS[name]
+    pk, unique, not_null, _, limits = CONSTRAINTS[name]
     cols = [pk, *unique]
-    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null]) if not_null else None
-    g = _per_value(t, cols, with_total=bool(not_null), bad_row=bad)
+    any_of = lambda bad: reduce(lambda a, b: a | b, bad)
+    counts = {"not_null": any_of([F.col(c).isNull() for c in not_null])} if not_null else {}
+    if limits:
+        counts["too_long"] = any_of([F.coalesce(F.length(c) > n, F.lit(False)) for c, n in limits.items()])
+    g = _per_value(t, cols, with_total=bool(counts), counts=counts)
     checks = [F.count(F.when((F.col(f"_g_{pk}") == 0) & (F.col("_n") > 1), 1)).cast("bigint").alias("pk_unique")]
     for u in unique:
         dup = (F.col(f"_g_{u}") == 0) & F.col(u).isNotNull() & (F.col("_n") > 1)
         checks.append(F.count(F.when(dup, 1)).cast("bigint").alias(f"{u}_unique"))
-    if not_null:
-        total = reduce(lambda a, b: a & b, [F.col(f"_g_{c}") == 1 for c in cols])
-        checks.append(F.sum(F.when(total, F.col("_bad"))).cast("bigint").alias("not_null"))
+    total = reduce(lambda a, b: a & b, [F.col(f"_g_{c}") == 1 for c in cols])
+    for check in counts:
+        checks.append(F.sum(F.when(total, F.col(f"_c_{check}"))).cast("bigint").alias(check))
     return _rows(name, g.agg(*checks))
 
 

@@ -25,7 +25,7 @@ def latest(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column
 CLIENT_ORDER = ["signup_date", "first_name", "last_name", "email"]
 SELLER_ORDER = ["created_at", "first_name", "last_name", "company_name", "email"]
 PRODUCT_ORDER = ["created_at", "seller_id", "name", "price", "quantity"]
-PURCHASE_ORDER = ["purchased_at", "product_id", "quantity", "full_price"]
+PURCHASE_ORDER = ["purchased_at", "product_id", "quantity", "full_price", "client_id", "price"]
 
 
 def dedup_clients(df: DataFrame) -> DataFrame:

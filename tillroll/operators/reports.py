@@ -128,9 +128,12 @@ def with_avg_order_value(m: DataFrame) -> DataFrame:
         "avg_order_value", F.try_divide(F.col("total_revenue").cast("double"), F.col("total_orders")))
 
 
-def latest_year(df: DataFrame, col: str = "sale_year") -> DataFrame:
-    """rows of the latest year — a scalar subquery, not a global window."""
-    latest = df.select(F.max(col)).scalar()
+def latest_year(df: DataFrame, col: str = "sale_year", years: DataFrame | None = None) -> DataFrame:
+    """rows of the latest year — a scalar subquery, not a global window.
+
+    ``years`` (a column ``col``) is a smaller source of the same years, such as the events
+    or the year mart; without it the subquery computes ``df`` a second time."""
+    latest = (df if years is None else years).select(F.max(col)).scalar()
     return df.where(F.col(col) == latest)
 
 

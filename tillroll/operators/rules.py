@@ -27,6 +27,10 @@ SELLER_NOT_FOUND = "Seller not found"
 NOT_ENOUGH = "Not enough quantity available"
 EMAIL_TAKEN = "Email already registered"
 HAS_PURCHASES = "Cannot delete client with existing purchases"
+PRODUCT_HAS_PURCHASES = "Cannot delete product with existing purchases"
+SELLER_HAS_PURCHASES = "Cannot delete seller with purchased products"
+NOT_FOUND = "not found"
+PATCH_NOT_OBJECT = "patch is not a JSON object"
 
 
 # ---- V1 field validation ------------------------------------------------------
@@ -162,15 +166,49 @@ def deletable_clients(deletes: DataFrame, clients: DataFrame, purchases: DataFra
             .join(buyers, "client_id", "left_anti"))
 
 
+def deletable_products(deletes: DataFrame, products: DataFrame, purchases: DataFrame) -> DataFrame:
+    """U3 guard: delete requests for existing products that no purchase refers to."""
+    bought = purchases.select("product_id").where(F.col("product_id").isNotNull()).distinct()
+    return (deletes.join(products.select("product_id"), "product_id", "left_semi")
+            .join(bought, "product_id", "left_anti"))
+
+
+def deletable_sellers(deletes: DataFrame, sellers: DataFrame, products: DataFrame, purchases: DataFrame) -> DataFrame:
+    """U3 guard: a seller's products go with it (J11), so none of them may have been purchased."""
+    bought = purchases.select("product_id").where(F.col("product_id").isNotNull()).distinct()
+    blocked = products.join(bought, "product_id", "left_semi").select("seller_id").where(
+        F.col("seller_id").isNotNull()).distinct()
+    return (deletes.join(sellers.select("seller_id"), "seller_id", "left_semi")
+            .join(blocked, "seller_id", "left_anti"))
+
+
+def refused_deletes(deletes: DataFrame, allowed: DataFrame, existing: DataFrame, key: str, reason: str) -> DataFrame:
+    """Rejected side of a guarded delete: unknown keys, and keys that the guard holds back."""
+    known = existing.select(F.col(key).alias("_k")).distinct()
+    left = deletes.join(allowed.select(key), key, "left_anti")
+    return left.join(known, left[key] == F.col("_k"), "left").select(
+        *[left[c] for c in left.columns],
+        F.when(F.col("_k").isNull(), F.lit(NOT_FOUND)).otherwise(F.lit(reason)).alias("reason"))
+
+
+def delete_purchases(purchases: DataFrame, products: DataFrame, deletes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """U3 + U5 as one operator: the purchases that stay, and the products with the deleted quantities put back."""
+    gone = purchases.join(deletes.select("purchase_id"), "purchase_id", "left_semi")
+    return purchases_not_deleted(purchases, deletes), restock(products, gone)
+
+
 def purchases_not_deleted(purchases: DataFrame, deletes: DataFrame) -> DataFrame:
     """J9 / U3 (purchases): drop tombstoned or deleted purchase ids."""
     return purchases.join(deletes.select("purchase_id"), "purchase_id", "left_anti")
 
 
 def new_clients_unique_email(requests: DataFrame, clients: DataFrame, order: str = "request_id") -> DataFrame:
-    """E-mail not yet registered and first of its e-mail within the batch."""
+    """E-mail not yet registered and first of its e-mail within the batch.
+
+    A NULL e-mail is equal to no other (the unique constraint lets any number in), so such requests pass."""
     fresh = requests.join(clients.select("email"), "email", "left_anti")
-    return latest(fresh, "email", [F.col(order).asc()])
+    named = latest(fresh.where(F.col("email").isNotNull()), "email", [F.col(order).asc()])
+    return named.unionByName(fresh.where(F.col("email").isNull()).select(*named.columns))
 
 
 def email_taken(requests: DataFrame, clients: DataFrame, order: str = "request_id") -> DataFrame:
@@ -193,39 +231,86 @@ def restock(products: DataFrame, deleted_purchases: DataFrame) -> DataFrame:
     """``quantity += Σ deleted quantity`` per product (aggregate, then left join)."""
     back = deleted_purchases.groupBy("product_id").agg(F.sum("quantity").alias("_back"))
     j = products.join(back, "product_id", "left")
-    return j.withColumn("quantity", (F.col("quantity") + F.coalesce(F.col("_back"), F.lit(0))).cast("int")).drop(
+    return j.withColumn("quantity", (F.col("quantity") + F.coalesce(F.col("_back"), F.lit(0))).cast("bigint")).drop(
         "_back").select(*products.columns)
 
 
 # ---- U1 partial update ----------------------------------------------------------------
 
+# Columns that must not be set to NULL (the e-mail may be).
+NOT_NULL_FIELDS = ("first_name", "last_name", "company_name", "name", "price", "quantity")
+_LIMITS = {"first_name": NAME_MAX, "last_name": NAME_MAX, "company_name": COMPANY_MAX, "name": PRODUCT_NAME_MAX,
+           "email": EMAIL_MAX}
+
+
+def _patch_field_rules(field: str, present: Column, raw: Column, value: Column) -> list[tuple[str, Column]]:
+    out = []
+    if field in NOT_NULL_FIELDS:
+        out.append((f"{field} missing", present & raw.isNull()))
+    out.append((f"{field} invalid", raw.isNotNull() & value.isNull()))
+    if field in _LIMITS:
+        out.append((f"{field} too long", F.length(value) > _LIMITS[field]))
+    if field == "email":
+        out.append(("email invalid", ~value.rlike(EMAIL_PATTERN)))
+    if field == "price":
+        out.append(("price must be positive", value <= 0))
+    if field == "quantity":
+        out.append(("quantity below 1", value < 1))
+    return out
+
+
 def apply_patches(df: DataFrame, patches: DataFrame, key: str, fields: Sequence[str],
-                  order: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  order: str) -> tuple[DataFrame, DataFrame]:
     """Merge JSON patches into ``df``; only the fields present in a patch change.
 
-    ``patch`` is a JSON object; a key present with ``null`` sets NULL, an absent key
-    keeps the value (``map_contains_key`` on a ``map<string,string>``). With
-    several patches per key the latest by ``order`` wins. Patches for unknown
-    keys come back as rejected.
+    ``patch`` is a JSON object; a key present with ``null`` sets NULL, an absent key keeps the value
+    (``map_contains_key`` on a ``map<string,string>``). Each patch is checked like a single request: a JSON
+    object, an existing key, fields that convert (``try_cast``) and keep to their rules, an e-mail no other row
+    has. The accepted patches of a key apply in ``order``: each field takes its latest value. Rejected patches
+    come back as ``(key, order, reason)`` and change nothing.
     """
-    p = patches.select(key, F.from_json("patch", "map<string,string>").alias("_m"), *([order] if order else []))
-    if order:
-        p = latest(p, key, [order])
-    p = p.select(key, "_m")
-    rejected = p.join(df.select(key), key, "left_anti").select(key).withColumn(
-        "reason", F.lit("not found"))
-    j = df.join(p, key, "left")
-    cols = []
-    for c in df.columns:
-        if c in fields:
-            t = df.schema[c].dataType
-            cols.append(F.when(F.coalesce(F.map_contains_key("_m", F.lit(c)), F.lit(False)),
-                               F.col("_m")[c].cast(t)).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
+    types = {f: df.schema[f].dataType for f in fields}
+    parsed = patches.select(F.col(key).alias("_key"), F.col(order).alias("_order"),
+                            F.from_json("patch", "map<string,string>").alias("_m"))
+    known = df.select(F.col(key).alias("_known")).distinct()
+    parsed = parsed.join(known, F.col("_key") == F.col("_known"), "left")
+    present = {f: F.coalesce(F.map_contains_key("_m", F.lit(f)), F.lit(False)) for f in fields}
+    raw = {f: F.col("_m")[f] for f in fields}
+    parsed = parsed.select("_key", "_order", "_m", "_known", *[present[f].alias(f"_has_{f}") for f in fields],
+                           *[raw[f].alias(f"_raw_{f}") for f in fields],
+                           *[raw[f].try_cast(types[f]).alias(f"_val_{f}") for f in fields])
+    rules = [(PATCH_NOT_OBJECT, F.col("_m").isNull()), (NOT_FOUND, F.col("_known").isNull())]
+    for f in fields:
+        rules += _patch_field_rules(f, F.col(f"_has_{f}"), F.col(f"_raw_{f}"), F.col(f"_val_{f}"))
+    checked = with_reasons(parsed, rules)
+    if "email" in fields:
+        checked = _email_of_another(checked, df, key)
+    accepted = checked.where(F.col("reason").isNull())
+    last = [F.max(F.when(F.col(f"_has_{f}"), F.struct("_order", F.col(f"_val_{f}").alias("v")))).alias(f"_new_{f}")
+            for f in fields]
+    merged = accepted.groupBy("_key").agg(*last)
+    j = df.join(merged, F.col(key) == F.col("_key"), "left")
+    cols = [F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}")["v"]).otherwise(F.col(c)).alias(c)
+            if c in fields else F.col(c) for c in df.columns]
+    rejected = checked.where(F.col("reason").isNotNull()).select(
+        F.col("_key").alias(key), F.col("_order").alias(order), "reason")
     return j.select(*cols), rejected
 
 
+def _email_of_another(checked: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Adds the reason for a new e-mail that another row of ``df`` has, or an earlier patch of another key took."""
+    owner = df.where(F.col("email").isNotNull()).groupBy(F.col("email").alias("_owned")).agg(
+        F.min(key).alias("_owner"))
+    asks = F.col("reason").isNull() & F.col("_val_email").isNotNull()
+    first = checked.where(asks).groupBy(F.col("_val_email").alias("_asked")).agg(
+        F.min(F.struct("_order", "_key")).alias("_first"))
+    j = checked.join(owner, F.col("_val_email") == F.col("_owned"), "left").join(
+        first, F.col("_val_email") == F.col("_asked"), "left")
+    taken = (F.col("_owner") != F.col("_key")) | (F.col("_owner").isNull() & (F.col("_first")["_key"] != F.col("_key")))
+    reason = F.when(asks & F.coalesce(taken, F.lit(False)), F.lit(EMAIL_TAKEN)).otherwise(F.col("reason"))
+    return j.withColumn("reason", reason).drop("_owned", "_owner", "_asked", "_first")
+
+
 # ---- U2 insert with generated keys --------------------------------------------------------
 
 def assign_ids(new_rows: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -247,5 +332,5 @@ def assign_ids(new_rows: DataFrame, existing: DataFrame, key: str, order: Sequen
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     local_idx = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     out = ordered.join(F.broadcast(offsets), "_pid").withColumn(
-        key, (max_id + F.col("_off") + local_idx + 1).cast("int"))
+        key, (max_id + F.col("_off") + local_idx + 1).cast("bigint"))
     return out.drop("_pid", "_mid", "_off")

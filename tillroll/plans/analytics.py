@@ -4,6 +4,7 @@ series, roll-ups (each ``(spark, data_dir) -> DataFrame``) and their oracle SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators import marts as M
 from tillroll.operators import reports as R
@@ -49,11 +50,16 @@ for _mart_name, (_rname, _fn) in R.REPORTS.items():
 
 # ---- top-k (K1–K6) ---------------------------------------------------------
 
+def _years(spark, d):
+    """The events' years: one column of one table (dedup keeps the latest event of a purchase, so the last year stays)."""
+    return _fx(spark, d).table("lineitem").select(F.year("l_shipdate").alias("sale_year"))
+
+
 def _top(mart_name, measure, id_col, latest=False):
     def q(spark, d):
         r = report(_fx(spark, d), mart_name)
         if latest:
-            r = R.latest_year(r)
+            r = R.latest_year(r, years=_years(spark, d))
         return R.top_k(r, measure, id_col)
     return q
 
@@ -72,7 +78,8 @@ for _k, (_m, _r, _id, _latest) in _TOPS.items():
     SQL[_k] = with_views(
         f"SELECT * FROM {_r}{_where} ORDER BY total_revenue DESC NULLS LAST, {_id} ASC NULLS LAST LIMIT 10")
 
-QUERIES["latest_year"] = lambda spark, d: R.latest_year(report(_fx(spark, d), "mart_top_products_by_year"))
+QUERIES["latest_year"] = lambda spark, d: R.latest_year(
+    report(_fx(spark, d), "mart_top_products_by_year"), years=_years(spark, d))
 SQL["latest_year"] = with_views(
     "SELECT * FROM report_products_by_year WHERE sale_year = (SELECT max(sale_year) FROM report_products_by_year)")
 

@@ -15,6 +15,8 @@ from tillroll import schemas
 from tillroll.functions import casts as C
 from tillroll.operators import dedup as D
 from tillroll.operators import marts as M
+from tillroll.operators import rules as U
+from tillroll.plans import jobs
 from tillroll.plans.oracle import with_views
 from tillroll.session import scratch_path
 from tillroll.sources import csv_drops, files
@@ -71,33 +73,57 @@ def _src_json(s, d):
 
 # ---- S5 CSV drops ------------------------------------------------------------------------
 
-@reg("csv_load", "SELECT seller_id, name, price, quantity, created_at FROM products")
+def _rename_one(spark: SparkSession, folder: str, to: str) -> None:
+    """Give one CSV part file of ``folder`` a plain name (a drop as a person would name it)."""
+    fs, p = files._hadoop_fs(spark, folder)
+    part = sorted(x.getPath().toString() for x in fs.listStatus(p) if x.getPath().getName().endswith(".csv"))[0]
+    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(part), spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
+@reg("csv_load", """
+SELECT CAST((SELECT max(product_id) FROM products)
+            + row_number() OVER (ORDER BY seller_id, name, price, quantity, created_at) AS BIGINT) AS product_id,
+       seller_id, name, price, quantity, created_at
+FROM products""")
 def _csv_load(s, d):
+    """S5 + U2: drops (one named with a space, one with a bad row) → loaded rows → products with generated ids."""
     root = scratch_path(s, "drops")
-    p = fx(s, d).products.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    f = fx(s, d)
+    p = f.products.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     csv_drops.write_drops(p, f"{root}/in")
+    _rename_one(s, f"{root}/in", f"{root}/in/spring offers 100+.CSV")
+    csv_drops.write_drops(p.withColumn("price", F.lit("free")), f"{root}/bad", n_files=1)
+    _rename_one(s, f"{root}/bad", f"{root}/in/bad rows.csv")
     out = f"{root}/loaded"
+    rejected = csv_drops.load_and_record(s, f"{root}/in", f"{root}/ledger", out, LOADED_AT)
+    if [r.filename for r in rejected.collect()] != ["bad rows.csv"]:
+        raise ValueError("the file with bad rows must be rejected, and no other")
+    # a second run finds every good file in the ledger and loads nothing more
     csv_drops.load_and_record(s, f"{root}/in", f"{root}/ledger", out, LOADED_AT)
-    # a second run finds every file in the ledger and loads nothing more
-    csv_drops.load_and_record(s, f"{root}/in", f"{root}/ledger", out, LOADED_AT)
-    return s.read.parquet(out).drop("filename")
+    loaded = s.read.parquet(out).drop("filename")
+    return U.assign_ids(loaded, f.products, "product_id", ["seller_id", "name", "price", "quantity", "created_at"]).select(
+        *schemas.PRODUCT_COLS)
 
 
 # ---- S9 S10 S11 sinks ------------------------------------------------------------------------
 
 @reg("sink_dim", "SELECT * FROM clients")
 def _sink_dim(s, d):
-    path = scratch_path(s, "dim_clients")
-    files.write_parquet(fx(s, d).clients_raw, path)
-    files.write_parquet(fx(s, d).clients, path + "_v2")
-    return s.read.schema(schemas.CLIENTS).parquet(path + "_v2")
+    """Two publishes under one name: the second replaces the first for readers."""
+    root = scratch_path(s, "dims")
+    jobs.publish({"dim_clients": fx(s, d).clients_raw, "dim_sellers": fx(s, d).sellers_raw}, root)
+    jobs.publish({"dim_clients": fx(s, d).clients, "dim_sellers": fx(s, d).sellers}, root)
+    return s.read.schema(schemas.CLIENTS).parquet(files.current_version(s, root, "dim_clients"))
 
 
 @reg("sink_fact", "SELECT * FROM fact")
 def _sink_fact(s, d):
-    path = scratch_path(s, "fact")
-    files.write_parquet(fx(s, d).fact.sortWithinPartitions("purchased_at", "purchase_id"), path)
-    return s.read.schema(schemas.FACT).parquet(path)
+    """The fact published over an earlier, smaller version."""
+    root = scratch_path(s, "fact")
+    fact = fx(s, d).fact
+    jobs.publish({"fact_purchases": fact.where("seller_id is null")}, root)
+    jobs.publish({"fact_purchases": fact.sortWithinPartitions("purchased_at", "purchase_id")}, root)
+    return s.read.schema(schemas.FACT).parquet(files.current_version(s, root, "fact_purchases"))
 
 
 @reg("sink_mart", "SELECT * FROM mart_seller_revenue_by_month")
@@ -112,30 +138,36 @@ def _sink_mart(s, d):
 
 def topic_lines(spark: SparkSession, d: str) -> DataFrame:
     """The purchase topic as text lines, derived from the driver tables (FIXTURES.md §6):
-    one event per line item, a tombstone per returned item, and a cut-off (corrupt)
-    line per order in status P."""
+    one event per line item, a tombstone per returned item, and two corrupt lines (cut
+    off; incomplete) per order in status P."""
     f = fx(spark, d)
     events = C.event_json(f.purchase_events)
     tomb = (read_table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
-            .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("purchase_id"))
+            .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("purchase_id"))
             .distinct()
             .select(F.to_json(F.struct("purchase_id", F.lit(True).alias("deleted"))).alias("value")))
-    junk = (read_table(spark, d, "orders").where(F.col("o_orderstatus") == "P")
-            .select(F.concat(F.lit('{"purchase_id":'), F.col("o_orderkey").cast("string"), F.lit(',"client')).alias("value")))
+    order = read_table(spark, d, "orders").where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").cast("string").alias("k"))
+    # a cut-off line, and an object with a bad time and a field of its own
+    junk = order.select(F.explode(F.array(
+        F.concat(F.lit('{"purchase_id":'), "k", F.lit(',"client')),
+        F.concat(F.lit('{"purchase_id":'), "k", F.lit(',"purchased_at":"yesterday","x":1}')))).alias("value"))
     return events.unionByName(tomb).unionByName(junk)
 
 
-def _landed(spark: SparkSession, d: str, runs: int = 1, fresh_checkpoint: bool = False) -> str:
+def _landed(spark: SparkSession, d: str, runs: int = 1, lost_checkpoint: bool = False) -> str:
     root = scratch_path(spark, "landing")
     src = L.write_ndjson(topic_lines(spark, d), f"{root}/topic")
     ckpt = f"{root}/_checkpoint"
-    for i in range(runs):
-        q = L.start_landing(L.purchase_stream(spark, "text", path=src), f"{root}/out", ckpt, available_now=True)
-        q.awaitTermination()
-    if fresh_checkpoint:
-        q = L.start_landing(L.purchase_stream(spark, "text", path=src), f"{root}/out", ckpt + "_new",
-                            available_now=True)
-        q.awaitTermination()
+
+    def land():
+        L.start_landing(L.purchase_stream(spark, "text", path=src), f"{root}/out", ckpt, available_now=True).awaitTermination()
+
+    for _ in range(runs):
+        land()
+    if lost_checkpoint:  # the same path, without what was in it
+        fs, p = files._hadoop_fs(spark, ckpt)
+        fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(ckpt + "_lost"))
+        land()
     return f"{root}/out"
 
 
@@ -176,24 +208,25 @@ def _src_landed(s, d):
 
 
 @reg("stream_route", """
-SELECT 'tombstone' AS route, purchase_id FROM purchase_deletes
+SELECT 'tombstone' AS route, purchase_id, CAST(NULL AS VARCHAR) AS raw FROM purchase_deletes
 UNION ALL
-SELECT 'corrupt' AS route, CAST(NULL AS INT) AS purchase_id FROM orders WHERE o_orderstatus = 'P'""")
+SELECT 'corrupt', NULL, '{"purchase_id":' || o_orderkey || ',"client' FROM orders WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT 'corrupt', NULL, '{"purchase_id":' || o_orderkey || ',"purchased_at":"yesterday","x":1}' FROM orders WHERE o_orderstatus = 'P'""")
 def _stream_route(s, d):
-    """ST4: tombstones and corrupt lines routed away from the data."""
+    """ST4: tombstones and corrupt lines (their whole text) routed away from the data."""
     out = _landed(s, d)
-    t = L.read_route(s, out, "tombstones").select(F.lit("tombstone").alias("route"), "purchase_id")
-    c = L.read_route(s, out, "corrupt").select(F.lit("corrupt").alias("route"),
-                                               F.lit(None).cast("int").alias("purchase_id"))
+    t = L.read_route(s, out, "tombstones").select(F.lit("tombstone").alias("route"), "purchase_id", F.lit(None).cast("string").alias("raw"))
+    c = L.read_route(s, out, "corrupt").select(F.lit("corrupt").alias("route"), F.lit(None).cast("bigint").alias("purchase_id"), "raw")
     return t.unionByName(c)
 
 
 @reg("stream_replay", """
 SELECT * FROM purchases p WHERE NOT EXISTS (SELECT 1 FROM purchase_deletes x WHERE x.purchase_id = p.purchase_id)""")
 def _stream_replay(s, d):
-    """ST5 + J9: two runs on one checkpoint (the second adds nothing) and a run on a
-    fresh checkpoint (everything again); dedup and tombstones give the batch result."""
-    out = _landed(s, d, runs=2, fresh_checkpoint=True)
+    """ST5 + J9: two runs on one checkpoint (the second adds nothing) and a run after the
+    checkpoint was lost (everything again, under the same path); dedup and tombstones give the batch result."""
+    out = _landed(s, d, runs=2, lost_checkpoint=True)
     data = D.dedup_purchases(L.read_route(s, out, "data"))
     tombs = L.read_route(s, out, "tombstones")
     return data.join(tombs, "purchase_id", "left_anti")
@@ -204,8 +237,6 @@ SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM purchase_deletes x WHERE x.
 def _nightly_fact(s, d):
     """The nightly job end to end: stage snapshots (S7) and the landed stream (S12) →
     dims and fact (D1–D4, P3, J9, J3) written and read back."""
-    from tillroll.plans import jobs
-
     f = fx(s, d)
     root = scratch_path(s, "nightly")
     jobs.stage_snapshots({"clients": f.clients_raw, "sellers": f.sellers, "products": f.products,

@@ -40,9 +40,13 @@ def fx(spark, d) -> Fixture:
 # ---- D1–D4 ----------------------------------------------------------------------------
 
 reg("dedup_clients", "SELECT * FROM clients")(lambda s, d: D.dedup_clients(fx(s, d).clients_raw))
-reg("dedup_sellers", "SELECT * FROM sellers")(lambda s, d: D.dedup_sellers(fx(s, d).sellers))
-reg("dedup_products", "SELECT * FROM products")(lambda s, d: D.dedup_products(fx(s, d).products))
-reg("dedup_purchases", "SELECT * FROM purchases")(lambda s, d: D.dedup_purchases(fx(s, d).purchase_events))
+reg("dedup_sellers", "SELECT * FROM sellers")(lambda s, d: D.dedup_sellers(fx(s, d).sellers_raw))
+reg("dedup_products", "SELECT * FROM products")(lambda s, d: D.dedup_products(fx(s, d).products_raw))
+reg("dedup_purchases", """
+SELECT * FROM purchase_events_tied
+QUALIFY row_number() OVER (PARTITION BY purchase_id ORDER BY purchased_at DESC, product_id DESC, quantity DESC, full_price DESC,
+                           client_id DESC, price DESC) = 1""")(
+    lambda s, d: D.dedup_purchases(fx(s, d).purchase_events_tied))
 
 
 # ---- P1–P3, P6–P9, P13–P16 ---------------------------------------------------------------
@@ -102,6 +106,11 @@ def _price(s, d):
     return U.price_purchases(RQ.purchase_requests(s, d), fx(s, d).products)
 
 
+reg("fill_defaults_quantity", """
+SELECT request_id, seller_id, name, price, COALESCE(quantity, 1) AS quantity FROM product_inserts""")(
+    lambda s, d: U.fill_defaults(RQ.product_inserts(s, d), JOB_NOW))
+
+
 @reg("fill_defaults", f"SELECT *, TIMESTAMP '{JOB_NOW}' AS signup_date FROM client_inserts")
 def _fill(s, d):
     req = RQ.client_inserts(s, d).withColumn("signup_date", F.lit(None).cast("timestamp_ntz"))
@@ -127,6 +136,9 @@ reg("list_products_by_seller", "SELECT * FROM products WHERE seller_id = 0")(
 reg("list_purchases_filtered", "SELECT * FROM purchases WHERE client_id = 0")(
     lambda s, d: A.filter_optional(fx(s, d).purchases, client_id=0, product_id=None))
 
+reg("list_purchases_both", "SELECT * FROM purchases WHERE client_id = 1 AND product_id = 1")(
+    lambda s, d: A.filter_optional(fx(s, d).purchases, client_id=1, product_id=1))
+
 reg("stock_available", """
 SELECT r.product_id, r.request_id, r.client_id, r.quantity, r.requested_at, p.quantity AS stock
 FROM purchase_requests r JOIN products p ON r.product_id = p.product_id WHERE p.quantity >= r.quantity""")(
@@ -195,17 +207,74 @@ SELECT * FROM purchases p WHERE NOT EXISTS (SELECT 1 FROM purchase_deletes x WHE
 reg("purchases_not_deleted", _NOT_DELETED)(
     lambda s, d: U.purchases_not_deleted(fx(s, d).purchases, RQ.purchase_deletes(s, d)))
 reg("delete_purchases", _NOT_DELETED)(
-    lambda s, d: U.delete_by_key(fx(s, d).purchases, RQ.purchase_deletes(s, d), "purchase_id"))
+    lambda s, d: U.delete_purchases(fx(s, d).purchases, fx(s, d).products, RQ.purchase_deletes(s, d))[0])
 
 _UNIQUE_EMAIL = """
 SELECT * FROM client_inserts r WHERE NOT EXISTS (SELECT 1 FROM clients c WHERE c.email = r.email)
-QUALIFY row_number() OVER (PARTITION BY email ORDER BY request_id) = 1"""
+QUALIFY email IS NULL OR row_number() OVER (PARTITION BY email ORDER BY request_id) = 1"""
 reg("new_clients_unique_email", _UNIQUE_EMAIL)(
     lambda s, d: U.new_clients_unique_email(RQ.client_inserts(s, d), fx(s, d).clients))
 
-reg("cascade_delete_products", """
-SELECT * FROM products p WHERE NOT EXISTS (SELECT 1 FROM seller_deletes x WHERE x.seller_id = p.seller_id)""")(
-    lambda s, d: U.cascade_delete_products(fx(s, d).products, RQ.seller_deletes(s, d)))
+reg("email_taken", f"""
+SELECT *, 'Email already registered' AS reason FROM client_inserts r
+WHERE request_id NOT IN (SELECT request_id FROM ({_UNIQUE_EMAIL}) k)""")(
+    lambda s, d: U.email_taken(RQ.client_inserts(s, d), fx(s, d).clients))
+
+# Deletes that the purchases hold back: known and not purchased, by product and by seller.
+_OK_PRODUCTS = """
+SELECT x.product_id FROM product_deletes x
+WHERE EXISTS (SELECT 1 FROM products p WHERE p.product_id = x.product_id)
+  AND NOT EXISTS (SELECT 1 FROM purchases b WHERE b.product_id = x.product_id)"""
+_OK_SELLERS = """
+SELECT x.seller_id FROM seller_deletes x
+WHERE EXISTS (SELECT 1 FROM sellers t WHERE t.seller_id = x.seller_id)
+  AND NOT EXISTS (SELECT 1 FROM products p JOIN purchases b ON b.product_id = p.product_id WHERE p.seller_id = x.seller_id)"""
+
+
+def _ok_clients(s, d):
+    f = fx(s, d)
+    return U.deletable_clients(RQ.client_deletes(s, d), f.clients, f.purchases)
+
+
+def _ok_products(s, d):
+    f = fx(s, d)
+    return U.deletable_products(RQ.product_deletes(s, d), f.products, f.purchases)
+
+
+def _ok_sellers(s, d):
+    f = fx(s, d)
+    return U.deletable_sellers(RQ.seller_deletes(s, d), f.sellers, f.products, f.purchases)
+
+
+reg("deletable_products", _OK_PRODUCTS)(_ok_products)
+reg("deletable_sellers", _OK_SELLERS)(_ok_sellers)
+
+
+def _refused_sql(deletes, ok, table, key, reason):
+    return f"""
+SELECT x.{key}, CASE WHEN NOT EXISTS (SELECT 1 FROM {table} t WHERE t.{key} = x.{key}) THEN 'not found' ELSE '{reason}' END AS reason
+FROM {deletes} x WHERE NOT EXISTS (SELECT 1 FROM ({ok}) k WHERE k.{key} = x.{key})"""
+
+
+_OK_CLIENTS = """
+SELECT q.client_id FROM client_deletes q
+WHERE EXISTS (SELECT 1 FROM clients c WHERE c.client_id = q.client_id)
+  AND NOT EXISTS (SELECT 1 FROM purchases p WHERE p.client_id = q.client_id)"""
+reg("delete_clients_rejected", _refused_sql("client_deletes", _OK_CLIENTS, "clients", "client_id",
+                                            "Cannot delete client with existing purchases"))(
+    lambda s, d: U.refused_deletes(RQ.client_deletes(s, d), _ok_clients(s, d), fx(s, d).clients, "client_id", U.HAS_PURCHASES))
+reg("delete_products_rejected", _refused_sql("product_deletes", _OK_PRODUCTS, "products", "product_id",
+                                             "Cannot delete product with existing purchases"))(
+    lambda s, d: U.refused_deletes(RQ.product_deletes(s, d), _ok_products(s, d), fx(s, d).products, "product_id",
+                                   U.PRODUCT_HAS_PURCHASES))
+reg("delete_sellers_rejected", _refused_sql("seller_deletes", _OK_SELLERS, "sellers", "seller_id",
+                                            "Cannot delete seller with purchased products"))(
+    lambda s, d: U.refused_deletes(RQ.seller_deletes(s, d), _ok_sellers(s, d), fx(s, d).sellers, "seller_id",
+                                   U.SELLER_HAS_PURCHASES))
+
+reg("cascade_delete_products", f"""
+SELECT * FROM products p WHERE p.seller_id NOT IN (SELECT seller_id FROM ({_OK_SELLERS}) x)""")(
+    lambda s, d: U.cascade_delete_products(fx(s, d).products, _ok_sellers(s, d)))
 
 
 @reg("set_null_missing_dim", """
@@ -228,24 +297,21 @@ SELECT * FROM clients c WHERE NOT EXISTS (
     lambda s, d: U.delete_by_key(fx(s, d).clients,
                                  U.deletable_clients(RQ.client_deletes(s, d), fx(s, d).clients, fx(s, d).purchases),
                                  "client_id"))
-reg("delete_products", """
-SELECT * FROM products p WHERE NOT EXISTS (SELECT 1 FROM product_deletes x WHERE x.product_id = p.product_id)""")(
-    lambda s, d: U.delete_by_key(fx(s, d).products, RQ.product_deletes(s, d), "product_id"))
-reg("delete_sellers", """
-SELECT * FROM sellers p WHERE NOT EXISTS (SELECT 1 FROM seller_deletes x WHERE x.seller_id = p.seller_id)""")(
-    lambda s, d: U.delete_by_key(fx(s, d).sellers, RQ.seller_deletes(s, d), "seller_id"))
+reg("delete_products", f"SELECT * FROM products p WHERE product_id NOT IN (SELECT product_id FROM ({_OK_PRODUCTS}) x)")(
+    lambda s, d: U.delete_by_key(fx(s, d).products, _ok_products(s, d), "product_id"))
+reg("delete_sellers", f"SELECT * FROM sellers p WHERE seller_id NOT IN (SELECT seller_id FROM ({_OK_SELLERS}) x)")(
+    lambda s, d: U.delete_by_key(fx(s, d).sellers, _ok_sellers(s, d), "seller_id"))
 
 
 @reg("restock", """
-SELECT p.product_id, p.seller_id, p.name, p.price, CAST(p.quantity + COALESCE(b.back, 0) AS INT) AS quantity, p.created_at
+SELECT p.product_id, p.seller_id, p.name, p.price, CAST(p.quantity + COALESCE(b.back, 0) AS BIGINT) AS quantity, p.created_at
 FROM products p LEFT JOIN (
   SELECT product_id, sum(quantity) AS back FROM purchases x
   WHERE EXISTS (SELECT 1 FROM purchase_deletes y WHERE y.purchase_id = x.purchase_id) GROUP BY product_id) b
 ON p.product_id = b.product_id""")
 def _restock(s, d):
     f = fx(s, d)
-    gone = A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id")
-    return U.restock(f.products, gone)
+    return U.delete_purchases(f.purchases, f.products, RQ.purchase_deletes(s, d))[1]
 
 
 # ---- V1–V3 -----------------------------------------------------------------------------------
@@ -298,35 +364,72 @@ def _classify(s, d):
 
 # ---- U1 partial updates ----------------------------------------------------------------------
 
-def _patched(field, cast=None):
-    v = f"json_extract_string(q.patch, '$.{field}')"
-    if cast:
-        v = f"CAST({v} AS {cast})"
-    return f"CASE WHEN coalesce(json_exists(q.patch, '$.{field}'), false) THEN {v} ELSE t.{field} END AS {field}"
-
-
-reg("update_clients", f"""
-SELECT t.client_id, {_patched('first_name')}, {_patched('last_name')}, {_patched('email')}, t.signup_date
-FROM clients t LEFT JOIN client_patches q ON t.client_id = q.client_id""")(
-    lambda s, d: U.apply_patches(fx(s, d).clients, RQ.client_patches(s, d), "client_id",
-                                 ["first_name", "last_name", "email"])[0])
-reg("update_sellers", f"""
-SELECT t.seller_id, {_patched('first_name')}, {_patched('last_name')}, {_patched('company_name')},
-       {_patched('email')}, t.created_at
-FROM sellers t LEFT JOIN seller_patches q ON t.seller_id = q.seller_id""")(
-    lambda s, d: U.apply_patches(fx(s, d).sellers, RQ.seller_patches(s, d), "seller_id",
-                                 ["first_name", "last_name", "company_name", "email"])[0])
-reg("update_products", f"""
-SELECT t.product_id, t.seller_id, {_patched('name')}, {_patched('price', 'DECIMAL(12,2)')},
-       {_patched('quantity', 'INT')}, t.created_at
-FROM products t LEFT JOIN product_patches q ON t.product_id = q.product_id""")(
-    lambda s, d: U.apply_patches(fx(s, d).products, RQ.product_patches(s, d), "product_id",
-                                 ["name", "price", "quantity"])[0])
-reg("update_clients_rejected", """
-SELECT client_id, 'not found' AS reason FROM client_patches q
-WHERE NOT EXISTS (SELECT 1 FROM clients c WHERE c.client_id = q.client_id)""")(
-    lambda s, d: U.apply_patches(fx(s, d).clients, RQ.client_patches(s, d), "client_id",
-                                 ["first_name", "last_name", "email"])[1])
+# field → (type of its value, longest text or None, may not be NULL)
+_CLIENT_FIELDS = {"first_name": ("VARCHAR", 100, True), "last_name": ("VARCHAR", 100, True), "email": ("VARCHAR", 255, False)}
+_SELLER_FIELDS = {"first_name": ("VARCHAR", 100, True), "last_name": ("VARCHAR", 100, True),
+                  "company_name": ("VARCHAR", 200, True), "email": ("VARCHAR", 255, False)}
+_PRODUCT_FIELDS = {"name": ("VARCHAR", 200, True), "price": ("DECIMAL(12,2)", None, True), "quantity": ("BIGINT", None, True)}
+
+
+def _field_reason_sql(f, limit, required):
+    parts = [f"CASE WHEN has_{f} AND raw_{f} IS NULL THEN '{f} missing' END"] if required else []
+    parts.append(f"CASE WHEN raw_{f} IS NOT NULL AND val_{f} IS NULL THEN '{f} invalid' END")
+    if limit:
+        parts.append(f"CASE WHEN length(val_{f}) > {limit} THEN '{f} too long' END")
+    if f == "email":
+        parts.append(r"CASE WHEN NOT regexp_matches(val_email, '^[^@\s]+@[^@\s]+\.[^@\s]+$') THEN 'email invalid' END")
+    if f == "price":
+        parts.append("CASE WHEN val_price <= 0 THEN 'price must be positive' END")
+    if f == "quantity":
+        parts.append("CASE WHEN val_quantity < 1 THEN 'quantity below 1' END")
+    return parts
+
+
+def _patch_ctes(table, patches, key, fields):
+    """``checked_<table>``: every patch with its typed fields and reason; ``merged_<table>``: latest accepted value of each field."""
+    has = ", ".join(f"coalesce(json_exists(p, '$.{f}'), false) AS has_{f}, json_extract_string(p, '$.{f}') AS raw_{f}" for f in fields)
+    val = ", ".join(f"TRY_CAST(raw_{f} AS {t}) AS val_{f}" for f, (t, _, _) in fields.items())
+    reasons = ["CASE WHEN p IS NULL THEN 'patch is not a JSON object' END",
+               f"CASE WHEN NOT EXISTS (SELECT 1 FROM {table} t WHERE t.{key} = w.{key}) THEN 'not found' END"]
+    for f, (_, limit, required) in fields.items():
+        reasons += _field_reason_sql(f, limit, required)
+    taken = "reason"
+    if "email" in fields:
+        taken = f"""CASE WHEN reason IS NULL AND val_email IS NOT NULL AND coalesce(
+    (SELECT min(t.{key}) FROM {table} t WHERE t.email = v.val_email),
+    (SELECT arg_min(o.{key}, o.seq) FROM valued_{table} o WHERE o.reason IS NULL AND o.val_email = v.val_email)) <> v.{key}
+  THEN 'Email already registered' ELSE reason END AS reason"""
+    last = ", ".join(f"bool_or(has_{f}) AS any_{f}, last(val_{f} ORDER BY seq) FILTER (WHERE has_{f}) AS new_{f}" for f in fields)
+    return f"""object_{table} AS (
+  SELECT {key}, seq, patch, CASE WHEN CASE WHEN json_valid(patch) THEN json_type(patch) END = 'OBJECT' THEN patch END AS p FROM {patches}),
+raw_{table} AS (SELECT {key}, seq, patch, p, {has} FROM object_{table}),
+typed_{table} AS (SELECT *, {val} FROM raw_{table}),
+valued_{table} AS (SELECT *, {_reason_sql(reasons)} FROM typed_{table} w),
+checked_{table} AS (SELECT * EXCLUDE (reason), {taken} FROM valued_{table} v),
+merged_{table} AS (SELECT {key}, {last} FROM checked_{table} WHERE reason IS NULL GROUP BY {key})"""
+
+
+def _updated_sql(table, key, columns, fields):
+    cols = ", ".join(f"CASE WHEN m.any_{c} THEN m.new_{c} ELSE t.{c} END AS {c}" if c in fields else f"t.{c}" for c in columns)
+    return f"SELECT {cols} FROM {table} t LEFT JOIN merged_{table} m ON t.{key} = m.{key}"
+
+
+_PATCHED = {"clients": ("client_patches", "client_id", _CLIENT_FIELDS, schemas.CLIENT_COLS),
+            "sellers": ("seller_patches", "seller_id", _SELLER_FIELDS, schemas.SELLER_COLS),
+            "products": ("product_patches", "product_id", _PRODUCT_FIELDS, schemas.PRODUCT_COLS)}
+
+
+def _patched(s, d, table):
+    patches, key, fields, _ = _PATCHED[table]
+    return U.apply_patches(getattr(fx(s, d), table), getattr(RQ, patches)(s, d), key, list(fields), order="seq")
+
+
+for _table, (_patches, _key, _fields, _columns) in _PATCHED.items():
+    _ctes = _patch_ctes(_table, _patches, _key, _fields)
+    reg(f"update_{_table}", f"WITH {_ctes} {_updated_sql(_table, _key, _columns, _fields)}")(
+        (lambda t: lambda s, d: _patched(s, d, t)[0])(_table))
+    reg(f"update_{_table}_rejected", f"WITH {_ctes} SELECT {_key}, seq, reason FROM checked_{_table} WHERE reason IS NOT NULL")(
+        (lambda t: lambda s, d: _patched(s, d, t)[1])(_table))
 
 
 # ---- U2 inserts with generated keys --------------------------------------------------------------
@@ -336,7 +439,7 @@ WITH ok AS (
   SELECT * FROM (SELECT *, {CLIENT_REASON_SQL} FROM client_inserts) v
   WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM clients c WHERE c.email = v.email)
   QUALIFY row_number() OVER (PARTITION BY email ORDER BY request_id) = 1)
-SELECT CAST((SELECT max(client_id) FROM clients) + row_number() OVER (ORDER BY request_id) AS INT) AS client_id,
+SELECT CAST((SELECT max(client_id) FROM clients) + row_number() OVER (ORDER BY request_id) AS BIGINT) AS client_id,
        first_name, last_name, email, TIMESTAMP '{JOB_NOW}' AS signup_date
 FROM ok""")
 def _insert_clients(s, d):
@@ -353,7 +456,7 @@ WITH ok AS (
   SELECT * FROM (SELECT *, {SELLER_REASON_SQL} FROM seller_inserts) v
   WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM sellers c WHERE c.email = v.email)
   QUALIFY row_number() OVER (PARTITION BY email ORDER BY request_id) = 1)
-SELECT CAST((SELECT max(seller_id) FROM sellers) + row_number() OVER (ORDER BY request_id) AS INT) AS seller_id,
+SELECT CAST((SELECT max(seller_id) FROM sellers) + row_number() OVER (ORDER BY request_id) AS BIGINT) AS seller_id,
        first_name, last_name, company_name, email, TIMESTAMP '{JOB_NOW}' AS created_at
 FROM ok""")
 def _insert_sellers(s, d):
@@ -369,8 +472,8 @@ def _insert_sellers(s, d):
 WITH ok AS (
   SELECT * FROM (SELECT *, {PRODUCT_REASON_SQL} FROM product_inserts) v
   WHERE reason IS NULL AND EXISTS (SELECT 1 FROM sellers s WHERE s.seller_id = v.seller_id))
-SELECT CAST((SELECT max(product_id) FROM products) + row_number() OVER (ORDER BY request_id) AS INT) AS product_id,
-       seller_id, name, price, CAST(COALESCE(quantity, 1) AS INT) AS quantity, TIMESTAMP '{JOB_NOW}' AS created_at
+SELECT CAST((SELECT max(product_id) FROM products) + row_number() OVER (ORDER BY request_id) AS BIGINT) AS product_id,
+       seller_id, name, price, CAST(COALESCE(quantity, 1) AS BIGINT) AS quantity, TIMESTAMP '{JOB_NOW}' AS created_at
 FROM ok""")
 def _insert_products(s, d):
     f = fx(s, d)
@@ -383,27 +486,51 @@ def _insert_products(s, d):
 
 # ---- V2 constraint audit ---------------------------------------------------------------------------
 
-@reg("audit_constraints", """
-SELECT 'clients_raw' AS table_name, 'pk_unique' AS check_name,
-       CAST((SELECT count(*) FROM (SELECT client_id FROM clients_raw GROUP BY client_id HAVING count(*) > 1)) AS BIGINT) AS violations
-UNION ALL SELECT 'clients', 'pk_unique', CAST((SELECT count(*) FROM (SELECT client_id FROM clients GROUP BY client_id HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'clients', 'email_unique', CAST((SELECT count(*) FROM (SELECT email FROM clients WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'clients', 'not_null', CAST((SELECT count(*) FROM clients WHERE first_name IS NULL OR last_name IS NULL OR signup_date IS NULL) AS BIGINT)
-UNION ALL SELECT 'sellers', 'pk_unique', CAST((SELECT count(*) FROM (SELECT seller_id FROM sellers GROUP BY seller_id HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'sellers', 'email_unique', CAST((SELECT count(*) FROM (SELECT email FROM sellers WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'products', 'pk_unique', CAST((SELECT count(*) FROM (SELECT product_id FROM products GROUP BY product_id HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'products', 'fk_seller', CAST((SELECT count(*) FROM products p WHERE p.seller_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sellers s WHERE s.seller_id = p.seller_id)) AS BIGINT)
-UNION ALL SELECT 'fact', 'pk_unique', CAST((SELECT count(*) FROM (SELECT purchase_id FROM fact GROUP BY purchase_id HAVING count(*) > 1)) AS BIGINT)
-UNION ALL SELECT 'fact', 'not_null', CAST((SELECT count(*) FROM fact WHERE quantity IS NULL OR price IS NULL OR full_price IS NULL OR purchased_at IS NULL) AS BIGINT)
-UNION ALL SELECT 'fact', 'fk_client', CAST((SELECT count(*) FROM fact f WHERE f.client_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM clients c WHERE c.client_id = f.client_id)) AS BIGINT)
-UNION ALL SELECT 'fact', 'fk_product', CAST((SELECT count(*) FROM fact f WHERE f.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = f.product_id)) AS BIGINT)
-UNION ALL SELECT 'fact', 'fk_seller', CAST((SELECT count(*) FROM fact f WHERE f.seller_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sellers s WHERE s.seller_id = f.seller_id)) AS BIGINT)""")
+def _audit_sql(table, pk, unique, not_null, limits, fks):
+    def row(name, sql):
+        return f"SELECT '{table}' AS table_name, '{name}' AS check_name, CAST(({sql}) AS BIGINT) AS violations"
+
+    def twice(c, where=""):
+        return f"SELECT count(*) FROM (SELECT {c} FROM {table} {where} GROUP BY {c} HAVING count(*) > 1)"
+
+    out = [row("pk_unique", twice(pk))] + [row(f"{u}_unique", twice(u, f"WHERE {u} IS NOT NULL")) for u in unique]
+    if not_null:
+        out.append(row("not_null", f"SELECT count(*) FROM {table} WHERE " + " OR ".join(f"{c} IS NULL" for c in not_null)))
+    if limits:
+        out.append(row("too_long", f"SELECT count(*) FROM {table} WHERE " + " OR ".join(f"length({c}) > {n}" for c, n in limits)))
+    for c, parent, name in fks:
+        out.append(row(name, f"SELECT count(*) FROM {table} t WHERE t.{c} IS NOT NULL AND NOT EXISTS "
+                             f"(SELECT 1 FROM {parent} p WHERE p.{c} = t.{c})"))
+    return " UNION ALL ".join(out)
+
+
+_CLIENT_LIMITS = [("first_name", 100), ("last_name", 100), ("email", 255)]
+_SELLER_LIMITS = [("first_name", 100), ("last_name", 100), ("company_name", 200), ("email", 255)]
+_CLIENT_NOT_NULL = ["client_id", "first_name", "last_name", "signup_date"]
+_SELLER_NOT_NULL = ["seller_id", "first_name", "last_name", "company_name", "created_at"]
+_PRODUCT_NOT_NULL = ["product_id", "seller_id", "name", "price", "quantity", "created_at"]
+_FK_SELLER = [("seller_id", "sellers", "fk_seller")]
+_AUDIT_SQL = " UNION ALL ".join([
+    _audit_sql("clients_raw", "client_id", [], _CLIENT_NOT_NULL, _CLIENT_LIMITS, []),
+    _audit_sql("clients", "client_id", ["email"], _CLIENT_NOT_NULL, _CLIENT_LIMITS, []),
+    _audit_sql("sellers_raw", "seller_id", ["email"], _SELLER_NOT_NULL, _SELLER_LIMITS, []),
+    _audit_sql("sellers", "seller_id", ["email"], _SELLER_NOT_NULL, _SELLER_LIMITS, []),
+    _audit_sql("products_raw", "product_id", [], _PRODUCT_NOT_NULL, [("name", 200)], _FK_SELLER),
+    _audit_sql("products", "product_id", [], _PRODUCT_NOT_NULL, [("name", 200)], _FK_SELLER),
+    _audit_sql("purchases", "purchase_id", [], ["purchase_id", "client_id", "product_id", "quantity", "purchased_at"], [],
+               [("client_id", "clients", "fk_client"), ("product_id", "products", "fk_product")]),
+    _audit_sql("fact", "purchase_id", [], ["purchase_id", "quantity", "price", "full_price", "purchased_at"], [],
+               [("client_id", "clients", "fk_client"), ("product_id", "products", "fk_product"), ("seller_id", "sellers", "fk_seller")]),
+])
+
+
+@reg("audit_constraints", _AUDIT_SQL)
 def _audit(s, d):
     from tillroll.operators import audit
     f = fx(s, d)
     return audit.audit_constraints({
-        "clients_raw": f.clients_raw, "clients": f.clients, "sellers": f.sellers,
-        "products": f.products, "fact": f.fact})
+        "clients_raw": f.clients_raw, "clients": f.clients, "sellers_raw": f.sellers_raw, "sellers": f.sellers,
+        "products_raw": f.products_raw, "products": f.products, "purchases": f.purchases, "fact": f.fact})
 
 
 # ---- U4 stock allocation ------------------------------------------------------------------------
@@ -420,7 +547,8 @@ t AS (
   SELECT q.purchase_id, q.product_id, q.quantity, q.rn, q.quantity <= t.remaining,
          CASE WHEN q.quantity <= t.remaining THEN t.remaining - q.quantity ELSE t.remaining END
   FROM t JOIN q ON q.product_id = t.product_id AND q.rn = t.rn + 1)
-SELECT purchase_id, product_id, quantity, accepted, CAST(remaining AS INT) AS remaining FROM t""")
+SELECT purchase_id, product_id, quantity, accepted, CAST(remaining AS BIGINT) AS remaining,
+       CASE WHEN NOT accepted THEN 'Not enough quantity available' END AS reason FROM t""")
 def _allocate(s, d):
     f = fx(s, d)
     return stock.allocate(f.purchases, f.products)
@@ -444,7 +572,7 @@ t AS (
   SELECT product_id, purchase_id, quantity, kind, rn,
          CASE WHEN kind = 0 AND quantity <= stock THEN 'accepted' WHEN kind = 0 THEN 'refused' ELSE 'ignored' END AS effect,
          CASE WHEN kind = 0 AND quantity <= stock THEN stock - quantity ELSE stock END AS remaining,
-         CASE WHEN kind = 0 AND quantity <= stock THEN [purchase_id] ELSE CAST([] AS INTEGER[]) END AS open_ids
+         CASE WHEN kind = 0 AND quantity <= stock THEN [purchase_id] ELSE CAST([] AS BIGINT[]) END AS open_ids
   FROM q WHERE rn = 1
   UNION ALL
   SELECT q.product_id, q.purchase_id, q.quantity, q.kind, q.rn,
@@ -460,7 +588,7 @@ t AS (
               ELSE t.open_ids END
   FROM t JOIN q ON q.product_id = t.product_id AND q.rn = t.rn + 1)
 SELECT product_id, purchase_id, CASE kind WHEN 0 THEN 'purchase' ELSE 'cancel' END AS event, quantity, effect,
-       CAST(remaining AS INT) AS remaining
+       CAST(remaining AS BIGINT) AS remaining
 FROM t""")
 def _allocate_ledger(s, d):
     f = fx(s, d)
@@ -469,21 +597,17 @@ def _allocate_ledger(s, d):
     return stock.allocate_ledger(f.purchases, cancels, f.products)
 
 
-@reg("event_envelopes", """
-SELECT 'product_created' AS kind, NULL::INT AS purchase_id, NULL::INT AS client_id, product_id, seller_id,
+@reg("event_envelopes", "WITH " + ", ".join(
+    [_patch_ctes(t, p, k, f) + f", updated_{t} AS ({_updated_sql(t, k, c, f)})" for t, (p, k, f, c) in _PATCHED.items()
+     if t != "sellers"]) + """
+SELECT 'product_created' AS kind, NULL::BIGINT AS purchase_id, NULL::BIGINT AS client_id, product_id, seller_id,
        NULL AS first_name, NULL AS last_name, NULL AS email, name, price, NULL::DECIMAL(12,2) AS full_price, quantity,
        NULL::TIMESTAMP AS purchased_at, created_at, NULL::TIMESTAMP AS signup_date, NULL::BOOLEAN AS deleted, NULL AS operation
 FROM products
 UNION ALL
-SELECT 'product_updated', NULL, NULL, t.product_id, NULL, NULL, NULL, NULL,
-       CASE WHEN coalesce(json_exists(q.patch, '$.name'), false) THEN json_extract_string(q.patch, '$.name') ELSE t.name END,
-       CASE WHEN coalesce(json_exists(q.patch, '$.price'), false)
-            THEN CAST(json_extract_string(q.patch, '$.price') AS DECIMAL(12,2)) ELSE t.price END,
-       NULL,
-       CASE WHEN coalesce(json_exists(q.patch, '$.quantity'), false)
-            THEN CAST(json_extract_string(q.patch, '$.quantity') AS INT) ELSE t.quantity END,
+SELECT 'product_updated', NULL, NULL, t.product_id, NULL, NULL, NULL, NULL, t.name, t.price, NULL, t.quantity,
        NULL, NULL, NULL, NULL, NULL
-FROM products t JOIN product_patches q ON t.product_id = q.product_id WHERE q.patch <> '{}'
+FROM updated_products t WHERE t.product_id IN (SELECT product_id FROM checked_products WHERE reason IS NULL AND patch <> '{}')
 UNION ALL
 SELECT 'product_deleted', NULL, NULL, p.product_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true, NULL
 FROM products p JOIN product_deletes x ON p.product_id = x.product_id
@@ -492,12 +616,9 @@ SELECT 'client_created', NULL, client_id, NULL, NULL, first_name, last_name, ema
        signup_date, NULL, NULL
 FROM clients
 UNION ALL
-SELECT 'client_updated', NULL, t.client_id, NULL, NULL,
-       CASE WHEN coalesce(json_exists(q.patch, '$.first_name'), false) THEN json_extract_string(q.patch, '$.first_name') ELSE t.first_name END,
-       CASE WHEN coalesce(json_exists(q.patch, '$.last_name'), false) THEN json_extract_string(q.patch, '$.last_name') ELSE t.last_name END,
-       CASE WHEN coalesce(json_exists(q.patch, '$.email'), false) THEN json_extract_string(q.patch, '$.email') ELSE t.email END,
+SELECT 'client_updated', NULL, t.client_id, NULL, NULL, t.first_name, t.last_name, t.email,
        NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'update'
-FROM clients t JOIN client_patches q ON t.client_id = q.client_id WHERE q.patch <> '{}'
+FROM updated_clients t WHERE t.client_id IN (SELECT client_id FROM checked_clients WHERE reason IS NULL AND patch <> '{}')
 UNION ALL
 SELECT 'purchase_created', purchase_id, client_id, product_id, NULL, NULL, NULL, NULL, NULL, price, full_price, quantity,
        purchased_at, NULL, NULL, NULL, NULL
@@ -510,13 +631,16 @@ def _event_envelopes(s, d):
     from tillroll.functions import envelopes as EV
 
     f = fx(s, d)
-    cp, pp = RQ.client_patches(s, d), RQ.product_patches(s, d)
-    changed_products = U.apply_patches(f.products, pp.where(F.col("patch") != "{}"), "product_id",
-                                       ["name", "price", "quantity"])[0].join(
-        pp.where(F.col("patch") != "{}").select("product_id"), "product_id", "left_semi")
-    changed_clients = U.apply_patches(f.clients, cp.where(F.col("patch") != "{}"), "client_id",
-                                      ["first_name", "last_name", "email"])[0].join(
-        cp.where(F.col("patch") != "{}").select("client_id"), "client_id", "left_semi")
+
+
+    def changed(table):
+        """Rows that an accepted patch changed."""
+        patches, key, fields, _ = _PATCHED[table]
+        asked = getattr(RQ, patches)(s, d).where(F.col("patch") != "{}")
+        rows, rejected = U.apply_patches(getattr(f, table), asked, key, list(fields), order="seq")
+        return rows.join(asked.join(rejected, [key, "seq"], "left_anti").select(key), key, "left_semi")
+
+    changed_products, changed_clients = changed("products"), changed("clients")
     events = [
         EV.envelope(f.products, "product_created"),
         EV.envelope(changed_products, "product_updated"),

@@ -11,35 +11,59 @@ from __future__ import annotations
 # Fixture views, in dependency order (FIXTURES.md §3).
 FIXTURE_VIEWS: list[tuple[str, str]] = [
     ("clients_raw", """
-SELECT CAST(c_custkey AS INT) AS client_id, split_part(c_name,'#',1) AS first_name, split_part(c_name,'#',2) AS last_name,
+SELECT CAST(c_custkey AS BIGINT) AS client_id, split_part(c_name,'#',1) AS first_name, split_part(c_name,'#',2) AS last_name,
        lower(replace(c_name,'#','.')) || '@example.com' AS email, CAST('2024-01-02 00:00:00' AS TIMESTAMP) AS signup_date
-FROM customer WHERE c_custkey % 50 <> 0
+FROM customer
 UNION ALL
-SELECT CAST(c_custkey AS INT), 'Stale', split_part(c_name,'#',2),
+SELECT CAST(c_custkey AS BIGINT), 'Stale', split_part(c_name,'#',2),
        lower(replace(c_name,'#','.')) || '@example.com', CAST('2024-01-01 00:00:00' AS TIMESTAMP)
-FROM customer WHERE c_custkey % 50 <> 0 AND c_custkey % 10 = 3"""),
+FROM customer WHERE c_custkey % 10 = 3"""),
     ("clients", """
 SELECT client_id, first_name, last_name, email, signup_date FROM (
   SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY signup_date DESC, first_name DESC, last_name DESC, email DESC) AS rn
   FROM clients_raw) q WHERE rn = 1"""),
-    ("sellers", """
-SELECT CAST(s_suppkey AS INT) AS seller_id, split_part(s_name,'#',1) AS first_name, split_part(s_name,'#',2) AS last_name,
+    ("sellers_raw", """
+SELECT CAST(s_suppkey AS BIGINT) AS seller_id, split_part(s_name,'#',1) AS first_name, split_part(s_name,'#',2) AS last_name,
        s_name AS company_name, lower(replace(s_name,'#','.')) || '@example.com' AS email,
        CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS created_at
-FROM supplier"""),
+FROM supplier
+UNION ALL
+SELECT CAST(s_suppkey AS BIGINT), repeat('Stale', 25), split_part(s_name,'#',2), NULL,
+       lower(replace(s_name,'#','.')) || '@example.com', CAST('2023-12-31 00:00:00' AS TIMESTAMP)
+FROM supplier WHERE s_suppkey % 10 = 3"""),
+    ("sellers", """
+SELECT * FROM sellers_raw
+QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY created_at DESC NULLS LAST, first_name DESC NULLS LAST,
+  last_name DESC NULLS LAST, company_name DESC NULLS LAST, email DESC NULLS LAST) = 1"""),
+    ("products_raw", """
+SELECT CAST(p_partkey AS BIGINT) AS product_id,
+       CAST(CASE WHEN p_partkey % 40 = 0 THEN n - 1 - (p_partkey // 40) % greatest(1, n // 10)
+                 ELSE p_partkey % (n - greatest(1, n // 10)) END AS BIGINT) AS seller_id,
+       CASE WHEN v = 0 OR (p_partkey // 10) % 2 = 0 THEN p_name END AS name,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) + v AS DECIMAL(12,2)) AS price, CAST(p_size AS BIGINT) AS quantity,
+       CASE WHEN v = 1 AND (p_partkey // 10) % 2 = 0 THEN TIMESTAMP '2023-12-31 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS created_at
+FROM part, (SELECT count(*) AS n FROM supplier), (VALUES (0), (1)) t(v) WHERE v = 0 OR p_partkey % 10 = 3"""),
     ("products", """
-SELECT CAST(p_partkey AS INT) AS product_id, CAST(p_partkey % (SELECT count(*) FROM supplier) AS INT) AS seller_id, p_name AS name,
-       CAST(p_retailprice AS DECIMAL(12,2)) AS price, CAST(p_size AS INT) AS quantity,
-       CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS created_at
-FROM part WHERE p_partkey % 40 <> 0"""),
+SELECT * FROM products_raw
+QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY created_at DESC NULLS LAST, seller_id DESC NULLS LAST,
+  name DESC NULLS LAST, price DESC NULLS LAST, quantity DESC NULLS LAST) = 1"""),
     ("purchase_events", """
-SELECT CAST(l_orderkey*8+l_linenumber AS INT) AS purchase_id, CAST(o_custkey AS INT) AS client_id, CAST(l_partkey AS INT) AS product_id,
-       CAST(l_quantity AS INT) AS quantity, CAST(p_retailprice AS DECIMAL(10,2)) AS price,
-       CAST(CAST(p_retailprice AS DECIMAL(10,2))*CAST(l_quantity AS INT) AS DECIMAL(10,2)) AS full_price, l_shipdate AS purchased_at
+SELECT CAST(l_orderkey*8+l_linenumber AS BIGINT) AS purchase_id, CAST(CASE WHEN o_custkey % 50 = 0 THEN -1 - o_custkey ELSE o_custkey END AS BIGINT) AS client_id,
+       CAST(CASE WHEN l_partkey % 40 = 0 THEN -1 - l_partkey ELSE l_partkey END AS BIGINT) AS product_id,
+       CAST(l_quantity AS BIGINT) AS quantity, CAST(p_retailprice AS DECIMAL(10,2)) AS price,
+       CAST(CAST(p_retailprice AS DECIMAL(10,2))*CAST(l_quantity AS BIGINT) AS DECIMAL(10,2)) AS full_price, l_shipdate AS purchased_at
 FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN part ON l_partkey=p_partkey"""),
+    ("purchase_events_tied", """
+SELECT * FROM purchase_events
+UNION ALL
+SELECT purchase_id, client_id + 1, product_id, quantity, price, full_price, purchased_at FROM purchase_events WHERE purchase_id % 8 = 1
+UNION ALL
+SELECT purchase_id, client_id, product_id, quantity, CAST(price + 1 AS DECIMAL(10,2)), full_price, purchased_at
+FROM purchase_events WHERE purchase_id % 8 = 1"""),
     ("purchases", """
 SELECT purchase_id, client_id, product_id, quantity, price, full_price, purchased_at FROM (
-  SELECT *, row_number() OVER (PARTITION BY purchase_id ORDER BY purchased_at DESC, product_id DESC, quantity DESC, full_price DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY purchase_id ORDER BY purchased_at DESC, product_id DESC, quantity DESC,
+                               full_price DESC, client_id DESC, price DESC) AS rn
   FROM purchase_events) q WHERE rn = 1"""),
     ("fact", """
 SELECT d.purchase_id, c.client_id, d.product_id, p.seller_id, d.quantity, d.price, d.full_price, d.purchased_at
@@ -157,42 +181,80 @@ def _mentions(sql: str, name: str) -> bool:
 # Request tables (FIXTURES.md §6).
 REQUEST_VIEWS: list[tuple[str, str]] = [
     ("client_inserts", """
-SELECT CAST(c_custkey AS INT) AS request_id, split_part(c_name,'#',1) AS first_name, split_part(c_name,'#',2) AS last_name,
-       lower(replace(c_name,'#','.')) || CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE '@example.com' END AS email
+SELECT CAST(c_custkey AS BIGINT) AS request_id, split_part(c_name,'#',1) AS first_name, split_part(c_name,'#',2) AS last_name,
+       CASE c_mktsegment WHEN 'FURNITURE' THEN lower(replace(c_name,'#','.'))
+                         WHEN 'HOUSEHOLD' THEN lower(replace(c_name,'#','.')) || '.new@example.com'
+                         WHEN 'BUILDING' THEN 'shared' || CAST(c_custkey // 10 AS VARCHAR) || '@example.com'
+                         WHEN 'MACHINERY' THEN NULL
+                         ELSE lower(replace(c_name,'#','.')) || '@example.com' END AS email
 FROM customer"""),
-    ("client_deletes", "SELECT CAST(c_custkey AS INT) AS client_id FROM customer WHERE c_acctbal < 0"),
+    ("client_deletes", """
+SELECT CAST(c_custkey AS BIGINT) AS client_id FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT CAST(c_custkey AS BIGINT) FROM customer WHERE c_custkey % 50 = 0 AND c_acctbal >= 0
+UNION ALL SELECT CAST(-1 - c_custkey AS BIGINT) FROM customer WHERE c_acctbal < -500"""),
     ("client_patches", """
-SELECT CAST(c_custkey AS INT) AS client_id,
+SELECT CAST(c_custkey AS BIGINT) AS client_id,
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '{"first_name":"' || upper(split_part(c_name,'#',1)) || '"}'
                          WHEN 'MACHINERY' THEN '{"email":null}'
-                         WHEN 'BUILDING' THEN '{"last_name":"Renamed"}' ELSE '{}' END AS patch
-FROM customer"""),
+                         WHEN 'BUILDING' THEN '{"last_name":"Renamed"}'
+                         WHEN 'FURNITURE' THEN '{"email":"shared' || CAST(c_custkey // 10 AS VARCHAR) || '@example.com"}'
+                         ELSE '{}' END AS patch,
+       CAST(c_custkey * 10 AS BIGINT) AS seq
+FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS BIGINT),
+       CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '{"last_name":"Second"}' WHEN 'MACHINERY' THEN '{"first_name":null}'
+                         WHEN 'BUILDING' THEN 'not json' WHEN 'FURNITURE' THEN '{"email":"nobody"}'
+                         ELSE '{"last_name":"' || repeat('x', 101) || '"}' END,
+       CAST(c_custkey * 10 + 1 AS BIGINT)
+FROM customer
+UNION ALL
+SELECT CAST(-1 - c_custkey AS BIGINT), '{"first_name":"Nobody"}', CAST(c_custkey * 10 + 2 AS BIGINT) FROM customer WHERE c_acctbal < 0"""),
     ("seller_inserts", """
-SELECT CAST(s_suppkey AS INT) AS request_id, split_part(s_name,'#',1) AS first_name, split_part(s_name,'#',2) AS last_name,
-       s_name AS company_name, lower(replace(s_name,'#','.')) || '.new@example.com' AS email
+SELECT CAST(s_suppkey AS BIGINT) AS request_id, split_part(s_name,'#',1) AS first_name,
+       CASE WHEN s_acctbal < 1000 THEN NULL ELSE split_part(s_name,'#',2) END AS last_name,
+       CASE WHEN s_acctbal > 9000 THEN repeat(s_name, 20) ELSE s_name END AS company_name,
+       lower(replace(s_name,'#','.')) || '.new@example.com' AS email
 FROM supplier"""),
-    ("seller_deletes", "SELECT CAST(s_suppkey AS INT) AS seller_id FROM supplier WHERE s_acctbal < 0"),
+    ("seller_deletes", """
+SELECT CAST(s_suppkey AS BIGINT) AS seller_id FROM supplier WHERE s_acctbal < 0 OR s_acctbal > 8000
+UNION ALL SELECT CAST(-1 - s_suppkey AS BIGINT) FROM supplier WHERE s_acctbal > 9000"""),
     ("seller_patches", """
-SELECT CAST(s_suppkey AS INT) AS seller_id,
-       CASE WHEN s_acctbal > 5000 THEN '{"company_name":"' || s_name || ' Group"}' ELSE '{}' END AS patch
+SELECT CAST(s_suppkey AS BIGINT) AS seller_id,
+       CASE WHEN s_acctbal > 5000 THEN '{"company_name":"' || s_name || ' Group"}'
+            WHEN s_acctbal < 1000 THEN '{"company_name":null}' WHEN s_acctbal < 2000 THEN '{"email":"no address"}'
+            WHEN s_acctbal < 3000 THEN '["list"]' ELSE '{}' END AS patch,
+       CAST(s_suppkey AS BIGINT) AS seq
 FROM supplier"""),
     ("product_inserts", """
-SELECT CAST(p_partkey AS INT) AS request_id, CAST(p_partkey % (SELECT count(*) + 3 FROM supplier) AS INT) AS seller_id,
+SELECT CAST(p_partkey AS BIGINT) AS request_id, CAST(p_partkey % (SELECT count(*) + 3 FROM supplier) AS BIGINT) AS seller_id,
        p_name AS name,
        CAST(CAST(p_retailprice AS DECIMAL(12,2)) - CASE WHEN p_type = 'PROMO' THEN 1000 ELSE 0 END AS DECIMAL(12,2)) AS price,
-       CAST(p_size AS INT) AS quantity
+       CAST(CASE WHEN p_size > 40 THEN NULL WHEN p_size < 4 THEN 0 ELSE p_size END AS BIGINT) AS quantity
 FROM part"""),
     ("product_patches", """
-SELECT CAST(p_partkey AS INT) AS product_id,
+SELECT CAST(p_partkey AS BIGINT) AS product_id,
        CASE p_type WHEN 'STANDARD' THEN '{"price":"' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 1 AS VARCHAR) || '"}'
                    WHEN 'SMALL' THEN '{"name":"' || p_name || ' v2"}'
-                   WHEN 'LARGE' THEN '{"quantity":"' || CAST(p_size + 10 AS VARCHAR) || '"}' ELSE '{}' END AS patch
-FROM part"""),
-    ("product_deletes", "SELECT CAST(p_partkey AS INT) AS product_id FROM part WHERE p_type = 'ECONOMY'"),
+                   WHEN 'LARGE' THEN '{"quantity":"' || CAST(p_size + 10 AS VARCHAR) || '"}' ELSE '{}' END AS patch,
+       CAST(p_partkey * 10 AS BIGINT) AS seq
+FROM part
+UNION ALL
+SELECT CAST(p_partkey AS BIGINT),
+       CASE p_type WHEN 'STANDARD' THEN '{"quantity":"-5"}' WHEN 'SMALL' THEN '{"quantity":7}' WHEN 'LARGE' THEN '{"quantity":"abc"}'
+                   WHEN 'PROMO' THEN '{"price":"0.00"}' WHEN 'MEDIUM' THEN '{"quantity":null}' ELSE 'not json' END,
+       CAST(p_partkey * 10 + 1 AS BIGINT)
+FROM part
+UNION ALL
+SELECT CAST(-1 - p_partkey AS BIGINT), '{"name":"nothing"}', CAST(p_partkey * 10 + 2 AS BIGINT) FROM part WHERE p_type = 'PROMO'"""),
+    ("product_deletes", """
+SELECT CAST(p_partkey AS BIGINT) AS product_id FROM part WHERE p_type = 'ECONOMY'
+UNION ALL SELECT CAST(-1 - p_partkey AS BIGINT) FROM part WHERE p_type = 'PROMO'"""),
     ("purchase_requests", """
-SELECT purchase_id AS request_id, client_id, product_id, quantity, purchased_at AS requested_at FROM purchase_events"""),
+SELECT purchase_id AS request_id, NULLIF(client_id, 0) AS client_id, product_id,
+       CAST(CASE WHEN quantity = 50 THEN 0 ELSE quantity END AS BIGINT) AS quantity, purchased_at AS requested_at FROM purchase_events"""),
     ("purchase_deletes", """
-SELECT DISTINCT CAST(l_orderkey*8+l_linenumber AS INT) AS purchase_id FROM lineitem WHERE l_returnflag = 'R'"""),
+SELECT DISTINCT CAST(l_orderkey*8+l_linenumber AS BIGINT) AS purchase_id FROM lineitem WHERE l_returnflag = 'R'"""),
 ]
 
 VIEWS.extend(REQUEST_VIEWS)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-INT = T.IntegerType()
+# Ids and quantities are 64 bit: a large table passes 2^31 rows.
+LONG = T.LongType()
 STR = T.StringType()
 TS = T.TimestampType()
 TS_NTZ = T.TimestampNTZType()
@@ -16,14 +17,14 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-CLIENTS = _s(("client_id", INT), ("first_name", STR), ("last_name", STR), ("email", STR), ("signup_date", TS_NTZ))
-SELLERS = _s(("seller_id", INT), ("first_name", STR), ("last_name", STR), ("company_name", STR), ("email", STR),
+CLIENTS = _s(("client_id", LONG), ("first_name", STR), ("last_name", STR), ("email", STR), ("signup_date", TS_NTZ))
+SELLERS = _s(("seller_id", LONG), ("first_name", STR), ("last_name", STR), ("company_name", STR), ("email", STR),
              ("created_at", TS_NTZ))
-PRODUCTS = _s(("product_id", INT), ("seller_id", INT), ("name", STR), ("price", PRICE12), ("quantity", INT),
+PRODUCTS = _s(("product_id", LONG), ("seller_id", LONG), ("name", STR), ("price", PRICE12), ("quantity", LONG),
               ("created_at", TS_NTZ))
-PURCHASES = _s(("purchase_id", INT), ("client_id", INT), ("product_id", INT), ("quantity", INT),
+PURCHASES = _s(("purchase_id", LONG), ("client_id", LONG), ("product_id", LONG), ("quantity", LONG),
                ("price", PRICE10), ("full_price", PRICE10), ("purchased_at", TS_NTZ))
-FACT = _s(("purchase_id", INT), ("client_id", INT), ("product_id", INT), ("seller_id", INT), ("quantity", INT),
+FACT = _s(("purchase_id", LONG), ("client_id", LONG), ("product_id", LONG), ("seller_id", LONG), ("quantity", LONG),
           ("price", PRICE10), ("full_price", PRICE10), ("purchased_at", TS_NTZ))
 
 # Column orders that the reference fixes.
@@ -35,16 +36,16 @@ FACT_COLS = [f.name for f in FACT]
 
 # Purchase event as published on the topic; ``deleted`` marks a tombstone and
 # ``_corrupt_record`` keeps lines that are not a JSON object.
-EVENT = _s(("purchase_id", INT), ("client_id", INT), ("product_id", INT), ("purchased_at", STR),
-           ("price", PRICE10), ("full_price", PRICE10), ("quantity", INT), ("deleted", T.BooleanType()),
+EVENT = _s(("purchase_id", LONG), ("client_id", LONG), ("product_id", LONG), ("purchased_at", STR),
+           ("price", PRICE10), ("full_price", PRICE10), ("quantity", LONG), ("deleted", T.BooleanType()),
            ("_corrupt_record", STR))
 EVENT_FIELDS = [f for f in EVENT.fields if f.name != "_corrupt_record"]
 EVENT_PAYLOAD = T.StructType(EVENT_FIELDS)
 
 # Landed events (one row per data event), stream landing schema.
-LANDED = _s(("purchase_id", INT), ("client_id", INT), ("product_id", INT), ("purchased_at", TS_NTZ),
-            ("price", PRICE10), ("full_price", PRICE10), ("quantity", INT))
+LANDED = _s(("purchase_id", LONG), ("client_id", LONG), ("product_id", LONG), ("purchased_at", TS_NTZ),
+            ("price", PRICE10), ("full_price", PRICE10), ("quantity", LONG))
 
 # CSV product drop: fixed column order, header line.
-CSV_PRODUCT = _s(("seller_id", INT), ("name", STR), ("price", PRICE12), ("quantity", INT), ("created_at", STR),
+CSV_PRODUCT = _s(("seller_id", LONG), ("name", STR), ("price", PRICE12), ("quantity", LONG), ("created_at", STR),
                  ("_corrupt_record", STR))

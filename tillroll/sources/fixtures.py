@@ -1,9 +1,11 @@
 """Driver tables → the reference's shapes (FIXTURES.md §3), as DataFrames.
 
 customer → clients, supplier → sellers, part → products,
-lineitem ⋈ orders ⋈ part → purchase events. Clients with key % 50 = 0 and
-products with key % 40 = 0 are left out on purpose (orphan rules), and every
-tenth client gets a stale second version so that dedup has work to do.
+lineitem ⋈ orders ⋈ part → purchase events. Every dimension row is kept. Events of
+customers with key % 50 = 0 and of parts with key % 40 = 0 are re-keyed to ids that
+exist nowhere (orphan rules), so those clients and products have no purchases (delete
+guards); the last tenth of the sellers offer only such products. Every tenth client,
+seller and product has a stale second version so that dedup has work to do.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ STALE_SIGNUP = "2024-01-01 00:00:00"
 DIM_CREATED = "2024-01-01 00:00:00"
 EMAIL_DOMAIN = "@example.com"
 STALE_FIRST_NAME = "Stale"
+STALE_CREATED = "2023-12-31 00:00:00"
+CLIENT_ORPHANS, PRODUCT_ORPHANS, IDLE_SELLERS = 50, 40, 10
 
 
 def _ntz(s: str):
@@ -34,12 +38,12 @@ def _email(name_col: str):
 
 def clients_raw(spark: SparkSession, d: str) -> DataFrame:
     """Client snapshot with stale copies: one scan of ``customer``, the copy made by ``explode``."""
-    c = read_table(spark, d, "customer").select("c_custkey", "c_name").where(F.col("c_custkey") % 50 != 0)
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
     version = F.explode(F.when(F.col("c_custkey") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     c = c.select("*", version.alias("_v"))
     stale = F.col("_v") == 1
     return c.select(
-        F.col("c_custkey").cast("int").alias("client_id"),
+        F.col("c_custkey").cast("bigint").alias("client_id"),
         F.when(stale, F.lit(STALE_FIRST_NAME)).otherwise(F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
         _email("c_name").alias("email"),
@@ -51,31 +55,58 @@ def clients(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_clients(clients_raw(spark, d))
 
 
-def sellers(spark: SparkSession, d: str) -> DataFrame:
-    s = read_table(spark, d, "supplier")
+def _versions(df: DataFrame, key: str) -> DataFrame:
+    """Each row, and a second (``_v`` = 1) of every tenth one; one scan, the copy made by ``explode``."""
+    return df.select("*", F.explode(F.when(F.col(key) % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))).alias("_v"))
+
+
+def sellers_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Seller snapshot with stale copies (older, no company name, too long a first name)."""
+    s = _versions(read_table(spark, d, "supplier"), "s_suppkey")
+    stale = F.col("_v") == 1
     return s.select(
-        F.col("s_suppkey").cast("int").alias("seller_id"),
-        F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
+        F.col("s_suppkey").cast("bigint").alias("seller_id"),
+        F.when(stale, F.repeat(F.lit(STALE_FIRST_NAME), 25)).otherwise(F.split_part("s_name", F.lit("#"), F.lit(1))).alias("first_name"),
         F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.col("s_name").alias("company_name"),
+        F.when(~stale, F.col("s_name")).alias("company_name"),
         _email("s_name").alias("email"),
-        _ntz(DIM_CREATED).alias("created_at"),
+        F.when(stale, _ntz(STALE_CREATED)).otherwise(_ntz(DIM_CREATED)).alias("created_at"),
     )
 
 
-def products(spark: SparkSession, d: str) -> DataFrame:
-    n_sellers = read_table(spark, d, "supplier").select(F.count(F.lit(1))).scalar()
-    p = read_table(spark, d, "part").where(F.col("p_partkey") % 40 != 0)
+def sellers(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.dedup_sellers(sellers_raw(spark, d))
+
+
+def products_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Product snapshot with stale copies (older, dearer; as old but without a name where the key is odd)."""
+    n = read_table(spark, d, "supplier").select(F.count(F.lit(1))).scalar()
+    idle = F.greatest(F.lit(1), F.floor(n / IDLE_SELLERS))
+    p = _versions(read_table(spark, d, "part"), "p_partkey")
+    stale, key = F.col("_v") == 1, F.col("p_partkey")
+    seller = F.when(key % PRODUCT_ORPHANS == 0, n - 1 - F.floor(key / PRODUCT_ORPHANS) % idle).otherwise(key % (n - idle))
+    old = stale & (F.floor(key / 10) % 2 == 0)
     return p.select(
-        F.col("p_partkey").cast("int").alias("product_id"),
-        (F.col("p_partkey") % n_sellers).cast("int").alias("seller_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
-        F.col("p_size").cast("int").alias("quantity"),
-        _ntz(DIM_CREATED).alias("created_at"),
+        key.cast("bigint").alias("product_id"),
+        seller.cast("bigint").alias("seller_id"),
+        F.when(~stale | old, F.col("p_name")).alias("name"),
+        (F.col("p_retailprice").cast("decimal(12,2)") + F.when(stale, F.lit(1)).otherwise(F.lit(0))).cast("decimal(12,2)").alias("price"),
+        F.col("p_size").cast("bigint").alias("quantity"),
+        F.when(old, _ntz(STALE_CREATED)).otherwise(_ntz(DIM_CREATED)).alias("created_at"),
     )
 
 
+def products(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.dedup_products(products_raw(spark, d))
+
+
+def _re_keyed(key: str, every: int):
+    """The key; for one in ``every`` keys an id that no table has."""
+    k = F.col(key).cast("bigint")
+    return F.when(k % every == 0, -1 - k).otherwise(k)
+
+
 def purchase_events(spark: SparkSession, d: str) -> DataFrame:
     """Every line item as a purchase event (duplicated ids included)."""
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
@@ -83,11 +114,11 @@ def purchase_events(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part").select("p_partkey", "p_retailprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     price = F.col("p_retailprice").cast("decimal(10,2)")
-    qty = F.col("l_quantity").cast("int")
+    qty = F.col("l_quantity").cast("bigint")
     return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("purchase_id"),
-        F.col("o_custkey").cast("int").alias("client_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("purchase_id"),
+        _re_keyed("o_custkey", CLIENT_ORPHANS).alias("client_id"),
+        _re_keyed("l_partkey", PRODUCT_ORPHANS).alias("product_id"),
         qty.alias("quantity"),
         price.alias("price"),
         (price * qty).cast("decimal(10,2)").alias("full_price"),
@@ -95,6 +126,14 @@ def purchase_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def purchase_events_tied(spark: SparkSession, d: str) -> DataFrame:
+    """The events, and of every first line item copies that differ only in client or only in price."""
+    e = purchase_events(spark, d)
+    first = e.where(F.col("purchase_id") % 8 == 1)
+    return (e.unionByName(first.withColumn("client_id", F.col("client_id") + 1))
+            .unionByName(first.withColumn("price", (F.col("price") + 1).cast("decimal(10,2)"))))
+
+
 def purchases(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_purchases(purchase_events(spark, d))
 
@@ -127,6 +166,18 @@ class Fixture:
     def clients(self) -> DataFrame:
         return self._get("clients", clients)
 
+    @property
+    def sellers_raw(self) -> DataFrame:
+        return self._get("sellers_raw", sellers_raw)
+
+    @property
+    def products_raw(self) -> DataFrame:
+        return self._get("products_raw", products_raw)
+
+    @property
+    def purchase_events_tied(self) -> DataFrame:
+        return self._get("purchase_events_tied", purchase_events_tied)
+
     @property
     def sellers(self) -> DataFrame:
         return self._get("sellers", sellers)

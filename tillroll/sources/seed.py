@@ -41,6 +41,6 @@ def seed(spark: SparkSession) -> dict[str, DataFrame]:
         "products": spark.createDataFrame([(r[0], r[1], r[2], Decimal(r[3]), r[4], _ts(r[5])) for r in SEED_PRODUCTS],
                                           schemas.PRODUCTS),
         "purchases": spark.createDataFrame([(*r[:4], _ts(r[4])) for r in SEED_PURCHASES],
-                                           "purchase_id int, client_id int, product_id int, quantity int, "
+                                           "purchase_id bigint, client_id bigint, product_id bigint, quantity bigint, "
                                            "purchased_at timestamp_ntz"),
     }
