@@ -1,6 +1,7 @@
 """Driver contract: entry() smoke, every query key has oracle SQL (or is documented rows-only)."""
 
 import __spark_entry__ as E
+from tillroll.plans import registry
 
 
 def test_entry_runs(spark):
@@ -11,9 +12,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    q, s = E.queries(), E.oracle_sql()
+    q, s = registry.all_queries(), registry.all_sql()
     assert set(q) == set(s), set(q) ^ set(s)
-    assert len(q) >= 120
+    assert len(q) >= 130
+    assert set(q) <= set(E.queries()) and set(s) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_survey_keys_present():
@@ -38,6 +40,7 @@ def test_survey_keys_present():
     report_row_count page_clients page_products page_purchases page_sellers stream_parse stream_route stream_replay
     validate_clients validate_sellers validate_products validate_purchases audit_constraints classify_purchases
     update_clients update_products update_sellers insert_clients insert_sellers insert_products delete_clients
-    delete_products delete_purchases delete_sellers allocate_stock restock""".split()
+    delete_products delete_purchases delete_sellers allocate_stock restock update_products_rejected
+    update_sellers_rejected deletable_products deletable_sellers email_taken fill_defaults_quantity""".split()
     missing = [k for k in survey if k not in keys]
     assert not missing, missing
