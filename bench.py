@@ -23,6 +23,7 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="tillroll-bench")
     from tillroll.operators import reports as R
+    from tillroll.operators.marts import ROLLUPS, MartSource
     from tillroll.plans import jobs
     from tillroll.plans.registry import all_queries
     from tillroll.sources.fixtures import Fixture
@@ -40,6 +41,23 @@ def main() -> None:
     paths = timed("snowflake_build", lambda: jobs.build_snowflake(fx, f"{out_dir}/snowflake"))
     tables = jobs.read_snowflake(spark, paths)
     marts = timed("marts_all_15", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts"))
+    # the same fifteen marts, each straight from the fact, and once more through the roll-ups (both warm now)
+    extra: dict[str, float | int] = {}
+
+    def also(name, fn):
+        t0 = time.perf_counter()
+        out = fn()
+        extra[name] = round(time.perf_counter() - t0, 3)
+        return out
+
+    also("marts_direct", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts_direct", rollups=()))
+    also("marts_day_rollup", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts_again"))
+    also("marts_direct_again", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts_direct2", rollups=()))
+    also("marts_day_rollup_again", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts_again2"))
+    also("marts_all_rollups", lambda: jobs.build_all_marts(tables, f"{out_dir}/marts_all", rollups=tuple(ROLLUPS)))
+    extra["fact_rows"] = tables["fact_purchases"].count()
+    src = MartSource.shared(tables["fact_purchases"], storage=None, rollups=tuple(ROLLUPS))
+    extra |= {f"{name}_rows": r.count() for name, r in src.rollups.items()}
 
     for mart_name, (rname, fn) in R.REPORTS.items():
         timed(rname, lambda fn=fn, m=mart_name: fn(marts[m]).write.format("noop").mode("overwrite").save())
@@ -64,10 +82,14 @@ def main() -> None:
         if k in qs:
             timed("q_" + k, lambda k=k: qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save())
 
+    # Not in the total, which covers the same steps in every round.
+    for k in ("stream_land", "csv_load", "insert_products", "audit_constraints", "update_products"):
+        also("q_" + k, lambda k=k: qs[k](spark, sf_dir).write.format("noop").mode("overwrite").save())
+
     total = round(sum(times.values()), 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "total_job_seconds", "value": total, "unit": "sec", "queries": times,
+        "metric": "total_job_seconds", "value": total, "unit": "sec", "queries": times, "extra": extra,
         "sf": float(sf.group(1)) if sf else sf_dir, "cpus": cpus, "state": "cold JVM, first step includes warm-up",
     }))
     spark.stop()
