@@ -39,13 +39,13 @@ SPACE, END = 0x20, 0x0A
 #: Distinct words whose counts (16 bytes each) may be sent to every task.
 MAX_SENT_WORDS = 6_000_000
 #: Bytes of text counted at once, and counts held by a task before they are passed on.
-COUNT_BYTES, HELD = 8_000_000, 4_000_000
+COUNT_BYTES, HELD = 2_000_000, 2_000_000
 _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 
 
 @dataclass(frozen=True)
 class TreeRules:
-    depth: int = 6
+    depth: int = 5
     max_contexts: int = 1 << 16
     max_sent_words: int = MAX_SENT_WORDS
 
@@ -259,16 +259,23 @@ def table(contexts: list[np.ndarray], values: np.ndarray) -> tuple[np.ndarray, n
 
 def score_bytes(data: np.ndarray, places: np.ndarray, children: np.ndarray, values: np.ndarray, depth: int) -> np.ndarray:
     """log10 probability of each byte at ``places``."""
-    flat = children.reshape(-1)
-    row = np.zeros(len(places), np.int32)
-    alive, at = np.arange(len(places)), places
-    for j in range(1, depth + 1):
-        following = flat[row[alive].astype(np.int64) * 256 + data[at - j]]
-        go = following >= 0
-        if not go.all():
-            alive, at, following = alive[go], at[go], following[go]
-        row[alive] = following
-    return values.reshape(-1)[row.astype(np.int64) * 256 + data[places]]
+    flat, wide = children.reshape(-1), data.astype(np.int64)
+    # the first two steps together, for every pair of bytes
+    one = children[0].astype(np.int64)
+    two = np.where(one[:, None] >= 0, children[one], -1)
+    ends = np.where(two < 0, np.maximum(one, 0)[:, None], two).reshape(-1)
+    pair = wide[places - 1] * 256 + wide[places - 2]
+    row = ends[pair]
+    alive = np.flatnonzero((two.reshape(-1) >= 0)[pair]) if depth > 1 else np.zeros(0, np.int64)
+    if depth == 1:
+        row = np.maximum(one, 0)[wide[places - 1]]
+    at, now = places[alive], row[alive]
+    for j in range(3, depth + 1):
+        now = flat[now * 256 + wide[at - j]]
+        go = now >= 0
+        alive, at, now = alive[go], at[go], now[go].astype(np.int64)
+        row[alive] = now
+    return values.reshape(-1)[row * 256 + wide[places]]
 
 
 # --- the distributed model -------------------------------------------------------------------------------------
@@ -299,13 +306,15 @@ def _top_batch(j: int, k: np.ndarray, n: np.ndarray, log_pw: np.ndarray) -> pa.R
 
 
 def _top_levels(top) -> tuple[Level, Level]:
-    """Levels of one and no context byte from the sums of two (``top``: pandas)."""
-    top = top.sort_values("k")  # keys of up to three bytes: no sign
-    part = lambda j: top[top["j"] == j]
+    """Levels of one and no context byte from the sums of two (``top``: Arrow)."""
+    j, k, n, log_pw = (top[x].to_numpy() for x in ("j", "k", "n", "log_pw"))
+    order = np.lexsort((k, j))  # keys of up to three bytes: no sign
+    bounds = np.searchsorted(j[order], np.arange(-1, 9))
+    part = lambda i, x: x[order[bounds[i + 1] : bounds[i + 2]]]
     two = Level.__new__(Level)
-    two.nodes = [part(j)["k"].to_numpy().view(np.uint64) for j in range(8)]
-    two.log_pw = [part(j)["log_pw"].to_numpy() for j in range(8)]
-    keys, counts = shorter(part(-1)["k"].to_numpy().view(np.uint64), part(-1)["n"].to_numpy())
+    two.nodes = [part(i, k).view(np.uint64) for i in range(8)]
+    two.log_pw = [part(i, log_pw) for i in range(8)]
+    keys, counts = shorter(part(-1, k).view(np.uint64), part(-1, n))
     one = Level(keys, counts, two)
     return one, Level(*shorter(keys, counts), one)
 
@@ -341,7 +350,7 @@ def _kept_contexts(grams: DataFrame, depth: int, one: Dense, min_count: int) ->
 
 def train(texts: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
     """The model, and the word counts (k, n) as a table."""
-    counts = C.saved(training_counts(texts, rules.depth), "ctw-counts", "what")
+    counts = C.saved(training_counts(texts, rules.depth), "ctw-counts")
     pair = F.expr(f"shiftrightunsigned(k, {8 * (rules.depth - 1)})")  # the two last context bytes
     grams = counts.where("what = 0").select("k", "n").repartition(pair)
 
@@ -357,18 +366,21 @@ def train(texts: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
     n_bytes = grams.agg(F.sum("n").alias("n")).first()["n"] or 0
     if not n_bytes:
         return Model(*table([ROOT.contexts], byte_log10(ROOT.stop)), 0, 0), words
-    top = _top_sums(own(), rules.depth).toPandas()
+    top = _top_sums(own(), rules.depth).toArrow()
     one, root = _top_levels(top)
     least = max(1, n_bytes // rules.max_contexts)
     dense = [descend(ROOT, root, 1)]
     dense.append(descend(dense[0], one, least))
     contexts, values = [x.contexts for x in dense], [byte_log10(x.stop) for x in dense]
-    kept = _kept_contexts(own(), rules.depth, dense[1], least).toPandas()
+    kept = _kept_contexts(own(), rules.depth, dense[1], least).toArrow()
+    of, k = kept["depth"].to_numpy(), kept["k"].to_numpy().view(np.uint64)
+    vectors = kept["v"].combine_chunks()
     for d in range(2, rules.depth + 1):
-        rows = kept[kept["depth"] == d].sort_values("k")
-        keys = rows["k"].to_numpy().view(np.uint64)
-        contexts.append(keys)
-        values.append(np.frombuffer(b"".join(rows["v"]), np.float32).reshape(len(keys), 256))
+        rows = np.flatnonzero(of == d)
+        rows = rows[np.argsort(k[rows])]
+        contexts.append(k[rows])
+        values.append(np.frombuffer(b"".join(x.as_buffer() for x in vectors.take(pa.array(rows))), np.float32).reshape(len(rows), 256))
+    del kept, vectors
     return Model(*table(contexts, np.concatenate(values)), totals["n"], totals["v"]), words
 
 
@@ -384,8 +396,10 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
     id_type = docs.schema["doc_id"].dataType.simpleString()
     known = None
     if model.n_distinct <= rules.max_sent_words:
-        few = words.toPandas().sort_values("k")
-        known = context.broadcast((few["k"].to_numpy(), few["n"].to_numpy()))
+        few = words.toArrow()
+        order = np.argsort(few["k"].to_numpy())
+        known = context.broadcast((few["k"].to_numpy()[order], few["n"].to_numpy()[order]))
+        del few, order
 
     def scored(b, m):
         w = C.Words(b.column("text"), fold=True)

@@ -180,7 +180,7 @@ def contaminated(
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     items = C.saved(item_windows(benchmark, rules, item_col, item_text_col), "template-items")
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
-    some = items.select("h").distinct().limit(rules.max_sent_windows + 1).toPandas()["h"].to_numpy(np.int64)
+    some = items.select("h").distinct().limit(rules.max_sent_windows + 1).toArrow()["h"].to_numpy()
     if not len(some):
         known = np.zeros(1, np.int64)
     else:
