@@ -157,10 +157,10 @@ def scan(docs: DataFrame, rules: RepeatRules) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, rules: RepeatRules) -> DataFrame:
     """(v, shingles) of the wanted paragraph classes (v, h1, h2, doc: a document that holds it)."""
     near, min_words, limit = rules.near, rules.min_words, rules.near.max_sent_ids
-    few = wanted.limit(limit + 1).toPandas()
+    few = wanted.limit(limit + 1).toArrow()
     sent = None
-    if len(few) <= limit:
-        sent = docs.sparkSession.sparkContext.broadcast((np.unique(few["doc"].to_numpy(np.int64)), np.unique(few["h1"].to_numpy(np.int64))))
+    if few.num_rows <= limit:
+        sent = docs.sparkSession.sparkContext.broadcast((np.unique(few["doc"].to_numpy()), np.unique(few["h1"].to_numpy())))
 
     def run(batches):
         known = sent.value if sent is not None else None
