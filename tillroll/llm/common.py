@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Bytes of text that one numpy step works on (a longer text is a step of its own).
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 #: ASCII white space as SQL trim characters, and the regex class of everything else.
 SPACES = " \t\n\x0b\x0c\r"

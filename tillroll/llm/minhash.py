@@ -5,11 +5,12 @@ first non-empty bin of a fixed random walk of its own (optimal densification), s
 signatures. Rows of a signature form banded buckets. Texts with equal shingle sets are one class from the
 start, so a group of exact copies, however large, is one vertex.
 
-Candidate edges are star-shaped: in a round each bucket has a few centres, and a member is paired with the
-centres only, so the pairs of a round are bounded by members times centres. Pairs are confirmed on full sets.
-A bucket whose members are all in one component is done; in any other, members outside the first centre's
-component become centres in the following rounds until each has met all others, so no link between different
-texts that share a bucket is lost.
+Candidate edges are star-shaped: each bucket has one centre, the member that is in most buckets, and the other
+members are paired with it only. Pairs are confirmed on full sets. Links between two partners of a centre that
+is not linked to both are then found exactly, by a prefix filter on the partners' differences from the centre,
+whose buckets are small; in rounds, a few members outside a bucket's main component become centres and meet all
+members of other components, until each bucket is in one component or each of its members has met all others.
+So no link between different texts that share a band is lost, and pairs stay bounded by members times centres.
 
 Work at scale: signatures need one pass without shuffle. Postings (bucket, class) are reduced to buckets with
 two or more classes by partial aggregation. Full sets are computed for the classes that have a candidate, by a
@@ -30,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -48,7 +49,7 @@ class NearRules:
     similarity_pct: int = 80
     n_bands: int = 32
     band_rows: int = 6
-    #: Centres of a bucket in each round after the first.
+    #: Centres of a prefix bucket in the first round; 16 times as many in each following one.
     centres: int = 8
     max_sent_ids: int = MAX_SENT_IDS
 
@@ -166,11 +167,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rules: NearRules) -> DataFrame:
         values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, pa.array(C.as_signed(values)))], names=["v", "shingles"])
 
-    few = wanted.limit(rules.max_sent_ids + 1).toPandas()
-    if len(few) <= rules.max_sent_ids:
-        order = np.argsort(few["h1"].to_numpy(), kind="stable")
-        ids = few["rep"].dropna().astype("int64").to_numpy()
-        sent = docs.sparkSession.sparkContext.broadcast((np.sort(ids), few["h1"].to_numpy()[order], few["v"].to_numpy()[order]))
+    few = wanted.limit(rules.max_sent_ids + 1).toArrow()
+    if few.num_rows <= rules.max_sent_ids:
+        h1, v = few["h1"].to_numpy(), few["v"].to_numpy()
+        order = np.argsort(h1, kind="stable")
+        ids = few["rep"].drop_null().to_numpy().astype(np.int64)
+        sent = docs.sparkSession.sparkContext.broadcast((np.sort(ids), h1[order], v[order]))
 
         def run(batches):
             known = sent.value
@@ -194,57 +196,126 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rules: NearRules) -> DataFrame:
     return found.groupBy("v").agg(F.first("shingles").alias("shingles"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFrame:
-    """The pairs (c, v, n: partners of c or fewer) whose full sets are similar enough, as edges (a, b)."""
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / SALT_ROWS))).cast("int")
-    salted = pairs.withColumn("level", level).withColumn("salt", F.expr("pmod(xxhash64(v), shiftleft(1L, level))"))
-    tops = pairs.groupBy("c").agg(F.max("n").alias("n")).withColumn("top", level)
-    centres = tops.join(sets.select(F.col("v").alias("c"), F.col("shingles").alias("of_c")), "c")
-    centres = centres.withColumn("level", F.explode(F.sequence(F.lit(0), "top"))).withColumn("salt", F.explode(F.expr("sequence(0L, shiftleft(1L, level) - 1L)")))
-    both = salted.join(sets, "v").join(centres.select("c", "level", "salt", "of_c"), ["c", "level", "salt"])
-    shared = F.size(F.array_intersect("shingles", "of_c"))
-    union = F.size("shingles") + F.size("of_c") - shared
-    return both.where(100 * shared >= similarity_pct * union).select(F.col("c").alias("a"), F.col("v").alias("b"))
+def paired(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (c, v) with both sets (of_c, of_v). A centre with many partners is repeated under salts."""
+    counts = pairs.groupBy("c").agg(F.count("*").alias("__n"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("__n") / SALT_ROWS))).cast("int")
+    salted = pairs.join(counts, "c").withColumn("__level", level).withColumn("__salt", F.expr("pmod(xxhash64(v), shiftleft(1L, __level))"))
+    centres = counts.withColumn("__level", level).join(sets.select(F.col("v").alias("c"), F.col("shingles").alias("of_c")), "c")
+    centres = centres.withColumn("__salt", F.explode(F.expr("sequence(0L, shiftleft(1L, __level) - 1L)")))
+    own = sets.select("v", F.col("shingles").alias("of_v"))
+    return salted.join(own, "v").join(centres.select("c", "__salt", "of_c"), ["c", "__salt"]).drop("__n", "__level", "__salt")
+
+
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(c, v, nc, nv, d): set sizes and the size of the symmetric difference, from the full sets."""
+    both = paired(pairs, sets).withColumn("shared", F.size(F.array_intersect("of_v", "of_c")))
+    nc, nv = F.size("of_c").cast("bigint"), F.size("of_v").cast("bigint")
+    return both.select("c", "v", nc.alias("nc"), nv.alias("nv"), (nc + nv - 2 * F.col("shared")).alias("d"))
+
+
+def similar(similarity_pct: int) -> Column:
+    """100 * intersection >= pct * union, for rows of ``measured``."""
+    total = F.col("nc") + F.col("nv")
+    return 100 * (total - F.col("d")) >= similarity_pct * (total + F.col("d"))
 
 
 def star_components(postings: DataFrame, sets_of: Callable[[DataFrame], DataFrame], rules: NearRules) -> DataFrame:
-    """(v, component) of the vertices that are linked. ``postings``: (bucket, v); ``sets_of`` maps vertices (v) to
+    """(v, component) of the vertices that share a bucket. ``postings``: (bucket, v); ``sets_of`` maps vertices (v) to
     their full sets (v, shingles)."""
-    buckets = C.saved(postings.groupBy("bucket").agg(F.min("v").alias("c"), F.count("*").alias("n")).where("n > 1"), "near-buckets")
+    pct = rules.similarity_pct
+    buckets = C.saved(postings.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "near-buckets")
     members = C.saved(postings.join(buckets, "bucket"), "near-members")
-    pairs = members.where("v <> c").groupBy("c", "v").agg(F.max("n").alias("n"))
-    sets = C.saved(sets_of(members.select("v").distinct()), "near-sets")
-    links = [C.saved(confirmed(pairs, sets, rules.similarity_pct), "near-links")]
-    labels = C.saved(components(links[0]), "near-labels")
-
-    # members that have not been a centre yet, in buckets with more than one component
-    active = members.where("v <> c")
+    # the centre of a bucket is its member in most buckets: the text most like the others
+    degree = C.saved(members.groupBy("v").agg(F.count("*").alias("degree")), "near-degree")
+    ranked = members.join(degree, "v").groupBy("bucket").agg(F.min(F.struct(-F.col("degree"), "v")).alias("x"))
+    centres = C.saved(ranked.select("bucket", F.col("x.v").alias("c")), "near-centres")
+    pairs = C.saved(members.join(centres, "bucket").where("v <> c").select("c", "v").distinct(), "near-pairs")
+    sets = C.saved(sets_of(degree.select("v")), "near-sets")
+    star = C.saved(measured(pairs, sets), "near-star")
+    labels = degree.select("v").join(components(star.where(similar(pct)).select(F.col("c").alias("a"), F.col("v").alias("b"))), "v", "left")
+    labels = C.saved(labels.select("v", F.coalesce("component", "v").alias("component")), "near-labels")
+
+    # what the stars may have missed: partners of one centre that are in different components
+    active = C.saved(difference_postings(partners_apart(star, labels, pct), sets, pct), "near-prefixes")
+    slots_now = rules.centres
     while True:
-        own = active.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
-        first = labels.select(F.col("v").alias("c"), F.col("component").alias("first"))
-        own = own.join(first, "c", "left").withColumn("first", F.coalesce("first", "c"))
-        own = C.saved(own.drop("n"), "near-active")
-        outside = own.where(F.col("component") != F.col("first"))
-        slots = outside.groupBy("bucket", F.pmod(F.xxhash64("v"), F.lit(rules.centres)).alias("slot")).agg(F.min(F.struct("v", "component")).alias("x"))
-        centres = C.saved(slots.select("bucket", F.col("x.v").alias("centre"), F.col("x.component").alias("of_centre")), "near-centres")
-        if centres.isEmpty():
-            break
-        met = own.join(centres, "bucket").where(F.col("component") != F.col("of_centre"))
-        tested = met.select(F.least("centre", "v").alias("c"), F.greatest("centre", "v").alias("v")).distinct()
-        tested = C.saved(tested, "near-tested")
-        counts = tested.groupBy("c").agg(F.count("*").alias("n"))
-        more = C.saved(confirmed(tested.join(counts, "c"), sets, rules.similarity_pct), "near-links")
-        links.append(more)
-        if not more.isEmpty():
-            every = links[0]
-            for x in links[1:]:
-                every = every.unionByName(x)
-            labels = C.saved(components(every), "near-labels")
-        open_ = centres.select("bucket").distinct()
-        spent = centres.select("bucket", F.col("centre").alias("v"))
-        active = C.saved(own.select("bucket", "v", "c").join(open_, "bucket", "left_semi").join(spent, ["bucket", "v"], "left_anti"), "near-left")
-
-    return labels
+        own = active.join(labels, "v")
+        main = own.groupBy("bucket").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
+        own = C.saved(own.join(main.drop("other"), "bucket"), "near-active")
+        slots = own.where("component <> main").groupBy("bucket", F.pmod(F.xxhash64("v"), F.lit(slots_now)).alias("slot"))
+        chosen = C.saved(slots.agg(F.min(F.struct("v", "component", "n", "d", "s")).alias("x")).select("bucket", "x.*"), "near-chosen")
+        if chosen.isEmpty():
+            return labels
+        other = chosen.select("bucket", *(F.col(x).alias(f"of_{x}") for x in ("v", "component", "n", "d", "s")))
+        total = F.col("n") + F.col("of_n")
+        # what their differences share at least, if they are similar, against what is left of each from this
+        # shingle on; at the first shingle that they share that holds all they share
+        common = (F.col("d") + F.col("of_d") - F.floor(total * (100 - pct) / (100 + pct) + 1e-9)) / 2
+        possible = (F.least("s", "of_s") >= common) & (100 * F.least("n", "of_n") >= pct * F.greatest("n", "of_n"))
+        met = own.join(other, "bucket").where((F.col("component") != F.col("of_component")) & possible)
+        tested = C.saved(met.select(F.least("of_v", "v").alias("c"), F.greatest("of_v", "v").alias("v")).distinct(), "near-tested")
+        found = C.saved(measured(tested, sets).where(similar(pct)).select(F.col("c").alias("a"), F.col("v").alias("b")), "near-links")
+        if not found.isEmpty():
+            # the components that the new links join
+            of = lambda end: labels.select(F.col("v").alias(end), F.col("component").alias(f"of_{end}"))
+            joined = components(found.join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+            joined = joined.select(F.col("v").alias("component"), F.col("component").alias("now"))
+            labels = C.saved(labels.join(joined, "component", "left").select("v", F.coalesce("now", "component").alias("component")), "near-labels")
+        slots_now *= 16  # few members are left, so more of them can be centres at once
+        active = C.saved(own.select("bucket", "v", "n", "d", "s").join(chosen.select("bucket", "v"), ["bucket", "v"], "left_anti"), "near-left")
+
+
+def _most_apart(n: Column, pct: int) -> Column:
+    """The largest symmetric difference of a set of n shingles and any similar one."""
+    return F.floor(n * (100 - pct) * (100 + pct) / (pct * (100 + pct)) + 1e-9)
+
+
+def partners_apart(star: DataFrame, labels: DataFrame, pct: int) -> DataFrame:
+    """The pairs (c, v, nv, d) of centres whose partners may still have unseen links between components.
+
+    Two similar sets differ from a third by sizes at most ``_most_apart`` apart."""
+    of = lambda end: labels.select(F.col("v").alias(end), F.col("component").alias(f"of_{end}"))
+    rows = star.join(of("v"), "v").join(of("c"), "c").withColumn("out", F.col("of_v") != F.col("of_c"))
+    rows = C.saved(rows.select("c", "v", "nv", "d", "out"), "near-partners-of")
+    groups = rows.groupBy("c").agg(
+        F.count(F.when(F.col("out"), 1)).alias("n_out"), F.min(F.when(F.col("out"), F.col("d"))).alias("lo_out"), F.max(F.when(~F.col("out"), F.col("d"))).alias("hi_in")
+    )
+    groups = C.saved(groups.where("n_out > 0"), "near-groups")
+    reach = _most_apart(F.col("nv"), pct)
+    near_in = F.col("d") <= F.coalesce("hi_in", F.lit(0)) + reach
+    near_out = F.col("lo_out") <= F.col("d") + reach
+    return rows.join(groups, "c").where(F.when(F.col("out"), (F.col("n_out") > 1) | near_in).otherwise(near_out)).select("c", "v", "nv", "d")
+
+
+def difference_postings(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """(bucket, v, n, d, s): buckets such that any two similar partners of one centre share one, unless both are
+    linked to the centre itself; set size, size of the difference from the centre, and how many shingles of it, in
+    the common order, are left from the bucket's on.
+
+    Let D(x) be what differs between x and the centre. Similar sets x and y differ in at most
+    (100 - pct) / (100 + pct) * (|x| + |y|) shingles, so D(x) and D(y) share at least half of
+    |D(x)| + |D(y)| minus that: where one of them is too far from the centre to be linked, they share some. The
+    join is a prefix filter on these differences, rarest shingles first. Texts that only descend from one source differ from it in shingles of
+    their own, which fill the prefix and meet nothing."""
+    both = paired(pairs, sets)
+    apart = F.concat(F.array_except("of_v", "of_c"), F.array_except("of_c", "of_v"))
+    each = both.select("c", "v", F.col("nv").alias("n"), "d", F.explode(apart).alias("shingle"))
+    held = C.saved(each.groupBy("c", "shingle").agg(F.count("*").alias("held")).where("held > 1"), "near-shared")
+    # shingles of one partner only come first in the order and meet nothing: it is enough to count them
+    shared = each.join(held, ["c", "shingle"]).groupBy("c", "v").agg(F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("s"))
+    rows = pairs.select("c", "v", F.col("nv").alias("n"), "d").join(shared, ["c", "v"], "left").withColumn("s", F.coalesce("s", F.array().cast("array<struct<held:bigint,shingle:bigint>>")))
+    # a similar partner differs from the centre by at least d - reach, which bounds the overlap from below
+    reach = _most_apart(F.col("n"), pct)
+    overlap = F.ceil((F.col("d") + F.greatest(F.lit(1), F.col("d") - reach) - reach) / 2)
+    left = F.col("d") - F.greatest(overlap, F.lit(1)) + 1 - (F.col("d") - F.size("s"))
+    chosen = F.slice("s", F.lit(1), F.greatest(F.lit(0), left).cast("int"))["shingle"]
+    # partners that may be similar without any shared difference all meet
+    chosen = F.concat(chosen, F.when(overlap <= 0, F.array(F.lit(None).cast("bigint"))).otherwise(F.array().cast("array<bigint>")))
+    each = rows.select("c", "v", "n", "d", F.size("s").cast("bigint").alias("size"), F.posexplode(chosen).alias("i", "x"))
+    rest = F.when(F.col("x").isNull(), F.col("d")).otherwise(F.col("size") - F.col("i"))
+    bucket = F.xxhash64("c", F.coalesce("x", F.lit(0)), F.col("x").isNull())
+    return each.select(bucket.alias("bucket"), "v", "n", "d", rest.alias("s"))
 
 
 def near_components(docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataFrame]:
