@@ -146,3 +146,21 @@ def test_stream_is_one_to_one():
     data, text, places = T.stream(w, 3)
     assert [bytes(data[places[text == i]]) for i in range(len(texts))] == [sequence(t) for t in texts]
     assert all((data[places[text == i][0] - np.arange(1, 4)] == 10).all() for i in range(len(texts)))
+
+
+def test_every_context_of_the_training_texts_is_used(spark):
+    filler = "the cat sat on the mat and the dog sat on the log " * 3000
+    train = [i for i in range(40) if not split(i)]
+    probe = next(i for i in range(100, 200) if split(i))
+    rows = [*((i, filler) for i in train[:3]), (train[3], "xylo quartz vex"), (probe, "xylo quartz vex")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    score = lambda rules: {r["doc_id"]: r["score"] for r in T.lm_scores(df, rules).collect()}[probe]
+    every = score(T.TreeRules(max_contexts=1 << 62))
+    assert score(T.TreeRules()) == every > score(T.TreeRules(max_contexts=1 << 16)) + 1
+
+
+def test_chunks_give_the_same_scores(docs, monkeypatch):
+    some = docs.where("n_chars < 900").limit(12).selectExpr("doc_id", "text")
+    monkeypatch.setattr(T, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(T, "ROW_KEYS", 3)
+    check(some, T.TreeRules(depth=3, max_contexts=1 << 62))

@@ -7,12 +7,16 @@ context-tree weights: a node's weight against its longer contexts is ``beta = Pe
 ``Pw = (Pe + product of the children's Pw) / 2``, computed bottom-up over the whole tree of the training texts.
 
 Training counts (context, byte) pairs of the largest depth once; counts of shorter contexts are their sums.
-Tasks reduce their texts to counts before the shuffle; partitions by the two last context bytes hold whole
-subtrees, so each is weighted by one numpy pass, and only sums for contexts of two bytes (at most 65,536, a
-constant) reach the driver. The scoring table keeps the contexts with at least ``1 / max_contexts`` of the
-training bytes (so at most ``max_contexts`` a depth, at any corpus size); where the longest kept context of a
-position ends, prediction stops there with that context's own estimate in place of its longer ones. The result is
-a proper probability: each binary decision is a mixture of two-way estimates.
+Tasks reduce their texts to counts before the shuffle; a row by the two last context bytes holds a whole
+subtree, so each is weighted by one numpy pass, and only sums for contexts of two bytes (at most 65,536, a
+constant) reach the driver. Every context of the training texts is used in scoring, so the model grows with the
+corpus: only the contexts of no and one byte are sent to the tasks, the others stay a distributed table. Texts are
+put into chunks of ``CHUNK_BYTES``; a chunk asks for each of its distinct (context, byte) pairs once, the pairs are
+joined with the subtrees by their two last context bytes, and the answers go back to the chunk, where its texts are
+scored. A decision that was never seen in a context stops at the longest context where it was, with that context's
+own estimate in place of longer ones (``max_contexts`` also stops at contexts with less than that share of the
+training bytes; not set by default). The result is a proper probability: each binary decision is a mixture of
+two-way estimates.
 
 The base score needs the count of every word: the counts go to the tasks if there are at most
 ``MAX_SENT_WORDS`` distinct ones, otherwise each text's words are joined with them by shuffle.
@@ -40,13 +44,15 @@ SPACE, END = 0x20, 0x0A
 MAX_SENT_WORDS = 6_000_000
 #: Bytes of text counted at once, and counts held by a task before they are passed on.
 COUNT_BYTES, HELD = 2_000_000, 2_000_000
+#: Bytes of text whose distinct pairs are asked for together, and pairs in one row.
+CHUNK_BYTES, ROW_KEYS = 16_000_000, 1024
 _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 
 
 @dataclass(frozen=True)
 class TreeRules:
     depth: int = 5
-    max_contexts: int = 1 << 16
+    max_contexts: int | None = None
     max_sent_words: int = MAX_SENT_WORDS
 
 
@@ -246,36 +252,52 @@ def byte_log10(stop: np.ndarray) -> np.ndarray:
 ROOT = Dense(np.zeros(1, np.uint64), np.full((1, 255), 0.5), np.zeros((1, 255)), np.ones((1, 255)))
 
 
-def table(contexts: list[np.ndarray], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(children, log10): row of each context extended by a byte (-1: not kept), and its byte probabilities.
-    ``contexts``: keys by depth from 0 (the root), rows in that order."""
-    first = np.cumsum([0, *map(len, contexts)])
-    children = np.full((first[-1], 256), -1, np.int32)
-    for d in range(1, len(contexts)):
-        parent = np.searchsorted(contexts[d - 1], contexts[d] >> np.uint64(8)) + first[d - 1]
-        children[parent, (contexts[d] & np.uint64(255)).astype(np.int64)] = np.arange(len(contexts[d])) + first[d]
-    return children, values
-
-
-def score_bytes(data: np.ndarray, places: np.ndarray, children: np.ndarray, values: np.ndarray, depth: int) -> np.ndarray:
-    """log10 probability of each byte at ``places``."""
-    flat, wide = children.reshape(-1), data.astype(np.int64)
-    # the first two steps together, for every pair of bytes
-    one = children[0].astype(np.int64)
-    two = np.where(one[:, None] >= 0, children[one], -1)
-    ends = np.where(two < 0, np.maximum(one, 0)[:, None], two).reshape(-1)
-    pair = wide[places - 1] * 256 + wide[places - 2]
-    row = ends[pair]
-    alive = np.flatnonzero((two.reshape(-1) >= 0)[pair]) if depth > 1 else np.zeros(0, np.int64)
-    if depth == 1:
-        row = np.maximum(one, 0)[wide[places - 1]]
-    at, now = places[alive], row[alive]
-    for j in range(3, depth + 1):
-        now = flat[now * 256 + wide[at - j]]
-        go = now >= 0
-        alive, at, now = alive[go], at[go], now[go].astype(np.int64)
-        row[alive] = now
-    return values.reshape(-1)[row * 256 + wide[places]]
+def full(one: Dense, root: Dense) -> Dense:
+    """``one`` with a row for each of the 256 bytes: the root's where there is no such context."""
+    rows = [np.repeat(x, 256, axis=0) for x in (root.stop, root.s, root.r)]
+    for to, x in zip(rows, (one.stop, one.s, one.r)):
+        to[one.contexts.astype(np.int64)] = x
+    return Dense(np.arange(256, dtype=np.uint64), *rows)
+
+
+def pruned(tree: dict[int, Level], min_count: int) -> dict[int, Level]:
+    """``tree`` without the decision nodes of contexts with fewer than ``min_count`` occurrences."""
+    if min_count > 1:
+        for level in tree.values():
+            context = level.keys >> np.uint64(8)
+            starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+            total, contexts = np.add.reduceat(level.counts, starts), context[starts]
+            for j in range(8):
+                own = total[np.searchsorted(contexts, level.nodes[j] >> np.uint64(j))] >= min_count
+                for column in (level.nodes, level.n0, level.n1, level.beta):
+                    column[j] = column[j][own]
+    return tree
+
+
+def predictions(keys: np.ndarray, tree: dict[int, Level], top: Dense, depth: int) -> np.ndarray:
+    """log10 probability of the byte of each (context, byte) key, from ``top`` (contexts of one byte, see ``full``)
+    and the levels of two and more bytes."""
+    first, byte = (keys >> np.uint64(8 * depth)).astype(np.int64), keys & np.uint64(255)
+    out = np.zeros(len(keys))
+    for j in range(8):
+        column = ((1 << j) | (byte >> np.uint64(8 - j)).astype(np.int64)) - 1
+        stop, s, r = top.stop[first, column], top.s[first, column], top.r[first, column]
+        alive = np.arange(len(keys))
+        for d in range(2, depth + 1) if tree else ():
+            level, k = tree[d], keys[alive]
+            nodes = level.nodes[j]
+            node = (((k >> np.uint64(8 * (depth - d + 1))) << np.uint64(8)) | (k & np.uint64(255))) >> np.uint64(8 - j)
+            if not len(nodes):
+                break
+            at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+            hit = nodes[at] == node
+            alive, at = alive[hit], at[hit]
+            kt, beta = (level.n1[j][at] + 0.5) / (level.n0[j][at] + level.n1[j][at] + 1.0), level.beta[j][at]
+            stop[alive] = s[alive] + r[alive] * kt
+            s[alive] += r[alive] * beta * kt
+            r[alive] *= 1 - beta
+        out += np.log10(np.where((byte >> np.uint64(7 - j)) & np.uint64(1) == 1, stop, 1 - stop))
+    return out
 
 
 # --- the distributed model -------------------------------------------------------------------------------------
@@ -287,18 +309,26 @@ def _whole(batches, names: list[str]) -> list[np.ndarray]:
     return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(names))]
 
 
+def _unpacked(column: pa.Array, dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
+
+
+def _packed(arrays: list[np.ndarray]) -> pa.Array:
+    return pa.array([x.tobytes() for x in arrays], pa.binary())
+
+
 def _top_sums(grams: DataFrame, depth: int) -> DataFrame:
     """For contexts of two bytes: (j, k, n, log_pw), the byte counts (j = -1) and the weighted nodes (j = 0 to 7)."""
 
     def run(batches):
-        k, n = _whole(batches, ["k", "n"])
-        level = levels(k.view(np.uint64), n, depth, 2)[2] if len(k) else None
-        if level is not None:
-            yield _top_batch(-1, level.keys, level.counts, np.zeros(len(level.keys)))
-            for j in range(8):
-                yield _top_batch(j, level.nodes[j], np.zeros(len(level.nodes[j]), np.int64), level.log_pw[j])
+        for b in batches:
+            for k, n in zip(_unpacked(b.column("k"), np.uint64), _unpacked(b.column("n"), np.int64)):
+                level = levels(k, n, depth, 2)[2]
+                yield _top_batch(-1, level.keys, level.counts, np.zeros(len(level.keys)))
+                for j in range(8):
+                    yield _top_batch(j, level.nodes[j], np.zeros(len(level.nodes[j]), np.int64), level.log_pw[j])
 
-    return grams.mapInArrow(run, "j tinyint, k bigint, n bigint, log_pw double")
+    return grams.select("k", "n").mapInArrow(run, "j tinyint, k bigint, n bigint, log_pw double")
 
 
 def _top_batch(j: int, k: np.ndarray, n: np.ndarray, log_pw: np.ndarray) -> pa.RecordBatch:
@@ -321,79 +351,142 @@ def _top_levels(top) -> tuple[Level, Level]:
 
 @dataclass(frozen=True)
 class Model:
-    """Scoring table (see ``table``) and the word counts' sums."""
+    """log10 byte probabilities of the contexts of no and one byte, their decisions, the counts of all contexts by
+    two-byte subtree (pair, k, n), the least count of a context that is used, and the word counts' sums."""
 
-    children: np.ndarray
     values: np.ndarray
+    top: Dense
+    grams: DataFrame | None
+    least: int
     n_words: int
     n_distinct: int
 
 
-def _kept_contexts(grams: DataFrame, depth: int, one: Dense, min_count: int) -> DataFrame:
-    """(depth, k, values) of the kept contexts of two and more bytes."""
-    sent = grams.sparkSession.sparkContext.broadcast(one)
-
-    def run(batches):
-        k, n = _whole(batches, ["k", "n"])
-        if not len(k):
-            return
-        tree, parent = levels(k.view(np.uint64), n, depth, 2), sent.value
-        for d in range(2, depth + 1):
-            parent = descend(parent, tree[d], min_count)
-            if not len(parent.contexts):
-                return
-            values = pa.FixedSizeBinaryArray.from_buffers(pa.binary(1024), len(parent.contexts), [None, pa.py_buffer(byte_log10(parent.stop).tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), d, np.int8)), pa.array(C.as_signed(parent.contexts)), values.cast(pa.binary())], names=["depth", "k", "v"])
-
-    return grams.mapInArrow(run, "depth tinyint, k bigint, v binary")
-
-
 def train(texts: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
     """The model, and the word counts (k, n) as a table."""
     counts = C.saved(training_counts(texts, rules.depth), "ctw-counts")
-    pair = F.expr(f"shiftrightunsigned(k, {8 * (rules.depth - 1)})")  # the two last context bytes
+    shift = 8 * (rules.depth - 1)
+    pair = F.expr(f"shiftrightunsigned(k, {shift})")  # the two last context bytes
     grams = counts.where("what = 0").select("k", "n").repartition(pair)
 
     def summed(batches):
         k, n = _whole(batches, ["k", "n"])
+        if not len(k):
+            return
         k, n = counted(k.view(np.uint64), n)
-        yield pa.RecordBatch.from_arrays([pa.array(C.as_signed(k)), pa.array(n), pa.array(np.full(len(k), TaskContext.get().partitionId(), np.int32))], names=["k", "n", "part"])
-
-    grams = C.saved(grams.mapInArrow(summed, "k bigint, n bigint, part int"), "ctw-grams")
+        of = (k >> np.uint64(shift)).astype(np.int32)
+        cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(of[np.concatenate([[0], cuts])]), _packed(np.split(k, cuts)), _packed(np.split(n, cuts)), pa.array([int(x.sum()) for x in np.split(n, cuts)], pa.int64())],
+            names=["pair", "k", "n", "total"],
+        )
+
+    grams = C.saved(grams.mapInArrow(summed, "pair int, k binary, n binary, total bigint"), "ctw-grams")
     words = C.saved(counts.where("what = 1").groupBy("k").agg(F.sum("n").alias("n")), "ctw-words")
     totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    own = lambda: grams.repartition("part").select("k", "n")  # noqa: E731  whole subtrees again, whatever the file splits
-    n_bytes = grams.agg(F.sum("n").alias("n")).first()["n"] or 0
+    n_bytes = grams.agg(F.sum("total").alias("n")).first()["n"] or 0
     if not n_bytes:
-        return Model(*table([ROOT.contexts], byte_log10(ROOT.stop)), 0, 0), words
-    top = _top_sums(own(), rules.depth).toArrow()
-    one, root = _top_levels(top)
-    least = max(1, n_bytes // rules.max_contexts)
-    dense = [descend(ROOT, root, 1)]
-    dense.append(descend(dense[0], one, least))
-    contexts, values = [x.contexts for x in dense], [byte_log10(x.stop) for x in dense]
-    kept = _kept_contexts(own(), rules.depth, dense[1], least).toArrow()
-    of, k = kept["depth"].to_numpy(), kept["k"].to_numpy().view(np.uint64)
-    vectors = kept["v"].combine_chunks()
-    for d in range(2, rules.depth + 1):
-        rows = np.flatnonzero(of == d)
-        rows = rows[np.argsort(k[rows])]
-        contexts.append(k[rows])
-        values.append(np.frombuffer(b"".join(x.as_buffer() for x in vectors.take(pa.array(rows))), np.float32).reshape(len(rows), 256))
-    del kept, vectors
-    return Model(*table(contexts, np.concatenate(values)), totals["n"], totals["v"]), words
-
-
-def _token_sum(c: np.ndarray, model: Model) -> np.ndarray:
-    return np.log10((c + 0.5) / (model.n_words + 0.5 * (model.n_distinct + 1)))
+        none = Dense(ROOT.contexts[:0], ROOT.stop[:0], ROOT.s[:0], ROOT.r[:0])
+        return Model(byte_log10(ROOT.stop), full(none, ROOT), None, 1, 0, 0), words
+    one, root = _top_levels(_top_sums(grams, rules.depth).toArrow())
+    least = max(1, n_bytes // rules.max_contexts) if rules.max_contexts else 1
+    first = descend(ROOT, root, 1)
+    second = descend(first, one, least)
+    return Model(np.concatenate([byte_log10(first.stop), byte_log10(second.stop)]), full(second, first), grams, least, totals["n"], totals["v"]), words
+
+
+def _asked(docs: DataFrame, depth: int) -> DataFrame:
+    """``docs`` with a chunk number (pair NULL), and the distinct (context, byte) keys of each chunk (pair, k)."""
+    id_type = docs.schema["doc_id"].dataType
+    shift = np.uint64(8 * (depth - 1))
+
+    def run(batches):
+        chunk, held, size = TaskContext.get().partitionId() << 32, Counter(), 0
+
+        def keys():
+            k, _ = counted(np.concatenate(held.keys), np.concatenate(held.counts))
+            of = (k >> shift).astype(np.int32)
+            cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+            cuts = np.unique(np.concatenate([cuts, np.arange(0, len(k), ROW_KEYS)]))[1:]
+            rows = np.split(k, cuts)
+            empty = lambda t: pa.nulls(len(rows), t)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), chunk)), empty(types[0]), empty(types[1]), empty(types[2]), pa.array(of[np.concatenate([[0], cuts])]), _packed(rows)], names=names
+            )
+
+        names, types = ["chunk", "doc_id", "held_out", "text", "pair", "k"], None
+        for b in C.pieces(batches, "text"):
+            types = [b.schema.field(x).type for x in names[1:4]]
+            data, _, places = stream(C.Words(b.column("text"), fold=True), depth)
+            if size and size + len(places) > CHUNK_BYTES:
+                yield keys()
+                chunk, held, size = chunk + 1, Counter(), 0
+            size += len(places)
+            held.add(*counted(gram_keys(data, places, depth)))
+            if held.held >= HELD:  # merged, all kept
+                k, n = counted(np.concatenate(held.keys), np.concatenate(held.counts))
+                held.keys, held.counts, held.held = [k], [n], 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(b.num_rows, chunk)), *(b.column(x) for x in names[1:4]), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())], names=names
+            )
+        if size:
+            yield keys()
+
+    return C.saved(docs.mapInArrow(run, f"chunk bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, pair int, k binary"), "ctw-asked")
+
+
+def _runs(of: np.ndarray) -> list[tuple[int, int]]:
+    cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
+    return list(zip(np.concatenate([[0], cuts]).tolist(), np.append(cuts, len(of)).tolist()))
+
+
+def _answers(asked: DataFrame, model: Model, depth: int) -> DataFrame:
+    """(chunk, k, v): log10 probability of each key asked for; the keys meet the subtree of their pair."""
+    sent = asked.sparkSession.sparkContext.broadcast(model.top)
+    least = model.least
+
+    def run(batches):
+        top, pair, tree = sent.value, None, {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            for lo, hi in _runs(b.column("pair").to_numpy()):
+                part = b.slice(lo, hi - lo)
+                if part.column("pair")[0].as_py() != pair:
+                    pair, tree = part.column("pair")[0].as_py(), {}
+                if not part.column("chunk")[0].is_valid:
+                    (k,), (n,) = _unpacked(part.column("k")[:1], np.uint64), _unpacked(part.column("n")[:1], np.int64)
+                    tree, part = pruned(levels(k, n, depth, 2), least), part.slice(1)
+                if not part.num_rows:
+                    continue
+                rows = _unpacked(part.column("k"), np.uint64)
+                keys, back = np.unique(np.concatenate(rows), return_inverse=True)
+                v = predictions(keys, tree, top, depth).astype(np.float32)[back]
+                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("k"), _packed(np.split(v, np.cumsum([len(x) for x in rows])[:-1]))], names=["chunk", "k", "v"])
+
+    wanted = asked.where("pair IS NOT NULL").select("pair", "chunk", "k", F.lit(None).cast("binary").alias("n"))
+    if model.grams is not None:
+        wanted = wanted.unionByName(model.grams.select("pair", F.lit(None).cast("bigint").alias("chunk"), "k", "n"))
+    wanted = wanted.repartition("pair").sortWithinPartitions("pair", F.col("chunk").asc_nulls_first())
+    return wanted.mapInArrow(run, "chunk bigint, k binary, v binary")
+
+
+def _token_sum(c: np.ndarray, n_words: int, n_distinct: int) -> np.ndarray:
+    return np.log10((c + 0.5) / (n_words + 0.5 * (n_distinct + 1)))
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) -> DataFrame:
     """``docs`` (doc_id, held_out, text) with tokens, known tokens, base and model score."""
     depth = rules.depth
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast(model)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    asked = _asked(docs.select("doc_id", "held_out", "text"), depth)
+    texts = asked.where("pair IS NULL").select("chunk", "doc_id", "held_out", "text", F.lit(None).cast("binary").alias("k"), F.lit(None).cast("binary").alias("v"))
+    answers = _answers(asked, model, depth)
+    missing = [F.lit(None).cast(docs.schema[x].dataType).alias(x) for x in ("doc_id", "held_out", "text")]
+    chunks = texts.unionByName(answers.select("chunk", *missing, "k", "v")).repartition("chunk")
+    chunks = chunks.sortWithinPartitions("chunk", F.col("k").isNull())
+    n_words, n_distinct = model.n_words, model.n_distinct
     known = None
     if model.n_distinct <= rules.max_sent_words:
         few = words.toArrow()
@@ -401,10 +494,30 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
         known = context.broadcast((few["k"].to_numpy()[order], few["n"].to_numpy()[order]))
         del few, order
 
-    def scored(b, m):
-        w = C.Words(b.column("text"), fold=True)
-        data, text, places = stream(w, depth)
-        return w, np.bincount(text, weights=score_bytes(data, places, m.children, m.values, depth), minlength=w.n_docs)
+    def scored(batches):
+        """(texts, their words, their scores); a chunk's answers come before its texts."""
+        chunk, keys, values = None, [], []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            for lo, hi in _runs(b.column("chunk").to_numpy()):
+                part = b.slice(lo, hi - lo)
+                if part.column("chunk")[0].as_py() != chunk:
+                    chunk, keys, values = part.column("chunk")[0].as_py(), [], []
+                n = len(part) - part.column("k").null_count
+                if n:
+                    keys += _unpacked(part.column("k")[:n], np.uint64)
+                    values += _unpacked(part.column("v")[:n], np.float32)
+                if n < len(part) and len(keys) > 1:
+                    k, v = np.concatenate(keys), np.concatenate(values)
+                    order = np.argsort(k)
+                    keys, values = [k[order]], [v[order]]
+                for piece in C.pieces([part.slice(n)], "text"):
+                    w = C.Words(piece.column("text"), fold=True)
+                    data, text, places = stream(w, depth)
+                    own, back = np.unique(gram_keys(data, places, depth), return_inverse=True)
+                    each = values[0][np.searchsorted(keys[0], own)][back]
+                    yield piece, w, np.bincount(text, weights=each, minlength=w.n_docs)
 
     def batch(columns):
         return pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns.values()], names=list(columns))
@@ -412,26 +525,24 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
     if known is not None:
 
         def run(batches):
-            m, (k, n) = sent.value, known.value
-            for b in C.pieces(batches, "text"):
-                w, s = scored(b, m)
+            k, n = known.value
+            for b, w, s in scored(batches):
                 distinct, back = np.unique(C.as_signed(np.append(w.hash, _END_WORD.view(np.uint64))), return_inverse=True)
                 c = np.zeros(len(distinct), np.int64)
                 if len(k):
                     at = np.minimum(np.searchsorted(k, distinct), len(k) - 1)
                     c = np.where(k[at] == distinct, n[at], 0)
-                each, is_known = _token_sum(c, m)[back], (c > 0)[back]
+                each, is_known = _token_sum(c, n_words, n_distinct)[back], (c > 0)[back]
                 base = np.bincount(w.doc, weights=each[:-1], minlength=w.n_docs) + each[-1]
                 n_known = np.bincount(w.doc, weights=is_known[:-1], minlength=w.n_docs).astype(np.int64) + int(is_known[-1])
                 yield batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "n_known": n_known, "base_score": base, "score": s})
 
-        found = docs.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+        found = chunks.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     else:
 
         def run(batches):
             rid = count(TaskContext.get().partitionId() << 40)
-            for b in C.pieces(batches, "text"):
-                w, s = scored(b, sent.value)
+            for b, w, s in scored(batches):
                 order = np.lexsort((w.hash, w.doc))
                 doc, h = w.doc[order], w.hash[order]
                 new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])) if len(doc) else np.zeros(0, np.int64)
@@ -443,7 +554,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
                 yield batch({"rid": ids, "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "score": s, "words": pairs})
 
         schema = f"rid bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, score double, words array<struct<k: bigint, times: bigint>>"
-        rows = C.saved(docs.mapInArrow(run, schema), "ctw-scored")
+        rows = C.saved(chunks.mapInArrow(run, schema), "ctw-scored")
         end = F.struct(F.lit(int(_END_WORD)).alias("k"), F.lit(1).cast("bigint").alias("times"))
         each = rows.select("rid", F.inline(F.concat("words", F.array(end)))).join(words, "k", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         value = F.log10((F.col("n") + 0.5) / (model.n_words + 0.5 * (model.n_distinct + 1)))
