@@ -164,3 +164,14 @@ def test_chunks_give_the_same_scores(docs, monkeypatch):
     monkeypatch.setattr(T, "CHUNK_BYTES", 700)
     monkeypatch.setattr(T, "ROW_KEYS", 3)
     check(some, T.TreeRules(depth=3, max_contexts=1 << 62))
+
+
+def test_default_depth_sees_six_bytes(spark):
+    """What follows is told by the sixth byte back only."""
+    train = [i for i in range(60) if not split(i)][:40]
+    probe = [i for i in range(100, 300) if split(i)][:2]
+    rows = [(i, ("a" if n % 2 else "b") + "zzzzz" + ("c" if n % 2 else "d")) for n, i in enumerate(train)]
+    rows += [(probe[0], "azzzzzc"), (probe[1], "azzzzzd")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    s = {r["doc_id"]: r["score"] for r in T.lm_scores(df).collect()}
+    assert s[probe[0]] > s[probe[1]] + 0.5

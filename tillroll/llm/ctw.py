@@ -51,7 +51,7 @@ _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 
 @dataclass(frozen=True)
 class TreeRules:
-    depth: int = 5
+    depth: int = 6
     max_contexts: int | None = None
     max_sent_words: int = MAX_SENT_WORDS
 
