@@ -112,3 +112,19 @@ def test_stage_keeps_clean_documents(spark, docs, edge_docs):
     kept = D.without_contaminated(docs, benchmark)
     assert kept.schema == docs.schema and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - gone
     assert D.without_contaminated(edge_docs, benchmark).count() == edge_docs.count()
+
+
+def test_each_occurrence_counts_on_its_own(spark, items):
+    question = "A train leaves {0} at {1} and covers {2} km in {3} hours. How far from {0} is the train after {4} hours?"
+    again = " ".join(question.format(*x) for x in (("Paris", 9, 120, 2, 5), ("London", 7, 90, 3, 6), ("Madrid", 6, 70, 4, 8)))
+    chance = DOCS[1][1]
+    docs = spark.createDataFrame([(1, again), (2, chance + " " + chance)], "doc_id bigint, text string")
+    for rules in (D.TemplateRules(), D.TemplateRules(max_sent_windows=0)):
+        got = {(r["doc_id"], r["item_id"]): r for r in D.contaminated(docs, items, rules).collect()}
+        assert set(got) == {(1, 1)} and got[1, 1]["coverage"] == 1.0 and got[1, 1]["consistency"] == 1.0
+
+
+def test_item_that_repeats_a_window(spark):
+    text = "please add the number 3 to the number 4 and then please add the number 5 to the number 6 and then"
+    df = lambda rows, c: spark.createDataFrame(rows, f"{c} bigint, text string")
+    assert D.contaminated(df([(1, text)], "doc_id"), df([(1, text)], "item_id")).count() == 1

@@ -5,7 +5,10 @@ that a question with other numbers or names has the same template. Windows of te
 between benchmark and documents. The values that stand at the placeholders (slots) are compared in the windows
 that match: in a re-parameterised question each slot value of the item is replaced by one value throughout, in
 a chance match of templates it is not. A document is contaminated by an item if enough of the item's windows
-match and the slots are consistent.
+match and the slots are consistent, in the whole document or in one occurrence: the matches at one distance
+between document and item position, or at neighbouring distances (a replacement may have more words). So a document
+that holds an item twice with different values is contaminated too; the figures are those of the whole document if
+it passes, otherwise of the best occurrence.
 
 A number is a word with a digit or a number word; a unit is a word of ``UNITS`` after a number; a name is a
 capitalised word that does not begin a sentence. A window needs ``min_literals`` words that are no placeholders.
@@ -28,7 +31,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -64,6 +67,8 @@ class TemplateRules:
     min_windows: int = 13
     #: ... and at least this share of the slots fits one substitution of the item's slot values.
     min_consistency: float = 0.9
+    #: Matches of one occurrence: distances between document and item position that differ by at most this.
+    max_drift: int = 3
     max_sent_windows: int = MAX_SENT_WINDOWS
 
 
@@ -149,7 +154,7 @@ def item_windows(benchmark: DataFrame, rules: TemplateRules, id_col: str = "item
 
 
 def _document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | None, rules: TemplateRules) -> DataFrame:
-    """(rid, doc_id, h, values) of the documents' windows; with ``known`` only those."""
+    """(rid, doc_id, h, place, values) of the documents' windows; with ``known`` only those."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(known)) if known is not None else None
 
@@ -158,6 +163,7 @@ def _document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | N
         hashes = sent.value if sent is not None else None
         for b in C.pieces(batches, "text"):
             t = Template(b.column("text"))
+            first = np.concatenate([[0], np.cumsum(np.bincount(t.doc, minlength=t.n_docs))])
             ids = np.array([next(rid) for _ in range(b.num_rows)], np.int64)
             for n in lengths:
                 h, at = t.windows(n, rules.min_literals)
@@ -167,10 +173,11 @@ def _document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | N
                     h, at = h[hit], at[hit]
                 doc = t.doc[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[doc]), b.column("doc_id").take(pa.array(doc)), pa.array(h), pa.array(t.slots(at, n), pa.list_(pa.int64()))], names=["rid", "doc_id", "h", "values"]
+                    [pa.array(ids[doc]), b.column("doc_id").take(pa.array(doc)), pa.array(h), pa.array(at - first[doc]), pa.array(t.slots(at, n), pa.list_(pa.int64()))],
+                    names=["rid", "doc_id", "h", "place", "values"],
                 )
 
-    return docs.mapInArrow(run, f"rid bigint, doc_id {id_type}, h bigint, values array<bigint>")
+    return docs.mapInArrow(run, f"rid bigint, doc_id {id_type}, h bigint, place bigint, values array<bigint>")
 
 
 def contaminated(
@@ -187,24 +194,34 @@ def contaminated(
         known = some if len(some) <= rules.max_sent_windows else None
     windows = _document_windows(own, lengths, known, rules)
     if known is None:
-        windows = windows.join(items.select("h").distinct(), "h", "left_semi").select("rid", "doc_id", "h", "values")
+        windows = windows.join(items.select("h").distinct(), "h", "left_semi").select("rid", "doc_id", "h", "place", "values")
     windows = C.saved(windows, "template-hits")
-    hits = windows.join(items, "h")
-    matched = hits.groupBy("rid", "doc_id", "item_id", "pos").agg(F.max("n_windows").alias("n_windows")).groupBy("rid", "doc_id", "item_id")
+    hits = windows.join(items, "h").withColumn("shift", F.col("place") - F.col("pos"))
+    by_shift = Window.partitionBy("rid", "item_id").orderBy("shift")
+    hits = hits.withColumn("new", (F.col("shift") - F.lag("shift").over(by_shift) > rules.max_drift).cast("bigint"))
+    hits = hits.withColumn("run", F.coalesce(F.sum("new").over(by_shift), F.lit(0).cast("bigint")))
+    # the whole document, each run of neighbouring shifts, each shift
+    one = lambda level, c: F.struct(F.lit(level).alias("level"), c.alias("place"))
+    hits = hits.withColumn("occurrence", F.explode(F.array(one(0, F.lit(0).cast("bigint")), one(1, F.col("run")), one(2, F.col("shift")))))
+    key = ["rid", "item_id", "occurrence"]
+    matched = hits.groupBy(*key, "doc_id", "pos").agg(F.max("n_windows").alias("n_windows")).groupBy(*key, "doc_id")
     matched = matched.agg(F.count("*").alias("n_matched"), F.max("n_windows").alias("n_windows"))
     # each slot value of the item: how often its most frequent replacement stands there
-    slots = hits.where(F.size("slots") > 0).select("rid", "item_id", F.explode(F.arrays_zip("slots", "values")).alias("s"))
-    fits = slots.groupBy("rid", "item_id", F.col("s.slots").alias("slot"), F.col("s.values").alias("value")).agg(F.count("*").alias("n"))
-    fits = fits.groupBy("rid", "item_id", "slot").agg(F.max("n").alias("best"), F.sum("n").alias("n")).groupBy("rid", "item_id")
+    slots = hits.where(F.size("slots") > 0).select(*key, F.explode(F.arrays_zip("slots", "values")).alias("s"))
+    fits = slots.groupBy(*key, F.col("s.slots").alias("slot"), F.col("s.values").alias("value")).agg(F.count("*").alias("n"))
+    fits = fits.groupBy(*key, "slot").agg(F.max("n").alias("best"), F.sum("n").alias("n")).groupBy(*key)
     fits = fits.agg((F.sum("best") / F.sum("n")).alias("consistency"))
-    both = matched.join(fits.withColumnRenamed("rid", "r").withColumnRenamed("item_id", "i"), (F.col("rid") == F.col("r")) & F.col("item_id").eqNullSafe(F.col("i")), "left")
+    fits = fits.select(F.col("rid").alias("r"), F.col("item_id").alias("i"), F.col("occurrence").alias("o"), "consistency")
+    both = matched.join(fits, (F.col("rid") == F.col("r")) & F.col("item_id").eqNullSafe(F.col("i")) & (F.col("occurrence") == F.col("o")), "left")
     coverage = F.col("n_matched") / F.col("n_windows")
     consistency = F.coalesce("consistency", F.lit(1.0))
-    found = both.select("doc_id", "item_id", "n_matched", "n_windows", coverage.alias("coverage"), consistency.alias("consistency"))
+    whole = (F.col("occurrence.level") == 0).alias("whole")
+    found = both.select("doc_id", "item_id", whole, "n_matched", "n_windows", coverage.alias("coverage"), consistency.alias("consistency"))
     enough = (F.col("coverage") >= rules.min_coverage) | (F.col("n_matched") >= rules.min_windows)
     found = found.where(enough & (F.col("consistency") >= rules.min_consistency))
-    best = F.max(F.struct("n_matched", "n_windows", "coverage", "consistency")).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    best = F.max(F.struct("whole", "n_matched", "n_windows", "coverage", "consistency")).alias("best")
+    found = found.groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", *(f"best.{x}" for x in ("n_matched", "n_windows", "coverage", "consistency")))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, rules: TemplateRules = TemplateRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
