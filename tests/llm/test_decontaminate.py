@@ -128,3 +128,20 @@ def test_item_that_repeats_a_window(spark):
     text = "please add the number 3 to the number 4 and then please add the number 5 to the number 6 and then"
     df = lambda rows, c: spark.createDataFrame(rows, f"{c} bigint, text string")
     assert D.contaminated(df([(1, text)], "doc_id"), df([(1, text)], "item_id")).count() == 1
+
+
+def test_items_of_few_literals_match_exactly(spark):
+    benchmark = [(1, "What is 12 times 7?"), (2, "Give me the sum"), (3, "Add 3 and 4 and 5 and 6 and 7 and 8 and 9"), (4, "..."), (5, "")]
+    rows = [
+        (1, "He asked. What is 12 times 7? Then he left."),
+        (2, "He asked. What is 13 times 7? Then he left."),
+        (3, "Now: give me the sum. Thanks."),
+        (4, "Please give me the sum of all these."),
+        (5, "So add 3 and 4 and 5 and 6 and 7 and 8 and 9 at once"),
+        (6, "So add 4 and 3 and 6 and 5 and 8 and 7 and 1 at once"),
+        (7, "give me the sum"),
+    ]
+    items = spark.createDataFrame(benchmark, "item_id bigint, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for rules in (D.TemplateRules(), D.TemplateRules(max_sent_windows=0)):
+        assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items, rules).collect()} == {(1, 1), (3, 2), (5, 3), (7, 2)}

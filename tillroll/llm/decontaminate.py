@@ -12,7 +12,9 @@ it passes, otherwise of the best occurrence.
 
 A number is a word with a digit or a number word; a unit is a word of ``UNITS`` after a number; a name is a
 capitalised word that does not begin a sentence. A window needs ``min_literals`` words that are no placeholders.
-An item shorter than a window is one window of its own length, if it has ``min_item_words`` words.
+An item shorter than a window is one window of its own length. An item without any window of enough literals (many
+numbers or names) is matched by its exact words instead; one of less than ``min_item_words`` words too, and only
+where it stands alone: between starts and ends of sentences, lines or the text.
 
 Work at scale: one pass over the documents keeps only windows whose hash the benchmark has (its hashes go to the
 tasks if there are at most ``MAX_SENT_WINDOWS``; otherwise the documents' windows are joined by shuffle); the
@@ -54,6 +56,8 @@ _UPPER = (_BYTES >= ord("A")) & (_BYTES <= ord("Z"))
 _LOWER = (_BYTES >= ord("a")) & (_BYTES <= ord("z"))
 _CONTENT = _DIGIT | _UPPER | _LOWER | (_BYTES >= 0x80)
 _ENDS = np.isin(_BYTES, list(b".!?:"))
+#: Windows of template words, of exact words, of exact words that stand alone.
+TEMPLATE, EXACT, ALONE = 0, 1, 2
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (11, 13, 17))
 
 
@@ -107,19 +111,29 @@ class Template:
         capital = _UPPER[body[first]] & _LOWER[body[second]] & (n[some] > 1) if len(some) else np.zeros(0, bool)
         name = capital & ~opens & ~number
         self.slot = number | unit | name
+        self.opens = opens
         self.hash = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, self.value)))
 
-    def windows(self, n: int, min_literals: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, first word) of each window of n template words inside one text with enough literals."""
+    def windows(self, n: int, min_literals: int, kind: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first word) of each window of n words of ``kind`` inside one text; template ones with enough literals."""
         m = len(self.hash) - n + 1
         if m <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        literals = np.concatenate([[0], np.cumsum(~self.slot)])
-        at = np.flatnonzero((self.doc[:m] == self.doc[n - 1 :]) & (literals[n:] - literals[:m] >= min(min_literals, n)))
-        h = np.full(len(at), n, np.uint64)
+        ok = self.doc[:m] == self.doc[n - 1 :]
+        if kind == TEMPLATE:
+            literals = np.concatenate([[0], np.cumsum(~self.slot)])
+            ok &= literals[n:] - literals[:m] >= min(min_literals, n)
+        elif kind == ALONE:  # the first word of a text opens
+            ok &= self.opens[:m] & np.append(self.opens, True)[n:]
+        at = np.flatnonzero(ok)
+        return self.windows_at(at, n, kind), at
+
+    def windows_at(self, at: np.ndarray, n: int, kind: int) -> np.ndarray:
+        words = self.hash if kind == TEMPLATE else self.value
+        h = np.full(len(at), n + (kind << 32), np.uint64)
         for k in range(n):
-            h = C.mix64(h * C._BASE + self.hash[at + k])
-        return h, at
+            h = C.mix64(h * C._BASE + words[at + k])
+        return h
 
     def slots(self, at: np.ndarray, n: int) -> list[list[int]]:
         signed = C.as_signed(self.value)
@@ -127,7 +141,7 @@ class Template:
 
 
 def item_windows(benchmark: DataFrame, rules: TemplateRules, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(h, n, item_id, pos, slots, n_windows) of each window of each item."""
+    """(h, n, kind, item_id, pos, slots, n_windows) of each window of each item."""
     id_type = benchmark.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -136,24 +150,32 @@ def item_windows(benchmark: DataFrame, rules: TemplateRules, id_col: str = "item
             words = np.bincount(t.doc, minlength=t.n_docs)
             ids = b.column("item_id").to_pylist()
             first = np.concatenate([[0], np.cumsum(words)])
-            rows: list[list] = [[] for _ in range(6)]
-            for n in np.unique(np.minimum(words[words >= rules.min_item_words], rules.window)).tolist():
-                h, at = t.windows(n, rules.min_literals)
-                own = (np.minimum(words[t.doc[at]], rules.window) == n) if len(at) else np.zeros(0, bool)
-                h, at = C.as_signed(h[own]), at[own]
-                total = np.bincount(t.doc[at], minlength=t.n_docs)
-                for x, a, s in zip(h, at, t.slots(at, n)):
-                    d = int(t.doc[a])
-                    for column, v in zip(rows, (int(x), n, ids[d], int(a - first[d]), s, int(total[d]))):
-                        column.append(v)
-            types = [pa.int64(), pa.int32(), b.schema.field("item_id").type, pa.int32(), pa.list_(pa.int64()), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(r, t_) for r, t_ in zip(rows, types)], names=["h", "n", "item_id", "pos", "slots", "n_windows"])
+            rows: list[list] = [[] for _ in range(7)]
+            length = np.minimum(words, rules.window)
+            found = np.zeros(t.n_docs, bool)
+            for kind in (TEMPLATE, EXACT, ALONE):
+                may = (words > 0) & (words < rules.min_item_words) if kind == ALONE else words >= rules.min_item_words
+                may &= ~found
+                for n in np.unique(length[may]).tolist():
+                    # an item is its own text: in an ALONE window nothing stands beside it
+                    h, at = t.windows(n, rules.min_literals, EXACT if kind == ALONE else kind)
+                    own = (may & (length == n))[t.doc[at]] if len(at) else np.zeros(0, bool)
+                    at = at[own]
+                    h = C.as_signed(t.windows_at(at, n, kind))
+                    total = np.bincount(t.doc[at], minlength=t.n_docs)
+                    found |= total > 0
+                    for x, a, s in zip(h, at, t.slots(at, n) if kind == TEMPLATE else [[]] * len(at)):
+                        d = int(t.doc[a])
+                        for column, v in zip(rows, (int(x), n, kind, ids[d], int(a - first[d]), s, int(total[d]))):
+                            column.append(v)
+            types = [pa.int64(), pa.int32(), pa.int32(), b.schema.field("item_id").type, pa.int32(), pa.list_(pa.int64()), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(r, t_) for r, t_ in zip(rows, types)], names=["h", "n", "kind", "item_id", "pos", "slots", "n_windows"])
 
     own = benchmark.select(benchmark[id_col].alias("item_id"), benchmark[text_col].alias("text"))
-    return own.mapInArrow(run, f"h bigint, n int, item_id {id_type}, pos int, slots array<bigint>, n_windows int")
+    return own.mapInArrow(run, f"h bigint, n int, kind int, item_id {id_type}, pos int, slots array<bigint>, n_windows int")
 
 
-def _document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | None, rules: TemplateRules) -> DataFrame:
+def _document_windows(docs: DataFrame, lengths: list[tuple[int, int]], known: np.ndarray | None, rules: TemplateRules) -> DataFrame:
     """(rid, doc_id, h, place, values) of the documents' windows; with ``known`` only those."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(known)) if known is not None else None
@@ -165,15 +187,15 @@ def _document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | N
             t = Template(b.column("text"))
             first = np.concatenate([[0], np.cumsum(np.bincount(t.doc, minlength=t.n_docs))])
             ids = np.array([next(rid) for _ in range(b.num_rows)], np.int64)
-            for n in lengths:
-                h, at = t.windows(n, rules.min_literals)
+            for n, kind in lengths:
+                h, at = t.windows(n, rules.min_literals, kind)
                 h = C.as_signed(h)
                 if hashes is not None and len(h):
                     hit = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
                     h, at = h[hit], at[hit]
                 doc = t.doc[at]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[doc]), b.column("doc_id").take(pa.array(doc)), pa.array(h), pa.array(at - first[doc]), pa.array(t.slots(at, n), pa.list_(pa.int64()))],
+                    [pa.array(ids[doc]), b.column("doc_id").take(pa.array(doc)), pa.array(h), pa.array(at - first[doc]), pa.array(t.slots(at, n) if kind == TEMPLATE else [[]] * len(at), pa.list_(pa.int64()))],
                     names=["rid", "doc_id", "h", "place", "values"],
                 )
 
@@ -186,7 +208,7 @@ def contaminated(
     """One row per contaminated document and item: matching windows, the item's windows, coverage, consistency."""
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     items = C.saved(item_windows(benchmark, rules, item_col, item_text_col), "template-items")
-    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
+    lengths = sorted((r["n"], r["kind"]) for r in items.select("n", "kind").distinct().collect())
     some = items.select("h").distinct().limit(rules.max_sent_windows + 1).toArrow()["h"].to_numpy()
     if not len(some):
         known = np.zeros(1, np.int64)
