@@ -134,3 +134,17 @@ def test_anchors_cover_every_run():
         if text[i] == text[i + 30]:
             want.add(i + int(np.argmin(h[i : i + 31])))
     assert got == want
+
+
+def test_whole_passages_are_covered(planted):
+    df, pairs, _, _ = planted
+    text = {r["doc_id"]: r["text"] for r in df.collect()}
+    spans = {(r["doc_id"], r["kept_doc_id"]): [tuple(map(int, s.split(":"))) for s in r["spans"].split(",")] for r in R.repeat_report(df).collect()}
+    where = brute_shared(text.items(), 20)
+    for d, k in pairs:
+        ws = [(m.start(), m.end(), m[0].translate(UPPER)) for m in WORD.finditer(text[d])]
+        want = set()
+        for i in range(len(ws) - 19):
+            if k in where[tuple(x for _, _, x in ws[i : i + 20])]:
+                want.update(range(ws[i][0], ws[i + 19][1]))
+        assert want <= {c for a, z in spans[d, k] for c in range(a, z)}

@@ -8,8 +8,11 @@ by connected components: in each component the document with the smallest id kee
 A passage that repeats inside longer paragraphs leaves their similarity low, so each text also has embedded
 paragraphs: stretches of ``min_words`` words that begin at anchors chosen by content (the smallest window hash
 of every ``anchor_window`` consecutive windows), whatever the line breaks. Any passage of
-``min_words + anchor_window - 1`` = 50 words or more that two texts share holds the same anchor in both. Equal
-stretches are a class of their own; again the smallest id keeps them.
+``min_words + anchor_window - 1`` = 50 words or more that two texts share holds the same anchor in both. A shared
+anchor is a candidate only: all stretches that begin within ``anchor_window - 1`` words of one are compared, which
+are all of a shared passage (its anchors are no farther apart, its ends no farther from an anchor), so the whole
+passage is found. Equal stretches are a class of their own; again the smallest id keeps them. A shared passage of
+``min_words`` to 49 words that is no paragraph is found only if it holds an anchor of both texts.
 
 Work at scale: one pass makes narrow rows (hashes and offsets); classes and buckets are partial aggregates; a
 removal list meets its paragraphs in an equi-join that the engine splits for a hot passage; candidate edges are
@@ -144,7 +147,7 @@ def scan(docs: DataFrame, rules: RepeatRules) -> DataFrame:
             h, at = w.shingles(rules.min_words)
             chosen = anchors(h, w.doc[at], rules.anchor_window)
             at, h = at[chosen], h[chosen]
-            check = (C.salted(w.hash[at], 3) + C.salted(w.hash[at + rules.min_words - 1], 4)).astype(np.uint32).view(np.int32) if len(at) else np.zeros(0, np.int32)
+            check = _stretch_check(w, at, rules.min_words)
             stretches = _lists(
                 np.bincount(w.doc[at], minlength=w.n_docs),
                 {"a": pa.array(a[at]), "z": pa.array(z[at + rules.min_words - 1] if len(at) else a[:0]), "h1": pa.array(C.as_signed(h)), "h2": pa.array(check)},
@@ -154,6 +157,36 @@ def scan(docs: DataFrame, rules: RepeatRules) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _stretch_check(w: C.Words, at: np.ndarray, n: int) -> np.ndarray:
+    return (C.salted(w.hash[at], 3) + C.salted(w.hash[at + n - 1], 4)).astype(np.uint32).view(np.int32) if len(at) else np.zeros(0, np.int32)
+
+
+def _around(docs: DataFrame, rules: RepeatRules) -> DataFrame:
+    """(doc, t, a, z, h1, h2) of all stretches that begin close to an anchor of ``docs`` (doc, t, text, places)."""
+    n, reach = rules.min_words, rules.anchor_window - 1
+
+    def run(batches):
+        for b in C.pieces(batches, "text"):
+            w = C.Words(b.column("text"), fold=True)
+            cp = w.code_points()
+            base = cp[w.bounds[:-1]]
+            a = (cp[w.start] - base[w.doc]).astype(np.int32)
+            z = (cp[w.end] - base[w.doc]).astype(np.int32)
+            h, at = w.shingles(n)
+            doc = w.doc[at]
+            of = np.repeat(np.arange(w.n_docs), b.column("places").value_lengths().to_numpy())
+            anchor = np.searchsorted((doc.astype(np.int64) << 32) | a[at], (of.astype(np.int64) << 32) | b.column("places").flatten().to_numpy())
+            mark = np.zeros(len(at) + 1, np.int64)
+            np.add.at(mark, np.maximum(anchor - reach, np.searchsorted(doc, of)), 1)
+            np.add.at(mark, np.minimum(anchor + reach + 1, np.searchsorted(doc, of, side="right")), -1)
+            near = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
+            at, h, rows = at[near], h[near], pa.array(doc[near])
+            columns = [b.column("doc").take(rows), b.column("t").take(rows), pa.array(a[at]), pa.array(z[at + n - 1]), pa.array(C.as_signed(h)), pa.array(_stretch_check(w, at, n))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "t", "a", "z", "h1", "h2"])
+
+    return docs.select("doc", "t", "text", "places").mapInArrow(run, "doc bigint, t bigint, a int, z int, h1 bigint, h2 int")
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, rules: RepeatRules) -> DataFrame:
     """(v, shingles) of the wanted paragraph classes (v, h1, h2, doc: a document that holds it)."""
     near, min_words, limit = rules.near, rules.min_words, rules.near.max_sent_ids
@@ -201,9 +234,10 @@ def repeated_spans(docs: DataFrame, rules: RepeatRules = RepeatRules(), id_col:
     whole = paragraphs.select("doc", "t", "a", "z", *key).join(cluster, key).where(F.col("doc") != F.col("kept_doc"))
 
     stretches = rows.select("doc", "t", F.inline("stretches"))
-    shared = stretches.groupBy(*key).agg(F.min("doc").alias("kept_doc"), F.max("doc").alias("most")).where(F.col("kept_doc") < F.col("most"))
-    shared = C.saved(shared.drop("most"), "repeat-stretches")
-    inside = stretches.join(shared, key).where(F.col("doc") != F.col("kept_doc"))
+    several = lambda rows: rows.groupBy(*key).agg(F.min("doc").alias("kept_doc"), F.max("doc").alias("most")).where(F.col("kept_doc") < F.col("most")).drop("most")
+    anchors_of = C.saved(stretches.join(several(stretches), key, "left_semi").groupBy("doc", "t").agg(F.collect_set("a").alias("places")), "repeat-anchors")
+    around = C.saved(_around(own.join(anchors_of, ["doc", "t"]), rules), "repeat-around")
+    inside = around.join(C.saved(several(around), "repeat-stretches"), key).where(F.col("doc") != F.col("kept_doc"))
     columns = ["doc", "t", "kept_doc", "a", "z"]
     return whole.select(*columns).unionByName(inside.select(*columns)).distinct()
 
