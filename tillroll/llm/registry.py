@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .ctw import op3_context_tree_weighting
 from .decontaminate import op2_template_canonicalisation
+from .infill import OP11_SQL, op11_indexable_skip_list
 from .lines import OP5_SQL, op5_levelled_runs
 from .minhash import op4_one_permutation
 from .mixing import op8_temperature
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_temperature": op8_temperature,
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
+    "op11_indexable_skip_list": op11_indexable_skip_list,
 }
-ORACLE_SQL = {"op5_levelled_runs": OP5_SQL}
+ORACLE_SQL = {"op5_levelled_runs": OP5_SQL, "op11_indexable_skip_list": OP11_SQL}
