@@ -11,6 +11,7 @@ from .mixing import op8_temperature
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
 from .repeats import op1_paragraph_minhash
+from .resampling import op13_prefix_crc
 from .secrets import op10_token_efficiency
 from .sharding import op6_kd_tree
 
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
     "op11_indexable_skip_list": op11_indexable_skip_list,
+    "op13_prefix_crc": op13_prefix_crc,
 }
 ORACLE_SQL = {"op5_levelled_runs": OP5_SQL, "op11_indexable_skip_list": OP11_SQL}
