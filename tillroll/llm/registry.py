@@ -8,6 +8,7 @@ from .infill import OP11_SQL, op11_indexable_skip_list
 from .lines import OP5_SQL, op5_levelled_runs
 from .minhash import op4_one_permutation
 from .mixing import op8_temperature
+from .neighbours import OP12_SQL, op12_one_bit_codes
 from .pii import op7_information_theoretic
 from .quality import op9_repetition_coverage
 from .repeats import op1_paragraph_minhash
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_repetition_coverage": op9_repetition_coverage,
     "op10_token_efficiency": op10_token_efficiency,
     "op11_indexable_skip_list": op11_indexable_skip_list,
+    "op12_one_bit_codes": op12_one_bit_codes,
     "op13_prefix_crc": op13_prefix_crc,
 }
-ORACLE_SQL = {"op5_levelled_runs": OP5_SQL, "op11_indexable_skip_list": OP11_SQL}
+ORACLE_SQL = {"op5_levelled_runs": OP5_SQL, "op11_indexable_skip_list": OP11_SQL, "op12_one_bit_codes": OP12_SQL}
