@@ -148,3 +148,29 @@ def test_whole_passages_are_covered(planted):
             if k in where[tuple(x for _, _, x in ws[i : i + 20])]:
                 want.update(range(ws[i][0], ws[i + 19][1]))
         assert want <= {c for a, z in spans[d, k] for c in range(a, z)}
+
+
+def test_chunks_and_ranges_of_hashes_change_nothing(planted):
+    df = planted[0].repartition(3)
+    rows = lambda rules: sorted(map(tuple, R.repeat_report(df, rules).collect()))
+    assert rows(R.RepeatRules()) == rows(R.RepeatRules(held=50, part_stretches=40))
+
+
+def test_spans_are_joined_per_row():
+    row = np.array([1, 0, 1, 1, 0, 1])
+    a = np.array([5, 0, 30, 6, 4, 21])
+    z = np.array([20, 3, 40, 8, 9, 25])
+    assert [x.tolist() for x in R.joined(row, a, z)] == [[0, 1, 1], [0, 5, 30], [9, 25, 40]]
+    assert R.without("abcdefgh", [{"a": 1, "z": 3}, {"a": 5, "z": 6}]) == "adegh"
+
+
+def test_a_text_of_many_spans(spark):
+    """20,000 repeated lines between own words: linear in the spans."""
+    rng = random.Random(2)
+    line = lambda: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(20))
+    shared = [line() for _ in range(20_000)]
+    first = "\n".join(shared)
+    second = "\n".join(f"own{i} words{i}\n{x}" for i, x in enumerate(shared))
+    df = spark.createDataFrame([(1, first), (2, second)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in R.without_repeats(df).collect()}
+    assert got[1] == first and got[2].split() == [w for i in range(20_000) for w in (f"own{i}", f"words{i}")]
