@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Pairs of a query and a vector that are estimated at once (bounds a task's memory).
-STEP_PAIRS = 1 << 21
+#: Pairs of a query and a vector that are estimated at once, and reranked at once (bounds of a task's memory).
+STEP_PAIRS, STEP_ROWS = 1 << 19, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -224,7 +224,7 @@ def best_pairs(vectors: dict[str, np.ndarray], queries: dict[str, np.ndarray], c
             sure = np.partition(sure, n - rules.k - 1, axis=1)[:, n - rules.k - 1] + near[:, 0]
             least = np.maximum(least, sure)
         row, col = np.nonzero(guess + bound + 1e-9 * np.abs(near) >= least[:, None] - near)
-        score = exact(q[row], vectors["v"][col])
+        score = np.concatenate([exact(q[row[i : i + STEP_ROWS]], vectors["v"][col[i : i + STEP_ROWS]]) for i in range(0, max(len(row), 1), STEP_ROWS)])
         other = (queries["id"][lo + row] != vectors["id"][col]) & (score >= queries["threshold"][lo + row])
         row, col, score = row[other], col[other], score[other]
         order = np.lexsort((vectors["id"][col], -score, row))
