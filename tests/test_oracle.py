@@ -22,6 +22,10 @@ def con():
     return c
 
 
+#: Keys that may return no rows on the small tables; every other key has to return some.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
@@ -29,6 +33,7 @@ def test_matches_oracle(spark, con, key):
     cur = con.execute(E.oracle_sql()[key])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
+    assert rows or key in MAY_BE_EMPTY
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, orows)
 

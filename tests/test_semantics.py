@@ -13,6 +13,7 @@ from tillroll import schemas
 from tillroll.functions.buckets import display_name
 from tillroll.operators import access as A
 from tillroll.operators import dedup as D
+from tillroll.operators import ledger
 from tillroll.operators import marts as M
 from tillroll.operators import reports as R
 from tillroll.operators import rules as U
@@ -258,12 +259,63 @@ def test_stock_ledger_with_cancellations(spark):
                                  "purchase_id int, product_id int, quantity int, purchased_at timestamp_ntz")
     cancels = spark.createDataFrame([(10, T0 + dt.timedelta(2)), (11, T0 + dt.timedelta(4))],
                                     "purchase_id int, cancelled_at timestamp_ntz")
-    out = stock.allocate_ledger(reqs, cancels, products).collect()
+    out = ledger.allocate_ledger(reqs, cancels, products).collect()
     got = [(r.event, r.purchase_id, r.effect, r.remaining) for r in out]
     assert got == [("purchase", 10, "accepted", 1), ("purchase", 11, "refused", 1), ("cancel", 10, "restocked", 5),
                    ("purchase", 12, "accepted", 2), ("cancel", 11, "ignored", 2)]
 
 
+def _ledger_fold(stock_of, events):
+    """Sequential fold of (product, purchase, kind, quantity) in order: {(kind, purchase): [(effect, remaining)]}."""
+    left, open_, out = dict(stock_of), {}, {}
+    for product, pid, kind, qty in events:
+        r = left[product]
+        if kind == 0:
+            effect = "accepted" if r is not None and qty is not None and qty <= r else "refused"
+            if effect == "accepted":
+                r -= qty
+                open_[pid] = qty
+        else:
+            effect = "restocked" if pid in open_ else "ignored"
+            r = r + open_.pop(pid) if effect == "restocked" else r
+        left[product] = r
+        out.setdefault((kind, pid), []).append((effect, r))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_stock_ledger_splits_a_hot_product(spark, seed):
+    """One product with most events, over several blocks, cancellations across blocks, twice, and before their
+    purchase: equal to the sequential fold; products without stock refuse everything."""
+    rng = random.Random(seed)
+    events, buys = [], []
+    for i in range(1500):
+        product = 0 if rng.random() < 0.8 else rng.randrange(1, 6)
+        t = T0 + dt.timedelta(minutes=i)
+        if buys and rng.random() < 0.45:
+            p, pid, qty = rng.choice(buys[-60:] if rng.random() < 0.5 else buys)
+            events.append((t, 1, p, pid, qty))
+        else:
+            buys.append((product, i, rng.choice([1, 2, 3, 7, 20])))
+            events.append((t, 0, product, i, buys[-1][2]))
+            if rng.random() < 0.02:
+                events.append((t - dt.timedelta(days=1), 1, product, i, buys[-1][2]))
+    on_hand = {0: 60, 1: 5, 2: 0, 3: 1000, 4: 12, 5: None}
+    products = spark.createDataFrame([(k, 1, "p", Decimal("1.00"), v, T0) for k, v in on_hand.items()], schemas.PRODUCTS)
+    reqs = spark.createDataFrame([(pid, p, q, t) for t, kind, p, pid, q in events if kind == 0],
+                                 "purchase_id bigint, product_id bigint, quantity bigint, purchased_at timestamp_ntz")
+    cancels = spark.createDataFrame([(pid, t) for t, kind, _, pid, _ in events if kind == 1],
+                                    "purchase_id bigint, cancelled_at timestamp_ntz")
+    out = ledger.allocate_ledger(reqs, cancels, products, num_partitions=8)
+    want = _ledger_fold(on_hand, [(p, pid, kind, q) for t, kind, p, pid, q in sorted(events)])
+    got = {}
+    for r in out.collect():
+        got.setdefault((int(r.event == "cancel"), r.purchase_id), []).append((r.effect, r.remaining))
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
+    laid = ledger._events(reqs, cancels, products, "purchased_at", "cancelled_at", 8)
+    assert laid.where("product_id = 0").select("_blk").distinct().count() >= 4
+
+
 def test_patches_apply_in_order_and_bad_ones_are_rejected(spark):
     """Several patches per key merge field by field, the latest value wins; bad patches change nothing."""
     clients = spark.createDataFrame([(1, "A", "B", "a@x.io", T0), (2, "C", "D", "c@x.io", T0)], schemas.CLIENTS)

@@ -10,6 +10,7 @@ from tillroll.functions import buckets as B
 from tillroll.functions import casts as C
 from tillroll.operators import access as A
 from tillroll.operators import dedup as D
+from tillroll.operators import ledger
 from tillroll.operators import rules as U
 from tillroll.operators import star as S
 from tillroll.operators import stock
@@ -133,11 +134,17 @@ reg("lookup_client_not_found",
 
 reg("list_products_by_seller", "SELECT * FROM products WHERE seller_id = 0")(
     lambda s, d: A.filter_optional(fx(s, d).products, seller_id=0))
-reg("list_purchases_filtered", "SELECT * FROM purchases WHERE client_id = 0")(
-    lambda s, d: A.filter_optional(fx(s, d).purchases, client_id=0, product_id=None))
+reg("list_purchases_filtered", "SELECT * FROM purchases WHERE client_id = 1")(
+    lambda s, d: A.filter_optional(fx(s, d).purchases, client_id=1, product_id=None))
+
+
+@reg("list_purchases_both", """
+SELECT * FROM purchases WHERE client_id = 1 AND product_id = (SELECT max(product_id) FROM purchases WHERE client_id = 1)""")
+def _list_both(s, d):
+    bought = fx(s, d).purchases
+    product = bought.where("client_id = 1").select(F.max("product_id")).scalar()
+    return A.filter_optional(bought, client_id=1, product_id=product)
 
-reg("list_purchases_both", "SELECT * FROM purchases WHERE client_id = 1 AND product_id = 1")(
-    lambda s, d: A.filter_optional(fx(s, d).purchases, client_id=1, product_id=1))
 
 reg("stock_available", """
 SELECT r.product_id, r.request_id, r.client_id, r.quantity, r.requested_at, p.quantity AS stock
@@ -594,7 +601,7 @@ def _allocate_ledger(s, d):
     f = fx(s, d)
     cancels = A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id").select(
         "purchase_id", (F.col("purchased_at") + F.make_dt_interval(F.lit(CANCEL_AFTER_DAYS))).alias("cancelled_at"))
-    return stock.allocate_ledger(f.purchases, cancels, f.products)
+    return ledger.allocate_ledger(f.purchases, cancels, f.products)
 
 
 @reg("event_envelopes", "WITH " + ", ".join(
