@@ -9,6 +9,7 @@ MODULES = [
     "tillroll.plans.analytics",
     "tillroll.plans.model",
     "tillroll.plans.io",
+    "tillroll.plans.changes",
 ]
 
 
