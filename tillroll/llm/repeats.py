@@ -200,13 +200,13 @@ def _around(docs: DataFrame, rules: RepeatRules, bits: int) -> DataFrame:
         part = (h >> np.uint64(64 - bits)).astype(np.int32)
         cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
         base = np.concatenate([[0], cuts])
-        yield rows(chunk, base=pa.array(base), part=pa.array(part[base]), **{x: _packed(np.split(v, cuts)) for x, v in (("h", h), ("c", c), ("lo", lo), ("more", more))})
+        yield rows(chunk, base=pa.array(base), part=pa.array(part[base]), **{x: _packed(np.split(v, cuts), steps=x == "h") for x, v in (("h", h), ("c", c), ("lo", lo), ("more", more))})
         done = 0
         for _, _, _, ids, t, a, z, sizes in held:
             ends = np.cumsum(sizes)[:-1]
             own = at[done : done + len(a)]
             done += len(a)
-            yield rows(chunk, doc=ids, t=t, a=_packed(np.split(a, ends), squeeze=True), z=_packed(np.split(z - a, ends), squeeze=True), at=_packed(np.split(own, ends)))
+            yield rows(chunk, doc=ids, t=t, a=_packed(np.split(a, ends), steps=True), z=_packed(np.split(z - a, ends)), at=_packed(np.split(own, ends)))
 
     def run(batches):
         chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -253,15 +253,17 @@ def _around(docs: DataFrame, rules: RepeatRules, bits: int) -> DataFrame:
     return docs.select("doc", "t", "text", "places", "copied").mapInArrow(run, schema)
 
 
-def _packed(arrays: list[np.ndarray], squeeze: bool = False) -> pa.Array:
-    """One binary value for each array; ``squeeze``: differences of neighbours, compressed."""
-    if squeeze:
-        return pa.array([zlib.compress(np.diff(x, prepend=np.int32(0)).astype(np.int32).tobytes(), 1) for x in arrays], pa.binary())
-    return pa.array([x.tobytes() for x in arrays], pa.binary())
+def _packed(arrays: list[np.ndarray], steps: bool = False) -> pa.Array:
+    """One binary value for each array: its bytes place by place (the high ones of small numbers are a run of zeros),
+    compressed. ``steps``: the differences of neighbours, for numbers in order."""
+    values = [np.diff(x, prepend=x.dtype.type(0)) if steps else x for x in arrays]
+    return pa.array([zlib.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1) for x in values], pa.binary())
 
 
-def _unpacked(value: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(value), np.int32), dtype=np.int32)
+def _unpacked(value: bytes, kind, steps: bool = False) -> np.ndarray:
+    kind = np.dtype(kind)
+    x = np.ascontiguousarray(np.frombuffer(zlib.decompress(value), np.uint8).reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+    return np.cumsum(x, dtype=kind) if steps else x
 
 
 def _smallest_ids(asked: DataFrame) -> DataFrame:
@@ -269,7 +271,7 @@ def _smallest_ids(asked: DataFrame) -> DataFrame:
     no other id does. One task holds the distinct stretches of the chunks for one range of hashes."""
 
     def answer(table: pa.Table) -> pa.Table:
-        read = lambda x, kind: [np.frombuffer(v.as_buffer(), kind) for v in table[x]]
+        read = lambda x, kind: [_unpacked(v, kind, steps=x == "h") for v in table[x].to_pylist()]
         h, c, lo, more = read("h", np.uint64), read("c", np.uint16), read("lo", np.int64), read("more", np.uint8)
         sizes = np.cumsum([len(x) for x in h])[:-1]
         h, c, lo, more = (np.concatenate(x) for x in (h, c, lo, more))
@@ -303,14 +305,14 @@ def _inside(around: DataFrame, whole: bool) -> DataFrame:
                 if key != chunk:
                     chunk, parts, kept = key, [], None
                 if part is not None:
-                    parts.append(np.frombuffer(part, np.int64))
+                    parts.append(_unpacked(part, np.int64))
                     continue
                 kept = np.concatenate(parts) if kept is None else kept
-                of = kept[np.frombuffer(at, np.uint32)]
+                of = kept[_unpacked(at, np.uint32)]
                 own = np.flatnonzero((of != NOT_SHARED) & (of != doc))
                 if len(own):
-                    a = _unpacked(a)
-                    z = a + _unpacked(z)
+                    a = _unpacked(a, np.int32, steps=True)
+                    z = a + _unpacked(z, np.int32)
                     own = own[np.argsort(of[own], kind="stable")]
                     for rows in np.split(own, np.flatnonzero(np.diff(of[own])) + 1):
                         out.append((doc, t, int(of[rows[0]]), *(joined(np.zeros(len(rows), np.int64), a[rows], z[rows])[1:] if whole else (a[rows], z[rows]))))
