@@ -16,9 +16,11 @@ moves. Every check yields one row ``(table_name, check_name, violations)``.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 _CLIENT = ("client_id", ["email"], ["client_id", "first_name", "last_name", "signup_date"], {},
@@ -107,3 +109,32 @@ def audit_constraints(tables: dict[str, DataFrame]) -> DataFrame:
         if fk is not None:
             parts.append(fk)
     return reduce(DataFrame.unionByName, parts)
+
+
+# ---- V2 while writing -----------------------------------------------------------------------
+
+def row_checks(name: str) -> dict[str, Column]:
+    """The constraints of a table that one row can break: check → condition of a bad row."""
+    _, _, not_null, _, limits = CONSTRAINTS[name]
+    checks = {}
+    if not_null:
+        checks["not_null"] = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null])
+    if limits:
+        checks["too_long"] = reduce(lambda a, b: a | b, [F.coalesce(F.length(c) > n, F.lit(False)) for c, n in limits.items()])
+    return checks
+
+
+def write_observed(tables: dict[str, DataFrame], write: Callable[[str, DataFrame], object]) -> DataFrame:
+    """Write each table with ``write(name, frame)`` and count the rows that break its NOT NULL and length rules in
+    the same pass (``DataFrame.observe``): no second scan for these checks. Rows as ``audit_constraints`` gives them."""
+    found, spark = [], next(iter(tables.values())).sparkSession
+    for name, t in tables.items():
+        checks = row_checks(name)
+        if not checks:
+            write(name, t)
+            continue
+        seen = Observation(f"audit-{name}-{uuid.uuid4().hex}")
+        write(name, t.observe(seen, *[F.count_if(bad).alias(check) for check, bad in checks.items()]))
+        counts = seen.get
+        found += [(name, check, int(counts[check] or 0)) for check in checks]
+    return spark.createDataFrame(found, "table_name string, check_name string, violations bigint")

@@ -19,7 +19,7 @@ from tillroll.operators import rules as U
 from tillroll.plans import jobs
 from tillroll.plans.oracle import with_views
 from tillroll.session import scratch_path
-from tillroll.sources import csv_drops, files
+from tillroll.sources import csv_drops, files, landed
 from tillroll.sources.fixtures import Fixture
 from tillroll.sources.tables import read_table
 from tillroll.streaming import landing as L
@@ -204,7 +204,7 @@ def _stream_land(s, d):
 @reg("src_landed", "SELECT * FROM purchase_events")
 def _src_landed(s, d):
     """S3: the landed events through the batch reader."""
-    return files.read_landed(s, _landed(s, d)).select(*[f.name for f in schemas.LANDED])
+    return landed.read_landed(s, _landed(s, d)).select(*[f.name for f in schemas.LANDED])
 
 
 @reg("stream_route", """

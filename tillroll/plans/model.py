@@ -531,13 +531,17 @@ _AUDIT_SQL = " UNION ALL ".join([
 ])
 
 
+def audited_tables(s, d):
+    f = fx(s, d)
+    return {
+        "clients_raw": f.clients_raw, "clients": f.clients, "sellers_raw": f.sellers_raw, "sellers": f.sellers,
+        "products_raw": f.products_raw, "products": f.products, "purchases": f.purchases, "fact": f.fact}
+
+
 @reg("audit_constraints", _AUDIT_SQL)
 def _audit(s, d):
     from tillroll.operators import audit
-    f = fx(s, d)
-    return audit.audit_constraints({
-        "clients_raw": f.clients_raw, "clients": f.clients, "sellers_raw": f.sellers_raw, "sellers": f.sellers,
-        "products_raw": f.products_raw, "products": f.products, "purchases": f.purchases, "fact": f.fact})
+    return audit.audit_constraints(audited_tables(s, d))
 
 
 # ---- U4 stock allocation ------------------------------------------------------------------------
@@ -637,8 +641,14 @@ def _event_envelopes(s, d):
     """P15 for every event kind, rendered as JSON and parsed back (JSON text is engine formatting)."""
     from tillroll.functions import envelopes as EV
 
-    f = fx(s, d)
+    return EV.parse_envelopes(rendered_events(s, d))
+
 
+def rendered_events(s, d):
+    """Events of every kind as (kind, JSON text)."""
+    from tillroll.functions import envelopes as EV
+
+    f = fx(s, d)
 
     def changed(table):
         """Rows that an accepted patch changed."""
@@ -660,4 +670,4 @@ def _event_envelopes(s, d):
     out = events[0]
     for e in events[1:]:
         out = out.unionByName(e)
-    return EV.parse_envelopes(out)
+    return out

@@ -10,6 +10,7 @@ MODULES = [
     "tillroll.plans.model",
     "tillroll.plans.io",
     "tillroll.plans.changes",
+    "tillroll.plans.layouts",
 ]
 
 

@@ -132,7 +132,3 @@ def read_purchase_json(spark: SparkSession, path: str) -> DataFrame:
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .json(path))
 
-
-def read_landed(spark: SparkSession, landing_root: str) -> DataFrame:
-    """S3: landed purchase events (data rows of every micro-batch)."""
-    return spark.read.schema(schemas.LANDED).parquet(f"{landing_root.rstrip('/')}/data")

@@ -12,7 +12,8 @@ to ``<root>/<route>/run=<run>/batch_id=<n>`` with overwrite, so
   removes (Q3, ST5).
 
 Corrupt lines keep their original text, so an event can be repaired. A continuous run
-has a trigger interval, so that a batch, and with it a file, is not made for every few lines.
+has a trigger interval, so that a batch, and with it a file, is not made for every few lines; finished batches are
+compacted by day (``streaming.compaction``).
 
 There is no watermark: the reference drops nothing for lateness, so dedup stays
 in the batch fact build instead of ``dropDuplicatesWithinWatermark``.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas
 from tillroll.functions.casts import parse_events, to_ts
-from tillroll.sources import files
+from tillroll.sources import files, landed
 
 ROUTES = ("data", "tombstones", "corrupt")
 REQUIRED = ["purchase_id", "client_id", "product_id", "purchased_at", "price", "full_price", "quantity"]
@@ -107,9 +108,8 @@ def start_landing(values: DataFrame, root: str, checkpoint: str, available_now:
 
 
 def read_route(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Batch view of one landed route (all runs and batches)."""
-    cols = {"data": [f.name for f in schemas.LANDED], "tombstones": ["purchase_id"], "corrupt": ["raw"]}[name]
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}").select(*cols)
+    """Batch view of one landed route: all finished batches of all runs, compacted or not."""
+    return landed.read_live(spark, root, name)
 
 
 def write_ndjson(df: DataFrame, path: str) -> str:
