@@ -87,6 +87,7 @@ EXAMPLES = [
     "+1 (415) 555-0100 +49-30-1234567890 +12 +1234567890123456 x+1 (2)3",
     None,
     "",
+    "0" * 400 + "1.2.3.4 " + "0" * 4000 + "." + "0" * 300 + "256.1.1 1.2.3.0000255 1.2.3.256 1.2.3.1000",
 ]
 
 
@@ -108,3 +109,21 @@ def test_terms_that_reveal_an_entity(spark):
     assert check(df, max_sent_terms=0) == found  # the other way to the same counts
     clean = {r["doc_id"]: r["text"] for r in P.sanitised(df, P.find_personal_data(df)).collect()}
     assert "zarquon" not in clean[0] and "[EMAIL]" in clean[0] and clean[100].startswith("please ask anybody at [EMAIL] about")
+
+
+def test_long_words_and_blanks_beside_an_entity(spark):
+    """600 blanks, a word of 600 characters: both are seen."""
+    word = "q" * 600
+    rows = [(i, f"{word} jones" + " " * 600 + f"jo@nes.org\n\n{word[:-1]} n{i}") for i in range(4)]
+    rows += [(100 + i, f"nobody at office{i}@example.org m{i}") for i in range(40)]
+    found = check(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    mine = [s for i, _, _, s in found if i < 4]
+    assert all("term:0:600" in s and "term:601:606" in s and s.count("term") == 3 for s in mine)
+
+
+def test_many_addresses_in_one_text():
+    """100,000 addresses: in time linear in their number."""
+    text = " ".join(f"n{i} a{i}@b{i % 7}.org" for i in range(100_000))
+    spans = P.rule_spans(text)
+    beside = P._beside(text, spans, 8)
+    assert len(spans) == 100_000 and len(beside[50_000]) == 8

@@ -24,9 +24,27 @@ EXAMPLES = [
     (4, "Key api_Key=abcdefgh api_key=é secret='x.y-z/w+q='"),
     (5, "key Zx9Qw3Er7Ty1Ui5Op0As8Df2Gh6Jk4L uuid 123e4567-e89b-12d3-a456-426614174000 md5 d41d8cd98f00b204e9800998ecf8427e"),
     (6, "q7Zx" * 40_000),
+    (7, "one case: qzxkvjwpqmzrtbvnlqwdhgfx QZXKVJWPQMZRTBVNLQWDHGFX Qzxkvjwpqmzrtbvnlqwdhgfx 12345678901234567890123"),
 ]
 
 
+def brute_random(text, base):
+    """Strings of 20 and more key characters, of whatever case, under two characters a token, by the definition."""
+    encoding = S.vocabulary(S.VOCABULARY)
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        s = m[0]
+        digest = re.fullmatch("[0-9a-f]+|[0-9A-F]+", s) and len(s) in (32, 40, 48, 56, 64, 96, 128)
+        number = re.fullmatch("[0-9+/_=-]+", s)
+        uuid = re.fullmatch("[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}", s)
+        if len(s) < 20 or digest or number or uuid or any(a < m.end() and m.start() < z for a, z in base):
+            continue
+        tokens = sum(len(encoding.encode_ordinary(s[i : i + 256])) for i in range(0, len(s), 256))
+        if len(s) < 2 * tokens:
+            out.append(f"random:{m.start()}:{m.end()}")
+    return out
+
+
 def check(df):
     got = S.find_secrets(df).collect()
     texts = {}
@@ -38,6 +56,8 @@ def check(df):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == n and r["base_sha256"] == sha
         mine = [x for x in r["spans"].split(",") if x]
         assert [x for x in mine if not x.startswith("random")] == [x for x in spans.split(",") if x]
+        base = [tuple(map(int, x.split(":")[1:])) for x in spans.split(",") if x]
+        assert [x for x in mine if x.startswith("random")] == brute_random(texts[r["doc_id"]] or "", base)
         assert r["n_random"] == sum(x.startswith("random") for x in mine)
     return {r["doc_id"]: r for r in got}
 
@@ -52,7 +72,7 @@ def test_examples(spark):
     got = check(spark.createDataFrame(EXAMPLES, "doc_id bigint, text string"))
     assert got[5]["spans"].startswith("random:4:") and "random" in got[5]["spans"]
     assert [x.split(":")[0] for x in got[5]["spans"].split(",")] == ["random", "hex"]  # the UUID and the digest are known
-    assert got[6]["n_random"] == 1
+    assert got[6]["n_random"] == 1 and got[7]["n_random"] == 3
 
 
 def test_prose_is_left_alone(spark):

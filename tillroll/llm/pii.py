@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from itertools import count
 
 import numpy as np
@@ -65,10 +66,16 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def small(digits: str) -> bool:
+    """A part of an IP address: at most 255, with any number of zeros in front."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
 def rule_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, order of the kind, end) of the rule matches, code points, end exclusive."""
     found = [(a, 0, z) for a, z in emails(text)]
-    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p) < 400 and int(p) <= 255 for p in m.groups())]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(small(p) for p in m.groups())]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):
             found.append((m.start(), 2, m.end()))
@@ -94,27 +101,37 @@ _WORDS = re.compile(C.WORD)
 
 
 def _beside(text: str, spans: list[tuple[int, int, int]], window: int) -> list[list[tuple[int, int]]]:
-    """For each span, the words up to ``window`` before and after it that touch no span."""
+    """For each span, the words up to ``window`` before and after it that touch no span, however long they and the
+    white space between them are; linear in the text and the spans."""
+    if not spans:
+        return []
+    words = [m.span() for m in _WORDS.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+    begin, end = _united(spans)
+
+    def free(s: int, e: int) -> bool:
+        i = bisect_left(begin, e) - 1
+        return i < 0 or end[i] <= s
+
     out = []
     for a, _, z in spans:
-        lo, hi = a, z
-        # far enough for the words wanted; words may be long, so grow until there are enough
-        reach = 64 * window
-        left = [(m.start(), m.end()) for m in _WORDS.finditer(text, max(0, lo - reach), lo)]
-        if left and max(0, lo - reach) > 0 and left[0][0] == max(0, lo - reach):
-            left = left[1:]  # it may be cut
-        right = [(m.start(), m.end()) for m in _WORDS.finditer(text, hi, min(len(text), hi + reach))]
-        if right and right[-1][1] == hi + reach < len(text):
-            right = right[:-1]
-        if left and left[-1][1] == lo:
-            left = left[:-1]  # glued to the span
-        if right and right[0][0] == hi:
-            right = right[1:]
-        near = left[-window:] + right[:window]
-        out.append([(s, e) for s, e in near if not any(s < z2 and a2 < e for a2, _, z2 in spans)])
+        before, after = bisect_left(ends, a), bisect_right(starts, z)  # a word glued to the span is neither
+        out.append([w for w in (*words[max(0, before - window) : before], *words[after : after + window]) if free(*w)])
     return out
 
 
+def _united(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of sorted spans, overlapping ones as one."""
+    begin, end = [], []
+    for a, _, z in spans:
+        if end and a < end[-1]:
+            end[-1] = max(end[-1], z)
+        else:
+            begin.append(a)
+            end.append(z)
+    return begin, end
+
+
 _ROWS = "rid bigint, doc_id {id}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, base string, near array<struct<e: bigint, t: bigint, a: int, z: int>>"
 
 

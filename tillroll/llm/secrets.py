@@ -76,8 +76,7 @@ def inefficient(text: str, encoding, max_chars_per_token: float) -> list[tuple[i
     out = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
-        mixed = any(c.isdigit() for c in s) and any(c.isalpha() for c in s) or (s.lower() != s and s.upper() != s and not s.istitle())
-        if mixed and not is_known(s) and len(s) < max_chars_per_token * n_tokens(s, encoding):
+        if not is_known(s) and len(s) < max_chars_per_token * n_tokens(s, encoding):
             out.append((m.start(), m.end()))
     return out
 
