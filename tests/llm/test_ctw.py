@@ -124,14 +124,19 @@ def test_base_and_edges(docs, edge_docs, no_docs):
     assert T.lm_scores(no_docs).count() == 0
 
 
+def chunks(df, held_out):
+    own = df.selectExpr("doc_id", f"{str(held_out).lower()} as held_out", "text")
+    return C.saved(T.chunked(own, T.TreeRules()), "test-chunks")
+
+
 def test_prediction_is_a_distribution_and_learns(spark):
     texts = [(i, "the cat sat on the mat and the dog sat on the log " * 5) for i in range(30)] + [(100 + i, "zq xv jw kf " * 20) for i in range(0, 40)]
     df = spark.createDataFrame([(i, t) for i, t in texts if not split(i) or i < 100], "doc_id bigint, text string")
-    model, words = T.train(df.where("doc_id < 100").select("text"), T.TreeRules())
+    model, words = T.train(chunks(df.where("doc_id < 100"), False), T.TreeRules())
     assert abs((10.0 ** model.values.astype(float)).sum(axis=1) - 1).max() < 1e-4
     rules = T.TreeRules()
     probe = spark.createDataFrame([(1, True, "the dog sat on the mat"), (2, True, "zq xv jw kf zq xv jw k")], "doc_id bigint, held_out boolean, text string")
-    s = {r["doc_id"]: r["score"] for r in T.score(probe, model, words, rules).collect()}
+    s = {r["doc_id"]: r["score"] for r in T.score(chunks(probe, True), model, words, rules, "bigint").collect()}
     assert s[1] > -8 and s[2] < -30
 
 
@@ -159,11 +164,15 @@ def test_every_context_of_the_training_texts_is_used(spark):
     assert score(T.TreeRules()) == every > score(T.TreeRules(max_contexts=1 << 16)) + 1
 
 
-def test_chunks_give_the_same_scores(docs, monkeypatch):
+def test_chunks_give_the_same_scores(docs):
     some = docs.where("n_chars < 900").limit(12).selectExpr("doc_id", "text")
-    monkeypatch.setattr(T, "CHUNK_BYTES", 700)
-    monkeypatch.setattr(T, "ROW_KEYS", 3)
-    check(some, T.TreeRules(depth=3, max_contexts=1 << 62))
+    rules = T.TreeRules(depth=3, max_contexts=1 << 62, chunk_bytes=700)
+    assert T.chunked(some.withColumn("held_out", T.held_out(some.doc_id)), rules).select("chunk").distinct().count() > 3
+    check(some, rules)
+
+
+def test_default_depth_equals_recursion(docs):
+    check(docs.where("n_chars between 100 and 700").limit(8).selectExpr("doc_id", "text"), T.TreeRules(max_contexts=1 << 62))
 
 
 def test_default_depth_sees_six_bytes(spark):

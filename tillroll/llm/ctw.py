@@ -6,14 +6,12 @@ Krichevsky-Trofimov estimate from its counts in the training texts, and contexts
 context-tree weights: a node's weight against its longer contexts is ``beta = Pe / (2 Pw)`` with
 ``Pw = (Pe + product of the children's Pw) / 2``, computed bottom-up over the whole tree of the training texts.
 
-Training counts (context, byte) pairs of the largest depth once; counts of shorter contexts are their sums.
-Tasks reduce their texts to counts before the shuffle; a row by the two last context bytes holds a whole
-subtree, so each is weighted by one numpy pass, and only sums for contexts of two bytes (at most 65,536, a
-constant) reach the driver. Every context of the training texts is used in scoring, so the model grows with the
-corpus: only the contexts of no and one byte are sent to the tasks, the others stay a distributed table. Texts are
-put into chunks of ``CHUNK_BYTES``; a chunk asks for each of its distinct (context, byte) pairs once, the pairs are
-joined with the subtrees by their two last context bytes, and the answers go back to the chunk, where its texts are
-scored. A decision that was never seen in a context stops at the longest context where it was, with that context's
+Texts are put into chunks of ``chunk_bytes``, kept compressed. A chunk sends each of its distinct (context, byte)
+pairs once, with its count in the chunk's training texts: sorted keys as packed differences, dealt by the two last
+context bytes, whose task thus holds a whole subtree. One job weights the subtrees and sends sums of contexts of two
+bytes (at most 65,536, a constant) to the driver, which makes the contexts of no and one byte; a second one weights
+them again and answers every pair that was asked for, with all contexts of the training texts: the model grows with
+the corpus. The answers go back to the chunk, where its texts are scored. A decision that was never seen in a context stops at the longest context where it was, with that context's
 own estimate in place of longer ones (``max_contexts`` also stops at contexts with less than that share of the
 training bytes; not set by default). The result is a proper probability: each binary decision is a mixture of
 two-way estimates.
@@ -28,6 +26,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from itertools import count
 
@@ -44,8 +43,6 @@ SPACE, END = 0x20, 0x0A
 MAX_SENT_WORDS = 6_000_000
 #: Bytes of text counted at once, and counts held by a task before they are passed on.
 COUNT_BYTES, HELD = 2_000_000, 2_000_000
-#: Bytes of text whose distinct pairs are asked for together, and pairs in one row.
-CHUNK_BYTES, ROW_KEYS = 16_000_000, 1024
 _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 
 
@@ -54,6 +51,8 @@ class TreeRules:
     depth: int = 6
     max_contexts: int | None = None
     max_sent_words: int = MAX_SENT_WORDS
+    #: Bytes of text whose distinct pairs are asked for together.
+    chunk_bytes: int = 64_000_000
 
 
 def stream(w: C.Words, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,7 +93,7 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 
 class Counter:
-    """Counts by key, passed on when there are many."""
+    """Counts by key, merged when there are many."""
 
     def __init__(self):
         self.keys, self.counts, self.held = [], [], 0
@@ -103,39 +102,79 @@ class Counter:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
+        if self.held >= 2 * max(HELD, len(self.keys[0])):
+            self.merge()
 
-    def drain(self, force: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-        if not self.held or not force and self.held < HELD:
-            return []
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = counted(np.concatenate(self.keys), np.concatenate(self.counts))
-        if force or len(keys) >= HELD // 2:
-            self.__init__()
-            return [(keys, counts)]
         self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        return []
+        return keys, counts
 
 
-def training_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(what: 0 grams, 1 words; k, n) of ``docs`` (text), reduced by task."""
+def chunked(docs: DataFrame, rules: TreeRules) -> DataFrame:
+    """``docs`` (doc_id, held_out, text) as rows of chunks, of three kinds: texts (blob: compressed Arrow batches),
+    distinct (context, byte) pairs by their two last context bytes (pair; base: place of the first among the chunk's; k,
+    n: packed keys and training counts), and training words with their counts (word, n_word)."""
+    names = ["chunk", "blob", "pair", "base", "k", "n", "word", "n_word"]
+    kinds = dict(zip(names, [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]))
+    depth, chunk_bytes = rules.depth, rules.chunk_bytes
+    shift = np.uint64(8 * (depth - 1))
+
+    def rows(chunk: int, size: int, /, **columns) -> pa.RecordBatch:
+        known = {"chunk": pa.array(np.full(size, chunk))} | columns
+        return pa.RecordBatch.from_arrays([known[x] if x in known else pa.nulls(size, kinds[x]) for x in names], names=names)
+
+    def finished(chunk: int, grams: Counter, words: Counter):
+        k, n = grams.merge()
+        pair = (k >> shift).astype(np.int32)
+        cuts = np.flatnonzero(pair[1:] != pair[:-1]) + 1
+        base = np.concatenate([[0], cuts])
+        keys, counts = _packed(np.split(k, cuts), steps=True), _packed(np.split(n, cuts))
+        yield rows(chunk, len(base), pair=pa.array(pair[base]), base=pa.array(base), k=keys, n=counts)
+        if words.held:
+            k, n = words.merge()
+            yield rows(chunk, len(k), word=pa.array(C.as_signed(k)), n_word=pa.array(n))
 
     def run(batches):
-        tables = [Counter(), Counter()]
+        chunk, grams, words, size = TaskContext.get().partitionId() << 32, Counter(), Counter(), 0
+        for b in C.pieces(batches, "text", min(COUNT_BYTES, chunk_bytes)):
+            w = C.Words(b.column("text"), fold=True)
+            data, text, places = stream(w, depth)
+            if size and size + len(places) > chunk_bytes:
+                yield from finished(chunk, grams, words)
+                chunk, grams, words, size = chunk + 1, Counter(), Counter(), 0
+            size += len(places)
+            train = ~b.column("held_out").to_numpy(zero_copy_only=False)
+            keys, own = gram_keys(data, places, depth), train[text]
+            grams.add(*counted(keys[own]))
+            others, _ = counted(keys[~own])
+            grams.add(others, np.zeros(len(others), np.int64))
+            words.add(*counted(w.hash[train[w.doc]]))
+            words.add(*counted(np.full(int(train.sum()), _END_WORD).view(np.uint64)))
+            yield rows(chunk, 1, blob=pa.array([_blob(b)], pa.binary()))
+        if size:
+            yield from finished(chunk, grams, words)
 
-        def out(force):
-            for what, t in enumerate(tables):
-                for k, n in t.drain(force):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), what, np.int8)), pa.array(C.as_signed(k)), pa.array(n)], names=["what", "k", "n"])
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, "chunk bigint, blob binary, pair int, base bigint, k binary, n binary, word bigint, n_word bigint")
+
+
+def _blob(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-        for b in C.pieces(batches, "text", COUNT_BYTES):
-            w = C.Words(b.column("text"), fold=True)
-            data, _, places = stream(w, depth)
-            tables[0].add(*counted(gram_keys(data, places, depth)))
-            tables[1].add(*counted(w.hash))
-            tables[1].add(np.array([_END_WORD], np.int64).view(np.uint64), np.array([b.num_rows], np.int64))
-            yield from out(False)
-        yield from out(True)
 
-    return docs.select("text").mapInArrow(run, "what tinyint, k bigint, n bigint")
+def _packed(arrays: list[np.ndarray], steps: bool = False) -> pa.Array:
+    """One binary value for each array: its bytes place by place, compressed; ``steps``: differences of neighbours."""
+    values = [np.diff(x, prepend=x.dtype.type(0)) if steps else x for x in arrays]
+    return pa.array([zlib.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1) for x in values], pa.binary())
+
+
+def _unpacked(value: bytes, kind, steps: bool = False) -> np.ndarray:
+    kind = np.dtype(kind)
+    x = np.ascontiguousarray(np.frombuffer(zlib.decompress(value), np.uint8).reshape(kind.itemsize, -1).T).view(kind).reshape(-1)
+    return np.cumsum(x, dtype=kind) if steps else x
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -303,32 +342,27 @@ def predictions(keys: np.ndarray, tree: dict[int, Level], top: Dense, depth: int
 # --- the distributed model -------------------------------------------------------------------------------------
 
 
-def _whole(batches, names: list[str]) -> list[np.ndarray]:
-    """A partition's columns; it holds the subtrees of its two-byte contexts, a share of the distinct counts."""
-    parts = [[b.column(x).to_numpy() for x in names] for b in batches]
-    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(len(names))]
-
-
-def _unpacked(column: pa.Array, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
+def _subtree(table: pa.Table, depth: int, least: int) -> tuple[list[np.ndarray], dict[int, Level]]:
+    """The keys of each row of a pair, and the weighted levels of the training counts of all rows."""
+    keys = [_unpacked(x, np.uint64, steps=True) for x in table["k"].to_pylist()]
+    k, n = counted(np.concatenate(keys), np.concatenate([_unpacked(x, np.int64) for x in table["n"].to_pylist()]))
+    seen = n > 0
+    return keys, pruned(levels(k[seen], n[seen], depth, 2), least) if seen.any() else {}
 
 
-def _packed(arrays: list[np.ndarray]) -> pa.Array:
-    return pa.array([x.tobytes() for x in arrays], pa.binary())
-
-
-def _top_sums(grams: DataFrame, depth: int) -> DataFrame:
+def _top_sums(asked: DataFrame, depth: int) -> DataFrame:
     """For contexts of two bytes: (j, k, n, log_pw), the byte counts (j = -1) and the weighted nodes (j = 0 to 7)."""
 
-    def run(batches):
-        for b in batches:
-            for k, n in zip(_unpacked(b.column("k"), np.uint64), _unpacked(b.column("n"), np.int64)):
-                level = levels(k, n, depth, 2)[2]
-                yield _top_batch(-1, level.keys, level.counts, np.zeros(len(level.keys)))
-                for j in range(8):
-                    yield _top_batch(j, level.nodes[j], np.zeros(len(level.nodes[j]), np.int64), level.log_pw[j])
+    def sums(table: pa.Table) -> pa.Table:
+        _, tree = _subtree(table, depth, 1)
+        if not tree:
+            return pa.Table.from_batches([_top_batch(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))])
+        level = tree[2]
+        out = [_top_batch(-1, level.keys, level.counts, np.zeros(len(level.keys)))]
+        out += [_top_batch(j, level.nodes[j], np.zeros(len(level.nodes[j]), np.int64), level.log_pw[j]) for j in range(8)]
+        return pa.Table.from_batches(out)
 
-    return grams.select("k", "n").mapInArrow(run, "j tinyint, k bigint, n bigint, log_pw double")
+    return asked.groupBy("pair").applyInArrow(sums, "j tinyint, k bigint, n bigint, log_pw double")
 
 
 def _top_batch(j: int, k: np.ndarray, n: np.ndarray, log_pw: np.ndarray) -> pa.RecordBatch:
@@ -351,141 +385,92 @@ def _top_levels(top) -> tuple[Level, Level]:
 
 @dataclass(frozen=True)
 class Model:
-    """log10 byte probabilities of the contexts of no and one byte, their decisions, the counts of all contexts by
-    two-byte subtree (pair, k, n), the least count of a context that is used, and the word counts' sums."""
+    """log10 byte probabilities of the contexts of no and one byte, their decisions, the training pairs (``chunked`` rows), the least count of a context
+    that is used, and the word counts' sums."""
 
     values: np.ndarray
     top: Dense
-    grams: DataFrame | None
+    grams: DataFrame
     least: int
     n_words: int
     n_distinct: int
 
 
-def train(texts: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
-    """The model, and the word counts (k, n) as a table."""
-    counts = C.saved(training_counts(texts, rules.depth), "ctw-counts")
-    shift = 8 * (rules.depth - 1)
-    pair = F.expr(f"shiftrightunsigned(k, {shift})")  # the two last context bytes
-    grams = counts.where("what = 0").select("k", "n").repartition(pair)
-
-    def summed(batches):
-        k, n = _whole(batches, ["k", "n"])
-        if not len(k):
-            return
-        k, n = counted(k.view(np.uint64), n)
-        of = (k >> np.uint64(shift)).astype(np.int32)
-        cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(of[np.concatenate([[0], cuts])]), _packed(np.split(k, cuts)), _packed(np.split(n, cuts)), pa.array([int(x.sum()) for x in np.split(n, cuts)], pa.int64())],
-            names=["pair", "k", "n", "total"],
-        )
-
-    grams = C.saved(grams.mapInArrow(summed, "pair int, k binary, n binary, total bigint"), "ctw-grams")
-    words = C.saved(counts.where("what = 1").groupBy("k").agg(F.sum("n").alias("n")), "ctw-words")
+def train(chunks: DataFrame, rules: TreeRules) -> tuple[Model, DataFrame]:
+    """The model of the training texts of ``chunks`` (a written table), and the word counts (k, n) as a table."""
+    grams = chunks.where("pair IS NOT NULL").select("chunk", "base", "pair", "k", "n")
+    words = chunks.where("word IS NOT NULL").groupBy(F.col("word").alias("k")).agg(F.sum("n_word").alias("n"))
+    words = C.saved(words, "ctw-words")
     totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_bytes = grams.agg(F.sum("total").alias("n")).first()["n"] or 0
-    if not n_bytes:
+    sums = _top_sums(grams, rules.depth).toArrow()
+    if not sums.num_rows:
         none = Dense(ROOT.contexts[:0], ROOT.stop[:0], ROOT.s[:0], ROOT.r[:0])
-        return Model(byte_log10(ROOT.stop), full(none, ROOT), None, 1, 0, 0), words
-    one, root = _top_levels(_top_sums(grams, rules.depth).toArrow())
+        return Model(byte_log10(ROOT.stop), full(none, ROOT), grams, 1, 0, 0), words
+    one, root = _top_levels(sums)
+    n_bytes = int(root.counts.sum())
     least = max(1, n_bytes // rules.max_contexts) if rules.max_contexts else 1
     first = descend(ROOT, root, 1)
     second = descend(first, one, least)
     return Model(np.concatenate([byte_log10(first.stop), byte_log10(second.stop)]), full(second, first), grams, least, totals["n"], totals["v"]), words
 
 
-def _asked(docs: DataFrame, depth: int) -> DataFrame:
-    """``docs`` with a chunk number (pair NULL), and the distinct (context, byte) keys of each chunk (pair, k)."""
-    id_type = docs.schema["doc_id"].dataType
-    shift = np.uint64(8 * (depth - 1))
-
-    def run(batches):
-        chunk, held, size = TaskContext.get().partitionId() << 32, Counter(), 0
-
-        def keys():
-            k, _ = counted(np.concatenate(held.keys), np.concatenate(held.counts))
-            of = (k >> shift).astype(np.int32)
-            cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
-            cuts = np.unique(np.concatenate([cuts, np.arange(0, len(k), ROW_KEYS)]))[1:]
-            rows = np.split(k, cuts)
-            empty = lambda t: pa.nulls(len(rows), t)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(rows), chunk)), empty(types[0]), empty(types[1]), empty(types[2]), pa.array(of[np.concatenate([[0], cuts])]), _packed(rows)], names=names
-            )
-
-        names, types = ["chunk", "doc_id", "held_out", "text", "pair", "k"], None
-        for b in C.pieces(batches, "text"):
-            types = [b.schema.field(x).type for x in names[1:4]]
-            data, _, places = stream(C.Words(b.column("text"), fold=True), depth)
-            if size and size + len(places) > CHUNK_BYTES:
-                yield keys()
-                chunk, held, size = chunk + 1, Counter(), 0
-            size += len(places)
-            held.add(*counted(gram_keys(data, places, depth)))
-            if held.held >= HELD:  # merged, all kept
-                k, n = counted(np.concatenate(held.keys), np.concatenate(held.counts))
-                held.keys, held.counts, held.held = [k], [n], 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(b.num_rows, chunk)), *(b.column(x) for x in names[1:4]), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())], names=names
-            )
-        if size:
-            yield keys()
-
-    return C.saved(docs.mapInArrow(run, f"chunk bigint, doc_id {id_type.simpleString()}, held_out boolean, text string, pair int, k binary"), "ctw-asked")
-
-
 def _runs(of: np.ndarray) -> list[tuple[int, int]]:
     cuts = np.flatnonzero(of[1:] != of[:-1]) + 1
     return list(zip(np.concatenate([[0], cuts]).tolist(), np.append(cuts, len(of)).tolist()))
 
 
 def _answers(asked: DataFrame, model: Model, depth: int) -> DataFrame:
-    """(chunk, k, v): log10 probability of each key asked for; the keys meet the subtree of their pair."""
+    """(chunk, base, k, v): log10 probability of each pair that a chunk of ``asked`` has. A row with training counts
+    (``n``) builds the subtree; a row without ``chunk`` is only there for that."""
     sent = asked.sparkSession.sparkContext.broadcast(model.top)
     least = model.least
 
+    def answer(table: pa.Table) -> pa.Table:
+        keys, tree = _subtree(table, depth, least)
+        wanted = np.flatnonzero(table["chunk"].is_valid().to_numpy(zero_copy_only=False))
+        if not len(wanted):
+            return _no_answers()
+        asks = [keys[i] for i in wanted]
+        own, back = np.unique(np.concatenate(asks), return_inverse=True)
+        v = predictions(own, tree, sent.value, depth).astype(np.float32)[back]
+        rows = table.take(pa.array(wanted))
+        return pa.table({"chunk": rows["chunk"], "base": rows["base"], "k": rows["k"], "v": _packed(np.split(v, np.cumsum([len(x) for x in asks])[:-1]))})
+
+    return asked.groupBy("pair").applyInArrow(answer, "chunk bigint, base bigint, k binary, v binary")
+
+
+def _no_answers() -> pa.Table:
+    return pa.table({"chunk": pa.nulls(0, pa.int64()), "base": pa.nulls(0, pa.int64()), "k": pa.nulls(0, pa.binary()), "v": pa.nulls(0, pa.binary())})
+
+
+def _without_counts(asked: DataFrame) -> DataFrame:
+    """Rows of pairs whose counts are all 0."""
+
     def run(batches):
-        top, pair, tree = sent.value, None, {}
         for b in batches:
-            if not b.num_rows:
-                continue
-            for lo, hi in _runs(b.column("pair").to_numpy()):
-                part = b.slice(lo, hi - lo)
-                if part.column("pair")[0].as_py() != pair:
-                    pair, tree = part.column("pair")[0].as_py(), {}
-                if not part.column("chunk")[0].is_valid:
-                    (k,), (n,) = _unpacked(part.column("k")[:1], np.uint64), _unpacked(part.column("n")[:1], np.int64)
-                    tree, part = pruned(levels(k, n, depth, 2), least), part.slice(1)
-                if not part.num_rows:
-                    continue
-                rows = _unpacked(part.column("k"), np.uint64)
-                keys, back = np.unique(np.concatenate(rows), return_inverse=True)
-                v = predictions(keys, tree, top, depth).astype(np.float32)[back]
-                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("k"), _packed(np.split(v, np.cumsum([len(x) for x in rows])[:-1]))], names=["chunk", "k", "v"])
+            n = _packed([np.zeros(len(_unpacked(x, np.int64)), np.int64) for x in b.column("n").to_pylist()])
+            yield b.set_column(b.schema.get_field_index("n"), "n", n)
 
-    wanted = asked.where("pair IS NOT NULL").select("pair", "chunk", "k", F.lit(None).cast("binary").alias("n"))
-    if model.grams is not None:
-        wanted = wanted.unionByName(model.grams.select("pair", F.lit(None).cast("bigint").alias("chunk"), "k", "n"))
-    wanted = wanted.repartition("pair").sortWithinPartitions("pair", F.col("chunk").asc_nulls_first())
-    return wanted.mapInArrow(run, "chunk bigint, k binary, v binary")
+    return asked.mapInArrow(run, asked.schema)
 
 
 def _token_sum(c: np.ndarray, n_words: int, n_distinct: int) -> np.ndarray:
     return np.log10((c + 0.5) / (n_words + 0.5 * (n_distinct + 1)))
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) -> DataFrame:
-    """``docs`` (doc_id, held_out, text) with tokens, known tokens, base and model score."""
+def score(chunks: DataFrame, model: Model, words: DataFrame, rules: TreeRules, id_type: str) -> DataFrame:
+    """The texts of ``chunks`` with tokens, known tokens, base and model score. Chunks that the model was not trained
+    on are answered by its subtrees too: their own counts are left out."""
     depth = rules.depth
-    context = docs.sparkSession.sparkContext
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    asked = _asked(docs.select("doc_id", "held_out", "text"), depth)
-    texts = asked.where("pair IS NULL").select("chunk", "doc_id", "held_out", "text", F.lit(None).cast("binary").alias("k"), F.lit(None).cast("binary").alias("v"))
-    answers = _answers(asked, model, depth)
-    missing = [F.lit(None).cast(docs.schema[x].dataType).alias(x) for x in ("doc_id", "held_out", "text")]
-    chunks = texts.unionByName(answers.select("chunk", *missing, "k", "v")).repartition("chunk")
-    chunks = chunks.sortWithinPartitions("chunk", F.col("k").isNull())
+    context = chunks.sparkSession.sparkContext
+    asked = chunks.where("pair IS NOT NULL").select("chunk", "base", "pair", "k", "n")
+    if not asked.sameSemantics(model.grams):
+        trained = model.grams.withColumns({"chunk": F.lit(None).cast("bigint"), "base": F.lit(None).cast("bigint")})
+        asked = _without_counts(asked).unionByName(trained)
+    answers = _answers(asked, model, depth).withColumn("blob", F.lit(None).cast("binary"))
+    missing = {"base": F.lit(None).cast("bigint"), "k": F.lit(None).cast("binary"), "v": F.lit(None).cast("binary")}
+    texts = chunks.where("blob IS NOT NULL").select("chunk", "blob").withColumns(missing)
+    met = answers.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", F.col("base").asc_nulls_last())
     n_words, n_distinct = model.n_words, model.n_distinct
     known = None
     if model.n_distinct <= rules.max_sent_words:
@@ -496,27 +481,22 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
 
     def scored(batches):
         """(texts, their words, their scores); a chunk's answers come before its texts."""
-        chunk, keys, values = None, [], []
+        chunk, keys, values, parts = None, None, None, []
         for b in batches:
-            if not b.num_rows:
-                continue
-            for lo, hi in _runs(b.column("chunk").to_numpy()):
-                part = b.slice(lo, hi - lo)
-                if part.column("chunk")[0].as_py() != chunk:
-                    chunk, keys, values = part.column("chunk")[0].as_py(), [], []
-                n = len(part) - part.column("k").null_count
-                if n:
-                    keys += _unpacked(part.column("k")[:n], np.uint64)
-                    values += _unpacked(part.column("v")[:n], np.float32)
-                if n < len(part) and len(keys) > 1:
-                    k, v = np.concatenate(keys), np.concatenate(values)
-                    order = np.argsort(k)
-                    keys, values = [k[order]], [v[order]]
-                for piece in C.pieces([part.slice(n)], "text"):
+            for own, blob, k, v in zip(*(b.column(x).to_pylist() for x in ("chunk", "blob", "k", "v"))):
+                if own != chunk:
+                    chunk, keys, parts = own, None, []
+                if blob is None:
+                    parts.append((_unpacked(k, np.uint64, steps=True), _unpacked(v, np.float32)))
+                    continue
+                if keys is None:
+                    keys, values = (np.concatenate(x) for x in zip(*parts))
+                    parts = []
+                for piece in pa.ipc.open_stream(blob).read_all().to_batches():
                     w = C.Words(piece.column("text"), fold=True)
                     data, text, places = stream(w, depth)
-                    own, back = np.unique(gram_keys(data, places, depth), return_inverse=True)
-                    each = values[0][np.searchsorted(keys[0], own)][back]
+                    asked, back = np.unique(gram_keys(data, places, depth), return_inverse=True)
+                    each = values[np.searchsorted(keys, asked)][back]
                     yield piece, w, np.bincount(text, weights=each, minlength=w.n_docs)
 
     def batch(columns):
@@ -537,7 +517,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
                 n_known = np.bincount(w.doc, weights=is_known[:-1], minlength=w.n_docs).astype(np.int64) + int(is_known[-1])
                 yield batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "n_known": n_known, "base_score": base, "score": s})
 
-        found = chunks.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+        found = met.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     else:
 
         def run(batches):
@@ -554,7 +534,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, rules: TreeRules) ->
                 yield batch({"rid": ids, "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": w.per_doc + 1, "score": s, "words": pairs})
 
         schema = f"rid bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, score double, words array<struct<k: bigint, times: bigint>>"
-        rows = C.saved(chunks.mapInArrow(run, schema), "ctw-scored")
+        rows = C.saved(met.mapInArrow(run, schema), "ctw-scored")
         end = F.struct(F.lit(int(_END_WORD)).alias("k"), F.lit(1).cast("bigint").alias("times"))
         each = rows.select("rid", F.inline(F.concat("words", F.array(end)))).join(words, "k", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         value = F.log10((F.col("n") + 0.5) / (model.n_words + 0.5 * (model.n_distinct + 1)))
@@ -573,8 +553,9 @@ def held_out(id_: Column, folds: int = 5, fold: int = 1) -> Column:
 def lm_scores(docs: DataFrame, rules: TreeRules = TreeRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: split, tokens, base score, and the model's log10 probability and bits."""
     own = docs.select(docs[id_col].alias("doc_id"), held_out(docs[id_col]).alias("held_out"), docs[text_col].alias("text"))
-    model, words = train(own.where(~F.col("held_out")), rules)
-    return score(own, model, words, rules)
+    chunks = C.saved(chunked(own, rules), "ctw-chunks")
+    model, words = train(chunks, rules)
+    return score(chunks, model, words, rules, dict(own.dtypes)["doc_id"])
 
 
 def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
