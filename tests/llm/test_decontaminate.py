@@ -11,8 +11,10 @@ CONTENT = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]")
 
 def template(text):
     """[(value, template word)] by the rules of the module's docstring, word by word."""
-    out, previous_end, opens, after_number = [], 0, True, False
-    for m in WORD.finditer(text or ""):
+    out, previous_end, opens, after_number, spelled = [], 0, True, False, False
+    text = re.sub("([0-9])([A-Za-z])", r"\1 \2", text or "")
+    text = re.sub(r"(?i)\b(twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety)-(one|two|three|four|five|six|seven|eight|nine)\b", r"\1 \2", text)
+    for m in WORD.finditer(text):
         body = "".join(CONTENT.findall(m[0]))
         if not body:
             continue
@@ -21,6 +23,11 @@ def template(text):
         number = bool(re.search("[0-9]", body)) or value in D.NUMBERS
         unit = value in D.UNITS and after_number
         name = bool(re.match("[A-Z][a-z]", body)) and not opens and not number
+        if spelled and value in D.NUMBERS:  # a run of number words is one number
+            out[-1] = (out[-1][0] + " " + value, "<number>")
+            opens, previous_end = m[0][-1] in ".!?:", m.end()
+            continue
+        spelled = value in D.NUMBERS
         out.append((value, "<number>" if number else "<unit>" if unit else "<name>" if name else value))
         opens = m[0][-1] in ".!?:"
         after_number, previous_end = number, m.end()
@@ -36,6 +43,13 @@ def windows(t, n, literals):
 
 def brute(docs, items, r):
     out = {}
+    of_item, holders = {}, defaultdict(set)
+    for i, item in items:
+        u = template(item)
+        if len(u) >= r.min_item_words:
+            of_item[i] = list(windows(u, min(r.window, len(u)), r.min_literals))
+            for _, w, _ in of_item[i]:
+                holders[w].add(frozenset(x for _, x, _ in of_item[i]))
     for d, text in docs:
         t = template(text)
         for i, item in items:
@@ -46,7 +60,8 @@ def brute(docs, items, r):
             mine = defaultdict(list)
             for _, w, s in windows(t, n, r.min_literals):
                 mine[w].append(s)
-            own = list(windows(u, n, r.min_literals))
+            few = [x for x in of_item[i] if len(holders[x[1]]) <= r.max_holders]
+            own, common = few or of_item[i], not few
             hit = [(p, s, v) for p, w, s in own for v in mine[w]]
             if not hit:
                 continue
@@ -56,7 +71,7 @@ def brute(docs, items, r):
                     slots[a][b] += 1
             total = sum(sum(c.values()) for c in slots.values())
             consistency = sum(max(c.values()) for c in slots.values()) / total if total else 1.0
-            if (n_matched / len(own) >= r.min_coverage or n_matched >= r.min_windows) and consistency >= r.min_consistency:
+            if (n_matched / len(own) >= (1 if common else r.min_coverage) or n_matched >= r.min_windows and not common) and consistency >= r.min_consistency:
                 out[d, i] = (n_matched, len(own), round(n_matched / len(own), 9), round(consistency, 9))
     return out
 
@@ -145,3 +160,34 @@ def test_items_of_few_literals_match_exactly(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     for rules in (D.TemplateRules(), D.TemplateRules(max_sent_windows=0)):
         assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items, rules).collect()} == {(1, 1), (3, 2), (5, 3), (7, 2)}
+
+
+def test_boilerplate_convicts_nobody(spark):
+    """200 items and 200 unrelated documents share an instruction of 20 words: no pair; whole items are still found."""
+    order = "Read the question below with care and then write the single best answer in 1 or 2 short words only please"
+    item = lambda i: f"{order}: which of the k{i % 7}a rivers runs past the w{chr(97 + i % 26)}x mill at v{chr(97 + i // 26)}y before the bridge?"
+    items = spark.createDataFrame([(i, item(i)) for i in range(200)], "item_id bigint, text string")
+    rows = [(i, f"{order}: own text number {i} about something else that no benchmark has ever asked anybody at all") for i in range(200)]
+    rows += [(1000 + i, f"Before it. {item(i)} After it.") for i in (3, 77)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = check(docs, items)
+    assert {d for d, _ in got} == {1003, 1077} and {(1003, 3), (1077, 77)} <= set(got)
+
+
+def test_items_of_one_template_are_one_holder(spark):
+    text = "If a farmer sells {0} eggs at {1} cents each, how many cents does the farmer get in all?"
+    items = spark.createDataFrame([(i, text.format(10 + i, 3 + i)) for i in range(30)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "So: " + text.format(99, 98)), (2, "Nothing of the kind in this one at all, really.")], "doc_id bigint, text string")
+    assert {d for d, _ in check(docs, items)} == {1}
+
+
+def test_units_and_number_words_are_typed_whole(spark):
+    items = [(1, "A box of 5kg is carried by four men over the long bridge, how heavy is each part?"),
+             (2, "There are 12 birds on the old fence and some fly away, how many birds are left?"),
+             (3, "The tall tower has thirty-five steps and the guard walks all of them, how long does he need?")]
+    rows = [(1, "A box of 7 kg is carried by nine men over the long bridge, how heavy is each part?"),
+            (2, "There are twenty-one birds on the old fence and some fly away, how many birds are left?"),
+            (3, "The tall tower has 5 steps and the guard walks all of them, how long does he need?"),
+            (4, "The tall tower has one hundred twenty steps and the guard walks all of them, how long does he need?")]
+    got = check(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}

@@ -10,12 +10,18 @@ between document and item position, or at neighbouring distances (a replacement
 that holds an item twice with different values is contaminated too; the figures are those of the whole document if
 it passes, otherwise of the best occurrence.
 
-A number is a word with a digit or a number word; a unit is a word of ``UNITS`` after a number; a name is a
-capitalised word that does not begin a sentence. A window needs ``min_literals`` words that are no placeholders.
+A number is a word with a digit, or a run of number words, hyphens or not ("twenty-one", "one hundred and five" but for
+its "and"); digits are parted from letters that follow ("5kg"); a unit is a word of ``UNITS`` after a number; a name
+is a capitalised word that does not begin a sentence. A window needs ``min_literals`` words that are no placeholders.
 An item shorter than a window is one window of its own length. An item without any window of enough literals (many
 numbers or names) is matched by its exact words instead; one of less than ``min_item_words`` words too, and only
 where it stands alone: between starts and ends of sentences, lines or the text.
 
+A window that more than ``max_holders`` different templates of the benchmark hold (instructions, answer formats)
+identifies no item: evidence is counted on an item's other windows, and only those are joined, so boilerplate convicts
+nobody and a hit list is at most ``max_holders`` templates long. Items with one template are one holder. An item that has
+no other windows needs all of its windows.
+
 Work at scale: one pass over the documents keeps only windows whose hash the benchmark has (its hashes go to the
 tasks if there are at most ``MAX_SENT_WINDOWS``; otherwise the documents' windows are joined by shuffle); the
 hits are joined with the items by hash and counted by (document, item) with partial aggregation.
@@ -32,6 +38,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,6 +78,8 @@ class TemplateRules:
     min_windows: int = 13
     #: ... and at least this share of the slots fits one substitution of the item's slot values.
     min_consistency: float = 0.9
+    #: A window of more templates than this is nobody's.
+    max_holders: int = 5
     #: Matches of one occurrence: distances between document and item position that differ by at most this.
     max_drift: int = 3
     max_sent_windows: int = MAX_SENT_WINDOWS
@@ -81,13 +90,20 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES, _NUMBER_HASHES = _word_hashes(UNITS), _word_hashes(NUMBERS)
+_HYPHEN = "(?i)\\b(" + "|".join(NUMBERS[20:28]) + ")-(" + "|".join(NUMBERS[1:10]) + ")\\b"
+
+
+def parted(texts: pa.Array) -> pa.Array:
+    """Texts with a space between a digit and a letter after it, and in hyphenated number words."""
+    texts = pc.replace_substring_regex(texts, "([0-9])([A-Za-z])", r"\1 \2")
+    return pc.replace_substring_regex(texts, _HYPHEN, r"\1 \2")
 
 
 class Template:
     """Template words of a batch of texts: text of each, value hash, template hash, placeholder flag."""
 
     def __init__(self, texts: pa.Array):
-        w = C.Words(texts)
+        w = C.Words(parted(texts))
         at = np.flatnonzero(_CONTENT[w.data])
         of = np.searchsorted(w.start, at, side="right") - 1  # every content byte is inside a word
         n = np.bincount(of, minlength=len(w.start))
@@ -98,7 +114,8 @@ class Template:
         self.doc = w.doc[some]
         self.value = C.segment_hash(C.FOLD[body], first, n[some])
         digits = np.bincount(of, weights=_DIGIT[body], minlength=len(w.start))[some] > 0
-        number = digits | np.isin(self.value, _NUMBER_HASHES)
+        spelled = np.isin(self.value, _NUMBER_HASHES)
+        number = digits | spelled
         same = np.concatenate([[False], self.doc[1:] == self.doc[:-1]]) if len(some) else np.zeros(0, bool)
         unit = np.isin(self.value, _UNIT_HASHES) & same & np.concatenate([[False], number[:-1]]) if len(some) else np.zeros(0, bool)
         # a capital that is not the first of a sentence: the word before ends no sentence, no line break between
@@ -113,6 +130,12 @@ class Template:
         self.slot = number | unit | name
         self.opens = opens
         self.hash = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, self.value)))
+        # a run of number words is one number: its first word stays, with a value of the whole run
+        first_of = np.flatnonzero(~(spelled & same & np.concatenate([[False], spelled[:-1]]))) if len(some) else np.zeros(0, np.int64)
+        if len(first_of) < len(some):
+            place = np.arange(len(some)) - np.repeat(first_of, np.diff(np.append(first_of, len(some))))
+            whole = np.add.reduceat(np.where(place > 0, C.mix64(self.value + place.astype(np.uint64)), self.value), first_of)
+            self.doc, self.value, self.slot, self.opens, self.hash = self.doc[first_of], whole, self.slot[first_of], self.opens[first_of], self.hash[first_of]
 
     def windows(self, n: int, min_literals: int, kind: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first word) of each window of n words of ``kind`` inside one text; template ones with enough literals."""
@@ -175,6 +198,20 @@ def item_windows(benchmark: DataFrame, rules: TemplateRules, id_col: str = "item
     return own.mapInArrow(run, f"h bigint, n int, kind int, item_id {id_type}, pos int, slots array<bigint>, n_windows int")
 
 
+def identifying(windows: DataFrame, rules: TemplateRules) -> DataFrame:
+    """The windows that identify an item, with their number (``n_windows``); all windows of an item that has none
+    (``common``)."""
+    windows = windows.withColumn("rid", F.struct("item_id", "kind")).dropDuplicates(["rid", "h", "pos"])  # an item may be listed twice
+    windows = C.saved(windows, "template-windows")
+    each = windows.groupBy("rid").agg(F.sort_array(F.collect_set("h")).alias("all"))
+    template = each.select(F.col("rid").alias("r"), F.xxhash64("all").alias("template"))
+    held = windows.join(template, F.col("rid").eqNullSafe(F.col("r"))).groupBy("h").agg(F.countDistinct("template").alias("holders"))
+    marked = windows.join(held, "h").withColumn("own", (F.col("holders") <= rules.max_holders).cast("int"))
+    of_item = Window.partitionBy("rid")  # an item's windows
+    marked = marked.withColumn("n_own", F.sum("own").over(of_item)).where((F.col("own") == 1) | (F.col("n_own") == 0))
+    return marked.withColumns({"n_windows": F.count("*").over(of_item).cast("int"), "common": F.col("n_own") == 0}).drop("rid", "holders", "own", "n_own")
+
+
 def _document_windows(docs: DataFrame, lengths: list[tuple[int, int]], known: np.ndarray | None, rules: TemplateRules) -> DataFrame:
     """(rid, doc_id, h, place, values) of the documents' windows; with ``known`` only those."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -207,7 +244,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per contaminated document and item: matching windows, the item's windows, coverage, consistency."""
     own = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    items = C.saved(item_windows(benchmark, rules, item_col, item_text_col), "template-items")
+    items = C.saved(identifying(item_windows(benchmark, rules, item_col, item_text_col), rules), "template-items")
     lengths = sorted((r["n"], r["kind"]) for r in items.select("n", "kind").distinct().collect())
     some = items.select("h").distinct().limit(rules.max_sent_windows + 1).toArrow()["h"].to_numpy()
     if not len(some):
@@ -226,8 +263,8 @@ def contaminated(
     one = lambda level, c: F.struct(F.lit(level).alias("level"), c.alias("place"))
     hits = hits.withColumn("occurrence", F.explode(F.array(one(0, F.lit(0).cast("bigint")), one(1, F.col("run")), one(2, F.col("shift")))))
     key = ["rid", "item_id", "occurrence"]
-    matched = hits.groupBy(*key, "doc_id", "pos").agg(F.max("n_windows").alias("n_windows")).groupBy(*key, "doc_id")
-    matched = matched.agg(F.count("*").alias("n_matched"), F.max("n_windows").alias("n_windows"))
+    matched = hits.groupBy(*key, "doc_id", "pos").agg(F.max("n_windows").alias("n_windows"), F.max("common").alias("common")).groupBy(*key, "doc_id")
+    matched = matched.agg(F.count("*").alias("n_matched"), F.max("n_windows").alias("n_windows"), F.max("common").alias("common"))
     # each slot value of the item: how often its most frequent replacement stands there
     slots = hits.where(F.size("slots") > 0).select(*key, F.explode(F.arrays_zip("slots", "values")).alias("s"))
     fits = slots.groupBy(*key, F.col("s.slots").alias("slot"), F.col("s.values").alias("value")).agg(F.count("*").alias("n"))
@@ -238,8 +275,8 @@ def contaminated(
     coverage = F.col("n_matched") / F.col("n_windows")
     consistency = F.coalesce("consistency", F.lit(1.0))
     whole = (F.col("occurrence.level") == 0).alias("whole")
-    found = both.select("doc_id", "item_id", whole, "n_matched", "n_windows", coverage.alias("coverage"), consistency.alias("consistency"))
-    enough = (F.col("coverage") >= rules.min_coverage) | (F.col("n_matched") >= rules.min_windows)
+    found = both.select("doc_id", "item_id", whole, "common", "n_matched", "n_windows", coverage.alias("coverage"), consistency.alias("consistency"))
+    enough = F.when(F.col("common"), F.col("coverage") >= 1).otherwise((F.col("coverage") >= rules.min_coverage) | (F.col("n_matched") >= rules.min_windows))
     found = found.where(enough & (F.col("consistency") >= rules.min_consistency))
     best = F.max(F.struct("whole", "n_matched", "n_windows", "coverage", "consistency")).alias("best")
     found = found.groupBy("doc_id", "item_id").agg(best)
