@@ -2,34 +2,26 @@
 the remaining stock covers it, and then the stock goes down; a refused request
 consumes nothing.
 
-A running sum cannot express this (a refused request must not count), but the stock
-never rises, so it can be decided in rounds that halve it. With ``r`` units left and
-``m = ceil(r / 2)``: as long as at least ``m`` are left, every request of at most ``m``
-is accepted, and a larger one is accepted only if it still fits. The first request
-that takes the stock below ``m`` ends the round; it is found with prefix sums over the
-requests of at most ``m``. Up to it all decisions of the round are known at once, and
-the next round starts behind it with less than ``m`` units: at most ``log2(stock) + 1``
-rounds, for any stock.
-
-Prefix sums are distributed, so a hot product (a third of all requests) is split:
-
-1. ``repartitionByRange(product, arrival)`` gives each request a block; the sample
-   splits a hot product over many blocks. The blocks are written to the shared folder.
-2. Requests are laid out by (product, block) in arrival order and persisted; every
-   later step joins and windows on these two keys, so requests are not moved again.
-3. A round needs one sum per (product, block), their running total over the blocks
-   of a product (one row per block), and the running sum inside the blocks that the
-   round can end in.
-4. A last pass looks up the round of each request and its start values.
-
-Everything is DataFrame operations; the driver only sees whether a round found an end.
+A running sum cannot express this (a refused request must not count): it is an ordered fold. It runs in one pass for
+all products that lie inside one range block, and in parallel over the blocks of a hot one, as the ledger with
+cancellations does (``operators.ledger``), which is this fold with more state:
+
+1. ``repartitionByRange(product, arrival)`` gives each request a block; the sample splits a hot product over many
+   blocks. The blocks are written to the shared folder.
+2. The blocks of a split product (at most two rows a partition, since a boundary splits one product) are folded
+   from guessed entry stocks; they return how much they took. Blocks whose entry stock turns out to be another one
+   are folded again, until none is: block by block at worst, and in two or three rounds as a rule, because a block
+   takes its units whether a few more or less are left, or finds none.
+3. One pass folds every block from its entry stock and returns all requests.
+
+A fold streams over sorted rows and keeps one number; nothing is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,41 +41,50 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _laid_out(j: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """Requests by (product, block) with their place ``_pos`` in the product's arrival order."""
-    blocks = _saved(j.repartitionByRange(n, "product_id", *order).withColumn("_blk", F.spark_partition_id()),
-                    "stock-blocks")
-    own = Window.partitionBy(*_BLOCK).orderBy(*order)
-    pos = F.shiftleft(F.col("_blk").cast("bigint"), 32) + F.row_number().over(own)
-    return (blocks.repartition(n, *_BLOCK).withColumn("_pos", pos)
-            .select(*_BLOCK, "_pos", "purchase_id", "quantity", "_stock").persist(StorageLevel.MEMORY_AND_DISK))
-
-
-def _round(rows: DataFrame, keys: DataFrame, state: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """One round for the open products (``state``: product_id, _r, _after).
-
-    Returns the start values per (product, block), and the next state of the products
-    whose round has an end."""
-    small = F.col("quantity") <= F.col("_r") - F.floor(F.col("_r") / 2)
-    begun = keys.join(state, "product_id").where(F.col("_blk") >= F.shiftright("_after", 32))
-    inside = rows.join(begun, _BLOCK).where(F.col("_pos") > F.col("_after"))
-    sums = inside.groupBy(*_BLOCK).agg(F.sum(F.when(small, F.col("quantity")).otherwise(0)).alias("_sum"))
-    upto = Window.partitionBy("product_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = begun.join(sums, _BLOCK, "left").withColumn(
-        "_off", F.coalesce(F.sum(F.coalesce("_sum", F.lit(0))).over(upto), F.lit(0)))
-    starts = _saved(starts.select(*_BLOCK, "_r", "_after", "_off", F.lit(k).alias("_k")), "stock-round")
-
-    # the round can only end in blocks before which at most floor(r / 2) units went
-    half = F.floor(F.col("_r") / 2)
-    reach = rows.join(starts.where(F.col("_off") <= half), _BLOCK).where(F.col("_pos") > F.col("_after"))
-    run = Window.partitionBy(*_BLOCK).orderBy("_pos")
-    gone = F.sum(F.when(small, F.col("quantity")).otherwise(0)).over(run) + F.col("_off")
-    reach = reach.withColumn("_gone", gone)
-    left = F.when(small, F.col("_r") - F.col("_gone")).otherwise(F.col("_r") - F.col("_gone") - F.col("quantity"))
-    ends = F.when(small, F.col("_gone") > half).otherwise(F.col("quantity") <= F.col("_r") - F.col("_gone"))
-    first = reach.where(ends).groupBy("product_id").agg(F.min(F.struct("_pos", left.alias("_r"))).alias("_e"))
-    return starts, _saved(first.select("product_id", F.col("_e._r").alias("_r"), F.col("_e._pos").alias("_after")),
-                          "stock-state")
+def _answer(batches):
+    """Every request with its answer; rows sorted by block (its entry stock first) and arrival."""
+    names = ["purchase_id", "product_id", "quantity", "accepted", "remaining", "reason"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string()]
+    left = None
+    for b in batches:
+        out = []
+        for product, pid, qty, head, start in zip(*(b.column(c).to_pylist() for c in ("product_id", "purchase_id", "quantity", "_head", "_in"))):
+            if head:
+                left = start
+                continue
+            reason = NO_STOCK if left is None else BELOW_ONE if (qty or 0) < 1 else NOT_ENOUGH if qty > left else None
+            if reason is None:
+                left -= qty
+            out.append((pid, product, qty, reason is None, left, reason))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
+
+
+def _take(batches):
+    """(product_id, _blk, _in, _out): each block's entry stock and what is left at its end."""
+    block, start, left = None, 0, 0
+
+    def row():
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((*block, start, left), (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=[*_BLOCK, "_in", "_out"])
+
+    for b in batches:
+        for product, blk, qty, head, entry in zip(*(b.column(c).to_pylist() for c in (*_BLOCK, "quantity", "_head", "_in"))):
+            if head:
+                if block is not None:
+                    yield row()
+                block, start, left = (product, blk), entry, entry
+            elif left is not None and qty is not None and 1 <= qty <= left:
+                left -= qty
+    if block is not None:
+        yield row()
+
+
+def _folded(rows: DataFrame, entries: DataFrame, order: Sequence[str], n: int, fold, schema: str) -> DataFrame:
+    """Fold blocks; each block's entry stock travels as its first row, so the requests move once."""
+    rest = [c for c in rows.columns if c not in _BLOCK]
+    heads = entries.select(*_BLOCK, *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rest], F.lit(True).alias("_head"), "_in")
+    both = rows.select(*_BLOCK, *rest, F.lit(False).alias("_head"), F.lit(None).cast("bigint").alias("_in")).unionByName(heads)
+    return both.repartition(n, *_BLOCK).sortWithinPartitions(*_BLOCK, F.desc("_head"), *order).mapInArrow(fold, schema)
 
 
 def allocate(requests: DataFrame, products: DataFrame,
@@ -96,40 +97,32 @@ def allocate(requests: DataFrame, products: DataFrame,
     """
     spark = requests.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    p = products.select("product_id", F.col("quantity").cast("bigint").alias("_stock"))
+    long = lambda c: F.col(c).cast("bigint").alias(c)
     more = [c for c in order if c not in ("purchase_id", "product_id", "quantity")]
-    j = requests.select("purchase_id", "product_id", F.col("quantity").cast("bigint").alias("quantity"), *more).join(
-        p, "product_id")
-    rows = _laid_out(j, order, n)
-    counted = rows.where("_stock is not null and quantity >= 1")
-    keys = _saved(rows.groupBy(*_BLOCK).agg(F.max("_stock").alias("_stock")), "stock-keys")
-    state = keys.where("_stock is not null").groupBy("product_id").agg(F.max("_stock").alias("_r")).withColumn(
-        "_after", F.lit(0).cast("bigint"))
-    rounds, k = [], 0
-    keys = keys.select(*_BLOCK)
-    while True:
-        starts, state = _round(counted, keys, state, k)
-        rounds.append(starts)
-        if state.isEmpty():
-            break
-        k += 1
-
-    every = rounds[0]
-    for r in rounds[1:]:
-        every = every.unionByName(r)
-    per_block = every.groupBy(*_BLOCK).agg(F.array_sort(F.collect_list(F.struct("_k", "_r", "_after", "_off"))).alias("_rounds"))
-    both = rows.join(per_block, _BLOCK, "left")
-    mine = F.try_element_at(F.filter("_rounds", lambda x: x["_after"] < F.col("_pos")), F.lit(-1))
-    both = both.withColumn("_is_end", F.exists("_rounds", lambda x: x["_after"] == F.col("_pos"))).withColumn("_own", mine)
-    both = both.select("*", "_own._r", "_own._off", F.coalesce("_own._k", F.lit(-1)).alias("_k"))
-    valid = F.col("_stock").isNotNull() & (F.coalesce(F.col("quantity"), F.lit(0)) >= 1)
-    small = valid & (F.col("quantity") <= F.col("_r") - F.floor(F.col("_r") / 2))
-    run = Window.partitionBy(*_BLOCK, "_k").orderBy("_pos")
-    gone = F.sum(F.when(small, F.col("quantity")).otherwise(0)).over(run) + F.col("_off")
-    accepted = F.coalesce(small | (valid & F.col("_is_end")), F.lit(False))
-    taken = F.when(accepted & ~small, F.col("quantity")).otherwise(0)
-    reason = (F.when(F.col("_stock").isNull(), F.lit(NO_STOCK)).when(~valid, F.lit(BELOW_ONE))
-              .when(~F.col("accepted"), F.lit(NOT_ENOUGH)))
-    return both.withColumn("accepted", accepted).withColumn("remaining", F.col("_r") - gone - taken).select(
-        "purchase_id", "product_id", "quantity", "accepted", "remaining", reason.alias("reason"))
-
+    p = products.select("product_id", F.col("quantity").cast("bigint").alias("_stock"))
+    j = requests.select(long("purchase_id"), long("product_id"), long("quantity"), *more).join(p, "product_id")
+    rows = _saved(j.repartitionByRange(n, "product_id", *order).withColumn("_blk", F.spark_partition_id()), "stock-blocks")
+
+    wanted = F.when(F.col("quantity") >= 1, F.col("quantity"))
+    of_product = Window.partitionBy("product_id")
+    earlier = of_product.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.greatest(F.col("_stock") - F.coalesce(F.sum(c).over(earlier), F.lit(0)), F.least(F.col("_stock"), F.lit(0)))
+    entry = lambda c: F.when(F.col("_stock").isNotNull(), before(c)).alias("_in")
+    blocks = rows.groupBy(*_BLOCK).agg(F.max("_stock").alias("_stock"), F.sum(wanted).alias("_wanted"))
+    blocks = blocks.withColumn("_n", F.count("*").over(of_product))
+    state = _saved(blocks.select(*_BLOCK, "_stock", "_n", entry("_wanted")), "stock-entries")
+    split = state.where("_n > 1")
+    inside = rows.join(F.broadcast(split.select("product_id").distinct()), "product_id", "left_semi").drop("_stock")
+    todo, taken = split, None
+    while not todo.isEmpty():
+        again = F.broadcast(todo.select(*_BLOCK))
+        made = _folded(inside.join(again, _BLOCK, "left_semi"), todo.select(*_BLOCK, "_in"), order, n, _take, "product_id bigint, _blk int, _in bigint, _out bigint")
+        if taken is not None:
+            made = taken.join(again, _BLOCK, "left_anti").unionByName(made)
+        taken = _saved(made, "stock-taken")
+        now = split.select(*_BLOCK, "_stock").join(taken.select(*_BLOCK, F.col("_in").alias("_used"), (F.col("_in") - F.col("_out")).alias("_took")), _BLOCK)
+        split = _saved(now.select(*_BLOCK, "_stock", "_used", entry("_took")), "stock-entries")
+        todo = split.where(~F.col("_in").eqNullSafe(F.col("_used")))
+    entries = state.where("_n = 1").select(*_BLOCK, F.col("_stock").alias("_in")).unionByName(split.select(*_BLOCK, "_in"))
+    answers = "purchase_id bigint, product_id bigint, quantity bigint, accepted boolean, remaining bigint, reason string"
+    return _folded(rows.drop("_stock"), entries, order, n, _answer, answers)
