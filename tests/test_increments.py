@@ -124,3 +124,28 @@ def test_a_failed_run_is_not_seen(spark):
     with pytest.raises(Exception, match="lost"):
         state.apply(broken, none, dims)
     _check(spark, state, [_row(1, 5, 10, 3, 0)], [], dims)
+
+
+def test_refresh_takes_what_landed_since(spark):
+    """Two refreshes over a landing area that grows equal the nightly job over all of it."""
+    from tillroll.plans import jobs
+    from tillroll.streaming import landing as L
+
+    root = scratch_path(spark, "test-refresh")
+    dims = _dims(spark, [5, 6], {10: 70, 11: 71})
+    lines = ['{"purchase_id":%d,"client_id":%d,"product_id":10,"purchased_at":"2025-01-0%dT10:00:00","price":2.00,"full_price":4.00,"quantity":2}' % x
+             for x in ((1, 5, 1), (2, 6, 2), (3, 9, 3))]
+    later = ['{"purchase_id":1,"deleted":true}', lines[1].replace("02T", "05T"), lines[2].replace(":3,", ":4,")]
+    for batch in (lines, later):
+        spark.createDataFrame([(x,) for x in batch], "value string").coalesce(1).write.mode("append").text(f"{root}/topic")
+        L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic"), f"{root}/landing", f"{root}/_ck", available_now=True).awaitTermination()
+        jobs.stage_snapshots(dims, f"{root}/stage")
+        state = jobs.refresh_marts(spark, f"{root}/stage", f"{root}/landing", f"{root}/state")
+    assert len(state["log"]) == 2
+    made = MartState(spark, f"{root}/state")
+    assert jobs.refresh_marts(spark, f"{root}/stage", f"{root}/landing", f"{root}/state")["landed"] == state["landed"]
+    paths = jobs.snowflake_from_stage(spark, f"{root}/stage", f"{root}/landing", f"{root}/out")
+    fact = spark.read.schema(schemas.FACT).parquet(paths["fact_purchases"])
+    assert same(made.fact(), fact) and fact.count() == 3
+    marts = M.build_marts(M.MartSource.from_fact(fact), dims)
+    assert all(same(df, marts[name]) for name, df in made.marts().items())

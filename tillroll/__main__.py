@@ -3,8 +3,10 @@
     spark-submit --py-files tillroll.zip tillroll/__main__.py stage   --jdbc-url URL --user U --password P --stage ROOT
     spark-submit --py-files tillroll.zip tillroll/__main__.py land    --bootstrap HOST:PORT --topic purchases \
                                                               --landing ROOT --checkpoint DIR
+    spark-submit --py-files tillroll.zip tillroll/__main__.py compact --landing ROOT
     spark-submit --py-files tillroll.zip tillroll/__main__.py nightly --stage ROOT --landing ROOT --out DIR
     spark-submit --py-files tillroll.zip tillroll/__main__.py marts   --snowflake DIR --out DIR
+    spark-submit --py-files tillroll.zip tillroll/__main__.py refresh --stage ROOT --landing ROOT --state DIR
 
 (``python -m tillroll …`` works the same with a local session.)
 
@@ -54,6 +56,21 @@ def _land(a) -> None:
     L.start_landing(values, a.landing, a.checkpoint, available_now=a.available_now).awaitTermination()
 
 
+def _compact(a) -> None:
+    from tillroll.streaming import compaction
+
+    spark = _session("tillroll-compact")
+    print(compaction.compact(spark, a.landing, a.fan))
+    if a.vacuum_hours is not None:
+        print(compaction.vacuum(spark, a.landing, a.vacuum_hours * 3600))
+
+
+def _refresh(a) -> None:
+    from tillroll.plans import jobs
+
+    print(jobs.refresh_marts(_session("tillroll-refresh"), a.stage, a.landing, a.state))
+
+
 def _nightly(a) -> None:
     from tillroll.plans import jobs
 
@@ -87,6 +104,16 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
     s.set_defaults(fn=_land)
+    s = sub.add_parser("compact", help="landed micro-batches → files by day")
+    s.add_argument("--landing", required=True)
+    s.add_argument("--fan", type=int, default=4)
+    s.add_argument("--vacuum-hours", type=float, default=None, help="remove what has not been live for so long")
+    s.set_defaults(fn=_compact)
+    s = sub.add_parser("refresh", help="what landed since the last run → fact and marts, incrementally")
+    s.add_argument("--stage", required=True)
+    s.add_argument("--landing", required=True)
+    s.add_argument("--state", required=True)
+    s.set_defaults(fn=_refresh)
     s = sub.add_parser("nightly", help="stage snapshots + landed events → dims and fact")
     s.add_argument("--stage", required=True)
     s.add_argument("--landing", required=True)

@@ -17,7 +17,7 @@ from tillroll.functions.casts import conform_purchases, ts_normalise
 from tillroll.operators import dedup as D
 from tillroll.operators import marts as M
 from tillroll.operators import star as S
-from tillroll.sources import files
+from tillroll.sources import files, landed
 from tillroll.sources.fixtures import Fixture
 from tillroll.streaming import landing as L
 
@@ -55,6 +55,26 @@ def snowflake_from_stage(spark: SparkSession, stage_root: str, landing_root: str
                               out_dir, parallel_writes)
 
 
+def refresh_marts(spark: SparkSession, stage_root: str, landing_root: str, state_root: str) -> dict:
+    """Stage → marts, incrementally: the batches that landed since the last run and the staged dimensions of now
+    change the state under ``state_root`` (``plans.refresh``). A run that fails takes the same batches again."""
+    from tillroll.plans.refresh import MartState
+
+    state = MartState(spark, state_root)
+    dims = {
+        "clients": D.dedup_clients(files.read_stage(spark, stage_root, "clients").select(*schemas.CLIENT_COLS)),
+        "sellers": D.dedup_sellers(files.read_stage(spark, stage_root, "sellers").select(*schemas.SELLER_COLS)),
+        "products": D.dedup_products(files.read_stage(spark, stage_root, "products").select(*schemas.PRODUCT_COLS)),
+    }
+    seen = state.manifest().get("landed", {})
+    fresh, through = {}, {}
+    for name in ("data", "tombstones"):
+        batches = landed.finished(spark, landing_root, name, seen.get(name, {}))
+        fresh[name] = landed.read_paths(spark, name, [p for *_, p in batches])
+        through[name] = seen.get(name, {}) | {run: batch for run, batch, _ in batches}
+    return state.apply(conform_purchases(fresh["data"]), fresh["tombstones"], dims, landed=through)
+
+
 def build_snowflake(fx: Fixture, out_dir: str, parallel_writes: int = 4) -> dict[str, str]:
     """Publish dims and fact under ``out_dir`` and return their version paths."""
     dims = {"dim_clients": fx.clients, "dim_sellers": fx.sellers, "dim_products": fx.products}

@@ -112,8 +112,9 @@ class MartState:
         kind = self.spark.read.schema(by_month.schema).parquet(path)
         return generation, [r[0] for r in kind.select("_month").distinct().collect()]
 
-    def apply(self, events: DataFrame, tombstones: DataFrame, dims: dict[str, DataFrame]) -> dict:
-        """One run: new events (conformed, in any order, duplicates included), new tombstones, current dimensions."""
+    def apply(self, events: DataFrame, tombstones: DataFrame, dims: dict[str, DataFrame], landed: dict | None = None) -> dict:
+        """One run: new events (conformed, in any order, duplicates included), new tombstones, current dimensions.
+        ``landed``: where the caller's input now stands; kept in the same manifest, so input and result move together."""
         m = self.manifest()
         files.ensure_namespace(self.spark, self.root)
         old_dims = self._dims(m)
@@ -136,6 +137,8 @@ class MartState:
             kept = self._months(m, name, months).join(F.broadcast(lost), same_day(F.col("sale_date")), "left_anti")
             rows = again.select(*schemas.FACT_COLS).unionByName(come.select(*schemas.FACT_COLS))
             self._replace(m, name, I.merge_bitmaps(kept.unionByName(I.day_bitmaps(rows, id_col))), months)
+        if landed is not None:
+            m["landed"] = landed
         files._replace_text(self.spark, f"{self.root}/{STATE}", json.dumps(m))
         return m
 
