@@ -41,8 +41,8 @@ from . import common as C
 SPACE, END = 0x20, 0x0A
 #: Distinct words whose counts (16 bytes each) may be sent to every task.
 MAX_SENT_WORDS = 6_000_000
-#: Bytes of text counted at once, and counts held by a task before they are passed on.
-COUNT_BYTES, HELD = 2_000_000, 2_000_000
+#: Bytes of text counted at once, and new counts that a task holds before they are merged.
+COUNT_BYTES, HELD = 1_000_000, 1_000_000
 _END_WORD = np.array([0x5EED], np.uint64).view(np.int64)[0]
 
 
@@ -102,7 +102,7 @@ class Counter:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
-        if self.held >= 2 * max(HELD, len(self.keys[0])):
+        if self.held - len(self.keys[0]) >= HELD:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
