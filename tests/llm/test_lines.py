@@ -82,3 +82,22 @@ def test_sql(docs):
     con = duckdb.connect()
     con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
     assert sorted(con.sql(L.OP5_SQL).fetchall()) == sorted(tuple(r) for r in L.line_report(docs).collect())
+
+
+def test_runs_are_merged_where_they_lie(spark, docs):
+    """The join of a batch with a run and the compaction of runs shuffle nothing of the index."""
+    keys = L.line_keys(docs, 1)
+    index = L.LineRuns(n_buckets=4)
+    for b in range(2):
+        index.add(keys.where(L.F.pmod("doc", L.F.lit(2)) == b))
+    plan = index.hits[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "SortMergeJoin" in plan
+    assert all(r.inputFiles() and len(r.inputFiles()) <= 4 for r in index.runs())
+
+
+def test_a_text_of_many_lines(spark):
+    """Three documents of 60,000 equal lines: linear in the lines."""
+    text = "\n".join(f"this is the line number {i} of the text" for i in range(60_000))
+    df = spark.createDataFrame([(i, text + f"\nown line of document number {i}") for i in range(3)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in L.line_report(df).collect()}
+    assert got == {0: (60_001, 60_000), 1: (60_001, 60_000), 2: (60_001, 0)}

@@ -57,3 +57,28 @@ def test_widest_dimension_is_cut_first(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.expr("repeat('x', cast(id % 50 as int))").alias("text"), F.lit("one").alias("source"), F.lit("en").alias("lang"))
     narrow = C.saved(S._narrow(rows, "doc_id", "text", ("source", "lang")), "kd-test")
     assert S.build_tree(narrow, ["d1", "d0", "d2"], 2).dim == "d0"  # one source, one language
+
+
+def brute_tree(rows, shards, first=0):
+    """{row: shard} by recursive weighted medians along the widest dimension, on exact coordinates."""
+    if shards == 1:
+        return {r["row"]: first for r in rows}
+    dims = [c for c in rows[0].asDict() if c.startswith("d") and c[1:].isdigit()] if rows else []
+    spread = lambda d: ((max(r[d] for r in rows) >> 32) - (min(r[d] for r in rows) >> 32)) / brute_tree.scale[d]
+    d = max(dims, key=lambda d: (spread(d), -dims.index(d)))
+    order, want, seen, cut = sorted(rows, key=lambda r: r[d]), sum(r["size"] for r in rows) * (shards // 2) / shards, 0, 0
+    while cut < len(order) and seen + order[cut]["size"] <= want:
+        seen, cut = seen + order[cut]["size"], cut + 1
+    if cut < len(order) and seen + order[cut]["size"] - want < want - seen:
+        cut += 1
+    return brute_tree(order[:cut], shards // 2, first) | brute_tree(order[cut:], shards - shards // 2, first + shards // 2)
+
+
+def test_shards_are_those_of_a_recursive_tree(spark, docs, monkeypatch):
+    monkeypatch.setattr(S, "TOLERANCE", 0.0)  # refine to the exact median
+    rows = S._narrow(docs, "doc_id", "text", ["source", "lang"]).withColumn("row", S.F.monotonically_increasing_id()).collect()
+    dims = [c for c in rows[0].asDict() if c.startswith("d") and c[1:].isdigit()]
+    brute_tree.scale = {d: max(1, (max(r[d] for r in rows) >> 32) - (min(r[d] for r in rows) >> 32)) for d in dims}
+    want = brute_tree(rows, 16)
+    got = {(r["doc_id"], r["text_crc32"]): r["shard"] for r in S.kd_shards(docs).collect()}
+    assert got == {(r["doc_id"], r["text_crc32"]): want[r["row"]] for r in rows}
