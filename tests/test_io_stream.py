@@ -68,6 +68,18 @@ def test_csv_drops_reject_bad_file_and_skip_loaded(spark):
     assert acc2.count() == 0
 
 
+def test_csv_file_of_a_header_alone_is_loaded(spark):
+    root = scratch_path(spark, "t-csv-header")
+    header = "seller_id,name,price,quantity,created_at"
+    _write_lines(f"{root}/in", "empty.csv", [header])
+    _write_lines(f"{root}/in", "one.csv", [header, "1,Widget,9.99,50,2025-05-09T12:00:00Z"])
+    rejected = csv_drops.load_and_record(spark, f"{root}/in", f"{root}/ledger", f"{root}/out", "2025-06-01 00:00:00")
+    assert rejected.isEmpty()
+    assert sorted(r.filename for r in csv_drops.read_ledger(spark, f"{root}/ledger").collect()) == ["empty.csv", "one.csv"]
+    acc, rej, ledger = csv_drops.load_csv_drops(spark, f"{root}/in", f"{root}/ledger", "2025-06-02 00:00:00")
+    assert acc.isEmpty() and rej.isEmpty() and ledger.isEmpty()
+
+
 def test_csv_names_and_ledger(spark):
     """A file name with a space or a plus is the same in the listing, the rows and the ledger; other errors surface."""
     root = scratch_path(spark, "t-csv3")

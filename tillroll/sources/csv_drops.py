@@ -63,16 +63,18 @@ def load_csv_drops(spark: SparkSession, drop_dir: str, ledger_path: str, loaded_
     new = list_drops(spark, drop_dir).join(read_ledger(spark, ledger_path).select("filename"), "filename",
                                               "left_anti")
     # File names are metadata (one per file), listed like Spark's own file index.
-    paths = [r.path for r in new.select("path").collect()]
-    rows = read_drops(spark, paths)
+    listed = [(r.filename, r.path) for r in new.select("filename", "path").collect()]
+    rows = read_drops(spark, [path for _, path in listed])
     rows = rows.withColumn("created_at_ts", to_ts(F.col("created_at")))
     # parsed once: checks, rows and ledger read the parsed table
     staged = files.write_parquet(rows, scratch_path(spark, "csv-rows"))
     rows = spark.read.schema(rows.schema).parquet(staged)
     bad_row = (F.col("_corrupt_record").isNotNull() | F.col("seller_id").isNull() | F.col("name").isNull()
                | F.col("price").isNull() | (F.col("created_at").isNotNull() & F.col("created_at_ts").isNull()))
-    per_file = rows.groupBy("filename").agg(F.count(F.when(bad_row, 1)).alias("bad_rows"),
-                                            F.count(F.lit(1)).alias("rows"))
+    counts = rows.groupBy("filename").agg(F.count(F.when(bad_row, 1)).alias("bad_rows"), F.count(F.lit(1)).alias("rows"))
+    # a file of a header alone has no rows; it is loaded like any other, so that it is not listed again
+    each = spark.createDataFrame([(name,) for name, _ in listed], "filename string")
+    per_file = each.join(counts, "filename", "left").na.fill(0, ["bad_rows", "rows"])
     good_files = per_file.where(F.col("bad_rows") == 0).select("filename")
     rejected = per_file.where(F.col("bad_rows") > 0)
     accepted = rows.join(good_files, "filename", "left_semi").select(
