@@ -93,22 +93,32 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 
 class Counter:
-    """Counts by key, merged when there are many."""
+    """Counts by key: a sorted table, and new ones that are merged into it when there are ``HELD``."""
 
     def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.counts.append(counts)
+        self.new.append((keys, counts))
         self.held += len(keys)
-        if self.held - len(self.keys[0]) >= HELD:
+        if self.held >= HELD:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = counted(np.concatenate(self.keys), np.concatenate(self.counts))
-        self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        return keys, counts
+        """(keys, counts) of everything; the table is not sorted again, new keys are put in their places."""
+        if self.new:
+            keys, counts = counted(*(np.concatenate(x) for x in zip(*self.new)))
+            self.new, self.held = [], 0
+            at = np.searchsorted(self.keys, keys)
+            seen = np.zeros(len(keys), bool)
+            inside = at < len(self.keys)
+            seen[inside] = self.keys[at[inside]] == keys[inside]
+            self.counts[at[seen]] += counts[seen]
+            self.keys = np.insert(self.keys, at[~seen], keys[~seen])
+            self.counts = np.insert(self.counts, at[~seen], counts[~seen])
+        return self.keys, self.counts
 
 
 def chunked(docs: DataFrame, rules: TreeRules) -> DataFrame:
@@ -131,8 +141,8 @@ def chunked(docs: DataFrame, rules: TreeRules) -> DataFrame:
         base = np.concatenate([[0], cuts])
         keys, counts = _packed(np.split(k, cuts), steps=True), _packed(np.split(n, cuts))
         yield rows(chunk, len(base), pair=pa.array(pair[base]), base=pa.array(base), k=keys, n=counts)
-        if words.held:
-            k, n = words.merge()
+        k, n = words.merge()
+        if len(k):
             yield rows(chunk, len(k), word=pa.array(C.as_signed(k)), n_word=pa.array(n))
 
     def run(batches):
