@@ -65,7 +65,7 @@ reg("incremental_fact", "SELECT * FROM live_fact")(lambda s, d: state(s, d).fact
 
 for _name, _sql in MART_VIEWS:
     assert _name in M.MARTS
-    reg(f"incremental_{_name}", _sql.replace("FROM fact", "FROM live_fact"))(lambda s, d, n=_name: state(s, d).marts()[n])
+    reg(f"incremental_{_name}", _sql.replace("FROM fact", "FROM live_fact"))(lambda s, d, n=_name: state(s, d).mart(n))
 
 reg("distinct_clients_by_month", """
 SELECT strftime(purchased_at, '%Y-%m') AS sale_month, count(DISTINCT client_id) AS unique_clients FROM live_fact

@@ -32,6 +32,8 @@ STATE = "_STATE"
 LOG = T.StructType([*schemas.FACT.fields, T.StructField("_client", T.LongType()), T.StructField("_sign", T.IntegerType())])
 _BITMAPS = "sale_date date, bucket bigint, ids binary"
 _SETS = {"client_days": "client_id", "product_days": "product_id"}
+#: Marts of distinct counts: the bitmaps they read, and their column.
+_DISTINCT = {"mart_unique_clients_per_day": ("client_days", "unique_clients"), "mart_unique_products_per_day": ("product_days", "unique_products")}
 _DIMS = {"clients": schemas.CLIENTS, "sellers": schemas.SELLERS, "products": schemas.PRODUCTS}
 
 
@@ -78,19 +80,23 @@ class MartState:
     def fact(self) -> DataFrame:
         return I.live_rows(self._log(self.manifest())).select(*schemas.FACT_COLS)
 
-    def marts(self) -> dict[str, DataFrame]:
-        """M01–M15 from the state."""
+    def mart(self, name: str) -> DataFrame:
+        """One of M01–M15 from the state."""
         m = self.manifest()
-        rollups = {n: I.as_measures(self._months(m, n)) for n in M.ROLLUPS}
-        src, dims = M.MartSource(rollups["day"], rollups["day"], rollups), self._dims(m)
-        sets = {"mart_unique_clients_per_day": ("client_days", "unique_clients"), "mart_unique_products_per_day": ("product_days", "unique_products")}
-        out = {n: M.build_mart(n, src, dims) for n in M.MARTS if n not in sets}
-        for mart, (name, column) in sets.items():
-            found = self.distinct(name, F.col("sale_date"), column).withColumnRenamed("sale_date", "_day")
+        if name in _DISTINCT:
+            table, column = _DISTINCT[name]
+            found = self.distinct(table, F.col("sale_date"), column).withColumnRenamed("sale_date", "_day")
             days = self._months(m, "day").select("sale_date")
-            out[mart] = days.join(found, F.col("_day").eqNullSafe(F.col("sale_date")), "left").select(
+            return days.join(found, F.col("_day").eqNullSafe(F.col("sale_date")), "left").select(
                 "sale_date", F.coalesce(column, F.lit(0).cast("bigint")).alias(column))
-        return out
+        read = [r for r, names in M.MART_ROLLUP.items() if name in names]
+        rollups = {r: I.as_measures(self._months(m, r)) for r in read}
+        grain = next(iter(rollups.values()))
+        return M.build_mart(name, M.MartSource(grain, grain, rollups), self._dims(m))
+
+    def marts(self) -> dict[str, DataFrame]:
+        """M01–M15 from the state."""
+        return {name: self.mart(name) for name in M.MARTS}
 
     def distinct(self, name: str, period: Column, column: str) -> DataFrame:
         """Distinct clients (``client_days``) or products (``product_days``) over a period of days."""
