@@ -164,3 +164,21 @@ def test_stream_in_batches_with_restarts_equals_the_batch_job(spark):
     assert {r.purchase_id: (r.product_id, r.quantity, r.accepted, r.reason) for r in batch} == {k: (*v[:3], v[4]) for k, v in got.items() if v[0] != 9}
     assert all(got[r.purchase_id][3] == r.remaining for r in batch if r.accepted)
     assert {v[4] for v in got.values() if v[0] == 9} == {"not found"}
+
+
+def test_a_shelf_of_products_and_a_batch_of_many_files(spark):
+    """Products that share a state value keep their own stock; all files of a part are one batch, whatever their order."""
+    rng = random.Random(3)
+    stocks = {p: rng.choice([None, 3, 40]) for p in (*range(-3, 4), 255, 256, 2**40, 2**40 + 1)}
+    rows = [(i, rng.choice([*stocks, 7, 2**40 + 5]), rng.choice([1, 2, None]), T0 + dt.timedelta(minutes=i // 2)) for i in range(400)]
+    root, kinds = scratch_path(spark, "test-shelves"), schemas.PRODUCTS
+    files.write_stage(spark.createDataFrame([(p, 1, "p", Decimal("1.00"), q, T0) for p, q in stocks.items()], kinds), root, "products")
+    products = files.read_stage(spark, root, "products", kinds)
+    for part in (rows[:150], rows[150:]):
+        spark.createDataFrame(part[::-1], allocation.REQUESTS).repartition(5).write.mode("append").json(f"{root}/in")
+        asked = allocation.request_stream(spark, f"{root}/in", whole=True)
+        allocation.start_answering(asked, products, f"{root}/out", f"{root}/ck", available_now=True).awaitTermination()
+    got = {r.purchase_id: tuple(r)[1:] for r in spark.read.schema(allocation.ANSWERS).parquet(f"{root}/out").collect()}
+    batch = stock.allocate(spark.createDataFrame(rows, allocation.REQUESTS), products, num_partitions=4).collect()
+    assert {r.purchase_id: tuple(r)[1:] for r in batch} == {k: v for k, v in got.items() if v[4] != "not found"}
+    assert {k for k, v in got.items() if v[4] == "not found"} == {r[0] for r in rows if r[1] not in stocks}

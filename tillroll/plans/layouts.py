@@ -135,13 +135,15 @@ def _events_variant(s, d):
 UNION ALL
 SELECT purchase_id, product_id, quantity, false, NULL, 'not found' FROM purchases WHERE product_id NOT IN (SELECT product_id FROM products)""", complete=True)
 def _stream_allocate(s, d):
-    """Requests in three files by time; the query is started again for each, on one checkpoint."""
+    """Requests in three parts by time, each of many files and one micro-batch; the query is started again for each,
+    on one checkpoint."""
     fx, root = Fixture(s, d), scratch_path(s, "stream-allocate")
     files.write_stage(fx.products, f"{root}/stage", "products")
     products = files.read_stage(s, f"{root}/stage", "products", schemas.PRODUCTS)
-    asked = fx.purchases.select("purchase_id", "product_id", "quantity", "purchased_at")
+    fx.purchases.select("purchase_id", "product_id", "quantity", "purchased_at").write.parquet(f"{root}/asked")
+    asked = s.read.schema(allocation.REQUESTS).parquet(f"{root}/asked")
     for lo, hi in (("1900", "1994"), ("1994", "1996"), ("1996", "2100")):
         part = asked.where(f"purchased_at >= timestamp_ntz'{lo}-01-01' and purchased_at < timestamp_ntz'{hi}-01-01'")
-        part.coalesce(1).write.mode("append").json(f"{root}/requests")
-        allocation.start_answering(allocation.request_stream(s, f"{root}/requests"), products, f"{root}/answers", f"{root}/_checkpoint", available_now=True).awaitTermination()
+        part.write.mode("append").json(f"{root}/requests")
+        allocation.start_answering(allocation.request_stream(s, f"{root}/requests", whole=True), products, f"{root}/answers", f"{root}/_checkpoint", available_now=True).awaitTermination()
     return s.read.schema(allocation.ANSWERS).parquet(f"{root}/answers")
