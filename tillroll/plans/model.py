@@ -15,6 +15,7 @@ from tillroll.operators import rules as U
 from tillroll.operators import star as S
 from tillroll.operators import stock
 from tillroll.plans.oracle import with_views
+from tillroll.session import scratch_path
 from tillroll.sources import requests as RQ
 from tillroll.sources.fixtures import Fixture
 
@@ -602,10 +603,12 @@ SELECT product_id, purchase_id, CASE kind WHEN 0 THEN 'purchase' ELSE 'cancel' E
        CAST(remaining AS BIGINT) AS remaining
 FROM t""")
 def _allocate_ledger(s, d):
-    f = fx(s, d)
-    cancels = A.lookup(f.purchases, RQ.purchase_deletes(s, d), "purchase_id").select(
+    f, path = fx(s, d), scratch_path(s, "ledger-purchases")
+    f.purchases.write.parquet(path)  # requests, and what the cancellations are made of and joined with
+    bought = s.read.schema(f.purchases.schema).parquet(path)
+    cancels = A.lookup(bought, RQ.purchase_deletes(s, d), "purchase_id").select(
         "purchase_id", (F.col("purchased_at") + F.make_dt_interval(F.lit(CANCEL_AFTER_DAYS))).alias("cancelled_at"))
-    return ledger.allocate_ledger(f.purchases, cancels, f.products)
+    return ledger.allocate_ledger(bought, cancels, f.products)
 
 
 @reg("event_envelopes", "WITH " + ", ".join(
