@@ -149,3 +149,12 @@ def test_refresh_takes_what_landed_since(spark):
     assert same(made.fact(), fact) and fact.count() == 3
     marts = M.build_marts(M.MartSource.from_fact(fact), dims)
     assert all(same(df, marts[name]) for name, df in made.marts().items())
+
+
+def test_bitmaps_are_made_where_their_ids_are(spark):
+    """No map task makes 4 KB for each of its few ids: the ids are dealt by day and bucket first."""
+    rows = spark.range(100_000).select((F.col("id") % 70_000).alias("c"), (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int") % 3)).alias("purchased_at"))
+    made = I.day_bitmaps(rows, "c")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan and "partial_bitmap_construct_agg" not in plan[plan.index("Exchange"):]
+    assert I.distinct_ids(made, F.year("sale_date").alias("y"), "n").collect()[0].n == 70_000
