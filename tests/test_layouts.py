@@ -182,3 +182,11 @@ def test_a_shelf_of_products_and_a_batch_of_many_files(spark):
     batch = stock.allocate(spark.createDataFrame(rows, allocation.REQUESTS), products, num_partitions=4).collect()
     assert {r.purchase_id: tuple(r)[1:] for r in batch} == {k: v for k, v in got.items() if v[4] != "not found"}
     assert {k for k, v in got.items() if v[4] == "not found"} == {r[0] for r in rows if r[1] not in stocks}
+
+
+def test_buckets_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    from tillroll import session
+
+    (tmp_path / "lineitem.parquet").write_bytes(b"x" * 995)
+    monkeypatch.setattr(session, "BYTES_A_PARTITION", 10)
+    assert session.input_parts(spark, str(tmp_path)) == 100

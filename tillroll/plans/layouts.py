@@ -12,7 +12,7 @@ from tillroll.operators import asof, audit, dedup, star
 from tillroll.plans import io as IO
 from tillroll.plans import model as MODEL
 from tillroll.plans.oracle import with_views
-from tillroll.session import scratch_path
+from tillroll.session import input_parts, scratch_path
 from tillroll.sources import bucketed, files, landed, variants
 from tillroll.sources import requests as RQ
 from tillroll.sources.fixtures import Fixture
@@ -70,7 +70,9 @@ def nightly_from_buckets(spark: SparkSession, root: str) -> DataFrame:
     return star.fact_purchases(purchases, files.read_stage(spark, root, "clients", schemas.CLIENTS), files.read_stage(spark, root, "products", schemas.PRODUCTS))
 
 
-def write_buckets(fx: Fixture, root: str, n_buckets: int = 8) -> None:
+def write_buckets(fx: Fixture, root: str, n_buckets: int | None = None) -> None:
+    """Buckets for the size of the input, eight at least; a bucket is one task."""
+    n_buckets = n_buckets or max(8, input_parts(fx.spark, fx.data_dir))
     bucketed.write_bucketed(fx.purchase_events.select(*schemas.PURCHASE_COLS), root, "events", "purchase_id", n_buckets, ["purchased_at"])
     bucketed.write_bucketed(RQ.purchase_deletes(fx.spark, fx.data_dir), root, "tombstones", "purchase_id", n_buckets)
     files.write_stage(fx.clients, root, "clients")

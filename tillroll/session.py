@@ -36,6 +36,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Input bytes (Parquet) behind one shuffle partition: about 300,000 line items.
+BYTES_A_PARTITION = 8 << 20
+
+
+def input_parts(spark: SparkSession, path: str) -> int:
+    """In how many parts an input is dealt so that a part stays as long when the input grows; one listing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return max(1, -(-size // BYTES_A_PARTITION))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (
