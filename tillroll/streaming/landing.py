@@ -83,7 +83,8 @@ def land_batch(root: str, run: str):
     """The ``foreachBatch`` writer (one pass over a persisted batch, three writes)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = route(batch).persist()
+        raw = F.when(F.col("_route") == "corrupt", F.col("_raw")).alias("_raw")  # the text is kept of corrupt lines alone
+        b = route(batch).select(*[f.name for f in schemas.LANDED], raw, "_route").persist()
         try:
             base = f"{root.rstrip('/')}/{{}}/run={run}/batch_id={batch_id}"
             b.where(F.col("_route") == "data").select(*[f.name for f in schemas.LANDED]) \
@@ -113,6 +114,6 @@ def read_route(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write_ndjson(df: DataFrame, path: str) -> str:
-    """Write rows as NDJSON text files (test and replay input for the text source)."""
-    df.write.mode("overwrite").text(path)
+    """Write rows as compressed NDJSON text files (test and replay input for the text source)."""
+    df.write.mode("overwrite").option("compression", "gzip").text(path)
     return path
