@@ -190,3 +190,23 @@ def test_buckets_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
     (tmp_path / "lineitem.parquet").write_bytes(b"x" * 995)
     monkeypatch.setattr(session, "BYTES_A_PARTITION", 10)
     assert session.input_parts(spark, str(tmp_path)) == 100
+
+
+def test_landing_writes_a_batch_once_and_reads_both_layouts(spark):
+    """One folder a batch, by route; a batch of the earlier layout that is replayed counts once; vacuum takes it."""
+    root = scratch_path(spark, "test-routed")
+    line = '{"purchase_id":%d,"client_id":1,"product_id":1,"purchased_at":"2025-01-02T03:04:05","price":1.50,"full_price":3.00,"quantity":2}'
+    lines = [line % 1, line % 2, '{"purchase_id":9,"deleted":true}', "{cut", '{"client_id":4}']
+    L.write_ndjson(spark.createDataFrame([(x,) for x in lines], "value string"), f"{root}/topic")
+    L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic"), f"{root}/out", f"{root}/ck", available_now=True).awaitTermination()
+    (run, batch, path), = landed.finished(spark, f"{root}/out", "data", {})
+    assert path.endswith(f"/routed/run={run}/batch_id={batch}/route=data")
+    assert not files.exists(spark, f"{root}/out/data") and not files.exists(spark, f"{root}/out/corrupt")
+    _events(spark, [1], 0).write.parquet(f"{root}/out/data/run={run}/batch_id={batch}")  # what an earlier version left of it
+    _events(spark, [7], 0).write.parquet(f"{root}/out/data/run=old/batch_id=0")
+    assert _ids(spark, f"{root}/out") == Counter([1, 2, 7])
+    assert {r.raw for r in L.read_route(spark, f"{root}/out", "corrupt").collect()} == {"{cut", '{"client_id":4}'}
+    assert compaction.compact(spark, f"{root}/out") == {"data": 2, "tombstones": 1, "corrupt": 1}
+    assert _ids(spark, f"{root}/out") == Counter([1, 2, 7])
+    assert compaction.vacuum(spark, f"{root}/out", min_age_s=-1) == 5
+    assert _ids(spark, f"{root}/out") == Counter([1, 2, 7]) and compaction.compact(spark, f"{root}/out")["data"] == 0

@@ -1,7 +1,7 @@
 """S3: reading the landing area, compacted or not.
 
-A landing root has raw micro-batches, ``<route>/run=<run>/batch_id=<n>``, and compacted files by day,
-``_compacted/<route>/g=<generation>/_day=<day>``. One manifest says which generations are live for each day and up to
+A landing root has raw micro-batches, ``routed/run=<run>/batch_id=<n>/route=<route>`` (an earlier layout,
+``<route>/run=<run>/batch_id=<n>``, is read too), and compacted files by day, ``_compacted/<route>/g=<generation>/_day=<day>``. One manifest says which generations are live for each day and up to
 which batch of each run they go; it is replaced by rename. A reader takes the live generations and the finished
 batches (Spark's ``_SUCCESS`` marker) beyond them: each event once, also while a compaction runs, after one was killed,
 and when a batch is written again by a replay after it was compacted. The schemas are declared, so a route without
@@ -30,16 +30,27 @@ def live(spark: SparkSession, root: str) -> dict:
     return {r: known.get(r, {"through": {}, "days": {}}) for r in ROUTES}
 
 
+def batch_path(root: str, run: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/routed/run={run}/batch_id={batch_id}"
+
+
 def finished(spark: SparkSession, root: str, route: str, through: dict[str, int]) -> list[tuple[str, int, str]]:
-    """(run, batch, path) of the finished batches beyond ``through``, in order; one listing."""
-    fs, pattern = files._hadoop_fs(spark, f"{root.rstrip('/')}/{route}/run=*/batch_id=*/_SUCCESS")
-    found = []
-    for status in fs.globStatus(pattern) or []:
-        path = status.getPath().getParent().toString()
-        run, batch = re.search(r"/run=([^/]+)/batch_id=(\d+)$", path).groups()
+    """(run, batch, path) of the finished batches beyond ``through`` that have the route, in order; three listings.
+    A batch that is there in both layouts (replayed since) counts as it was written last."""
+    base, found = root.rstrip("/"), {}
+
+    def listed(glob: str) -> list[str]:
+        fs, pattern = files._hadoop_fs(spark, f"{base}/{glob}")
+        return [status.getPath().getParent().toString() for status in fs.globStatus(pattern) or []]
+
+    routed = set(listed("routed/run=*/batch_id=*/_SUCCESS"))
+    paths = listed(f"{route}/run=*/batch_id=*/_SUCCESS")
+    paths += [f"{p}/route={route}" for p in listed(f"routed/run=*/batch_id=*/route={route}") if p in routed]
+    for path in paths:
+        run, batch = re.search(r"/run=([^/]+)/batch_id=(\d+)(?:/route=[^/]+)?$", path).groups()
         if int(batch) > through.get(run, -1):
-            found.append((run, int(batch), path))
-    return sorted(found)
+            found[run, int(batch)] = path
+    return sorted((run, batch, path) for (run, batch), path in found.items())
 
 
 def day_paths(root: str, route: str, days: dict[str, list[str]], wanted: Iterable[str] | None = None) -> list[str]:

@@ -54,6 +54,11 @@ def _compact_route(spark: SparkSession, root: str, route: str, known: dict, batc
     return {"through": through, "days": known["days"] | held}
 
 
+def _held(path: str, through: dict[str, int]) -> bool:
+    m = re.search(r"run=([^/]+)/batch_id=(\d+)(/route=[^/]+)?$", path)
+    return bool(m) and int(m[2]) <= through.get(m[1], -1)
+
+
 def vacuum(spark: SparkSession, root: str, min_age_s: float = 24 * 3600) -> int:
     """Remove batches that generations hold and generations that are not live, if older than ``min_age_s`` (longer
     than any reader takes). Returns how many folders went."""
@@ -62,7 +67,8 @@ def vacuum(spark: SparkSession, root: str, min_age_s: float = 24 * 3600) -> int:
     for route, known in state.items():
         base, in_use = root.rstrip("/"), {g for gs in known["days"].values() for g in gs}
         for glob, done in (
-            (f"{base}/{route}/run=*/batch_id=*", lambda p, t=known["through"]: (m := re.search(r"run=([^/]+)/batch_id=(\d+)$", p)) and int(m[2]) <= t.get(m[1], -1)),
+            (f"{base}/{route}/run=*/batch_id=*", lambda p, t=known["through"]: _held(p, t)),
+            (f"{base}/routed/run=*/batch_id=*/route={route}", lambda p, t=known["through"]: _held(p, t)),
             (f"{base}/_compacted/{route}/g=*", lambda p, u=in_use: p.rpartition("/g=")[2] not in u),
         ):
             fs, pattern = files._hadoop_fs(spark, glob)

@@ -1,9 +1,9 @@
 """Purchase event stream: source (S4/ST1), parse (ST2), route (ST4), landing (S12/ST3).
 
-Each micro-batch is persisted once and written three ways: data rows, tombstones
+Each micro-batch is parsed once and written by one job, partitioned by route: data rows, tombstones
 (``{"purchase_id": N, "deleted": true}``, SURVEY Q1) and corrupt lines (not a JSON
-object, or a required landing column NULL after parsing, Q2). Every output goes
-to ``<root>/<route>/run=<run>/batch_id=<n>`` with overwrite, so
+object, or a required landing column NULL after parsing, Q2). It goes
+to ``<root>/routed/run=<run>/batch_id=<n>/route=<route>`` with overwrite, so
 
 * a replayed batch (same checkpoint) rewrites the same folder: idempotent;
 * each checkpoint has a random run id of its own, kept in the checkpoint folder: a lost
@@ -80,21 +80,14 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
 
 
 def land_batch(root: str, run: str):
-    """The ``foreachBatch`` writer (one pass over a persisted batch, three writes)."""
+    """The ``foreachBatch`` writer (one pass, one write; every route's file is open at once, so nothing is sorted)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        raw = F.when(F.col("_route") == "corrupt", F.col("_raw")).alias("_raw")  # the text is kept of corrupt lines alone
-        b = route(batch).select(*[f.name for f in schemas.LANDED], raw, "_route").persist()
-        try:
-            base = f"{root.rstrip('/')}/{{}}/run={run}/batch_id={batch_id}"
-            b.where(F.col("_route") == "data").select(*[f.name for f in schemas.LANDED]) \
-                .write.mode("overwrite").parquet(base.format("data"))
-            b.where(F.col("_route") == "tombstones").select("purchase_id") \
-                .write.mode("overwrite").parquet(base.format("tombstones"))
-            b.where(F.col("_route") == "corrupt").select(F.col("_raw").alias("raw")) \
-                .write.mode("overwrite").parquet(base.format("corrupt"))
-        finally:
-            b.unpersist()
+        batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(len(ROUTES)))  # the stream's own session
+        raw = F.when(F.col("_route") == "corrupt", F.col("_raw")).alias("raw")  # the text is kept of corrupt lines alone
+        rows = route(batch).select(*[f.name for f in schemas.LANDED], raw, F.col("_route").alias("route"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("route") \
+            .parquet(landed.batch_path(root, run, batch_id))
 
     return write
 
@@ -113,7 +106,14 @@ def read_route(spark: SparkSession, root: str, name: str) -> DataFrame:
     return landed.read_live(spark, root, name)
 
 
-def write_ndjson(df: DataFrame, path: str) -> str:
-    """Write rows as compressed NDJSON text files (test and replay input for the text source)."""
-    df.write.mode("overwrite").option("compression", "gzip").text(path)
+def write_ndjson(df: DataFrame, path: str, by: str | None = None, most: int = 0) -> str:
+    """Write rows as compressed NDJSON text files (test and replay input for the text source); ``by`` names a column
+    of at most ``most`` values, each with a folder of its own, whose files a task writes at the same time, unsorted."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    was = conf.get(key)
+    conf.set(key, str(most))
+    try:
+        df.write.mode("overwrite").option("compression", "lz4").partitionBy(*[by] if by else []).text(path)
+    finally:
+        conf.set(key, was)
     return path
