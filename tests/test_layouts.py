@@ -210,3 +210,16 @@ def test_landing_writes_a_batch_once_and_reads_both_layouts(spark):
     assert _ids(spark, f"{root}/out") == Counter([1, 2, 7])
     assert compaction.vacuum(spark, f"{root}/out", min_age_s=-1) == 5
     assert _ids(spark, f"{root}/out") == Counter([1, 2, 7]) and compaction.compact(spark, f"{root}/out")["data"] == 0
+
+
+def test_compacted_topic_is_built_once(spark, monkeypatch):
+    """The lines come from one write; a part without a line is an empty drop."""
+    from tillroll.plans import io as IO
+    from tillroll.plans import layouts
+
+    writes, write = [], L.write_ndjson
+    monkeypatch.setattr(L, "write_ndjson", lambda df, path, **k: writes.append(path) or write(df, path, **k))
+    line = '{"purchase_id":5,"client_id":1,"product_id":1,"purchased_at":"2025-01-02T03:04:05","price":1.50,"full_price":3.00,"quantity":2}'
+    monkeypatch.setattr(IO, "topic_lines", lambda s, d: s.createDataFrame([(line,)] * 3, "value string"))
+    root = layouts._compacted(spark, "-")
+    assert len(writes) == 1 and _ids(spark, root) == Counter({5: 3})

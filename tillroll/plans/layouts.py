@@ -34,13 +34,19 @@ def reg(key: str, sql: str, complete: bool = False):
 # ---- S3 / ST3: landing area, compacted while it grows -------------------------------------------
 
 def _compacted(spark: SparkSession, d: str) -> str:
-    """The topic in three parts, each landed by a run of its own; compactions after the first and the second."""
+    """The topic in three parts, written once, each landed by a run of its own when it has been moved to the topic;
+    compactions after the first and the second."""
     root = scratch_path(spark, "compacted")
-    lines = IO.topic_lines(spark, d)
-    part = F.pmod(F.xxhash64("value"), F.lit(3))
+    parts = IO.topic_lines(spark, d).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    L.write_ndjson(parts, f"{root}/parts", by="part", most=3)
+    files.ensure_namespace(spark, f"{root}/topic")
+    fs, _ = files._hadoop_fs(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
     for i in range(3):
-        lines.where(part == i).write.mode("append").text(f"{root}/topic")
-        L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic"), f"{root}/out", f"{root}/_checkpoint", available_now=True).awaitTermination()
+        files.ensure_namespace(spark, f"{root}/parts/part={i}")  # it may be that no line fell into this part
+        if not fs.rename(path(f"{root}/parts/part={i}"), path(f"{root}/topic/drop-{i}")):
+            raise OSError(f"part {i} was not moved to the topic")
+        L.start_landing(L.purchase_stream(spark, "text", path=f"{root}/topic/*"), f"{root}/out", f"{root}/_checkpoint", available_now=True).awaitTermination()
         if i < 2:
             compaction.compact(spark, f"{root}/out", fan=2)
     return f"{root}/out"
