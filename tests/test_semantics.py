@@ -378,3 +378,23 @@ def test_product_validation(spark):
     got = {r.request_id: r.reason for r in U.with_reasons(df, U.product_rules()).collect()}
     assert got == {1: None, 2: "seller_id missing;price must be positive;quantity below 1",
                    3: "name too long;price missing"}
+
+
+def test_product_months_are_summed_in_parts_of_one_length(spark, fx):
+    """M12 and its report: as many parts as asked for, one exchange for both sums, no join; the fact's result."""
+    from tillroll.operators import marts as M
+    from tillroll.plans import analytics as A
+
+    rows = spark.range(2000).selectExpr(
+        "id AS purchase_id", "id % 5 AS client_id", "nullif(id % 7, 0) AS product_id", "CAST(NULL AS BIGINT) AS seller_id", "id % 3 AS quantity",
+        "CAST(1 AS DECIMAL(10,2)) AS price", "CAST(2 AS DECIMAL(10,2)) AS full_price",
+        "CASE WHEN id % 11 > 0 THEN timestamp_ntz'2024-01-31' + make_dt_interval(CAST(id % 60 AS INT)) END AS purchased_at")
+    in_parts = M.product_quantity_sold_by_month(M.MartSource.from_fact(rows, parts=13))
+    assert in_parts.rdd.getNumPartitions() == 13
+    whole = M.product_quantity_sold_by_month(M.MartSource.from_fact(rows))
+    assert sorted(map(str, in_parts.collect())) == sorted(map(str, whole.collect()))
+    report = A.QUERIES["report_product_month"](spark, fx.data_dir)
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "customer" not in plan and "supplier" not in plan
+    want = A.R.report_product_month(M.product_quantity_sold_by_month(M.MartSource.from_fact(fx.fact)))
+    assert sorted(map(str, report.collect())) == sorted(map(str, want.collect()))
