@@ -74,7 +74,9 @@ def report_client_month(m: DataFrame) -> DataFrame:
 
 
 def report_product_month(m: DataFrame) -> DataFrame:
-    return m.groupBy("product_id", "sale_month").agg(_s("total_quantity")).orderBy(F.col("sale_month").desc())
+    # ordered within the month too, so that a month can be sorted in many tasks
+    return m.groupBy("product_id", "sale_month").agg(_s("total_quantity")).orderBy(
+        F.col("sale_month").desc(), F.col("product_id"))
 
 
 def report_products_by_year(m: DataFrame) -> DataFrame:
