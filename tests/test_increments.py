@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -158,3 +159,70 @@ def test_bitmaps_are_made_where_their_ids_are(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "partial_bitmap_construct_agg" in plan and "partial_bitmap_construct_agg" not in plan[plan.index("Exchange"):]
     assert I.distinct_ids(made, F.year("sale_date").alias("y"), "n").collect()[0].n == 70_000
+
+
+def test_a_purchase_without_id_and_changed_dimensions(spark):
+    """NULL is a purchase id like any other; rows that only a client or only a product concerns are resolved again."""
+    state = MartState(spark, scratch_path(spark, "test-state"))
+    runs = [
+        ([_row(None, 5, 10, 3, 0), _row(None, 5, 10, 2, 1), _row(0, 6, 10, 1, 0), _row(1, 5, 11, 1, 2), _row(2, 8, 12, 4, 3)], [0], [5, 6], {10: 70, 11: 71}),
+        ([_row(3, 5, 11, 1, 4)], [], [5, 6, 8], {10: 71, 11: 71, 12: 70}),
+        ([_row(None, 6, 11, 8, 9), _row(0, 5, 10, 1, 1)], [2], [6], {10: 70, 12: 70}),
+    ]
+    events, tombs = [], []
+    for batch, gone, clients, products in runs:
+        events, tombs = events + batch, tombs + gone
+        dims = _dims(spark, clients, products)
+        state.apply(_purchases(spark, batch), spark.createDataFrame([(t,) for t in gone], "purchase_id bigint"), dims)
+        assert same(state.fact(), _rebuild(spark, events, tombs, dims)[0])
+        got = state.distinct("product_days", F.col("sale_date"), "n").collect()
+        want = state.fact().groupBy(F.to_date("purchased_at").alias("d")).agg(F.countDistinct("product_id").alias("n")).collect()
+        assert {tuple(r) for r in got} == {tuple(r) for r in want}
+
+
+def test_a_run_leaves_the_state_alone_on_disk(spark, tmp_path, monkeypatch):
+    """A run's scratch and shuffle files are gone when it ends; the input may go when the events are taken."""
+    from tillroll import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    was = shuffles()
+    state, setting = MartState(spark, f"{tmp_path}/state"), spark.conf.get(session.DROP_SHUFFLES)
+    for day in (0, 1):
+        rows = _purchases(spark, [_row(i + 2 * day, 5, 10 + i % 3, 1, day) for i in range(40)])
+        rows.write.parquet(f"{tmp_path}/input")
+        kept = spark.read.schema(schemas.PURCHASES).parquet(f"{tmp_path}/input")
+        none = spark.createDataFrame([], "purchase_id bigint")
+        state.apply(kept, none, _dims(spark, [5], {10: 70, 11: 71}), taken=lambda: session.drop(spark, f"{tmp_path}/input"))
+    until = time.time() + 20
+    while shuffles() - was and time.time() < until:  # dropped by the block managers in their own time
+        time.sleep(0.2)
+    assert not shuffles() - was
+    assert [p.name for p in tmp_path.iterdir()] == ["state"]
+    assert spark.conf.get(session.DROP_SHUFFLES) == setting
+    assert state.fact().count() == 42
+
+
+def test_log_rows_are_dealt_once(spark, tmp_path):
+    """Whole log rows move by purchase alone; the purchases of changed clients and products are found by id."""
+    dims = _dims(spark, [5], {10: 70})
+    other = _dims(spark, [5, 6], {10: 71})
+    rows = S.fact_purchases(_purchases(spark, [_row(1, 5, 10, 3, 0), _row(2, 6, 10, 3, 0)]), dims["clients"], dims["products"])
+    log = rows.withColumn("_client", F.when(F.col("purchase_id") == 1, 5).otherwise(6).cast("bigint")).withColumn("_sign", F.lit(1))
+    none = spark.createDataFrame([], "purchase_id bigint")
+    before, after = I.changed_rows(log, _purchases(spark, []), none, none, dims, other, str(tmp_path))
+    assert {(r.purchase_id, r.client_id, r.seller_id) for r in before.collect()} == {(1, 5, 70), (2, None, 70)}
+    assert {(r.purchase_id, r.client_id, r.seller_id) for r in after.collect()} == {(1, 5, 71), (2, 6, 71)}
+    assert {(r.purchase_id, r._sign) for r in I.signed_changes(before, after).collect()} == {(1, 1), (1, -1), (2, 1), (2, -1)}
+
+
+def test_ids_of_signed_rows(spark):
+    """A log's rows as they are: an id is there where more of its rows have come than gone."""
+    rows = spark.createDataFrame([(5, T0, 1), (5, T0, 1), (5, T0, -1), (6, T0, 1), (6, T0, -1), (None, T0, 1), (7, None, 1)], "c bigint, purchased_at timestamp_ntz, _sign int")
+    made = I.distinct_ids(I.day_bitmaps(rows, "c"), F.col("sale_date"), "n").collect()
+    assert {tuple(r) for r in made} == {(T0.date(), 1), (None, 1)}
